@@ -1,0 +1,194 @@
+"""From files to the curated layer, one entity at a time or all of them."""
+
+from __future__ import annotations
+
+import os
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tiermart.functions import run_timestamp
+from tiermart.functions.columns import RunTs
+from tiermart.operators.conform import conform, conform_entity
+from tiermart.operators.dedupe import dedupe_latest
+from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply, scd2_pass, stamped
+from tiermart.operators.quality import require_not_null
+from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
+from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, LOAD_TS, Entity
+from tiermart.sources.csv import read_raw
+from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
+
+MASTER = "master_orders"
+
+
+@dataclass(frozen=True)
+class LoadOptions:
+    """Choices of a run.
+
+    two_step_versions: close changed versions in one run and open their
+    successors in the next, as a single merge statement does; otherwise both
+    happen in the same run.
+    null_safe: treat a change to or from NULL as a change.
+    repeat_facts: load insert-only facts a second time by plain append, which
+    doubles every row.
+    enforce_required: a NULL in a column declared NOT NULL aborts the load.
+    buckets: hash buckets of replaced tables; 0 leaves them unbucketed.
+    since: only raw rows copied at or after this time feed the clean layer; the
+    default reads the whole raw history.
+    """
+
+    two_step_versions: bool = False
+    null_safe: bool = False
+    repeat_facts: bool = False
+    enforce_required: bool = True
+    buckets: int = 0
+    since: str | None = None
+
+
+def clean_source(raw: DataFrame, entity: Entity) -> DataFrame:
+    """Latest raw row per key, typed.
+
+    The key is typed first: the rows are then already placed by the typed key
+    when the merge joins on it. Equal load times fall back to the copy time and
+    then to all attributes.
+    """
+    kinds = dict(entity.fields)
+    keyed = conform(raw, [(k, kinds[k]) for k in entity.key])
+    order = [
+        F.desc_nulls_last(LOAD_TS),
+        F.desc_nulls_last("_copy_data_ts"),
+        F.asc_nulls_last("_stg_file_name"),
+        *[F.desc_nulls_last(c) for c in entity.columns if c not in entity.key],
+        F.desc_nulls_last("_stg_file_md5"),
+    ]
+    latest = dedupe_latest(keyed, entity.key, order, entity.drop_null_keys, tie_break=False)
+    return conform_entity(latest, entity).select(*entity.typed_columns, *AUDIT_COLUMNS)
+
+
+def load_raw(
+    layers: Layers, entity: Entity, path: str | list[str], run_ts: RunTs = None
+) -> None:
+    """Append the files to the raw table."""
+    layers.append(RAW, entity.raw_table, read_raw(layers.spark, path, entity, run_ts))
+
+
+def load_clean(
+    layers: Layers,
+    entity: Entity,
+    run_ts: RunTs = None,
+    options: LoadOptions = LoadOptions(),
+    merge_key: Sequence[str] | None = None,
+) -> None:
+    """Upsert the latest raw rows into the clean table.
+
+    Another `merge_key` than the entity key may match several source rows to
+    one target row, which raises; columns of the entity key then keep the
+    value of the target.
+    """
+    raw = layers.table(RAW, entity.raw_table)
+    if options.since is not None:
+        raw = raw.filter(F.col("_copy_data_ts") >= run_timestamp(options.since))
+    target = layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema)
+    keys = list(merge_key or entity.key)
+    skip = {*keys, *entity.key}
+    source = clean_source(raw, entity)
+    if options.enforce_required:
+        source = require_not_null(source, entity.required_columns)
+    merged = scd1_upsert(
+        target,
+        source,
+        keys,
+        set_columns=[c for c in entity.typed_columns + AUDIT_COLUMNS if c not in skip],
+        run_ts=run_ts,
+        source_unique=keys == entity.key,
+    )
+    layers.replace(
+        CLEAN, entity.clean_table, merged, bucket_by=keys, buckets=options.buckets
+    )
+
+
+def load_curated(
+    layers: Layers,
+    entity: Entity,
+    run_ts: RunTs = None,
+    options: LoadOptions = LoadOptions(),
+) -> None:
+    """Feed the curated table: versions for dimensions, new rows for facts."""
+    source = layers.table(CLEAN, entity.clean_table).select(
+        *entity.typed_columns, "last_updated_ts"
+    )
+    if options.enforce_required and entity.nullable:
+        # nullable in the clean layer, required here
+        source = require_not_null(source, entity.typed_columns)
+    table = entity.curated_table
+    if entity.curate == "versioned":
+        dim = layers.table_or_empty(CURATED, table, entity.curated_schema)
+        merge = scd2_pass if options.two_step_versions else scd2_apply
+        state = merge(
+            dim,
+            source,
+            entity.version_key,
+            entity.tracked,
+            run_ts,
+            null_safe=options.null_safe,
+            # the clean table holds one row per entity key
+            source_unique=set(entity.key) <= set(entity.version_key),
+        )
+        layers.replace(
+            CURATED, table, state, bucket_by=entity.version_key, buckets=options.buckets
+        )
+        return
+    layers.create_table(CURATED, table, entity.curated_schema)
+    target = layers.table(CURATED, table)
+    if entity.curate == "insert_only":
+        layers.append(CURATED, table, new_rows(target, source, entity.key, run_ts))
+    if entity.curate == "append" or options.repeat_facts:
+        layers.append(CURATED, table, stamped(source, target.columns, run_ts))
+
+
+def run_entity(
+    layers: Layers,
+    entity: Entity,
+    path: str | list[str],
+    run_ts: RunTs = None,
+    options: LoadOptions = LoadOptions(),
+) -> None:
+    """Files to raw, raw to clean, clean to curated."""
+    load_raw(layers, entity, path, run_ts)
+    load_clean(layers, entity, run_ts, options)
+    load_curated(layers, entity, run_ts, options)
+
+
+def curated_tables(layers: Layers) -> dict[str, DataFrame]:
+    return {
+        name: layers.table(CURATED, ENTITIES[name].curated_table)
+        for name in DIMENSIONS + FACTS
+    }
+
+
+def load_master_orders(layers: Layers, run_ts: RunTs = None, **choices) -> DataFrame:
+    """Rebuild the wide table, so that reports need no join."""
+    layers.replace(CURATED, MASTER, build_master_orders(curated_tables(layers), run_ts, **choices))
+    return layers.table(CURATED, MASTER)
+
+
+def run_all(
+    layers: Layers,
+    paths: Mapping[str, str | list[str]],
+    run_ts: RunTs = None,
+    options: LoadOptions = LoadOptions(),
+) -> None:
+    """Every entity that has files, in declared order, then the wide table."""
+    layers.create()
+    for name, entity in ENTITIES.items():
+        if name in paths:
+            run_entity(layers, entity, paths[name], run_ts, options)
+    if all(name in paths for name in DIMENSIONS + FACTS):
+        load_master_orders(layers, run_ts)
+
+
+def default_paths(directory: str) -> dict[str, str]:
+    """One file `<entity>.csv` per entity."""
+    return {name: os.path.join(directory, f"{name}.csv") for name in ENTITIES}
