@@ -1,18 +1,25 @@
 """Upserts, versioned dimensions and fact loads as DataFrame operators.
 
 Each operator returns the new state of the target (or the rows to append) and
-leaves writing to the caller. Targets are matched by a left join that keeps the
-target on the preserved side plus a left-anti join for new rows: both forms
-allow a hot key to be split between tasks at run time, which a full outer join
-does not. The anti join reads the key columns of the target only.
+leaves writing to the caller. There are two ways to match, with the same result:
+
+- Whole: target and source meet in one full outer join, one shuffle of each.
+  Taken if the caller vouches for unique source keys (`source_unique`), so that
+  no key can be hot.
+- Lookup: the target stays on the preserved side of a left join, and new rows
+  are found by a left-anti join on key columns only. Taken for sources whose
+  keys may repeat, since both joins let a hot key be split between tasks at run
+  time, and for `incremental` sources: a small one is broadcast by Spark's own
+  size check and the target is then not shuffled at all.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiermart.functions import any_changed, run_timestamp
 from tiermart.functions.columns import RunTs
@@ -47,14 +54,28 @@ def _packed(
     )
 
 
-def _guarded(matched: Column, value: Column) -> Column:
+def _guarded(value: Column) -> Column:
     """`value` for a match by one source row, an error for a match by several."""
     several = F.coalesce(F.col(_COUNT) > 1, F.lit(False))
     return F.when(several, F.raise_error(F.lit(AMBIGUOUS)).cast("boolean")).otherwise(
-        matched & value
+        F.col(_COUNT).isNotNull() & value
     )
 
 
+def _unmatched(
+    source: DataFrame, target: DataFrame, keys: Sequence[str], incremental: bool
+) -> DataFrame:
+    """Source rows whose key the target does not hold.
+
+    For an incremental source the target's keys are first cut to those of the
+    source, which takes no shuffle if the source is small enough to broadcast.
+    """
+    held = target.select(*keys)
+    if incremental:
+        held = held.join(source.select(*keys), list(keys), "left_semi")
+    return source.join(held, list(keys), "left_anti")
+
+
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys of the target that several source rows match, with `source_rows`.
 
@@ -72,6 +93,7 @@ def scd1_upsert(
     run_ts: RunTs = None,
     insert_defaults: Mapping[str, str] | None = None,
     source_unique: bool = False,
+    incremental: bool = False,
 ) -> DataFrame:
     """Overwrite matched rows, insert new ones, keep the rest of the target.
 
@@ -87,70 +109,127 @@ def scd1_upsert(
     if insert_defaults is None:
         insert_defaults = {ACTIVE_FLAG: ACTIVE_VALUE} if ACTIVE_FLAG in target.columns else {}
 
+    def updated(f: T.StructField, hit: Column, kept: Column, given: Column) -> Column:
+        if f.name == UPDATED_TS:
+            return F.when(hit, now).otherwise(kept)
+        if f.name in set_columns:
+            return F.when(hit, given[f.name].cast(f.dataType)).otherwise(kept)
+        return kept
+
+    def inserted(f: T.StructField, given: Column | None) -> Column:
+        if f.name == UPDATED_TS:
+            return now
+        if f.name in source.columns:
+            return (F.col(f.name) if given is None else given[f.name]).cast(f.dataType)
+        return F.lit(insert_defaults.get(f.name)).cast(f.dataType)
+
+    if source_unique and not incremental:
+        old, new = F.col("__target"), F.col(_SOURCE)
+        pairs = target.select(*keys, F.struct(*target.columns).alias("__target")).join(
+            source.select(*keys, F.struct(*source.columns).alias(_SOURCE)), list(keys), "full"
+        )
+        hit = new.isNotNull()
+        return pairs.select(
+            *[
+                F.when(old.isNull(), inserted(f, new))
+                .otherwise(updated(f, hit, old[f.name], new))
+                .alias(f.name)
+                for f in target.schema
+            ]
+        )
+
     joined = target.join(_packed(source, keys, set_columns, source_unique), list(keys), "left")
-    hit = _guarded(F.col(_COUNT).isNotNull(), F.lit(True))
-    updated = joined.withColumn("__hit", hit).select(
+    joined = joined.withColumn("__hit", _guarded(F.lit(True)))
+    rows = joined.select(
         *[
-            F.when(F.col("__hit"), F.col(_SOURCE)[c]).otherwise(F.col(c)).alias(c)
-            if c in set_columns
-            else F.when(F.col("__hit"), now).otherwise(F.col(c)).alias(c)
-            if c == UPDATED_TS
-            else F.col(c)
-            for c in target.columns
+            updated(f, F.col("__hit"), F.col(f.name), F.col(_SOURCE)).alias(f.name)
+            for f in target.schema
         ]
     )
-
-    def inserted_value(c: str, kind) -> Column:
-        if c == UPDATED_TS:
-            return now
-        if c in source.columns:
-            return F.col(c)
-        return F.lit(insert_defaults.get(c)).cast(kind)
-
-    fresh = source.join(target.select(*keys), list(keys), "left_anti")
-    inserted = fresh.select(
-        *[inserted_value(f.name, f.dataType).alias(f.name) for f in target.schema]
+    fresh = _unmatched(source, target, keys, incremental)
+    return rows.unionByName(
+        fresh.select(*[inserted(f, None).alias(f.name) for f in target.schema])
     )
-    return updated.unionByName(inserted)
 
 
-def _open_versions(rows: DataFrame, dim: DataFrame, start: Column) -> DataFrame:
-    """Source rows as current versions with the columns of the dimension."""
+def _closed_row(
+    dim: DataFrame, kept: Callable[[str], Column], close: Column, now: Column, changed_ts: Column
+) -> list[Column]:
+    """Columns of a current version, closed where `close` holds."""
     values = {
-        VALID_FROM: start,
-        VALID_TO: F.lit(None).cast("timestamp_ntz"),
-        IS_CURRENT: F.lit(True),
+        VALID_TO: F.when(close, now).otherwise(kept(VALID_TO)),
+        IS_CURRENT: kept(IS_CURRENT) & ~close,
+        UPDATED_TS: F.when(close, changed_ts).otherwise(kept(UPDATED_TS)),
     }
-    return rows.select(*[values.get(c, F.col(c)).alias(c) for c in dim.columns])
+    return [values.get(c, kept(c)).alias(c) for c in dim.columns]
 
 
-def _close_changed(
-    current: DataFrame,
+def _opened_row(dim: DataFrame, given: Callable[[str], Column], now: Column) -> list[Column]:
+    """Columns of a new current version."""
+    values = {VALID_FROM: now, VALID_TO: F.lit(None), IS_CURRENT: F.lit(True)}
+    return [
+        (values[f.name] if f.name in values else given(f.name)).cast(f.dataType).alias(f.name)
+        for f in dim.schema
+    ]
+
+
+def _merge_versions(
+    dim: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
     tracked: Sequence[str],
-    now: Column,
+    run_ts: RunTs,
     null_safe: bool,
     source_unique: bool,
+    incremental: bool,
+    successors: bool,
 ) -> DataFrame:
-    """Current versions, those with a changed source row closed."""
+    now = run_timestamp(run_ts)
+    is_current = F.col(IS_CURRENT)
+    # closed versions are passed through and take no part in any join
+    history = dim.filter(is_current.isNull() | ~is_current)
+    current = dim.filter(is_current)
+
+    if source_unique and not incremental:
+        old, new = F.col("__target"), F.col(_SOURCE)
+        pairs = current.select(*keys, F.struct(*dim.columns).alias("__target")).join(
+            source.select(*keys, F.struct(*source.columns).alias(_SOURCE)), list(keys), "full"
+        )
+        differs = any_changed([(old[c], new[c]) for c in tracked], null_safe)
+        close = old.isNotNull() & new.isNotNull() & differs
+        closed = F.struct(*_closed_row(dim, old.getField, close, now, new[UPDATED_TS]))
+        opened = F.struct(*_opened_row(dim, new.getField, now))
+        if successors:
+            both = F.array(
+                F.when(old.isNotNull(), closed), F.when(old.isNull() | close, opened)
+            )
+            rows = pairs.select(F.explode(both).alias("__row")).filter("__row IS NOT NULL")
+        else:
+            rows = pairs.select(F.when(old.isNull(), opened).otherwise(closed).alias("__row"))
+        return history.unionByName(rows.select("__row.*"))
+
     packed = _packed(source, keys, [*tracked, UPDATED_TS], source_unique)
     joined = current.join(packed, list(keys), "left")
-    changed = any_changed([(F.col(c), F.col(_SOURCE)[c]) for c in tracked], null_safe)
-    joined = joined.withColumn("__close", _guarded(F.col(_COUNT).isNotNull(), changed))
-    values = {
-        VALID_TO: F.when(F.col("__close"), now).otherwise(F.col(VALID_TO)),
-        IS_CURRENT: F.col(IS_CURRENT) & ~F.col("__close"),
-        UPDATED_TS: F.when(F.col("__close"), F.col(_SOURCE)[UPDATED_TS]).otherwise(
-            F.col(UPDATED_TS)
-        ),
-    }
-    return joined.select(*[values.get(c, F.col(c)).alias(c) for c in current.columns])
-
-
-def _split(dim: DataFrame) -> tuple[DataFrame, DataFrame]:
-    is_current = F.col(IS_CURRENT)
-    return dim.filter(is_current.isNull() | ~is_current), dim.filter(is_current)
+    differs = any_changed([(F.col(c), F.col(_SOURCE)[c]) for c in tracked], null_safe)
+    joined = joined.withColumn("__close", _guarded(differs))
+    closed = joined.select(
+        *_closed_row(dim, F.col, F.col("__close"), now, F.col(_SOURCE)[UPDATED_TS])
+    )
+    if successors:
+        # a source row is new unless a current version of its key stays open
+        held = current.select(
+            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
+            *[F.col(c).alias(f"__t{i}") for i, c in enumerate(tracked)],
+        )
+        same_key = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
+        differs = any_changed(
+            [(F.col(f"__t{i}"), F.col(c)) for i, c in enumerate(tracked)], null_safe
+        )
+        fresh = source.join(held, [*same_key, ~differs], "left_anti")
+    else:
+        fresh = _unmatched(source, current, keys, incremental)
+    opened = fresh.select(*_opened_row(dim, F.col, now))
+    return history.unionByName(closed).unionByName(opened)
 
 
 def scd2_pass(
@@ -161,19 +240,17 @@ def scd2_pass(
     run_ts: RunTs = None,
     null_safe: bool = False,
     source_unique: bool = False,
+    incremental: bool = False,
 ) -> DataFrame:
     """One merge of a versioned dimension.
 
     A current version whose tracked attributes differ is closed; a source row
     without a current version opens one. The new version of a closed row
     therefore appears at the next pass, see `scd2_apply` for both at once.
-    Closed versions are passed through and take no part in any join.
     """
-    now = run_timestamp(run_ts)
-    history, current = _split(dim)
-    closed = _close_changed(current, source, keys, tracked, now, null_safe, source_unique)
-    fresh = source.join(current.select(*keys), list(keys), "left_anti")
-    return history.unionByName(closed).unionByName(_open_versions(fresh, dim, now))
+    return _merge_versions(
+        dim, source, keys, tracked, run_ts, null_safe, source_unique, incremental, False
+    )
 
 
 def scd2_apply(
@@ -184,22 +261,12 @@ def scd2_apply(
     run_ts: RunTs = None,
     null_safe: bool = False,
     source_unique: bool = False,
+    incremental: bool = False,
 ) -> DataFrame:
     """Close changed versions and open their successors at the same time."""
-    now = run_timestamp(run_ts)
-    history, current = _split(dim)
-    closed = _close_changed(current, source, keys, tracked, now, null_safe, source_unique)
-    # a source row is new unless a current version of its key stays open
-    held = current.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        *[F.col(c).alias(f"__t{i}") for i, c in enumerate(tracked)],
-    )
-    same_key = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
-    changed = any_changed(
-        [(F.col(f"__t{i}"), F.col(c)) for i, c in enumerate(tracked)], null_safe
+    return _merge_versions(
+        dim, source, keys, tracked, run_ts, null_safe, source_unique, incremental, True
     )
-    fresh = source.join(held, [*same_key, ~changed], "left_anti")
-    return history.unionByName(closed).unionByName(_open_versions(fresh, dim, now))
 
 
 def new_rows(
@@ -207,9 +274,10 @@ def new_rows(
     source: DataFrame,
     keys: Sequence[str],
     run_ts: RunTs = None,
+    incremental: bool = False,
 ) -> DataFrame:
     """Source rows whose key the target does not hold, stamped, ready to append."""
-    fresh = source.join(target.select(*keys), list(keys), "left_anti")
+    fresh = _unmatched(source, target, keys, incremental)
     return stamped(fresh, target.columns, run_ts)
 
 

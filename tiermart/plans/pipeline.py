@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,8 @@ from tiermart.operators.dedupe import dedupe_latest
 from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply, scd2_pass, stamped
 from tiermart.operators.quality import require_not_null
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
-from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, LOAD_TS, Entity
+from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, LOAD_TS, UPDATED_TS, Entity
+from tiermart.session import materialise
 from tiermart.sources.csv import read_raw
 from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
 
@@ -35,8 +37,11 @@ class LoadOptions:
     doubles every row.
     enforce_required: a NULL in a column declared NOT NULL aborts the load.
     buckets: hash buckets of replaced tables; 0 leaves them unbucketed.
-    since: only raw rows copied at or after this time feed the clean layer; the
-    default reads the whole raw history.
+    since: an incremental load: only raw rows copied, and clean rows updated, at
+    or after this time feed the next layer; the default reads everything.
+    hash_content: audit files by their content, which reads them twice.
+    parallel: entities loaded at the same time; they are independent up to the
+    wide table.
     """
 
     two_step_versions: bool = False
@@ -45,6 +50,12 @@ class LoadOptions:
     enforce_required: bool = True
     buckets: int = 0
     since: str | None = None
+    hash_content: bool = True
+    parallel: int = 4
+
+    @property
+    def incremental(self) -> bool:
+        return self.since is not None
 
 
 def clean_source(raw: DataFrame, entity: Entity) -> DataFrame:
@@ -68,10 +79,15 @@ def clean_source(raw: DataFrame, entity: Entity) -> DataFrame:
 
 
 def load_raw(
-    layers: Layers, entity: Entity, path: str | list[str], run_ts: RunTs = None
+    layers: Layers,
+    entity: Entity,
+    path: str | list[str],
+    run_ts: RunTs = None,
+    options: LoadOptions = LoadOptions(),
 ) -> None:
     """Append the files to the raw table."""
-    layers.append(RAW, entity.raw_table, read_raw(layers.spark, path, entity, run_ts))
+    rows = read_raw(layers.spark, path, entity, run_ts, options.hash_content)
+    layers.append(RAW, entity.raw_table, rows)
 
 
 def load_clean(
@@ -88,7 +104,7 @@ def load_clean(
     value of the target.
     """
     raw = layers.table(RAW, entity.raw_table)
-    if options.since is not None:
+    if options.incremental:
         raw = raw.filter(F.col("_copy_data_ts") >= run_timestamp(options.since))
     target = layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema)
     keys = list(merge_key or entity.key)
@@ -96,6 +112,8 @@ def load_clean(
     source = clean_source(raw, entity)
     if options.enforce_required:
         source = require_not_null(source, entity.required_columns)
+    if options.incremental:
+        source = materialise(source, f"load-{entity.name}")
     merged = scd1_upsert(
         target,
         source,
@@ -103,6 +121,7 @@ def load_clean(
         set_columns=[c for c in entity.typed_columns + AUDIT_COLUMNS if c not in skip],
         run_ts=run_ts,
         source_unique=keys == entity.key,
+        incremental=options.incremental,
     )
     layers.replace(
         CLEAN, entity.clean_table, merged, bucket_by=keys, buckets=options.buckets
@@ -117,11 +136,15 @@ def load_curated(
 ) -> None:
     """Feed the curated table: versions for dimensions, new rows for facts."""
     source = layers.table(CLEAN, entity.clean_table).select(
-        *entity.typed_columns, "last_updated_ts"
+        *entity.typed_columns, UPDATED_TS
     )
+    if options.incremental:
+        source = source.filter(F.col(UPDATED_TS) >= run_timestamp(options.since))
     if options.enforce_required and entity.nullable:
         # nullable in the clean layer, required here
         source = require_not_null(source, entity.typed_columns)
+    if options.incremental:
+        source = materialise(source, f"load-{entity.name}")
     table = entity.curated_table
     if entity.curate == "versioned":
         dim = layers.table_or_empty(CURATED, table, entity.curated_schema)
@@ -135,6 +158,7 @@ def load_curated(
             null_safe=options.null_safe,
             # the clean table holds one row per entity key
             source_unique=set(entity.key) <= set(entity.version_key),
+            incremental=options.incremental,
         )
         layers.replace(
             CURATED, table, state, bucket_by=entity.version_key, buckets=options.buckets
@@ -143,7 +167,8 @@ def load_curated(
     layers.create_table(CURATED, table, entity.curated_schema)
     target = layers.table(CURATED, table)
     if entity.curate == "insert_only":
-        layers.append(CURATED, table, new_rows(target, source, entity.key, run_ts))
+        rows = new_rows(target, source, entity.key, run_ts, options.incremental)
+        layers.append(CURATED, table, rows)
     if entity.curate == "append" or options.repeat_facts:
         layers.append(CURATED, table, stamped(source, target.columns, run_ts))
 
@@ -156,7 +181,7 @@ def run_entity(
     options: LoadOptions = LoadOptions(),
 ) -> None:
     """Files to raw, raw to clean, clean to curated."""
-    load_raw(layers, entity, path, run_ts)
+    load_raw(layers, entity, path, run_ts, options)
     load_clean(layers, entity, run_ts, options)
     load_curated(layers, entity, run_ts, options)
 
@@ -180,11 +205,16 @@ def run_all(
     run_ts: RunTs = None,
     options: LoadOptions = LoadOptions(),
 ) -> None:
-    """Every entity that has files, in declared order, then the wide table."""
+    """Every entity that has files, then the wide table."""
     layers.create()
-    for name, entity in ENTITIES.items():
-        if name in paths:
-            run_entity(layers, entity, paths[name], run_ts, options)
+    with ThreadPoolExecutor(options.parallel) as pool:
+        loads = [
+            pool.submit(run_entity, layers, entity, paths[name], run_ts, options)
+            for name, entity in ENTITIES.items()
+            if name in paths
+        ]
+        for load in loads:
+            load.result()
     if all(name in paths for name in DIMENSIONS + FACTS):
         load_master_orders(layers, run_ts)
 

@@ -45,7 +45,7 @@ from tiermart.plans.pipeline import (
 )
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
 from tiermart.schemas import ENTITIES, struct
-from tiermart.session import configure, scratch_path
+from tiermart.session import configure, materialise, scratch_path
 from tiermart.sources.csv import (
     read_or_quarantine,
     read_raw,
@@ -73,7 +73,7 @@ def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
     if key not in _MASTERS:
         master = build_master_orders(views.entity_views(spark, sf_dir), views.BUILT)
-        _MASTERS[key] = views.materialise(master, "master_orders")
+        _MASTERS[key] = materialise(master, "master_orders")
     return _MASTERS[key]
 
 
@@ -235,7 +235,7 @@ def _first_dim(spark: SparkSession, sf_dir: str) -> DataFrame:
         LOADS[0],
         source_unique=True,
     )
-    return views.materialise(dim, "dim")
+    return materialise(dim, "dim")
 
 
 def scd1_upsert_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +275,7 @@ def scd2_pass_null_safe_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scd2_second_pass_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same source merged again: successors of the closed versions appear."""
-    once = views.materialise(_second_pass(spark, sf_dir), "dim")
+    once = materialise(_second_pass(spark, sf_dir), "dim")
     source = customer_state(spark, sf_dir, 1)
     return scd2_pass(
         once, source, ["customer_id"], _TRACKED, LOADS[2], source_unique=True
@@ -283,7 +283,7 @@ def scd2_second_pass_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _three_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    two = views.materialise(_second_pass(spark, sf_dir, merge=scd2_apply), "dim")
+    two = materialise(_second_pass(spark, sf_dir, merge=scd2_apply), "dim")
     source = customer_state(spark, sf_dir, 2)
     return scd2_apply(
         two, source, ["customer_id"], _TRACKED, LOADS[2], source_unique=True
@@ -318,7 +318,7 @@ def scd2_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     return scd2_apply(
-        views.materialise(dim, "dim"),
+        materialise(dim, "dim"),
         state(lines.filter(~early), LOADS[2]),
         keys,
         ["l_returnflag", "l_linestatus"],
@@ -334,7 +334,7 @@ def scd2_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("ordered_at"),
     )
-    dim = views.materialise(_three_loads(spark, sf_dir), "dim")
+    dim = materialise(_three_loads(spark, sf_dir), "dim")
     return as_of(facts, dim, ["customer_id"], "ordered_at", ["last_order_id", "priority"])
 
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from tiermart.functions import to_money
 from tiermart.operators.dedupe import dedupe_latest
 from tiermart.schemas import ENTITIES, IS_CURRENT, VALID_FROM, VALID_TO
-from tiermart.session import scratch_path
 
 LOADED = "2024-01-01 00:00:00"
 CLOSED = "2024-02-01 00:00:00"
@@ -31,13 +30,6 @@ def ts(value: str):
     return F.lit(value).cast("timestamp_ntz")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: cuts the plan, survives lost executors."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def latest_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem")
     return dedupe_latest(lines, ["l_orderkey", "l_linenumber"], ["l_shipdate"])

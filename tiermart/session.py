@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Every operator assumes these. All are runtime settings, so `configure` also
 # works on a session somebody else built.
@@ -80,3 +80,14 @@ def work_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the working folder that no other run uses."""
     return os.path.join(work_dir(spark), f"{name}-{uuid.uuid4().hex}")
+
+
+def materialise(df: DataFrame, name: str) -> DataFrame:
+    """Write to the shared folder and read back.
+
+    Cuts the plan, survives lost executors, and gives Spark the true size of
+    the data for its join choices.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

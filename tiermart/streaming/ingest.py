@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tiermart.functions import run_timestamp
@@ -13,7 +10,8 @@ from tiermart.functions.columns import RunTs
 from tiermart.operators.merge import scd1_upsert, scd2_apply
 from tiermart.plans.pipeline import clean_source
 from tiermart.schemas import AUDIT_COLUMNS, Entity
-from tiermart.sources.csv import csv_options, file_columns, normalise_nulls
+from tiermart.session import materialise
+from tiermart.sources.csv import csv_options, file_columns, metadata_key, normalise_nulls
 from tiermart.sources.tables import CLEAN, CURATED, Layers
 
 
@@ -34,15 +32,7 @@ def raw_stream(
     )
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stamp = F.concat_ws(
-        "|",
-        "_metadata.file_path",
-        "_metadata.file_size",
-        F.unix_micros("_metadata.file_modification_time"),
-    )
-    rows = reader.csv(path).select(
-        *entity.columns, *file_columns(), F.md5(stamp).alias("_stg_file_md5")
-    )
+    rows = reader.csv(path).select(*entity.columns, *file_columns(), metadata_key())
     return (
         normalise_nulls(rows, entity.columns)
         .withColumn("_copy_data_ts", run_timestamp(run_ts))
@@ -73,7 +63,9 @@ def upsert_available(
     """Merge every micro-batch into the clean table, optionally into versions too.
 
     Batch n reads version n - 1 of a table and writes version n, so a batch that
-    is repeated after a failure writes the same result to the same place.
+    is repeated after a failure writes the same result to the same place. The
+    reduced batch is stored first: it feeds several joins, and Spark then knows
+    whether it is small enough to leave the target in place.
     """
 
     def state(layer: str, table: str, schema, batch_id: int) -> DataFrame:
@@ -82,13 +74,14 @@ def upsert_available(
         return layers.spark.table(layers.version_name(layer, table, batch_id - 1))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        source = clean_source(batch, entity)
+        source = materialise(clean_source(batch, entity), f"batch-{entity.name}")
         clean = scd1_upsert(
             state(CLEAN, entity.clean_table, entity.clean_schema, batch_id),
             source,
             entity.key,
             run_ts=run_ts,
             source_unique=True,
+            incremental=True,
         )
         layers.replace(CLEAN, entity.clean_table, clean, version=batch_id)
         if not versions:
@@ -100,6 +93,7 @@ def upsert_available(
             entity.tracked,
             run_ts,
             source_unique=True,
+            incremental=True,
         )
         layers.replace(CURATED, entity.curated_table, dim, version=batch_id)
 
@@ -110,6 +104,3 @@ def upsert_available(
         .start()
     )
 
-
-def checkpoint_path(base: str, name: str) -> str:
-    return os.path.join(base, "_streams", name)
