@@ -8,9 +8,9 @@ leaves writing to the caller. There are two ways to match, with the same result:
   no key can be hot.
 - Lookup: the target stays on the preserved side of a left join, and new rows
   are found by a left-anti join on key columns only. Taken for sources whose
-  keys may repeat, since both joins let a hot key be split between tasks at run
-  time, and for `incremental` sources: a small one is broadcast by Spark's own
-  size check and the target is then not shuffled at all.
+  keys may repeat, with hot keys of the target divided between tasks, and for
+  `incremental` sources: a small one is broadcast by Spark's own size check and
+  the target is then not shuffled at all.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from tiermart.functions import any_changed, run_timestamp
 from tiermart.functions.columns import RunTs
+from tiermart.operators.skew import find_cells, no_cells
 from tiermart.schemas import (
     ACTIVE_FLAG,
     ACTIVE_VALUE,
@@ -54,6 +55,32 @@ def _packed(
     )
 
 
+def _looked_up(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    columns: Sequence[str],
+    source_unique: bool,
+) -> DataFrame:
+    """Target rows with the packed source row of their key.
+
+    Unless the caller vouches for unique source keys, the keys of the target may
+    repeat as well; a small job then looks for hot ones to divide.
+    """
+    packed = _packed(source, keys, columns, source_unique)
+    if source_unique:
+        cells = no_cells(target, keys)
+    else:
+        cells = find_cells({"target": [(target, keys)]})["target"]
+    divided = cells.place(target, keys, {0: target.columns})
+    packed = cells.place(packed, keys, {})
+    if cells.table is not None:
+        # counting has placed the source by the keys alone; Spark would take
+        # that placement for the join and undo the division
+        packed = packed.repartition(*cells.on(keys))
+    return divided.join(packed, cells.on(keys), "left")
+
+
 def _guarded(value: Column) -> Column:
     """`value` for a match by one source row, an error for a match by several."""
     several = F.coalesce(F.col(_COUNT) > 1, F.lit(False))
@@ -138,7 +165,7 @@ def scd1_upsert(
             ]
         )
 
-    joined = target.join(_packed(source, keys, set_columns, source_unique), list(keys), "left")
+    joined = _looked_up(target, source, keys, set_columns, source_unique)
     joined = joined.withColumn("__hit", _guarded(F.lit(True)))
     rows = joined.select(
         *[
@@ -208,8 +235,7 @@ def _merge_versions(
             rows = pairs.select(F.when(old.isNull(), opened).otherwise(closed).alias("__row"))
         return history.unionByName(rows.select("__row.*"))
 
-    packed = _packed(source, keys, [*tracked, UPDATED_TS], source_unique)
-    joined = current.join(packed, list(keys), "left")
+    joined = _looked_up(current, source, keys, [*tracked, UPDATED_TS], source_unique)
     differs = any_changed([(F.col(c), F.col(_SOURCE)[c]) for c in tracked], null_safe)
     joined = joined.withColumn("__close", _guarded(differs))
     closed = joined.select(

@@ -65,16 +65,28 @@ LOAD_STARTS = [None, *LOADS[:2]]
 
 # ---- the wide table ---------------------------------------------------------
 
-_MASTERS: dict[tuple[str, str], DataFrame] = {}
+_STORED: dict[tuple[str, str, str], DataFrame] = {}
+
+
+def _stored(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A table kept for all queries of a session on one data folder."""
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
+    if key not in _STORED:
+        _STORED[key] = materialise(build(), name)
+    return _STORED[key]
+
+
+def _entities(spark: SparkSession, sf_dir: str, history: bool = False) -> dict[str, DataFrame]:
+    """Curated tables; the de-duplicated order lines under the facts are stored."""
+    lines = _stored(spark, sf_dir, "lines", lambda: views.latest_lines(spark, sf_dir))
+    return views.entity_views(spark, sf_dir, lines, history)
 
 
 def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored wide table of a data folder, built at first use."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
-    if key not in _MASTERS:
-        master = build_master_orders(views.entity_views(spark, sf_dir), views.BUILT)
-        _MASTERS[key] = materialise(master, "master_orders")
-    return _MASTERS[key]
+    return _stored(spark, sf_dir, "master_orders", lambda: master_orders(spark, sf_dir))
 
 
 def _report(report: Callable[[DataFrame], DataFrame], **options) -> Query:
@@ -82,28 +94,28 @@ def _report(report: Callable[[DataFrame], DataFrame], **options) -> Query:
 
 
 def master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_master_orders(views.entity_views(spark, sf_dir), views.BUILT)
+    return build_master_orders(_entities(spark, sf_dir), views.BUILT)
 
 
 def master_orders_all_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return build_master_orders(views.entity_views(spark, sf_dir, history=True), views.BUILT)
+    return build_master_orders(_entities(spark, sf_dir, history=True), views.BUILT)
 
 
 def master_orders_current_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_master_orders(
-        views.entity_views(spark, sf_dir, history=True), views.BUILT, current_only=True
+        _entities(spark, sf_dir, history=True), views.BUILT, current_only=True
     )
 
 
 def master_orders_by_address(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_master_orders(
-        views.entity_views(spark, sf_dir), views.BUILT, address_key="address_id"
+        _entities(spark, sf_dir), views.BUILT, address_key="address_id"
     )
 
 
 def master_orders_every_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows and amounts per status of the wide table without its status filter."""
-    master = build_master_orders(views.entity_views(spark, sf_dir), views.BUILT, status=None)
+    master = build_master_orders(_entities(spark, sf_dir), views.BUILT, status=None)
     return master.groupBy("order_status").agg(
         F.count(F.lit(1)).alias("item_rows"),
         F.sum("total_value").cast("decimal(20,2)").alias("total_value"),
@@ -559,7 +571,7 @@ def pipeline_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pipeline_master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All entities from files to the wide table through all layers."""
-    tables = views.entity_views(spark, sf_dir)
+    tables = _entities(spark, sf_dir)
     # the file of deliveries must name a partner: -1 stands for none
     tables["deliveries"] = tables["deliveries"].withColumn(
         "delivery_partner_id", F.coalesce("delivery_partner_id", F.lit("-1"))

@@ -213,9 +213,11 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def entity_views(spark: SparkSession, sf_dir: str, history: bool = False) -> dict[str, DataFrame]:
-    """Curated tables by entity name; `history` adds closed product versions."""
-    lines = latest_lines(spark, sf_dir)
+def entity_views(
+    spark: SparkSession, sf_dir: str, lines: DataFrame, history: bool = False
+) -> dict[str, DataFrame]:
+    """Curated tables by entity name, facts from the given (latest) order lines;
+    `history` adds closed product versions."""
     return {
         "customers": customers(spark, sf_dir),
         "customer_addresses": customer_addresses(spark, sf_dir),

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs
 from tiermart.operators.lookup import current_rows
+from tiermart.operators.skew import CELL, find_cells, no_cells
 
 # Input tables and output columns.
 DIMENSIONS = ["products", "customers", "customer_addresses", "delivery_partners"]
@@ -56,6 +57,7 @@ def build_master_orders(
     current_only: bool = False,
     address_key: str = "customer_id",
     status: str | None = DELIVERED,
+    split_hot_keys: bool = True,
 ) -> DataFrame:
     """Delivered order items with product, customer, address, delivery and return.
 
@@ -69,8 +71,11 @@ def build_master_orders(
     orders and deliveries then meet in one placement by order_id. Products,
     usually small enough to broadcast, come last. Which sides are broadcast is
     left to Spark's own size check, at planning and again at run time, so no
-    table is broadcast because somebody assumed it small; hot keys of the
-    remaining joins are split at run time.
+    table is broadcast because somebody assumed it small.
+
+    With `split_hot_keys` a small job first looks for orders, customers,
+    products and partners with a large share of the rows; they are divided, see
+    `operators.skew`. Without, only Spark's run-time splitting applies.
     """
     t = dict(tables)
     if current_only:
@@ -91,42 +96,96 @@ def build_master_orders(
     )
     addresses = t["customer_addresses"].select(
         address_key,
+        F.col("address_id").alias("address_ref"),
         F.col("city").alias("customer_city"),
         F.col("state").alias("customer_state"),
         F.col("country").alias("customer_country"),
     )
-    placed = orders.join(customers, "customer_id").join(addresses, address_key)
-
     partners = t["delivery_partners"].select(
         F.col("delivery_partner_id").alias("partner_key"),
         F.col("partner_name").alias("delivery_partner"),
         F.col("contact_number").alias("delivery_partner_contact"),
     )
-    deliveries = (
-        t["deliveries"]
-        .select(
-            "order_id",
-            "delivery_date",
-            "delivery_status",
-            # kept as text in the facts, as a number in the dimension
-            F.col("delivery_partner_id").cast("bigint").alias("partner_ref"),
-        )
-        .join(partners, F.col("partner_ref") == F.col("partner_key"), "left")
-        .drop("partner_ref", "partner_key")
+    deliveries = t["deliveries"].select(
+        "delivery_id",
+        "order_id",
+        "delivery_date",
+        "delivery_status",
+        # kept as text in the facts, as a number in the dimension
+        F.col("delivery_partner_id").cast("bigint").alias("partner_key"),
+    )
+    items = t["order_items"].select(
+        "order_item_id", "order_id", "product_id", "quantity", "price_per_unit"
     )
-
-    items = t["order_items"].select("order_id", "product_id", "quantity", "price_per_unit")
     returns = t["returns"].select(
         "order_id", "product_id", "return_id", "return_date", "return_reason"
     )
     products = t["products"].select(
         "product_id", "product_name", "category", "price", "stock_quantity"
     )
+
+    # the tables with many rows per key, by the key they join on
+    sides = {
+        "customer_id": [orders],
+        "partner_key": [deliveries],
+        "order_id": [items, deliveries, returns],
+        "product_id": [items],
+    }
+    if address_key == "customer_id":
+        sides["customer_id"].append(addresses)
+    else:
+        sides[address_key] = [orders]
+    keyed = {key: [(df, [key]) for df in group] for key, group in sides.items()}
+    if split_hot_keys:
+        cells = find_cells(keyed)
+    else:
+        cells = {key: no_cells(*group[0], len(group)) for key, group in keyed.items()}
+
+    def placed(df: DataFrame, key: str, divided: dict[int, list[str]] | None = None) -> DataFrame:
+        return cells[key].place(df, [key], divided or {})
+
+    def on(key: str) -> list[str]:
+        return cells[key].on([key])
+
+    named = placed(orders, "customer_id", {0: ["order_id"]}).join(
+        placed(customers, "customer_id"), on("customer_id")
+    )
+    if address_key == "customer_id":
+        located = named.join(
+            placed(addresses, "customer_id", {1: ["address_ref"]}), on("customer_id")
+        )
+    else:
+        located = placed(named.drop(CELL), address_key, {0: ["order_id"]}).join(
+            placed(addresses, address_key), on(address_key)
+        )
+    located = located.drop("address_ref", CELL)
+
+    delivered = (
+        placed(deliveries, "partner_key", {0: ["delivery_id"]})
+        .join(placed(partners, "partner_key"), on("partner_key"), "left")
+        .drop("partner_key", CELL)
+    )
+
+    # along the dimension of the returns both items and returns are divided by
+    # product: a pair then meets in one cell, so the outer join stays exact
+    joined = (
+        placed(items, "order_id", {0: ["order_item_id"], 2: ["product_id"]})
+        .drop("order_item_id")
+        .join(placed(located, "order_id"), on("order_id"))
+        .join(
+            placed(delivered, "order_id", {1: ["delivery_id"]}).drop("delivery_id"),
+            on("order_id"),
+        )
+        .join(
+            placed(returns, "order_id", {2: ["product_id"]}),
+            [*on("order_id"), "product_id"],
+            "left",
+        )
+        .drop(CELL)
+    )
     return (
-        items.join(placed, "order_id")
-        .join(deliveries, "order_id")
-        .join(returns, ["order_id", "product_id"], "left")
-        .join(products, "product_id")
+        placed(joined, "product_id", {0: ["order_id", "customer_city", "return_id"]})
+        .join(placed(products, "product_id"), on("product_id"))
         .withColumn("product_revenue", F.col("price") * F.col("quantity"))
         .withColumn("data_insert_ts", run_timestamp(run_ts))
         .select(*MASTER_COLUMNS)
