@@ -1,0 +1,200 @@
+import os
+
+import pytest
+from helpers import rows
+
+from tiermart.plans import pipeline
+from tiermart.plans.pipeline import LoadOptions, load_clean, load_raw, run_all, run_entity
+from tiermart.schemas import ENTITIES
+from tiermart.session import scratch_path
+from tiermart.sources.tables import CLEAN, COMMON, CURATED, RAW, Layers
+
+RUNS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"]
+
+FILES = {
+    "customers": [
+        "1,Ann,Female,a@x,1990-01-01,0123,2020-01-01",
+        "2,Bob,Male,b@x,1991-01-01,0456,2020-01-02",
+    ],
+    "customer_addresses": ["10,1,Road,Delhi,Delhi,01,India", "11,1,Lane,Pune,MH,02,India",
+                           "12,2,Way,Delhi,Delhi,03,India"],
+    "locations": ["1,Delhi,Delhi,India,1.5,2.5"],
+    "products": ["5,Tea,Beverages,2.50,7", ",Ghost,None,1.00,1"],
+    "delivery_partners": ["1,Fast,0655,North"],
+    "orders": ["100,1,2024-01-03,Delivered,50.00,10", "101,2,2024-01-04,Pending,20.00,12"],
+    "order_items": ["1000,100,5,2,2.00", "1001,101,5,1,2.00"],
+    "deliveries": ["7,100,2024-01-05,Delivered,1,T7"],
+    "returns": ["3,100,5,2024-01-09,Damaged"],
+    "payments": ["9,100,2024-01-03,UPI,Completed,50.00"],
+}
+
+
+def _write(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, f"{name}.csv")
+    with open(path, "w") as out:
+        out.write(",".join(ENTITIES[name].columns) + "\n" + "\n".join(lines) + "\n")
+    return path
+
+
+@pytest.fixture
+def layers(spark):
+    location = scratch_path(spark, "layers")
+    made = Layers(spark, "t" + location[-8:] + "_", location)
+    made.create()
+    yield made
+    made.drop_all()
+
+
+def _all(tmp_path):
+    return {name: _write(str(tmp_path), name, lines) for name, lines in FILES.items()}
+
+
+def test_every_entity_reaches_the_wide_table(layers, tmp_path):
+    run_all(layers, _all(tmp_path), RUNS[0])
+    counts = {
+        name: [
+            layers.table(RAW, e.raw_table).count(),
+            layers.table(CLEAN, e.clean_table).count(),
+            layers.table(CURATED, e.curated_table).count(),
+        ]
+        for name, e in ENTITIES.items()
+    }
+    # the product without a key stays in the raw layer
+    assert counts.pop("products") == [2, 1, 1]
+    assert all(c == [len(FILES[n])] * 3 for n, c in counts.items())
+    master = layers.table(CURATED, "master_orders")
+    assert sorted(r.customer_city for r in master.collect()) == ["Delhi", "Pune"]
+    row = master.first()
+    assert (row.order_id, row.return_id, str(row.product_revenue)) == (100, 3, "5.0000")
+    for e in ENTITIES.values():
+        found = dict(layers.table(CURATED, e.curated_table).dtypes)
+        assert found == {f.name: f.dataType.simpleString() for f in e.curated_schema}
+
+
+def test_default_paths(tmp_path):
+    paths = pipeline.default_paths(str(tmp_path))
+    assert sorted(paths) == sorted(ENTITIES) and paths["orders"].endswith("/orders.csv")
+
+
+def _customers(layers, tmp_path, lines, run, **options):
+    path = _write(str(tmp_path / run[:10]), "customers", lines)
+    run_entity(layers, ENTITIES["customers"], path, run, LoadOptions(**options))
+
+
+CHANGED = ["1,Ann,Female,a@x,1990-01-01,0999,2020-01-01", "3,Cy,Male,c@x,1992-01-01,07,2021-01-01"]
+
+
+@pytest.mark.parametrize("options", [{}, {"since": RUNS[1]}], ids=["whole", "incremental"])
+def test_second_load_versions_the_changed_customer(layers, tmp_path, options):
+    _customers(layers, tmp_path, FILES["customers"], RUNS[0])
+    _customers(layers, tmp_path, CHANGED, RUNS[1], **options)
+    dim = layers.table(CURATED, "dim_customers").select(
+        "customer_id", "phone_number", "is_current", "effective_end_date"
+    )
+    found = [(k, p, c, str(e)) for k, p, c, e in rows(dim)]
+    assert found == [
+        (1, "0123", False, RUNS[1]),
+        (1, "0999", True, "None"),
+        (2, "0456", True, "None"),
+        (3, "07", True, "None"),
+    ]
+    clean = layers.table(CLEAN, "clean_customers").select("customer_id", "phone_number", "is_active")
+    assert rows(clean) == [(1, "0999", "yes"), (2, "0456", "yes"), (3, "07", "yes")]
+
+
+def test_two_step_versions(layers, tmp_path):
+    for run, lines in zip(RUNS, [FILES["customers"], CHANGED, CHANGED]):
+        _customers(layers, tmp_path, lines, run, two_step_versions=True)
+        dim = layers.table(CURATED, "dim_customers").filter("customer_id = 1")
+        if run == RUNS[1]:
+            assert [r.is_current for r in dim.collect()] == [False]
+    starts = sorted((str(r.effective_start_date), r.is_current) for r in dim.collect())
+    assert starts == [(RUNS[0], False), (RUNS[2], True)]
+
+
+def test_facts_load_once_or_twice(layers, tmp_path):
+    entity, path = ENTITIES["orders"], _write(str(tmp_path), "orders", FILES["orders"])
+    for run in RUNS[:2]:
+        run_entity(layers, entity, path, run)
+    assert layers.table(CURATED, "fact_orders").count() == 2
+    run_entity(layers, entity, path, RUNS[2], LoadOptions(repeat_facts=True))
+    assert layers.table(CURATED, "fact_orders").count() == 4
+
+
+def test_returns_are_appended_every_time(layers, tmp_path):
+    path = _write(str(tmp_path), "returns", FILES["returns"])
+    for run in RUNS[:2]:
+        run_entity(layers, ENTITIES["returns"], path, run)
+    assert layers.table(CURATED, "fact_returns").count() == 2
+
+
+def test_null_in_a_required_column_aborts(layers, tmp_path):
+    entity = ENTITIES["customers"]
+    path = _write(str(tmp_path), "customers", ["1,Ann,,a@x,1990-01-01,01,2020-01-01"])
+    with pytest.raises(Exception, match="NULL in required column gender"):
+        run_entity(layers, entity, path, RUNS[0])
+    assert not layers.exists(CLEAN, entity.clean_table)
+    # nullable until the curated layer
+    entity, path = ENTITIES["returns"], _write(str(tmp_path), "returns", ["3,100,5,2024-01-09,"])
+    load_raw(layers, entity, path, RUNS[0])
+    load_clean(layers, entity, RUNS[0])
+    with pytest.raises(Exception, match="NULL in required column return_reason"):
+        pipeline.load_curated(layers, entity, RUNS[0])
+    pipeline.load_curated(layers, entity, RUNS[0], LoadOptions(enforce_required=False))
+    assert layers.table(CURATED, "fact_returns").count() == 1
+
+
+def test_addresses_merged_by_customer_are_ambiguous_on_the_second_load(layers, tmp_path):
+    entity = ENTITIES["customer_addresses"]
+    path = _write(str(tmp_path), entity.name, FILES[entity.name])
+    load_raw(layers, entity, path, RUNS[0])
+    load_clean(layers, entity, RUNS[0], merge_key=["customer_id"])
+    assert layers.table(CLEAN, entity.clean_table).count() == 3
+    with pytest.raises(Exception, match="ambiguous merge"):
+        load_clean(layers, entity, RUNS[1], merge_key=["customer_id"])
+    load_clean(layers, entity, RUNS[1])
+    assert layers.table(CLEAN, entity.clean_table).count() == 3
+
+
+def test_keys_written_differently_are_one_key(layers, tmp_path):
+    lines = ["1,Tea,Beverages,2.50,7", "01,Tea,Beverages,2.50,7"]
+    path = _write(str(tmp_path), "products", lines)
+    run_entity(layers, ENTITIES["products"], path, RUNS[0])
+    assert layers.table(CURATED, "dim_products").count() == 1
+
+
+def test_tables_and_versions(spark, layers):
+    df = spark.createDataFrame([(1, "a")], "k int, v string")
+    layers.create_table(COMMON, "t", df.schema)
+    layers.create_table(COMMON, "t", df.schema)
+    layers.append(COMMON, "t", df)
+    layers.append(COMMON, "t", df)
+    assert layers.table(COMMON, "t").count() == 2
+    layers.drop(COMMON, "t")
+    layers.drop(COMMON, "t")
+    assert not layers.exists(COMMON, "t")
+    for n in range(4):
+        before = layers.table_or_empty(COMMON, "r", df.schema)
+        layers.replace(COMMON, "r", before.unionByName(df))
+    assert layers.table(COMMON, "r").count() == 4
+    assert layers.versions(COMMON, "r") == [2, 3]
+    # a repeated write of the same version changes nothing
+    previous = spark.table(layers.version_name(COMMON, "r", 2))
+    layers.replace(COMMON, "r", previous.unionByName(df), version=3)
+    assert layers.table(COMMON, "r").count() == 4
+    layers.drop(COMMON, "r")
+    assert layers.versions(COMMON, "r") == []
+
+
+@pytest.mark.skipif("RETAIL_CSV_DIR" not in os.environ, reason="needs the sample CSV files")
+def test_sample_files(layers):
+    """Known totals of the sample files, which hold no deliveries."""
+    paths = pipeline.default_paths(os.environ["RETAIL_CSV_DIR"])
+    run_all(layers, {n: p for n, p in paths.items() if os.path.exists(p)}, RUNS[0])
+    orders = layers.table(CURATED, "fact_orders")
+    delivered = orders.filter("order_status = 'Delivered'")
+    total = "sum(total_value)"
+    assert str(orders.agg({"total_value": "sum"}).first()[total]) == "5014494.70"
+    assert str(delivered.agg({"total_value": "sum"}).first()[total]) == "1117433.75"
+    assert delivered.select("customer_id").distinct().count() == 70
