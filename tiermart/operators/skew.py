@@ -31,28 +31,37 @@ _GROUPS, _TOP, _TRACKED = 1024, 200, 2048
 CELL = "__cell"
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], share: float) -> DataFrame:
-    """(hash of the key columns, share of the rows) of frequent keys; few rows.
+def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], share: float) -> DataFrame:
+    """(number of the key set, hash of its columns, share of the rows) of frequent keys.
 
-    One pass over the key columns. The counts are estimates: they decide where
-    rows are placed, never which rows are kept.
+    One pass over the key columns for all sets, few rows as a result. The counts
+    are estimates: they decide where rows are placed, never which rows are kept.
     """
+    numbers = range(len(key_sets))
     sketches = (
         df.select(
-            F.xxhash64(*keys).alias("key"), (F.spark_partition_id() % _GROUPS).alias("g")
+            *[F.xxhash64(*keys).alias(f"k{n}") for n, keys in enumerate(key_sets)],
+            (F.spark_partition_id() % _GROUPS).alias("g"),
         )
         .groupBy("g")
         .agg(
-            F.expr(f"approx_top_k(key, {_TOP}, {_TRACKED})").alias("top"),
             F.count(F.lit(1)).alias("n"),
+            *[F.expr(f"approx_top_k(k{n}, {_TOP}, {_TRACKED})").alias(f"t{n}") for n in numbers],
         )
     )
+
+    def numbered(n: int) -> Column:
+        return F.transform(
+            f"t{n}", lambda t: F.struct(F.lit(n).alias("set"), t["item"], t["count"])
+        )
+
+    counts = F.flatten(F.array(*[numbered(n) for n in numbers]))
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))
     return (
         sketches.withColumn("total", total)
-        .select("total", F.inline("top"))
-        .groupBy(F.col("item").alias("key"))
-        .agg((F.sum("count") / F.first("total")).alias("share"))
+        .select("total", F.explode(counts).alias("c"))
+        .groupBy("c.set", F.col("c.item").alias("key"))
+        .agg((F.sum("c.count") / F.first("total")).alias("share"))
         .filter(F.col("share") >= share)
     )
 
@@ -121,22 +130,31 @@ def find_cells(
     Runs one small job for all joins. A hot key gets as many cells along a
     table's dimension as make each hold about half an average shuffle partition.
     """
-    sides = [(name, i, *side) for name, group in joins.items() for i, side in enumerate(group)]
-    spark = sides[0][2].sparkSession
+    # joins of one table are looked at in one pass over it
+    by_table: dict[int, list[tuple[str, int, Sequence[str]]]] = {}
+    frames: dict[int, DataFrame] = {}
+    for name, group in joins.items():
+        for i, (df, keys) in enumerate(group):
+            frames[id(df)] = df
+            by_table.setdefault(id(df), []).append((name, i, keys))
+    spark = next(iter(frames.values())).sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if share is None:
         share = min(max(2 / partitions, SMALLEST_SHARE), LARGEST_SHARE)
     found = reduce(
         DataFrame.unionByName,
         [
-            hot_keys(df, keys, share).withColumns({"join": F.lit(name), "i": F.lit(i)})
-            for name, i, df, keys in sides
+            hot_keys(frames[t], [keys for _, _, keys in uses], share).withColumn(
+                "table", F.lit(t)
+            )
+            for t, uses in by_table.items()
         ],
     )
     sizes: dict[str, dict[int, list[int]]] = {name: {} for name in joins}
-    for row in found.collect():  # at most len(sides) / share rows
-        places = sizes[row["join"]].setdefault(row.key, [1] * len(joins[row["join"]]))
-        places[row.i] = max(2, math.ceil(row.share * partitions * 2))
+    for row in found.collect():  # at most 1 / share rows per table and key
+        name, i, _ = by_table[row.table][row.set]
+        places = sizes[name].setdefault(row.key, [1] * len(joins[name]))
+        places[i] = max(2, math.ceil(row.share * partitions * 2))
 
     def cells(name: str) -> Cells:
         none = no_cells(*joins[name][0], len(joins[name]))

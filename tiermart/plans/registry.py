@@ -79,9 +79,12 @@ def _stored(
 
 
 def _entities(spark: SparkSession, sf_dir: str, history: bool = False) -> dict[str, DataFrame]:
-    """Curated tables; the de-duplicated order lines under the facts are stored."""
+    """Curated tables; the de-duplicated order lines under the facts are stored, and
+    so are the deliveries that are aggregated from them."""
     lines = _stored(spark, sf_dir, "lines", lambda: views.latest_lines(spark, sf_dir))
-    return views.entity_views(spark, sf_dir, lines, history)
+    tables = views.entity_views(spark, sf_dir, lines, history)
+    deliveries = tables["deliveries"]
+    return {**tables, "deliveries": _stored(spark, sf_dir, "deliveries", lambda: deliveries)}
 
 
 def master_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,8 +169,7 @@ def conform_orders_types(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = views.order_items(views.latest_lines(spark, sf_dir))
-    text = views.source_columns({"order_items": items}, "order_items")
+    text = views.source_columns(_entities(spark, sf_dir), "order_items")
     return conform_entity(text, ENTITIES["order_items"])
 
 
@@ -369,7 +371,7 @@ def append_orders_double_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_not_null(spark: SparkSession, sf_dir: str) -> DataFrame:
-    deliveries = views.deliveries(views.latest_lines(spark, sf_dir))
+    deliveries = _entities(spark, sf_dir)["deliveries"]
     return check_not_null(deliveries, ENTITIES["deliveries"].required_columns)
 
 
@@ -440,8 +442,8 @@ def csv_audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_inline_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Returns with their date typed while reading."""
-    rows = views.returns(views.latest_lines(spark, sf_dir))
-    path = _as_files(spark, views.source_columns({"returns": rows}, "returns"), "returns")
+    rows = views.source_columns(_entities(spark, sf_dir), "returns")
+    path = _as_files(spark, rows, "returns")
     return scan_typed(spark, path, ENTITIES["returns"], ["return_date"])
 
 
