@@ -1,10 +1,11 @@
 import os
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
+from pyspark.sql import functions as F
 
-from tiermart.plans import pipeline
-from tiermart.plans.pipeline import LoadOptions, load_clean, load_raw, run_all, run_entity
+from tiermart.plans import loads
+from tiermart.plans.loads import LoadOptions, load_clean, load_raw, run_all, run_entity
 from tiermart.schemas import ENTITIES
 from tiermart.session import scratch_path
 from tiermart.sources.tables import CLEAN, COMMON, CURATED, RAW, Layers
@@ -73,7 +74,7 @@ def test_every_entity_reaches_the_wide_table(layers, tmp_path):
 
 
 def test_default_paths(tmp_path):
-    paths = pipeline.default_paths(str(tmp_path))
+    paths = loads.default_paths(str(tmp_path))
     assert sorted(paths) == sorted(ENTITIES) and paths["orders"].endswith("/orders.csv")
 
 
@@ -122,6 +123,45 @@ def test_facts_load_once_or_twice(layers, tmp_path):
     assert layers.table(CURATED, "fact_orders").count() == 4
 
 
+ORDER_LOADS = [
+    FILES["orders"],
+    ["101,2,2024-01-04,Delivered,20.00,12", "102,1,2024-02-04,Pending,5.00,10"],
+    ["102,1,2024-02-04,Delivered,5.00,10"],
+]
+
+
+@pytest.mark.parametrize("log_facts", [False, True], ids=["replaced", "log"])
+@pytest.mark.parametrize("incremental", [False, True], ids=["whole", "incremental"])
+def test_facts_over_three_loads(layers, tmp_path, log_facts, incremental):
+    entity = ENTITIES["orders"]
+    for run, lines in zip(RUNS, ORDER_LOADS):
+        path = _write(str(tmp_path / run[:10]), "orders", lines)
+        options = LoadOptions(log_facts=log_facts, since=run if incremental else None)
+        run_entity(layers, entity, path, run, options)
+    clean = layers.table(CLEAN, entity.clean_table)
+    assert clean.columns == entity.clean_schema.names
+    # the latest status in the clean layer, the first one in the curated layer
+    assert rows(clean.select("order_id", "order_status")) == [
+        (100, "Delivered"), (101, "Delivered"), (102, "Delivered"),
+    ]
+    fact = layers.table(CURATED, entity.curated_table).select("order_id", "order_status")
+    assert rows(fact) == [(100, "Delivered"), (101, "Pending"), (102, "Pending")]
+    layers.drop(CLEAN, entity.clean_table)
+    assert not layers.exists(CLEAN, entity.clean_table)
+
+
+def test_changes_of_a_log_are_found_by_the_scan(layers, tmp_path):
+    entity, options = ENTITIES["orders"], LoadOptions(log_facts=True)
+    path = _write(str(tmp_path), "orders", FILES["orders"])
+    load_raw(layers, entity, path, RUNS[0])
+    load_clean(layers, entity, RUNS[0], options)
+    since = F.lit(RUNS[1]).cast("timestamp_ntz")
+    changes = layers.changes(CLEAN, entity.clean_table, "last_updated_ts", since)
+    text = plan(changes)
+    assert "GreaterThanOrEqual(last_updated_ts" in text and "Window" not in text
+    assert "WindowGroupLimit" in plan(layers.table(CLEAN, entity.clean_table))
+
+
 def test_returns_are_appended_every_time(layers, tmp_path):
     path = _write(str(tmp_path), "returns", FILES["returns"])
     for run in RUNS[:2]:
@@ -140,8 +180,8 @@ def test_null_in_a_required_column_aborts(layers, tmp_path):
     load_raw(layers, entity, path, RUNS[0])
     load_clean(layers, entity, RUNS[0])
     with pytest.raises(Exception, match="NULL in required column return_reason"):
-        pipeline.load_curated(layers, entity, RUNS[0])
-    pipeline.load_curated(layers, entity, RUNS[0], LoadOptions(enforce_required=False))
+        loads.load_curated(layers, entity, RUNS[0])
+    loads.load_curated(layers, entity, RUNS[0], LoadOptions(enforce_required=False))
     assert layers.table(CURATED, "fact_returns").count() == 1
 
 
@@ -190,7 +230,7 @@ def test_tables_and_versions(spark, layers):
 @pytest.mark.skipif("RETAIL_CSV_DIR" not in os.environ, reason="needs the sample CSV files")
 def test_sample_files(layers):
     """Known totals of the sample files, which hold no deliveries."""
-    paths = pipeline.default_paths(os.environ["RETAIL_CSV_DIR"])
+    paths = loads.default_paths(os.environ["RETAIL_CSV_DIR"])
     run_all(layers, {n: p for n, p in paths.items() if os.path.exists(p)}, RUNS[0])
     orders = layers.table(CURATED, "fact_orders")
     delivered = orders.filter("order_status = 'Delivered'")

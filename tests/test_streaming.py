@@ -1,7 +1,7 @@
 from helpers import rows
 from pyspark.sql import functions as F
 
-from tiermart.plans.pipeline import LoadOptions, run_entity
+from tiermart.plans.loads import LoadOptions, run_entity
 from tiermart.schemas import ENTITIES
 from tiermart.session import scratch_path
 from tiermart.sources.csv import write_csv

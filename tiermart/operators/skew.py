@@ -73,6 +73,8 @@ class Cells:
     key_types: list[str]
     dimensions: int
     table: DataFrame | None = None
+    # largest number of cells along each dimension
+    largest: tuple[int, ...] = ()
 
     def on(self, keys: Sequence[str]) -> list[str]:
         """The columns to join placed tables on."""
@@ -90,7 +92,7 @@ class Cells:
         if _types(df, keys) != self.key_types:
             raise ValueError(f"join keys {list(keys)} differ in type between the tables")
         sizes = [F.col(f"__n{i}") for i in range(self.dimensions)]
-        repeated = [i for i in range(self.dimensions) if i not in divided]
+        repeated = [i for i in range(self.dimensions) if i not in divided and self.largest[i] > 1]
         copies = F.lit(1).cast("bigint")
         for i in repeated:
             copies = copies * sizes[i]
@@ -102,14 +104,17 @@ class Cells:
                 copy = F.floor(copy / sizes[i])
             code = F.lit(0).cast("bigint")
             for i in range(self.dimensions):
-                code = code * sizes[i] + place[i]
+                code = code * sizes[i] + place.get(i, F.lit(0))
             return code
 
         hot = F.broadcast(self.table)
         found = df.join(hot, F.xxhash64(*keys) == F.col("__hot"), "left")
-        cells = F.when(F.col("__n0").isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
-            F.transform(F.sequence(F.lit(0).cast("bigint"), copies - 1), cell)
-        )
+        usual, first = F.col("__n0").isNull(), F.lit(0).cast("bigint")
+        if not repeated:
+            one = F.when(usual, first).otherwise(cell(first))
+            return found.select(*df.columns, one.alias(CELL))
+        every = F.transform(F.sequence(first, copies - 1), cell)
+        cells = F.when(usual, F.array(first)).otherwise(every)
         return found.select(*df.columns, F.explode(cells).alias(CELL))
 
 
@@ -163,6 +168,7 @@ def find_cells(
         dimensions = ", ".join(f"__n{i} bigint" for i in range(none.dimensions))
         rows = [(key, *places) for key, places in sizes[name].items()]
         table = spark.createDataFrame(rows, f"__hot bigint, {dimensions}")
-        return replace(none, table=table)
+        largest = tuple(max(n) for n in zip(*sizes[name].values()))
+        return replace(none, table=table, largest=largest)
 
     return {name: cells(name) for name in joins}

@@ -18,7 +18,6 @@ from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply, scd2_pas
 from tiermart.operators.quality import require_not_null
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
 from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, LOAD_TS, UPDATED_TS, Entity
-from tiermart.session import materialise
 from tiermart.sources.csv import read_raw
 from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
 
@@ -37,6 +36,9 @@ class LoadOptions:
     doubles every row.
     enforce_required: a NULL in a column declared NOT NULL aborts the load.
     buckets: hash buckets of replaced tables; 0 leaves them unbucketed.
+    log_facts: clean tables of facts are logs: a load appends its rows, and a view
+    shows the latest row per key. Loads then rewrite nothing; readers pay one
+    shuffle by key. To be chosen before the first load of a table.
     since: an incremental load: only raw rows copied, and clean rows updated, at
     or after this time feed the next layer; the default reads everything.
     hash_content: audit files by their content, which reads them twice.
@@ -49,6 +51,7 @@ class LoadOptions:
     repeat_facts: bool = False
     enforce_required: bool = True
     buckets: int = 0
+    log_facts: bool = False
     since: str | None = None
     hash_content: bool = True
     parallel: int = 4
@@ -106,14 +109,19 @@ def load_clean(
     raw = layers.table(RAW, entity.raw_table)
     if options.incremental:
         raw = raw.filter(F.col("_copy_data_ts") >= run_timestamp(options.since))
-    target = layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema)
-    keys = list(merge_key or entity.key)
-    skip = {*keys, *entity.key}
     source = clean_source(raw, entity)
     if options.enforce_required:
         source = require_not_null(source, entity.required_columns)
+    if options.log_facts and not entity.is_dimension:
+        rows = source.withColumn(UPDATED_TS, run_timestamp(run_ts))
+        rows = rows.select(*entity.clean_schema.names)
+        layers.append_latest(CLEAN, entity.clean_table, rows, entity.key, UPDATED_TS)
+        return
+    target = layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema)
+    keys = list(merge_key or entity.key)
+    skip = {*keys, *entity.key}
     if options.incremental:
-        source = materialise(source, f"load-{entity.name}")
+        source = layers.stage(f"load_{entity.clean_table}", source)
     merged = scd1_upsert(
         target,
         source,
@@ -135,16 +143,19 @@ def load_curated(
     options: LoadOptions = LoadOptions(),
 ) -> None:
     """Feed the curated table: versions for dimensions, new rows for facts."""
-    source = layers.table(CLEAN, entity.clean_table).select(
-        *entity.typed_columns, UPDATED_TS
-    )
     if options.incremental:
-        source = source.filter(F.col(UPDATED_TS) >= run_timestamp(options.since))
+        since = run_timestamp(options.since)
+        source = layers.changes(CLEAN, entity.clean_table, UPDATED_TS, since)
+        # several loads since then may have written the same key
+        source = dedupe_latest(source, entity.key, [UPDATED_TS])
+    else:
+        source = layers.table(CLEAN, entity.clean_table)
+    source = source.select(*entity.typed_columns, UPDATED_TS)
     if options.enforce_required and entity.nullable:
         # nullable in the clean layer, required here
         source = require_not_null(source, entity.typed_columns)
     if options.incremental:
-        source = materialise(source, f"load-{entity.name}")
+        source = layers.stage(f"load_{entity.curated_table}", source)
     table = entity.curated_table
     if entity.curate == "versioned":
         dim = layers.table_or_empty(CURATED, table, entity.curated_schema)

@@ -302,13 +302,17 @@ WITH prepared AS ({_OPEN_PRIORITY}), kept AS (SELECT * FROM prepared WHERE {wher
 # ---- merges -----------------------------------------------------------------
 
 
-def _load_filter(number: int) -> str:
-    upper = f"o_orderdate < {_ts(LOADS[number])}"
-    return upper if number == 0 else f"{upper} AND o_orderdate >= {_ts(LOADS[number - 1])}"
+def _load_filter(number: int, loads: int = 2) -> str:
+    bounds = []
+    if number > 0:
+        bounds.append(f"o_orderdate >= {_ts(LOADS[number - 1])}")
+    if number < loads - 1:
+        bounds.append(f"o_orderdate < {_ts(LOADS[number])}")
+    return " AND ".join(bounds)
 
 
-def _state(number: int) -> str:
-    rows = f"(SELECT * FROM prepared WHERE {_load_filter(number)}) AS load_{number}"
+def _state(number: int, loads: int = 2) -> str:
+    rows = f"(SELECT * FROM prepared WHERE {_load_filter(number, loads)}) AS load_{number}"
     latest = _latest(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"], _ORDER_COLUMNS)
     return f"""
 SELECT o_custkey AS customer_id, o_orderkey AS last_order_id, o_orderpriority AS priority,
@@ -318,8 +322,8 @@ FROM ({latest}) AS latest_{number}
 
 
 _STATES = f"""
-prepared AS ({_OPEN_PRIORITY}),
-state_0 AS ({_state(0)}), state_1 AS ({_state(1)}), state_2 AS ({_state(2)}),
+prepared AS ({_OPEN_PRIORITY}), state_0 AS ({_state(0)}), state_1 AS ({_state(1)}),
+middle_of_3 AS ({_state(1, 3)}), last_of_3 AS ({_state(2, 3)}),
 dim_0 AS (
   SELECT customer_id, last_order_id, priority, status, {_ts(LOADS[0])} AS effective_start_date,
          CAST(NULL AS TIMESTAMP) AS effective_end_date, true AS is_current, last_updated_ts
@@ -355,8 +359,8 @@ WHERE NOT EXISTS (SELECT 1 FROM {dim} AS d WHERE {held})
 _T1, _T2, _T3 = (_ts(x) for x in LOADS)
 _THREE_LOADS = f"""
 WITH {_STATES},
-dim_1 AS ({_versions('dim_0', 'state_1', _T2, True)}),
-dim_2 AS ({_versions('dim_1', 'state_2', _T3, True)})
+dim_1 AS ({_versions('dim_0', 'middle_of_3', _T2, True)}),
+dim_2 AS ({_versions('dim_1', 'last_of_3', _T3, True)})
 """
 
 _LINE_KEYS = ["l_orderkey", "l_linenumber"]
@@ -506,13 +510,13 @@ SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
 FROM orders
 """,
     "stage_listing": "SELECT DISTINCT o_orderstatus AS order_status, true AS all_filled FROM orders",
-    "pipeline_clean_customers": f"""
+    "load_clean_customers": f"""
 SELECT customer_id, gender,
        CASE gender WHEN 'Female' THEN '1' || phone_number ELSE phone_number END AS phone_number,
        dob, {_T2} AS last_updated_ts, 'yes' AS is_active, {_T2} AS _copy_data_ts
 FROM ({_CUSTOMERS}) AS c
 """,
-    "pipeline_dim_customers": f"""
+    "load_dim_customers": f"""
 WITH r_customers AS ({_CUSTOMERS})
 SELECT r_customers.*, {_T1} AS effective_start_date,
        CASE WHEN gender = 'Female' THEN {_T2} END AS effective_end_date,
@@ -524,7 +528,7 @@ SELECT customer_id, name, gender, email, dob, '1' || phone_number, joining_date,
        {_T2}, NULL, true, {_T2}
 FROM r_customers WHERE gender = 'Female'
 """,
-    "pipeline_dim_customers_two_step": f"""
+    "load_dim_customers_two_step": f"""
 WITH r_customers AS ({_CUSTOMERS})
 SELECT r_customers.*, {_T1} AS effective_start_date,
        CASE WHEN gender = 'Female' THEN {_T2} END AS effective_end_date,
@@ -532,11 +536,18 @@ SELECT r_customers.*, {_T1} AS effective_start_date,
        CASE WHEN gender = 'Female' THEN {_T2} ELSE {_T1} END AS last_updated_ts
 FROM r_customers
 """,
-    "pipeline_fact_orders": f"""
+    "load_fact_orders": f"""
 SELECT r_orders.*, {_T1} AS last_updated_ts, 'Cancelled' AS clean_status
 FROM ({_ORDERS}) AS r_orders
 """,
-    "pipeline_master_orders": _on_master("SELECT * FROM r_master"),
+    "load_clean_orders_log": f"""
+SELECT order_id, customer_id, order_date,
+       CASE order_status WHEN 'Pending' THEN 'Delivered' ELSE order_status END AS order_status,
+       total_value, address_id,
+       CASE order_status WHEN 'Pending' THEN {_T2} ELSE {_T1} END AS last_updated_ts
+FROM ({_ORDERS}) AS r_orders
+""",
+    "load_master_orders": _on_master("SELECT * FROM r_master"),
     "stream_raw_ingest": f"""
 SELECT CAST(payment_id AS VARCHAR) AS payment_id, CAST(order_id AS VARCHAR) AS order_id,
        CAST(payment_date AS VARCHAR) AS payment_date, payment_method, payment_status,

@@ -35,7 +35,7 @@ from tiermart.operators.quality import (
 )
 from tiermart.plans import analytics
 from tiermart.plans import retail_views as views
-from tiermart.plans.pipeline import (
+from tiermart.plans.loads import (
     LoadOptions,
     load_clean,
     load_curated,
@@ -59,9 +59,9 @@ from tiermart.streaming.ingest import ingest_available, raw_stream, upsert_avail
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Orders arrive in three loads; a load is dated by the day it ends.
+# Times of three loads. Orders up to the first time make the first load; the rest
+# is one second load, or is divided again at the second time.
 LOADS = ["1997-04-01 00:00:00", "1999-06-01 00:00:00", "2001-08-01 00:00:00"]
-LOAD_STARTS = [None, *LOADS[:2]]
 
 # ---- the wide table ---------------------------------------------------------
 
@@ -200,22 +200,25 @@ def conform_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- merges -----------------------------------------------------------------
 
 
-def _load(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
-    df = _orders_with_open_priority(spark, sf_dir).filter(
-        F.col("o_orderdate") < views.ts(LOADS[number])
-    )
-    start = LOAD_STARTS[number]
-    return df if start is None else df.filter(F.col("o_orderdate") >= views.ts(start))
+def _load(spark: SparkSession, sf_dir: str, number: int, loads: int = 2) -> DataFrame:
+    """Orders of one load; the loads together are the whole table."""
+    df = _orders_with_open_priority(spark, sf_dir)
+    if number > 0:
+        df = df.filter(F.col("o_orderdate") >= views.ts(LOADS[number - 1]))
+    if number < loads - 1:
+        df = df.filter(F.col("o_orderdate") < views.ts(LOADS[number]))
+    return df
 
 
 _TRACKED = ["priority", "status"]
 
 
-def customer_state(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+def customer_state(
+    spark: SparkSession, sf_dir: str, number: int, loads: int = 2
+) -> DataFrame:
     """Latest order of each customer within one load."""
-    latest = dedupe_latest(
-        _load(spark, sf_dir, number), ["o_custkey"], ["o_orderdate", "o_orderkey"]
-    )
+    rows = _load(spark, sf_dir, number, loads)
+    latest = dedupe_latest(rows, ["o_custkey"], ["o_orderdate", "o_orderkey"])
     return latest.select(
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderkey").alias("last_order_id"),
@@ -267,10 +270,12 @@ def scd1_ambiguous_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ambiguous_keys(target, source, ["customer_id"])
 
 
-def _second_pass(spark: SparkSession, sf_dir: str, null_safe: bool = False, merge=scd2_pass):
+def _second_load(
+    spark: SparkSession, sf_dir: str, merge=scd2_pass, null_safe: bool = False, loads: int = 2
+) -> DataFrame:
     return merge(
         _first_dim(spark, sf_dir),
-        customer_state(spark, sf_dir, 1),
+        customer_state(spark, sf_dir, 1, loads),
         ["customer_id"],
         _TRACKED,
         LOADS[1],
@@ -280,16 +285,16 @@ def _second_pass(spark: SparkSession, sf_dir: str, null_safe: bool = False, merg
 
 
 def scd2_pass_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _second_pass(spark, sf_dir)
+    return _second_load(spark, sf_dir)
 
 
 def scd2_pass_null_safe_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _second_pass(spark, sf_dir, null_safe=True)
+    return _second_load(spark, sf_dir, null_safe=True)
 
 
 def scd2_second_pass_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same source merged again: successors of the closed versions appear."""
-    once = materialise(_second_pass(spark, sf_dir), "dim")
+    once = materialise(_second_load(spark, sf_dir), "dim")
     source = customer_state(spark, sf_dir, 1)
     return scd2_pass(
         once, source, ["customer_id"], _TRACKED, LOADS[2], source_unique=True
@@ -297,8 +302,8 @@ def scd2_second_pass_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _three_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    two = materialise(_second_pass(spark, sf_dir, merge=scd2_apply), "dim")
-    source = customer_state(spark, sf_dir, 2)
+    two = materialise(_second_load(spark, sf_dir, scd2_apply, loads=3), "dim")
+    source = customer_state(spark, sf_dir, 2, loads=3)
     return scd2_apply(
         two, source, ["customer_id"], _TRACKED, LOADS[2], source_unique=True
     )
@@ -510,7 +515,7 @@ def stage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# ---- pipelines --------------------------------------------------------------
+# ---- loads through the layers --------------------------------------------------------------
 
 
 def _layers(spark: SparkSession, name: str) -> Layers:
@@ -537,23 +542,23 @@ def _two_customer_loads(spark: SparkSession, sf_dir: str, options: LoadOptions)
     return layers
 
 
-def pipeline_clean_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_clean_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     layers = _two_customer_loads(spark, sf_dir, LoadOptions())
     return layers.table(CLEAN, "clean_customers").select(
         "customer_id", "gender", "phone_number", "dob", "last_updated_ts", "is_active", "_copy_data_ts"
     )
 
 
-def pipeline_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_customer_loads(spark, sf_dir, LoadOptions()).table(CURATED, "dim_customers")
 
 
-def pipeline_dim_customers_two_step(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_dim_customers_two_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     options = LoadOptions(two_step_versions=True, buckets=8)
     return _two_customer_loads(spark, sf_dir, options).table(CURATED, "dim_customers")
 
 
-def pipeline_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A status change after the first load reaches the clean layer only."""
     entity = ENTITIES["orders"]
     first = views.source_columns({"orders": views.orders(spark, sf_dir)}, "orders")
@@ -571,7 +576,23 @@ def pipeline_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact.join(clean, "order_id")
 
 
-def pipeline_master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+def load_clean_orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The clean layer of orders as a log: the second load only appends."""
+    entity = ENTITIES["orders"]
+    first = views.source_columns({"orders": views.orders(spark, sf_dir)}, "orders")
+    second = first.filter(F.col("order_status") == "Pending").withColumn(
+        "order_status", F.lit("Delivered")
+    )
+    layers = _layers(spark, "orders_log")
+    layers.create()
+    for df, run_ts in zip((first, second), LOADS):
+        options = LoadOptions(log_facts=True, since=run_ts)
+        load_raw(layers, entity, _as_files(spark, df, "orders"), run_ts)
+        load_clean(layers, entity, run_ts, options)
+    return layers.table(CLEAN, entity.clean_table).select(*entity.columns, "last_updated_ts")
+
+
+def load_master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All entities from files to the wide table through all layers."""
     tables = _entities(spark, sf_dir)
     # the file of deliveries must name a partner: -1 stands for none
@@ -667,11 +688,12 @@ OPERATORS: list[Query] = [
     csv_null_tokens,
     csv_quarantine,
     stage_listing,
-    pipeline_clean_customers,
-    pipeline_dim_customers,
-    pipeline_dim_customers_two_step,
-    pipeline_fact_orders,
-    pipeline_master_orders,
+    load_clean_customers,
+    load_dim_customers,
+    load_dim_customers_two_step,
+    load_fact_orders,
+    load_clean_orders_log,
+    load_master_orders,
     stream_raw_ingest,
     stream_upsert_customers,
     purchases_by_hour,

@@ -4,13 +4,15 @@ Plain Parquet tables have no row-level updates and cannot be overwritten while
 they are read. A table that is replaced is therefore written as a new version
 `<table>__v<n>` and published by pointing the view `<table>` at it; readers of
 the previous version are not disturbed, and a failed write publishes nothing.
+Large tables of facts can be kept as a log instead, to which a load only appends.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Names of the layers.
@@ -65,9 +67,13 @@ class Layers:
         df.write.mode("append").format("parquet").saveAsTable(self.name(layer, table))
 
     def drop(self, layer: str, table: str) -> None:
-        """Drop a table or a replaced table with all its versions, if present."""
+        """Drop a table, with its versions or its log, if present."""
         versions = self.versions(layer, table)
-        if versions:
+        log = self.log_name(layer, table)
+        if self.exists(layer, log):
+            self.spark.sql(f"DROP VIEW IF EXISTS {self.name(layer, table)}")
+            self.spark.sql(f"DROP TABLE {self.name(layer, log)}")
+        elif versions:
             self.spark.sql(f"DROP VIEW IF EXISTS {self.name(layer, table)}")
             for v in versions:
                 self.spark.sql(f"DROP TABLE IF EXISTS {self.version_name(layer, table, v)}")
@@ -111,3 +117,39 @@ class Layers:
         )
         for old in [v for v in before if v <= version - keep]:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.version_name(layer, table, old)}")
+
+    def append_latest(
+        self, layer: str, table: str, df: DataFrame, keys: Sequence[str], order: str
+    ) -> None:
+        """Append rows to the log of a table whose view shows the latest row per key.
+
+        Nothing that is stored already is read or written again. Rows of one
+        append must have unique keys and share one value of `order`.
+        """
+        log = self.log_name(layer, table)
+        self.append(layer, log, df)
+        columns, by_key = ", ".join(df.columns), ", ".join(keys)
+        self.spark.sql(
+            f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT {columns} FROM ("
+            f"SELECT *, row_number() OVER (PARTITION BY {by_key} ORDER BY {order} DESC) AS nth "
+            f"FROM {self.name(layer, log)}) AS log WHERE nth = 1"
+        )
+
+    def log_name(self, layer: str, table: str) -> str:
+        return f"{table}__log"
+
+    def changes(self, layer: str, table: str, order: str, since: Column) -> DataFrame:
+        """Rows of a table written at or after `since`; of a log, only those are read."""
+        log = self.log_name(layer, table)
+        if self.exists(layer, log):
+            return self.table(layer, log).filter(F.col(order) >= since)
+        return self.table(layer, table).filter(F.col(order) >= since)
+
+    def stage(self, name: str, df: DataFrame) -> DataFrame:
+        """Store an intermediate result until the next of that name and read it back.
+
+        The stored rows feed several joins without being computed again, and
+        Spark knows their true size when it picks a join.
+        """
+        self.replace(COMMON, name, df, keep=1)
+        return self.spark.table(self.version_name(COMMON, name, self.versions(COMMON, name)[-1]))

@@ -8,9 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs
 from tiermart.operators.merge import scd1_upsert, scd2_apply
-from tiermart.plans.pipeline import clean_source
+from tiermart.plans.loads import clean_source
 from tiermart.schemas import AUDIT_COLUMNS, Entity
-from tiermart.session import materialise
 from tiermart.sources.csv import csv_options, file_columns, metadata_key, normalise_nulls
 from tiermart.sources.tables import CLEAN, CURATED, Layers
 
@@ -74,7 +73,7 @@ def upsert_available(
         return layers.spark.table(layers.version_name(layer, table, batch_id - 1))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        source = materialise(clean_source(batch, entity), f"batch-{entity.name}")
+        source = layers.stage(f"batch_{entity.clean_table}", clean_source(batch, entity))
         clean = scd1_upsert(
             state(CLEAN, entity.clean_table, entity.clean_schema, batch_id),
             source,
