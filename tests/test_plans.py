@@ -260,7 +260,7 @@ def test_lookup_upsert_leaves_the_target_in_place(spark):
 
 def test_incremental_fact_load_leaves_the_target_in_place(spark):
     source = _source(spark, N - 5, N + 5).withColumn("last_updated_ts", F.lit(None).cast("timestamp_ntz"))
-    fresh = new_rows(_clean(spark), source, ["k"], T[1], incremental=True)
+    fresh = new_rows(_clean(spark), source, ["k"], T[1], source_unique=True, incremental=True)
     assert _shuffles(plan(fresh, "simple")) == 0
     assert fresh.count() == 5
 
@@ -276,6 +276,18 @@ def test_guarded_upsert_divides_a_hot_target_key(spark, no_broadcast):
     assert merged.count() == N + 3
 
 
+def test_guarded_upsert_divides_a_hot_new_key(spark, no_broadcast):
+    source = materialise(
+        _source(spark, N, 2 * N).withColumn(
+            "k", F.when(F.col("k") % 3 == 0, F.lit(-1)).otherwise(F.col("k"))
+        ),
+        "hot",
+    )
+    merged = scd1_upsert(_clean(spark), source, ["k"], run_ts=T[1])
+    assert "__cell" in plan(merged, "simple")
+    assert merged.count() == 2 * N and merged.filter("k = -1").count() == N // 3
+
+
 def test_run_time_split_of_a_point_in_time_lookup(spark, small_skew):
     facts = materialise(
         spark.range(0, N, 1, 8).select(

@@ -1,5 +1,5 @@
 import pytest
-from helpers import T, rows
+from helpers import T, plan, rows
 from pyspark.sql import functions as F
 
 from tiermart.operators.lookup import as_of
@@ -29,7 +29,7 @@ def test_foreign_key(spark):
     child = spark.createDataFrame([(1, 7), (2, 8), (3, 8), (4, None)], "id int, fk int")
     parent = spark.createDataFrame([(7,)], "k int")
     assert rows(check_foreign_key(child, parent, ["fk"], ["k"])) == [(8, 2)]
-    assert rows(orphan_rows(child, parent, ["fk"], ["k"])) == [(8, 2), (8, 3)]
+    assert rows(orphan_rows(child, parent, ["fk"], ["k"])) == [(2, 8), (3, 8)]
 
 
 def test_required_column_aborts(spark):
@@ -82,3 +82,21 @@ def test_hot_foreign_key_is_reduced_before_the_join(spark):
     )
     parent = spark.range(30_000).select(F.col("id").alias("k"))
     assert rows(check_foreign_key(child, parent, ["fk"], ["k"])) == [(-1, 10_000)]
+
+
+def test_hot_orphans_are_divided_and_all_found(spark):
+    child = spark.range(0, 30_000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("fk"), "id"
+    )
+    parent = spark.range(30_000).select(F.col("id").alias("k")).union(spark.range(10))
+    orphans = orphan_rows(child, parent, ["fk"], ["k"])
+    assert "__cell" in plan(orphans, "simple")
+    assert orphans.columns == ["fk", "id"]
+    assert orphans.count() == 10_000 and orphans.select("id").distinct().count() == 10_000
+
+
+def test_keys_of_different_types(spark):
+    child = spark.createDataFrame([(1,), (2,)], "fk int")
+    parent = spark.createDataFrame([(1,), (2**40,)], "k long")
+    assert rows(orphan_rows(child, parent, ["fk"], ["k"])) == [(2,)]
+    assert rows(check_foreign_key(child, parent, ["fk"], ["k"])) == [(2, 1)]

@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tiermart.functions import any_changed, run_timestamp
 from tiermart.functions.columns import RunTs
-from tiermart.operators.skew import find_cells, no_cells
+from tiermart.operators.skew import divided_join
 from tiermart.schemas import (
     ACTIVE_FLAG,
     ACTIVE_VALUE,
@@ -64,21 +64,13 @@ def _looked_up(
 ) -> DataFrame:
     """Target rows with the packed source row of their key.
 
-    Unless the caller vouches for unique source keys, the keys of the target may
-    repeat as well; a small job then looks for hot ones to divide.
+    Unless the caller vouches for unique source keys, those of the target may
+    repeat as well, and hot ones are divided.
     """
     packed = _packed(source, keys, columns, source_unique)
     if source_unique:
-        cells = no_cells(target, keys)
-    else:
-        cells = find_cells({"target": [(target, keys)]})["target"]
-    divided = cells.place(target, keys, {0: target.columns})
-    packed = cells.place(packed, keys, {})
-    if cells.table is not None:
-        # counting has placed the source by the keys alone; Spark would take
-        # that placement for the join and undo the division
-        packed = packed.repartition(*cells.on(keys))
-    return divided.join(packed, cells.on(keys), "left")
+        return target.join(packed, list(keys), "left")
+    return divided_join(target, packed, keys, "left")
 
 
 def _guarded(value: Column) -> Column:
@@ -90,7 +82,11 @@ def _guarded(value: Column) -> Column:
 
 
 def _unmatched(
-    source: DataFrame, target: DataFrame, keys: Sequence[str], incremental: bool
+    source: DataFrame,
+    target: DataFrame,
+    keys: Sequence[str],
+    source_unique: bool,
+    incremental: bool,
 ) -> DataFrame:
     """Source rows whose key the target does not hold.
 
@@ -100,7 +96,9 @@ def _unmatched(
     held = target.select(*keys)
     if incremental:
         held = held.join(source.select(*keys), list(keys), "left_semi")
-    return source.join(held, list(keys), "left_anti")
+    if source_unique:
+        return source.join(held, list(keys), "left_anti")
+    return divided_join(source, held.distinct(), keys, "left_anti")
 
 
 def ambiguous_keys(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -173,7 +171,7 @@ def scd1_upsert(
             for f in target.schema
         ]
     )
-    fresh = _unmatched(source, target, keys, incremental)
+    fresh = _unmatched(source, target, keys, source_unique, incremental)
     return rows.unionByName(
         fresh.select(*[inserted(f, None).alias(f.name) for f in target.schema])
     )
@@ -243,17 +241,12 @@ def _merge_versions(
     )
     if successors:
         # a source row is new unless a current version of its key stays open
-        held = current.select(
-            *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-            *[F.col(c).alias(f"__t{i}") for i, c in enumerate(tracked)],
-        )
-        same_key = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
-        differs = any_changed(
-            [(F.col(f"__t{i}"), F.col(c)) for i, c in enumerate(tracked)], null_safe
-        )
-        fresh = source.join(held, [*same_key, ~differs], "left_anti")
+        before = {c: f"__held_{c}" for c in tracked}
+        held = current.select(*keys, *[F.col(c).alias(name) for c, name in before.items()])
+        differs = any_changed([(F.col(name), F.col(c)) for c, name in before.items()], null_safe)
+        fresh = divided_join(source, held, keys, "left_anti", [~differs])
     else:
-        fresh = _unmatched(source, current, keys, incremental)
+        fresh = _unmatched(source, current, keys, source_unique, incremental)
     opened = fresh.select(*_opened_row(dim, F.col, now))
     return history.unionByName(closed).unionByName(opened)
 
@@ -300,10 +293,11 @@ def new_rows(
     source: DataFrame,
     keys: Sequence[str],
     run_ts: RunTs = None,
+    source_unique: bool = False,
     incremental: bool = False,
 ) -> DataFrame:
     """Source rows whose key the target does not hold, stamped, ready to append."""
-    fresh = _unmatched(source, target, keys, incremental)
+    fresh = _unmatched(source, target, keys, source_unique, incremental)
     return stamped(fresh, target.columns, run_ts)
 
 
@@ -318,9 +312,13 @@ def merge_insert_only(
     source: DataFrame,
     keys: Sequence[str],
     run_ts: RunTs = None,
+    source_unique: bool = False,
+    incremental: bool = False,
 ) -> DataFrame:
     """Target plus unseen source rows; rows already there never change."""
-    return target.unionByName(new_rows(target, source, keys, run_ts))
+    return target.unionByName(
+        new_rows(target, source, keys, run_ts, source_unique, incremental)
+    )
 
 
 def append_rows(target: DataFrame, source: DataFrame, run_ts: RunTs = None) -> DataFrame:

@@ -9,6 +9,7 @@ from operator import and_
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tiermart.operators.skew import divided_join
 from tiermart.schemas import Entity
 
 
@@ -45,17 +46,18 @@ def orphan_rows(
     columns: Sequence[str],
     parent_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Whole child rows whose non-NULL key has no parent."""
+    """Whole child rows whose non-NULL key has no parent; hot keys are divided."""
     wanted = reduce(and_, [F.col(c).isNotNull() for c in columns])
     keys = _parent_keys(parent, columns, parent_columns)
-    return child.filter(wanted).join(keys, list(columns), "left_anti")
+    return divided_join(child.filter(wanted), keys, columns, "left_anti")
 
 
 def _parent_keys(
     parent: DataFrame, columns: Sequence[str], parent_columns: Sequence[str] | None
 ) -> DataFrame:
+    """Key values of the parent under the names of the child, each once."""
     pairs = zip(parent_columns or columns, columns)
-    return parent.select(*[F.col(p).alias(c) for p, c in pairs])
+    return parent.select(*[F.col(p).alias(c) for p, c in pairs]).distinct()
 
 
 def check_entity(

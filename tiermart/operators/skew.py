@@ -172,3 +172,34 @@ def find_cells(
         return replace(none, table=table, largest=largest)
 
     return {name: cells(name) for name in joins}
+
+
+def divided_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    how: str,
+    conditions: Sequence[Column] = (),
+) -> DataFrame:
+    """`left` joined on `keys` to `right`, which has few rows per key; hot keys of
+    `left` are divided. Columns of `right` other than the keys are added.
+
+    `how` keeps the left side: inner, left, left_semi or left_anti.
+    """
+    cells = find_cells({"left": [(left, keys)]})["left"]
+    kinds = {f.name: f.dataType for f in left.schema}
+    # a value that does not fit the type of the left key cannot equal one
+    right = right.withColumns(
+        {k: F.col(k).try_cast(kinds[k]) for k in keys if right.schema[k].dataType != kinds[k]}
+    )
+    divided = cells.place(left, keys, {0: left.columns})
+    repeated = cells.place(right, keys, {})
+    on = cells.on(keys)
+    if cells.table is not None:
+        # an aggregation may have placed `right` by the keys alone; Spark would
+        # take that placement for the join and undo the division
+        repeated = repeated.repartition(*on)
+    repeated = repeated.withColumnsRenamed({k: f"__right_{k}" for k in on})
+    same = [F.col(k) == F.col(f"__right_{k}") for k in on]
+    joined = divided.join(repeated, [*same, *conditions], how)
+    return joined.drop(CELL, *[f"__right_{k}" for k in on])

@@ -178,7 +178,7 @@ def load_curated(
     layers.create_table(CURATED, table, entity.curated_schema)
     target = layers.table(CURATED, table)
     if entity.curate == "insert_only":
-        rows = new_rows(target, source, entity.key, run_ts, options.incremental)
+        rows = new_rows(target, source, entity.key, run_ts, True, options.incremental)
         layers.append(CURATED, table, rows)
     if entity.curate == "append" or options.repeat_facts:
         layers.append(CURATED, table, stamped(source, target.columns, run_ts))

@@ -364,7 +364,7 @@ def _fact_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 def merge_insert_only_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, source = _fact_orders(spark, sf_dir)
-    return merge_insert_only(target, source, ["order_id"], LOADS[2])
+    return merge_insert_only(target, source, ["order_id"], LOADS[2], source_unique=True)
 
 
 def append_orders_double_load(spark: SparkSession, sf_dir: str) -> DataFrame:
