@@ -169,6 +169,40 @@ def test_returns_are_appended_every_time(layers, tmp_path):
     assert layers.table(CURATED, "fact_returns").count() == 2
 
 
+def test_only_new_and_changed_files_are_loaded(layers, tmp_path):
+    entity, folder = ENTITIES["delivery_partners"], tmp_path / "in"
+    counts = []
+    for n, lines in enumerate([["1,A,01,N"], ["2,B,02,S"], [], ["1,A,09,N"]]):
+        if lines:
+            path = _write(str(folder), entity.name, lines)
+            # the last file replaces the first one
+            target = folder / ("0.csv" if n in (0, 3) else "1.csv")
+            os.replace(path, target)
+            os.utime(target, (n, n))
+        load_raw(layers, entity, str(folder), RUNS[0])
+        counts.append(layers.table(RAW, entity.raw_table).count())
+    assert counts == [1, 2, 2, 3]
+    load_raw(layers, entity, str(folder), RUNS[1], LoadOptions(skip_loaded=False))
+    assert layers.table(RAW, entity.raw_table).count() == 5
+    load_clean(layers, entity, RUNS[1])
+    found = layers.table(CLEAN, entity.clean_table).select("partner_name", "contact_number")
+    assert rows(found) == [("A", "09"), ("B", "02")]
+
+
+@pytest.mark.parametrize("log_facts", [False, True])
+def test_incremental_load_of_nothing(layers, tmp_path, log_facts):
+    for name in ("orders", "customers", "returns"):
+        path = _write(str(tmp_path), name, FILES[name])
+        options = LoadOptions(log_facts=log_facts)
+        run_entity(layers, ENTITIES[name], path, RUNS[0], options)
+        before = rows(layers.table(CURATED, ENTITIES[name].curated_table))
+        options = LoadOptions(log_facts=log_facts, since=RUNS[1])
+        run_entity(layers, ENTITIES[name], path, RUNS[1], options)
+        assert rows(layers.table(CURATED, ENTITIES[name].curated_table)) == before
+        clean = layers.table(CLEAN, ENTITIES[name].clean_table)
+        assert clean.count() == len(FILES[name])
+
+
 def test_null_in_a_required_column_aborts(layers, tmp_path):
     entity = ENTITIES["customers"]
     path = _write(str(tmp_path), "customers", ["1,Ann,,a@x,1990-01-01,01,2020-01-01"])

@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs
@@ -17,11 +18,21 @@ from tiermart.operators.dedupe import dedupe_latest
 from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply, scd2_pass, stamped
 from tiermart.operators.quality import require_not_null
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
-from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, LOAD_TS, UPDATED_TS, Entity
+from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, LOAD_TS, UPDATED_TS, Entity, struct
 from tiermart.sources.csv import read_raw
-from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
+from tiermart.sources.files import list_files
+from tiermart.sources.tables import CLEAN, COMMON, CURATED, RAW, Layers
 
 MASTER = "master_orders"
+# files loaded into a raw table; one such table each, as loads run in parallel
+HISTORY_SCHEMA = struct(
+    [
+        ("file_name", T.StringType()),
+        ("file_size", T.LongType()),
+        ("last_modified", T.TimestampNTZType()),
+        ("loaded_at", T.TimestampNTZType()),
+    ]
+)
 
 
 @dataclass(frozen=True)
@@ -34,6 +45,8 @@ class LoadOptions:
     null_safe: treat a change to or from NULL as a change.
     repeat_facts: load insert-only facts a second time by plain append, which
     doubles every row.
+    skip_loaded: files that the raw table holds already (same name, size and
+    modification time) are not loaded again.
     enforce_required: a NULL in a column declared NOT NULL aborts the load.
     buckets: hash buckets of replaced tables; 0 leaves them unbucketed.
     log_facts: clean tables of facts are logs: a load appends its rows, and a view
@@ -49,6 +62,7 @@ class LoadOptions:
     two_step_versions: bool = False
     null_safe: bool = False
     repeat_facts: bool = False
+    skip_loaded: bool = True
     enforce_required: bool = True
     buckets: int = 0
     log_facts: bool = False
@@ -88,9 +102,31 @@ def load_raw(
     run_ts: RunTs = None,
     options: LoadOptions = LoadOptions(),
 ) -> None:
-    """Append the files to the raw table."""
-    rows = read_raw(layers.spark, path, entity, run_ts, options.hash_content)
+    """Append the files to the raw table.
+
+    The history of loaded files is written after the rows: a load that fails in
+    between is repeated, and the clean layer removes the rows that came twice.
+    """
+    spark = layers.spark
+    layers.create_table(RAW, entity.raw_table, entity.raw_schema)
+    if not options.skip_loaded:
+        rows = read_raw(spark, path, entity, run_ts, options.hash_content)
+        layers.append(RAW, entity.raw_table, rows)
+        return
+    history = f"{entity.raw_table}_loads"
+    layers.create_table(COMMON, history, HISTORY_SCHEMA)
+    files = list_files(spark, path)
+    done = layers.table(COMMON, history).drop("loaded_at")
+    new = files.join(done, files.columns, "left_anti").select(*files.columns)
+    found = new.collect()  # names of files only
+    if not found:
+        return
+    names = [row.file_name for row in found]
+    rows = read_raw(spark, names, entity, run_ts, options.hash_content)
     layers.append(RAW, entity.raw_table, rows)
+    loaded = spark.createDataFrame(found, new.schema)
+    loaded = loaded.withColumn("loaded_at", run_timestamp(run_ts))
+    layers.append(COMMON, history, loaded.select(*HISTORY_SCHEMA.names))
 
 
 def load_clean(
