@@ -11,7 +11,7 @@ from tiermart.operators.dedupe import dedupe_latest
 from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply
 from tiermart.operators.lookup import as_of
 from tiermart.operators.quality import check_unique
-from tiermart.operators.skew import CELL, find_cells
+from tiermart.operators.skew import CELL, divide_by, find_cells
 from tiermart.plans import analytics
 from tiermart.plans.wide import MASTER_COLUMNS, build_master_orders
 from tiermart.session import materialise, scratch_path
@@ -138,6 +138,29 @@ def test_no_task_gets_a_hot_key_whole(spark, tables):
     assert largest < N / 3 / 3 * 1.1
 
 
+@pytest.mark.parametrize("products, repeats", [(1000, False), (1, True)])
+def test_rows_that_differ_need_no_repeated_partners(spark, products, repeats):
+    """An order with a third of all items and a third of all returns."""
+    items = spark.range(0, 9000, 1, 4).select(
+        _hot(F.col("id"), -1).alias("order_id"), (F.col("id") % products).alias("product_id"), "id"
+    )
+    returns = items.filter("id % 9 < 4").select("order_id", "product_id", F.col("id").alias("r"))
+    key = ["order_id"]
+    cells = find_cells({"j": [(items, key), (returns, key)]})["j"]
+    cells = divide_by(cells, items, key, ["product_id"], first=1, then=0)
+    placed = cells.place(items, key, {0: ["id"], 1: ["product_id"]})
+    partners = cells.place(returns, key, {1: ["product_id"]})
+    assert placed.count() == 9000
+    assert (partners.count() > returns.count()) == repeats
+    largest = placed.groupBy("order_id", CELL).count().agg(F.max("count")).first()[0]
+    assert largest < 2000
+    if products > 1:
+        joined = placed.join(partners, [*cells.on(key), "product_id"], "left").drop(CELL)
+        plain = items.join(returns, ["order_id", "product_id"], "left")
+        columns = ["order_id", "product_id", "id", "r"]
+        assert rows(joined.select(*columns)) == rows(plain.select(*columns))
+
+
 def test_hot_keys_on_both_sides_meet_once(spark):
     left = spark.range(0, 600, 1, 4).select(_hot(F.col("id"), -1).alias("k"), F.col("id").alias("a"))
     right = spark.range(0, 300, 1, 4).select(_hot(F.col("id"), -1).alias("k"), F.col("id").alias("b"))
@@ -288,25 +311,27 @@ def test_guarded_upsert_divides_a_hot_new_key(spark, no_broadcast):
     assert merged.count() == 2 * N and merged.filter("k = -1").count() == N // 3
 
 
-def test_run_time_split_of_a_point_in_time_lookup(spark, small_skew):
-    facts = materialise(
-        spark.range(0, N, 1, 8).select(
-            _hot(F.col("id"), 1).alias("k"), F.lit(T[3]).cast("timestamp_ntz").alias("at"), "id"
-        ),
-        "facts",
+def test_point_in_time_lookup_divides_a_hot_key(spark, no_broadcast):
+    facts = spark.range(0, N, 1, 8).select(
+        _hot(F.col("id"), 1).alias("k"), F.lit(T[3]).cast("timestamp_ntz").alias("at"), "id"
     )
-    dim = materialise(
-        spark.range(0, N, 1, 8).select(
-            F.col("id").alias("k"),
-            F.lit(T[0]).cast("timestamp_ntz").alias("effective_start_date"),
-            F.lit(None).cast("timestamp_ntz").alias("effective_end_date"),
-            F.col("id").alias("v"),
-        ),
-        "dim",
+    dim = spark.range(0, N, 1, 8).select(
+        F.col("id").alias("k"),
+        F.lit(T[0]).cast("timestamp_ntz").alias("effective_start_date"),
+        F.lit(None).cast("timestamp_ntz").alias("effective_end_date"),
+        F.col("id").alias("v"),
     )
     found = as_of(facts, dim, ["k"], "at", ["v"])
-    assert "skew=true" in final_plan(found)
-    assert found.filter("v = k").count() == N
+    assert "__cell" in plan(found, "simple")
+    assert found.filter("v = k").count() == found.count() == N
+
+
+def test_run_time_split_of_a_plain_join(spark, small_skew):
+    left = materialise(spark.range(0, N, 1, 8).select(_hot(F.col("id"), 1).alias("k"), "id"), "l")
+    right = materialise(spark.range(0, N, 1, 8).select(F.col("id").alias("k")), "r")
+    joined = left.join(right, "k", "left")
+    assert "skew=true" in final_plan(joined)
+    assert joined.count() == N
 
 
 def test_history_takes_no_part_in_the_join(spark, no_broadcast):

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tiermart.operators.skew import divided_join
 from tiermart.schemas import IS_CURRENT, VALID_FROM, VALID_TO
 
 
@@ -21,20 +22,18 @@ def as_of(
     """Facts with the dimension columns that were valid at the fact's time `at`.
 
     A version is valid from its start up to, not including, its end. The keys
-    carry the join; the interval is tested on the matched versions only.
+    carry the join, hot ones among the facts divided; the interval is tested on
+    the matched versions only.
     """
     versions = dim.select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)],
-        F.col(VALID_FROM).alias("__from"),
-        F.col(VALID_TO).alias("__to"),
-        *columns,
+        *keys, F.col(VALID_FROM).alias("__from"), F.col(VALID_TO).alias("__to"), *columns
     )
-    condition = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)]
-    condition += [
+    valid = [
         F.col(at) >= F.col("__from"),
         F.col("__to").isNull() | (F.col(at) < F.col("__to")),
     ]
-    return facts.join(versions, condition, how).select(*facts.columns, *columns)
+    joined = divided_join(facts, versions, keys, how, valid)
+    return joined.select(*facts.columns, *columns)
 
 
 def current_rows(dim: DataFrame) -> DataFrame:

@@ -13,10 +13,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # A key is looked for from this share of a table's rows, so at most 200 keys of
@@ -72,9 +72,20 @@ class Cells:
 
     key_types: list[str]
     dimensions: int
+    # hash of the key columns -> cells along each dimension
+    sizes: dict[int, list[int]] = field(default_factory=dict)
     table: DataFrame | None = None
-    # largest number of cells along each dimension
-    largest: tuple[int, ...] = ()
+
+    def sized(self, spark: SparkSession, sizes: dict[int, list[int]]) -> Cells:
+        if not sizes:
+            return replace(self, sizes={}, table=None)
+        columns = ", ".join(f"__n{i} bigint" for i in range(self.dimensions))
+        rows = [(key, *places) for key, places in sizes.items()]
+        table = spark.createDataFrame(rows, f"__hot bigint, {columns}")
+        return replace(self, sizes=sizes, table=table)
+
+    def any_along(self, dimension: int) -> bool:
+        return any(places[dimension] > 1 for places in self.sizes.values())
 
     def on(self, keys: Sequence[str]) -> list[str]:
         """The columns to join placed tables on."""
@@ -92,7 +103,7 @@ class Cells:
         if _types(df, keys) != self.key_types:
             raise ValueError(f"join keys {list(keys)} differ in type between the tables")
         sizes = [F.col(f"__n{i}") for i in range(self.dimensions)]
-        repeated = [i for i in range(self.dimensions) if i not in divided and self.largest[i] > 1]
+        repeated = [i for i in range(self.dimensions) if i not in divided and self.any_along(i)]
         copies = F.lit(1).cast("bigint")
         for i in repeated:
             copies = copies * sizes[i]
@@ -161,17 +172,37 @@ def find_cells(
         places = sizes[name].setdefault(row.key, [1] * len(joins[name]))
         places[i] = max(2, math.ceil(row.share * partitions * 2))
 
-    def cells(name: str) -> Cells:
-        none = no_cells(*joins[name][0], len(joins[name]))
-        if not sizes[name]:
-            return none
-        dimensions = ", ".join(f"__n{i} bigint" for i in range(none.dimensions))
-        rows = [(key, *places) for key, places in sizes[name].items()]
-        table = spark.createDataFrame(rows, f"__hot bigint, {dimensions}")
-        largest = tuple(max(n) for n in zip(*sizes[name].values()))
-        return replace(none, table=table, largest=largest)
-
-    return {name: cells(name) for name in joins}
+    return {
+        name: no_cells(*group[0], len(group)).sized(spark, sizes[name])
+        for name, group in joins.items()
+    }
+
+
+def divide_by(
+    cells: Cells, df: DataFrame, keys: Sequence[str], by: Sequence[str], first: int, then: int
+) -> Cells:
+    """Cells that divide the rows of `df` along dimension `first` by the columns `by`,
+    and along `then` only as far as rows of a key agree in `by`.
+
+    Tables that know `by` are then not repeated for rows that differ in it. One
+    small job, over the hot keys only.
+    """
+    if not cells.any_along(then):
+        return cells
+    hot = F.broadcast(cells.table.select("__hot"))
+    per_value = (
+        df.select(F.xxhash64(*keys).alias("__hot"), *by)
+        .join(hot, "__hot")
+        .groupBy("__hot", *by)
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    largest = per_value.groupBy("__hot").agg((F.max("n") / F.sum("n")).alias("share"))
+    agreeing = {row["__hot"]: row.share for row in largest.collect()}  # one row per hot key
+    sizes = {key: list(places) for key, places in cells.sizes.items()}
+    for key, places in sizes.items():
+        places[first] = max(places[first], places[then])
+        places[then] = math.ceil(places[then] * agreeing.get(key, 1))
+    return cells.sized(df.sparkSession, sizes)
 
 
 def divided_join(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs
 from tiermart.operators.lookup import current_rows
-from tiermart.operators.skew import CELL, find_cells, no_cells
+from tiermart.operators.skew import CELL, divide_by, find_cells, no_cells
 
 # Input tables and output columns.
 DIMENSIONS = ["products", "customers", "customer_addresses", "delivery_partners"]
@@ -138,6 +138,11 @@ def build_master_orders(
     keyed = {key: [(df, [key]) for df in group] for key, group in sides.items()}
     if split_hot_keys:
         cells = find_cells(keyed)
+        # along the dimension of the returns both items and returns are divided by
+        # product: a pair then meets in one cell, so the outer join stays exact
+        cells["order_id"] = divide_by(
+            cells["order_id"], items, ["order_id"], ["product_id"], first=2, then=0
+        )
     else:
         cells = {key: no_cells(*group[0], len(group)) for key, group in keyed.items()}
 
@@ -166,8 +171,6 @@ def build_master_orders(
         .drop("partner_key", CELL)
     )
 
-    # along the dimension of the returns both items and returns are divided by
-    # product: a pair then meets in one cell, so the outer join stays exact
     joined = (
         placed(items, "order_id", {0: ["order_item_id"], 2: ["product_id"]})
         .drop("order_item_id")
