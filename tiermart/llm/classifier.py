@@ -52,10 +52,11 @@ def _feature_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     features = [text_stats(text).features for text in texts_of(batch)]
     return pa.RecordBatch.from_arrays(
         [
+            pa.array(column(batch, "doc_id"), type=pa.int64()),
             pa.array(features, type=pa.list_(pa.float64())),
             pa.array(column(batch, "label"), type=pa.int32()),
         ],
-        names=["features", "label"],
+        names=["doc_id", "features", "label"],
     )
 
 
@@ -105,8 +106,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> Qu
         map_batches(
             labelled_documents(docs, labels, bound),
             _feature_batch,
-            "features array<double>, label int",
-        ).repartition(PARTS, F.xxhash64("features", "label")),
+            "doc_id long, features array<double>, label int",
+        ).repartition(PARTS, "doc_id"),
         "labelled",
     )
     width = len(FEATURES)

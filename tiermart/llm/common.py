@@ -61,6 +61,6 @@ def labelled_sample(labels: DataFrame, bound: int) -> DataFrame:
 
 
 def labelled_documents(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
-    """(text, label) of the documents in a bounded sample of labelled rows."""
+    """(doc_id, text, label) of the documents in a bounded sample of labelled rows."""
     sample = labelled_sample(labels, bound)
-    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("text", "label")
+    return docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
