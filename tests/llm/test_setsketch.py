@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 
 from tiermart.llm import setsketch
-from tiermart.llm.setsketch import NearDuplicates, joint_estimate, keep_one, minima, near_duplicates, registers, shingles
+from tiermart.llm.setsketch import NearDuplicates, keep_one, likely, minima, near_duplicates, registers, shingles
 
 SCHEMA = "doc_id long, text string, kept string, n_shingles int, node int"
 
@@ -97,17 +97,22 @@ def test_keep_one(spark):
     assert sorted(map(tuple, kept.collect()), key=repr) == sorted([rows[0], rows[2], rows[4], rows[5]], key=repr)
 
 
-def test_estimates_are_near_the_similarity():
+def test_likelihood_finds_the_similarity():
+    """Sketches on both sides of a similarity, and the maximum of the likelihood itself."""
     rng = np.random.default_rng(0)
-    errors = []
+    estimates, truth = [], []
     for _ in range(150):
         shared, a, b = rng.integers(50, 2000), rng.integers(0, 500), rng.integers(0, 500)
         values = rng.integers(0, 2**64, shared + a + b, dtype=np.uint64)
         left, right = values[: shared + a], np.concatenate([values[:shared], values[shared + a :]])
         x, y = registers(minima(left)).astype(int), registers(minima(right)).astype(int)
-        got = joint_estimate(np.array([(x > y).sum()]), np.array([(x < y).sum()]), np.array([len(left)]), np.array([len(right)]))[0]
-        errors.append(got - shared / (shared + a + b))
-    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.045
+        counts = [np.array([n]) for n in ((x > y).sum(), (x < y).sum(), len(left), len(right))]
+        steps = [t for t in np.arange(0.005, 1, 0.005) if likely(t, *counts)[0]]
+        estimates.append(max(steps, default=0))
+        assert steps == [t for t in np.arange(0.005, 1, 0.005) if t <= estimates[-1]]
+        truth.append(shared / (shared + a + b))
+    errors = np.array(estimates) - truth
+    assert abs(errors.mean()) < 0.01 and errors.std() < 0.045
 
 
 def test_minima_of_a_union():

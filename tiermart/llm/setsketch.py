@@ -22,7 +22,7 @@ REGISTERS = BANDS * ROWS
 BASE = 1.001  # registers are logarithms to this base
 RATE = 20.0
 LIMIT = 65_534  # largest register, below it is 0
-BLOCK = 512  # documents of one side when a bucket is compared in blocks
+BLOCK = 256  # documents of one side when a bucket is compared in blocks
 
 _MULTIPLIERS, _SHIFTS = (
     np.random.default_rng(20_211).integers(0, 2**64, (2, REGISTERS), dtype=np.uint64)
@@ -80,41 +80,31 @@ def registers(least: np.ndarray) -> np.ndarray:
     return np.clip(places, 0, LIMIT).astype("<u2")
 
 
-def joint_estimate(
-    higher: np.ndarray, lower: np.ndarray, n_left: np.ndarray, n_right: np.ndarray
+def likely(
+    least: float, higher: np.ndarray, lower: np.ndarray, n_left: np.ndarray, n_right: np.ndarray
 ) -> np.ndarray:
-    """Maximum-likelihood similarity of pairs of sets of known sizes.
+    """Whether the maximum-likelihood similarity of pairs of sets of known sizes is `least` or more.
 
-    `higher` and `lower` count the registers in which the left sketch is above and below the right one.
-    The likelihood is concave in the similarity, so halving its derivative's range finds the maximum.
+    `higher` and `lower` count the registers in which the left sketch is above and below the right
+    one. The likelihood of a similarity is concave, so its maximum lies at `least` or above
+    if its slope there is not negative.
     """
-    total = n_left + n_right
-    u, v = n_left / total, n_right / total
+    u = n_left / (n_left + n_right)
+    v = 1 - u
+    possible = np.minimum(u, v) >= least * np.maximum(u, v)
+    spacing, scale = (BASE - 1) / BASE, math.log(BASE)
+    a, b = np.maximum(u - v * least, 1e-12), np.maximum(v - u * least, 1e-12)
+    # chance of a register above and below, and its change with the similarity
+    above, below = -np.log1p(-a * spacing) / scale, -np.log1p(-b * spacing) / scale
+    d_above = -v * spacing / (1 - a * spacing) / scale
+    d_below = -u * spacing / (1 - b * spacing) / scale
     equal = REGISTERS - higher - lower
-    low, high = np.zeros(len(u)), np.minimum(u / v, v / u)
-    spacing = (BASE - 1) / BASE
-    scale = math.log(BASE)
-
-    def share(x: np.ndarray) -> np.ndarray:
-        return -np.log1p(-np.clip(x, 0, 1) * spacing) / scale
-
-    def slope(x: np.ndarray) -> np.ndarray:
-        return spacing / (1 - np.clip(x, 0, 1) * spacing) / scale
-
-    for _ in range(30):
-        middle = (low + high) / 2
-        a, b = u - v * middle, v - u * middle
-        above, below = share(a), share(b)
-        d_above, d_below = -v * slope(a), -u * slope(b)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            rising = (
-                np.where(higher > 0, higher * d_above / above, 0)
-                + np.where(lower > 0, lower * d_below / below, 0)
-                - np.where(equal > 0, equal * (d_above + d_below) / (1 - above - below), 0)
-            )
-        up = ~(rising < 0)
-        low, high = np.where(up, middle, low), np.where(up, high, middle)
-    return (low + high) / 2
+    slope = (
+        higher * d_above / above
+        + lower * d_below / below
+        - equal * (d_above + d_below) / (1 - above - below)
+    )
+    return possible & (slope >= 0)
 
 
 @dataclass(frozen=True)
@@ -126,9 +116,14 @@ class NearDuplicates:
 
     @property
     def least_estimate(self) -> float:
-        """Five standard deviations of the estimate below the threshold."""
+        """Four standard deviations of the estimate below the threshold."""
         t = self.percent / 100
-        return t - 5 * math.sqrt(t * (1 - t) / REGISTERS)
+        return t - 4 * math.sqrt(t * (1 - t) / REGISTERS)
+
+
+    def links(self, one: np.ndarray, other: np.ndarray) -> bool:
+        shared = len(np.intersect1d(one, other, assume_unique=True))
+        return 100 * shared >= self.percent * (len(one) + len(other) - shared)
 
 
 SKETCH = "row_id long, n_shingles long, class string, sketch binary"
@@ -160,21 +155,75 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
 
 
 def _buckets(firsts: DataFrame) -> DataFrame:
-    """(bucket, node): one row per band of each sketch."""
+    """(bucket, band, node): one row per band of each sketch."""
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 1)),
-        lambda i: F.xxhash64(i, F.substring("sketch", i * (2 * ROWS) + 1, F.lit(2 * ROWS))),
+        lambda i: F.struct(
+            F.xxhash64(i, F.substring("sketch", i * (2 * ROWS) + 1, F.lit(2 * ROWS))).alias("bucket"),
+            i.alias("band"),
+        ),
     )
-    return firsts.select(F.explode(bands).alias("bucket"), "node")
+    return firsts.select(F.explode(bands).alias("key"), "node").select("key.*", "node")
 
 
 def _crowded(buckets: DataFrame) -> DataFrame:
-    """(bucket, size, pivot) of the buckets that hold several documents."""
-    return (
+    """The buckets that hold several documents; of buckets with the same documents that of the
+    first band."""
+    found = (
         buckets.groupBy("bucket")
-        .agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"))
+        .agg(
+            F.count(F.lit(1)).alias("size"),
+            F.min("band").alias("band"),
+            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("one"),
+            F.bit_xor(F.xxhash64("node", F.lit(2))).alias("two"),
+        )
         .where(F.col("size") > 1)
     )
+    return (
+        found.groupBy("size", "one", "two")
+        .agg(F.min(F.struct("band", "bucket")).alias("first"))
+        .select("first.bucket")
+    )
+
+
+def _placed(members: DataFrame, grouped: DataFrame | None) -> DataFrame:
+    """members(bucket, band, node) with their present component, at first themselves."""
+    if grouped is None:
+        return members.withColumn("component", F.col("node"))
+    known = grouped.select("node", F.col("component").alias("found"))
+    return members.join(known, "node", "left").select(
+        "bucket", "band", "node", F.coalesce("found", "node").alias("component")
+    )
+
+
+def _cores(placed: DataFrame, turn: int) -> DataFrame:
+    """(bucket, size, core) of buckets with several components: `core` (n, component, pivot) is
+    the one with most members, and the pivot a member that a hash of the turn chooses."""
+    groups = placed.groupBy("bucket", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("node", F.xxhash64("node", F.lit(turn))).alias("pivot")
+    )
+    return (
+        groups.groupBy("bucket")
+        .agg(
+            F.sum("n").alias("size"),
+            F.max(F.struct("n", "component", "pivot")).alias("core"),
+            F.count(F.lit(1)).alias("components"),
+        )
+        .where(F.col("components") > 1)
+        .drop("components")
+    )
+
+
+def _proposals(placed: DataFrame, turn: int) -> DataFrame:
+    """(left, right): one pair for each document outside a core of its buckets, with the pivot of
+    the largest one."""
+    return (
+        placed.join(materialise(_cores(placed, turn), "cores"), "bucket")
+        .where(F.col("component") != F.col("core.component"))
+        .groupBy("node")
+        .agg(F.max(F.struct("core.n", "core.pivot")).alias("best"))
+        .select(F.col("best.pivot").alias("left"), F.col("node").alias("right"))
+    )
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, rule: NearDuplicates) -> DataFrame:
@@ -197,9 +246,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, rule: NearDuplicates) -> DataF
             for a, b, one, other in zip(
                 *(column(batch, n) for n in ("left", "right", "left_text", "right_text"))
             ):
-                x, y = of(a, one), of(b, other)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * shared >= rule.percent * (len(x) + len(y) - shared):
+                if rule.links(of(a, one), of(b, other)):
                     kept.append((a, b))
             if kept:
                 columns = [pa.array(v, type=pa.int64()) for v in zip(*kept)]
@@ -212,7 +259,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, rule: NearDuplicates) -> DataF
 
 
 def _estimated(pairs: DataFrame, firsts: DataFrame, rule: NearDuplicates) -> DataFrame:
-    """The (left, right) pairs whose joint estimate is near the threshold or above."""
+    """The (left, right) pairs whose likeliest similarity is near the threshold or above."""
     sketch = firsts.select("node", "sketch", "n_shingles")
     sides = pairs
     for side in ("left", "right"):
@@ -228,8 +275,8 @@ def _estimated(pairs: DataFrame, firsts: DataFrame, rule: NearDuplicates) -> Dat
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         a, b = (_sketch_matrix(column(batch, f"{s}_sketch")) for s in ("left", "right"))
         n, m = (np.array(column(batch, f"{s}_n"), dtype=float) for s in ("left", "right"))
-        estimate = joint_estimate((a > b).sum(axis=1), (a < b).sum(axis=1), n, m)
-        return batch.select(["left", "right"]).filter(pa.array(estimate >= rule.least_estimate))
+        good = likely(rule.least_estimate, (a > b).sum(axis=1), (a < b).sum(axis=1), n, m)
+        return batch.select(["left", "right"]).filter(pa.array(good))
 
     return map_batches(
         sides, lambda b: run(b) if b.num_rows else None, "left long, right long"
@@ -240,66 +287,110 @@ def _sketch_matrix(values: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(values), dtype="<u2").reshape(-1, REGISTERS)
 
 
-def _candidates(
-    members: DataFrame, firsts: DataFrame, rule: NearDuplicates, top: int
+def _sides(placed: DataFrame) -> DataFrame:
+    """The members of buckets with several components, with (mine, others): their block, and how many
+    blocks from 0 on it meets.
+
+    The rest of a bucket has the blocks with the smallest numbers, its core the others. Blocks of the
+    core meet those of the rest only, so a large group that is united costs one
+    comparison per member and block of others.
+    """
+    core = F.col("core.n")
+    mixed = materialise(
+        _cores(placed, 0).select(
+            "bucket",
+            F.col("core.component").alias("core"),
+            F.ceil((F.col("size") - core) / BLOCK).cast("int").alias("rest"),
+            F.ceil(core / BLOCK).cast("int").alias("cores"),
+        ),
+        "mixed",
+    )
+    hashed = F.xxhash64("node", F.lit(3))
+    in_core = F.col("component") == F.col("core")
+    return placed.join(mixed, "bucket").select(
+        "bucket",
+        "band",
+        "node",
+        "component",
+        F.when(in_core, F.col("rest") + F.pmod(hashed, F.col("cores")))
+        .otherwise(F.pmod(hashed, F.col("rest")))
+        .cast("int")
+        .alias("mine"),
+        F.when(in_core, F.col("rest")).otherwise(F.col("rest") + F.col("cores")).alias("others"),
+    )
+
+
+def _block_links(
+    placed: DataFrame, firsts: DataFrame, texts: DataFrame, rule: NearDuplicates
 ) -> DataFrame:
-    """(left, right, more): for each document and pair of blocks its `top` likeliest partners of
-    other components in the same bucket.
+    """(left, right): links that unite the components which meet in a bucket.
 
-    `more` tells that there were others. Buckets meet in blocks, so none is too large for
-    a task, and only the likeliest partners leave it.
+    In each pair of blocks the pairs of different components that are likely are verified by their full
+    sets, the likeliest first, unless earlier ones have united them. A pair is
+    compared in the first band that both share.
     """
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = (
-        members.join(firsts.select("node", "sketch", "n_shingles"), "node")
-        .withColumn("blocks", blocks)
-        .withColumn("mine", F.pmod(F.xxhash64("node", F.lit(3)), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(
-            "bucket", F.least("mine", "other").alias("low"), F.greatest("mine", "other").alias("high"),
-            "mine", "node", "component", "sketch", "n_shingles",
-        )
-    )
+        _sides(placed)
+        .join(firsts.select("node", "sketch", "n_shingles"), "node")
+        .join(texts, "node")
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+        .withColumn("low", F.least("mine", "other"))
+        .withColumn("high", F.greatest("mine", "other"))
+        .drop("other", "others")
+    )
 
     def compare(key, table):
-        nodes = np.array(table.column("node").to_pylist(), dtype=np.int64)
+        low, high = key[1].as_py(), key[2].as_py()
+        nodes = table.column("node").to_pylist()
         groups = np.array(table.column("component").to_pylist(), dtype=np.int64)
         mine = np.array(table.column("mine").to_pylist())
         sizes = np.array(table.column("n_shingles").to_pylist(), dtype=float)
         sketch = _sketch_matrix(table.column("sketch").to_pylist())
-        sides = key[1].as_py() != key[2].as_py()
-        out = []
-        for i in range(len(nodes)):
-            others = groups != groups[i]
-            # sizes alone bound the similarity
-            others &= np.minimum(sizes, sizes[i]) * 100 >= rule.percent * np.maximum(sizes, sizes[i])
-            if sides:
-                others &= mine != mine[i]
-            js = np.flatnonzero(others)
+        earlier = ROWS * table.column("band")[0].as_py()
+        pairs = []
+        for i in range(len(nodes) - 1):
+            others = groups[i + 1 :] != groups[i]
+            if low != high:
+                others &= mine[i + 1 :] != mine[i]
+            js = i + 1 + np.flatnonzero(others)
             if not len(js):
                 continue
-            above = (sketch[i] > sketch[js]).sum(axis=1)
-            below = (sketch[i] < sketch[js]).sum(axis=1)
-            estimate = joint_estimate(above, below, np.full(len(js), sizes[i]), sizes[js])
-            good = estimate >= rule.least_estimate
-            js, estimate = js[good], estimate[good]
-            for j in js[np.lexsort((nodes[js], -estimate))][:top]:
-                out.append((min(nodes[i], nodes[j]), max(nodes[i], nodes[j]), len(js) > top))
-        left, right, more = zip(*out) if out else ([], [], [])
+            higher = (sketch[i] > sketch[js]).sum(axis=1)
+            lower = (sketch[i] < sketch[js]).sum(axis=1)
+            good = likely(rule.least_estimate, higher, lower, np.full(len(js), sizes[i]), sizes[js])
+            js, unequal = js[good], (higher + lower)[good]
+            if earlier and len(js):
+                same = (sketch[i, :earlier] == sketch[js, :earlier]).reshape(len(js), -1, ROWS)
+                new = ~same.all(axis=2).any(axis=1)
+                js, unequal = js[new], unequal[new]
+            pairs += [(int(d), i, int(j)) for d, j in zip(unequal, js)]
+        whole = table.column("text")
+        sets: dict[int, np.ndarray] = {}
+
+        def of(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingles(whole[i].as_py(), rule.size)
+            return sets[i]
+
+        root: dict[int, int] = {}
+
+        def find(g: int) -> int:
+            while root.get(g, g) != g:
+                g = root[g]
+            return g
+
+        links = []
+        for _, i, j in sorted(pairs):
+            a, b = find(groups[i]), find(groups[j])
+            if a != b and rule.links(of(i), of(j)):
+                root[max(a, b)] = min(a, b)
+                links.append((nodes[i], nodes[j]))
+        left, right = zip(*links) if links else ([], [])
         return pa.table(
-            {
-                "left": pa.array(left, type=pa.int64()),
-                "right": pa.array(right, type=pa.int64()),
-                "more": pa.array(more, type=pa.bool_()),
-            }
+            {"left": pa.array(left, type=pa.int64()), "right": pa.array(right, type=pa.int64())}
         )
 
-    return (
-        dealt.groupBy("bucket", "low", "high")
-        .applyInArrow(compare, "left long, right long, more boolean")
-        .groupBy("left", "right")
-        .agg(F.max("more").alias("more"))
-    )
+    return dealt.groupBy("bucket", "low", "high").applyInArrow(compare, "left long, right long")
 
 
 def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFrame:
@@ -338,44 +429,19 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) ->
     crowded = materialise(_crowded(buckets), "crowded")
     members = materialise(buckets.join(crowded, "bucket"), "members")
 
-    pivots = (
-        members.where(F.col("node") != F.col("pivot"))
-        .groupBy("node")
-        .agg(F.min("pivot").alias("left"))
-        .select("left", F.col("node").alias("right"))
-    )
     near = materialise(members.select("node").distinct(), "near")
     texts = materialise(_texts(named, firsts.join(near, "node"), rule), "texts")
-    tried = materialise(_estimated(pivots, firsts, rule), "tried")
-    links = materialise(_verified(tried, texts, rule), "links")
-    top = 1
-    while True:
+    links = grouped = None
+    turn, asked, united = 0, 1, 1
+    while asked and 4 * united >= asked:
+        pairs = materialise(_proposals(_placed(members, grouped), turn), "pairs")
+        found = materialise(_verified(_estimated(pairs, firsts, rule), texts, rule), "found")
+        links = found if links is None else links.union(found)
         grouped = materialise(connected_components(links, "left", "right"), "components")
-        placed = members.join(
-            grouped.select("node", F.col("component").alias("found")), "node", "left"
-        ).select("bucket", "size", "node", F.coalesce("found", "node").alias("component"))
-        mixed = materialise(
-            placed.groupBy("bucket")
-            .agg(F.min("component").alias("first"), F.max("component").alias("last"))
-            .where(F.col("first") != F.col("last"))
-            .select("bucket"),
-            "mixed",
-        )
-        if mixed.isEmpty():
-            break
-        found = materialise(
-            _candidates(placed.join(mixed, "bucket"), firsts, rule, top), "candidates"
-        )
-        fresh = materialise(
-            found.select("left", "right").join(tried, ["left", "right"], "left_anti"), "fresh"
-        )
-        if fresh.isEmpty():
-            if found.where("more").isEmpty():
-                break
-        else:
-            links = materialise(links.union(_verified(fresh, texts, rule)), "links")
-            tried = materialise(tried.union(fresh), "tried")
-        top *= 8
+        turn, asked, united = turn + 1, pairs.count(), found.count()
+    placed = materialise(_placed(members, grouped), "placed")
+    links = materialise(links.union(_block_links(placed, firsts, texts, rule)), "links")
+    grouped = materialise(connected_components(links, "left", "right"), "components")
 
     known = materialise(_known(firsts, usable, grouped), "known")
     linked = every.join(known, F.col("row_id") == F.col("doc_id"), "left")
