@@ -162,10 +162,12 @@ def test_changes_of_a_log_are_found_by_the_scan(layers, tmp_path):
     assert "WindowGroupLimit" in plan(layers.table(CLEAN, entity.clean_table))
 
 
-def test_returns_are_appended_every_time(layers, tmp_path):
+def test_returns_are_repeated_on_request_only(layers, tmp_path):
     path = _write(str(tmp_path), "returns", FILES["returns"])
     for run in RUNS[:2]:
         run_entity(layers, ENTITIES["returns"], path, run)
+    assert layers.table(CURATED, "fact_returns").count() == 1
+    run_entity(layers, ENTITIES["returns"], path, RUNS[1], LoadOptions(repeat_facts=True))
     assert layers.table(CURATED, "fact_returns").count() == 2
 
 

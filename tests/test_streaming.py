@@ -1,3 +1,5 @@
+import os
+
 from helpers import rows
 from pyspark.sql import functions as F
 
@@ -5,8 +7,8 @@ from tiermart.plans.loads import LoadOptions, run_entity
 from tiermart.schemas import ENTITIES
 from tiermart.session import scratch_path
 from tiermart.sources.csv import write_csv
-from tiermart.sources.tables import CLEAN, CURATED, Layers
-from tiermart.streaming.ingest import ingest_available, raw_stream, upsert_available
+from tiermart.sources.tables import CLEAN, COMMON, CURATED, Layers
+from tiermart.streaming.ingest import BATCHES, ingest_available, raw_stream, upsert_available
 
 ENTITY = ENTITIES["delivery_partners"]
 FIRST = [("1", "Fast", "01", "North"), ("2", "Slow", "02", "South")]
@@ -68,16 +70,62 @@ def test_several_batches_in_one_run(spark):
     assert rows(clean) == [(1, "Fast", "01", "North"), (2, "Slow", "99", "South"), (3, "New", "03", "West")]
 
 
+def _stream(spark, layers, folder, checkpoint, run, versions=True):
+    stream = raw_stream(spark, folder, ENTITY, run)
+    upsert_available(stream, layers, ENTITY, checkpoint, run, versions).awaitTermination(120)
+
+
+def _state(layers):
+    clean = rows(layers.table(CLEAN, ENTITY.clean_table).select(*ENTITY.columns))
+    return clean, rows(layers.table(CURATED, ENTITY.curated_table).filter("is_current").select(*ENTITY.columns))
+
+
 def test_repeated_batch_gives_the_same_table(spark):
-    """A batch that is run again after a failure starts from the version before it."""
+    """A batch of one query that is run again, before and after its record was written."""
     layers = _layers(spark, "r")
-    folder = scratch_path(spark, "in")
-    for run, data in zip(RUNS, (FIRST, SECOND)):
+    folder, checkpoint = scratch_path(spark, "in"), scratch_path(spark, "c")
+    _files(spark, FIRST, folder)
+    _stream(spark, layers, folder, checkpoint, RUNS[0])
+    _files(spark, SECOND, folder)
+    _stream(spark, layers, folder, checkpoint, RUNS[1])
+    done, want = layers.table(COMMON, f"{ENTITY.clean_table}_batches"), _state(layers)
+    assert sorted((r.batch_id, r.version) for r in done.collect()) == [(0, 0), (1, 1)]
+    versions = layers.table(CURATED, ENTITY.curated_table).count()
+    for lost in (False, True):
+        for name in ("1", ".1.crc"):  # as if the driver had died before the commit
+            os.remove(os.path.join(checkpoint, "commits", name))
+        if lost:
+            kept = [tuple(r) for r in done.filter("batch_id = 0").collect()]
+            layers.drop(COMMON, f"{ENTITY.clean_table}_batches")
+            layers.append(COMMON, f"{ENTITY.clean_table}_batches", spark.createDataFrame(kept, BATCHES))
+        _stream(spark, layers, folder, checkpoint, RUNS[1])
+        assert _state(layers) == want
+        assert layers.table(CURATED, ENTITY.curated_table).count() == versions
+
+
+def test_streams_and_batch_loads_share_a_table(spark):
+    layers = _layers(spark, "x")
+    folder, alone = scratch_path(spark, "in"), scratch_path(spark, "alone")
+    _files(spark, [("7", "Old", "07", "East")], alone)
+    run_entity(layers, ENTITY, alone, RUNS[0])
+    for n, data in enumerate((FIRST, SECOND)):
         _files(spark, data, folder)
-    for checkpoint in ("c1", "c2"):
-        stream = raw_stream(spark, folder, ENTITY, RUNS[0])
-        upsert_available(
-            stream, layers, ENTITY, scratch_path(spark, checkpoint), RUNS[0], True
-        ).awaitTermination(120)
-        found = rows(layers.table(CURATED, ENTITY.curated_table).select(*ENTITY.columns))
-        assert [r[0] for r in found] == [1, 2, 3]
+        _stream(spark, layers, folder, scratch_path(spark, "c") if n else folder + "-c", RUNS[0])
+        more = scratch_path(spark, "more")
+        _files(spark, [(str(8 + n), "Batch", "08", "East")], more)
+        run_entity(layers, ENTITY, more, RUNS[1], LoadOptions(since=RUNS[1]))
+    want = [(1, "Fast", "01", "North"), (2, "Slow", "99", "South"), (3, "New", "03", "West"), (7, "Old", "07", "East")]
+    want += [(8, "Batch", "08", "East"), (9, "Batch", "08", "East")]
+    assert _state(layers) == (want, want)
+
+
+def test_older_file_in_a_later_batch_changes_nothing(spark):
+    layers = _layers(spark, "o")
+    old, new = scratch_path(spark, "old"), scratch_path(spark, "new")
+    _files(spark, [("2", "Slow", "02", "South"), ("5", "Five", "05", "South")], old)
+    _files(spark, SECOND, new)
+    for folder, run in ((new, RUNS[0]), (old, RUNS[1])):
+        _stream(spark, layers, folder, scratch_path(spark, "c"), run)
+    want = [(2, "Slow", "99", "South"), (3, "New", "03", "West"), (5, "Five", "05", "South")]
+    assert _state(layers) == (want, want)
+    assert layers.table(CURATED, ENTITY.curated_table).count() == 3

@@ -119,9 +119,13 @@ def scd1_upsert(
     insert_defaults: Mapping[str, str] | None = None,
     source_unique: bool = False,
     incremental: bool = False,
+    newer_by: Sequence[str] = (),
 ) -> DataFrame:
     """Overwrite matched rows, insert new ones, keep the rest of the target.
 
+    With `newer_by`, a source row that is older in these columns, compared in turn with NULL as the
+    oldest, leaves its target row as it is.
+
     `set_columns` are overwritten on a match (default: every source column that
     is not a key); other target columns keep their value. Inserts take the
     source columns, `insert_defaults` for the rest. Both write `last_updated_ts`.
@@ -148,12 +152,17 @@ def scd1_upsert(
             return (F.col(f.name) if given is None else given[f.name]).cast(f.dataType)
         return F.lit(insert_defaults.get(f.name)).cast(f.dataType)
 
+    def not_older(kept: Callable[[str], Column], given: Column) -> Column:
+        if not newer_by:
+            return F.lit(True)
+        return F.struct(*[given[c] for c in newer_by]) >= F.struct(*[kept(c) for c in newer_by])
+
     if source_unique and not incremental:
         old, new = F.col("__target"), F.col(_SOURCE)
         pairs = target.select(*keys, F.struct(*target.columns).alias("__target")).join(
             source.select(*keys, F.struct(*source.columns).alias(_SOURCE)), list(keys), "full"
         )
-        hit = new.isNotNull()
+        hit = new.isNotNull() & not_older(old.getField, new)
         return pairs.select(
             *[
                 F.when(old.isNull(), inserted(f, new))
@@ -163,8 +172,9 @@ def scd1_upsert(
             ]
         )
 
-    joined = _looked_up(target, source, keys, set_columns, source_unique)
-    joined = joined.withColumn("__hit", _guarded(F.lit(True)))
+    looked_up = list(dict.fromkeys([*set_columns, *newer_by]))
+    joined = _looked_up(target, source, keys, looked_up, source_unique)
+    joined = joined.withColumn("__hit", _guarded(not_older(F.col, F.col(_SOURCE))))
     rows = joined.select(
         *[
             updated(f, F.col("__hit"), F.col(f.name), F.col(_SOURCE)).alias(f.name)

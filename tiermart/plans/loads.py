@@ -24,6 +24,8 @@ from tiermart.sources.files import list_files
 from tiermart.sources.tables import CLEAN, COMMON, CURATED, RAW, Layers
 
 MASTER = "master_orders"
+# the row of the newer file, then of the later copy, is the newer one
+NEWER_BY = [LOAD_TS, "_copy_data_ts"]
 # files loaded into a raw table; one such table each, as loads run in parallel
 HISTORY_SCHEMA = struct(
     [
@@ -151,7 +153,9 @@ def load_clean(
     if options.log_facts and not entity.is_dimension:
         rows = source.withColumn(UPDATED_TS, run_timestamp(run_ts))
         rows = rows.select(*entity.clean_schema.names)
-        layers.append_latest(CLEAN, entity.clean_table, rows, entity.key, UPDATED_TS)
+        layers.append_latest(
+            CLEAN, entity.clean_table, rows, entity.key, [*NEWER_BY, UPDATED_TS]
+        )
         return
     target = layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema)
     keys = list(merge_key or entity.key)
@@ -166,6 +170,7 @@ def load_clean(
         run_ts=run_ts,
         source_unique=keys == entity.key,
         incremental=options.incremental,
+        newer_by=NEWER_BY,
     )
     layers.replace(
         CLEAN, entity.clean_table, merged, bucket_by=keys, buckets=options.buckets
@@ -183,7 +188,7 @@ def load_curated(
         since = run_timestamp(options.since)
         source = layers.changes(CLEAN, entity.clean_table, UPDATED_TS, since)
         # several loads since then may have written the same key
-        source = dedupe_latest(source, entity.key, [UPDATED_TS])
+        source = dedupe_latest(source, entity.key, [*NEWER_BY, UPDATED_TS])
     else:
         source = layers.table(CLEAN, entity.clean_table)
     source = source.select(*entity.typed_columns, UPDATED_TS)
@@ -213,10 +218,9 @@ def load_curated(
         return
     layers.create_table(CURATED, table, entity.curated_schema)
     target = layers.table(CURATED, table)
-    if entity.curate == "insert_only":
-        rows = new_rows(target, source, entity.key, run_ts, True, options.incremental)
-        layers.append(CURATED, table, rows)
-    if entity.curate == "append" or options.repeat_facts:
+    rows = new_rows(target, source, entity.key, run_ts, True, options.incremental)
+    layers.append(CURATED, table, rows)
+    if options.repeat_facts:
         layers.append(CURATED, table, stamped(source, target.columns, run_ts))
 
 

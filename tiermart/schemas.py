@@ -42,7 +42,7 @@ class Entity:
     name: str
     fields: list[tuple[str, T.DataType]]
     key: list[str]
-    # how the curated layer is fed: "versioned", "insert_only" or "append"
+    # how the curated layer is fed: "versioned" or "insert_only"
     curate: str
     # curated match key and compared attributes of versioned entities
     version_key: list[str] = field(default_factory=list)
@@ -54,7 +54,7 @@ class Entity:
     foreign_keys: list[tuple[list[str], str, list[str]]] = field(default_factory=list)
     nullable: bool = False
     # quoted line breaks may occur; such files cannot be split between tasks
-    multi_line: bool = True
+    multi_line: bool = False
 
     @property
     def is_dimension(self) -> bool:
@@ -151,6 +151,7 @@ ENTITIES: dict[str, Entity] = {
             # an address that moves to another customer opens a second version
             version_key=["address_id", "customer_id"],
             tracked=["address", "city", "state", "zip_code", "country"],
+            multi_line=True,
             foreign_keys=[(["customer_id"], "customers", ["customer_id"])],
         ),
         Entity(
@@ -209,7 +210,6 @@ ENTITIES: dict[str, Entity] = {
             key=["order_id"],
             curate="insert_only",
             foreign_keys=[(["customer_id"], "customers", ["customer_id"])],
-            multi_line=False,
         ),
         Entity(
             name="order_items",
@@ -227,7 +227,6 @@ ENTITIES: dict[str, Entity] = {
                 (["order_id"], "orders", ["order_id"]),
                 (["product_id"], "products", ["product_id"]),
             ],
-            multi_line=False,
         ),
         Entity(
             name="deliveries",
@@ -242,7 +241,6 @@ ENTITIES: dict[str, Entity] = {
             key=["delivery_id"],
             curate="insert_only",
             foreign_keys=[(["order_id"], "orders", ["order_id"])],
-            multi_line=False,
         ),
         Entity(
             name="returns",
@@ -254,7 +252,7 @@ ENTITIES: dict[str, Entity] = {
                 ("return_reason", _S),
             ],
             key=["return_id"],
-            curate="append",
+            curate="insert_only",
             foreign_keys=[
                 (["order_id"], "orders", ["order_id"]),
                 (["product_id"], "products", ["product_id"]),
@@ -274,7 +272,6 @@ ENTITIES: dict[str, Entity] = {
             key=["payment_id"],
             curate="insert_only",
             foreign_keys=[(["order_id"], "orders", ["order_id"])],
-            multi_line=False,
         ),
     ]
 }

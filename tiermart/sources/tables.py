@@ -119,19 +119,22 @@ class Layers:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.version_name(layer, table, old)}")
 
     def append_latest(
-        self, layer: str, table: str, df: DataFrame, keys: Sequence[str], order: str
+        self, layer: str, table: str, df: DataFrame, keys: Sequence[str], order: Sequence[str]
     ) -> None:
         """Append rows to the log of a table whose view shows the latest row per key.
 
-        Nothing that is stored already is read or written again. Rows of one
-        append must have unique keys and share one value of `order`.
+        The latest is the one with the largest `order`, NULL being the smallest; all other columns
+        decide between equal ones. Nothing that is stored already is read or written
+        again.
         """
         log = self.log_name(layer, table)
         self.append(layer, log, df)
         columns, by_key = ", ".join(df.columns), ", ".join(keys)
+        rest = [c for c in df.columns if c not in keys and c not in order]
+        latest = ", ".join(f"{c} DESC NULLS LAST" for c in [*order, *rest])
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT {columns} FROM ("
-            f"SELECT *, row_number() OVER (PARTITION BY {by_key} ORDER BY {order} DESC) AS nth "
+            f"SELECT *, row_number() OVER (PARTITION BY {by_key} ORDER BY {latest}) AS nth "
             f"FROM {self.name(layer, log)}) AS log WHERE nth = 1"
         )
 

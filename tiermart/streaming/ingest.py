@@ -3,15 +3,27 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs
 from tiermart.operators.merge import scd1_upsert, scd2_apply
-from tiermart.plans.loads import clean_source
-from tiermart.schemas import AUDIT_COLUMNS, Entity
+from tiermart.plans.loads import NEWER_BY, clean_source
+from tiermart.schemas import AUDIT_COLUMNS, UPDATED_TS, Entity, struct
 from tiermart.sources.csv import csv_options, file_columns, metadata_key, normalise_nulls
-from tiermart.sources.tables import CLEAN, CURATED, Layers
+from tiermart.sources.tables import CLEAN, COMMON, CURATED, Layers
+
+# merged batches, and the version of the clean table that each one wrote
+BATCHES = struct(
+    [("query_id", T.StringType()), ("batch_id", T.LongType()), ("version", T.LongType())]
+)
+
+
+def _query_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that a streaming query keeps over restarts; a new checkpoint has a new one."""
+    return spark.read.schema("id string").json(f"{checkpoint}/metadata").first()["id"]
 
 
 def raw_stream(
@@ -61,40 +73,50 @@ def upsert_available(
 ) -> StreamingQuery:
     """Merge every micro-batch into the clean table, optionally into versions too.
 
-    Batch n reads version n - 1 of a table and writes version n, so a batch that
-    is repeated after a failure writes the same result to the same place. The
-    reduced batch is stored first: it feeds several joins, and Spark then knows
+    A batch starts from the published tables, whoever wrote them, so batch loads and several streams
+    may share a table, one writer at a time. A row older than the stored one changes
+    nothing. Batches that were merged are recorded with the id of their query: a batch
+    repeated after a failure is not merged again; one that failed before its
+    record was written finds its own rows there and leaves them as they are.
+    The reduced batch is stored first: it feeds several joins, and Spark then knows
     whether it is small enough to leave the target in place.
     """
-
-    def state(layer: str, table: str, schema, batch_id: int) -> DataFrame:
-        if batch_id == 0:
-            return layers.spark.createDataFrame([], schema)
-        return layers.spark.table(layers.version_name(layer, table, batch_id - 1))
+    done = f"{entity.clean_table}_batches"
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        query_id = _query_id(layers.spark, checkpoint)
+        layers.create_table(COMMON, done, BATCHES)
+        this = (F.col("query_id") == query_id) & (F.col("batch_id") == batch_id)
+        if not layers.table(COMMON, done).filter(this).isEmpty():
+            return
         source = layers.stage(f"batch_{entity.clean_table}", clean_source(batch, entity))
         clean = scd1_upsert(
-            state(CLEAN, entity.clean_table, entity.clean_schema, batch_id),
+            layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema),
             source,
             entity.key,
             run_ts=run_ts,
             source_unique=True,
             incremental=True,
+            newer_by=NEWER_BY,
         )
-        layers.replace(CLEAN, entity.clean_table, clean, version=batch_id)
-        if not versions:
-            return
-        dim = scd2_apply(
-            state(CURATED, entity.curated_table, entity.curated_schema, batch_id),
-            source.withColumn("last_updated_ts", run_timestamp(run_ts)),
-            entity.version_key,
-            entity.tracked,
-            run_ts,
-            source_unique=True,
-            incremental=True,
-        )
-        layers.replace(CURATED, entity.curated_table, dim, version=batch_id)
+        layers.replace(CLEAN, entity.clean_table, clean)
+        if versions:
+            # the newest row of each key of the batch, which may be an earlier one
+            newest = layers.table(CLEAN, entity.clean_table).join(
+                source.select(*entity.key), entity.key, "left_semi"
+            )
+            dim = scd2_apply(
+                layers.table_or_empty(CURATED, entity.curated_table, entity.curated_schema),
+                newest.select(*entity.typed_columns, UPDATED_TS),
+                entity.version_key,
+                entity.tracked,
+                run_ts,
+                source_unique=True,
+                incremental=True,
+            )
+            layers.replace(CURATED, entity.curated_table, dim)
+        record = [(query_id, batch_id, layers.versions(CLEAN, entity.clean_table)[-1])]
+        layers.append(COMMON, done, layers.spark.createDataFrame(record, BATCHES))
 
     return (
         stream.writeStream.foreachBatch(merge)
