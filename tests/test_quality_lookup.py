@@ -53,12 +53,21 @@ def test_checks_of_an_entity(spark):
     assert rows(checks["foreign_key_customers"]) == [(6, 1)]
 
 
-@pytest.mark.parametrize("width", [1, 7, 1000])
-def test_surrogate_keys_are_gapless_and_ordered(spark, width):
-    ids = [-9, -8, 0, 3, 6, 7, 8, 20, 700, 5000]
-    df = spark.createDataFrame([(i,) for i in reversed(ids)], "id long").repartition(3)
-    keyed = assign_surrogate_key(df, "sk", "id", start=100, rows_per_range=width)
-    assert rows(keyed) == [(100 + n, i) for n, i in enumerate(ids)]
+@pytest.mark.parametrize("partitions", [1, 3, 8])
+def test_surrogate_keys_are_gapless_and_ordered(spark, conf, partitions):
+    conf(shuffle__partitions=partitions)
+    ids = [-9, -8, 0, 3, 3, 7, 700, 50_000, None, None]
+    values = list(zip(ids, "abcdfghikl"))
+    df = spark.createDataFrame(list(reversed(values)), "id long, name string").repartition(3)
+    keyed = assign_surrogate_key(df, "sk", "id", start=100)
+    assert rows(keyed) == [(100 + n, *row) for n, row in enumerate(values)]
+
+
+def test_surrogate_keys_of_equal_rows_and_of_none(spark):
+    df = spark.createDataFrame([(None, {"a": 1})] * 500, "id string, m map<string,int>")
+    keyed = assign_surrogate_key(df, "sk", "id")
+    assert sorted(r.sk for r in keyed.collect()) == list(range(1, 501))
+    assert assign_surrogate_key(df.limit(0), "sk", "id").collect() == []
 
 
 def test_as_of_takes_the_version_valid_at_the_time(spark):

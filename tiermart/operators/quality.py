@@ -8,9 +8,11 @@ from operator import and_
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tiermart.operators.skew import divided_join
 from tiermart.schemas import Entity
+from tiermart.session import materialise
 
 
 def check_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,26 +90,37 @@ def require_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def assign_surrogate_key(
-    df: DataFrame,
-    key_name: str,
-    order_by: str,
-    start: int = 1,
-    rows_per_range: int = 1_000_000,
+    df: DataFrame, key_name: str, order_by: str, start: int = 1
 ) -> DataFrame:
-    """Gapless keys from `start`, ascending by a unique integer column.
+    """Gapless keys from `start`, ascending by any column that can be sorted.
 
-    The rows are numbered inside fixed ranges of `order_by`; being unique, a
-    range holds at most `rows_per_range` rows. Each range starts after the rows
-    of all lower ranges, a running sum over one row per range. Neither step
-    sorts all rows in one task.
+    NULLs come last; rows with equal values are ordered by the remaining columns. The rows are sorted
+    into ranges of about equal size, equal rows included, and stored with the number of
+    their range. Each range starts after the rows of all lower ones, a running sum over one
+    row per range; a window numbers the rows inside a range.
     """
-    ranged = df.withColumn("__range", F.expr(f"`{order_by}` div {rows_per_range}"))
-    sizes = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    others = [
+        f.name
+        for f in df.schema
+        if f.name != order_by and not isinstance(f.dataType, (T.MapType, T.VariantType))
+    ]
+    place, tie = "__range", "__tie"
+    order = [F.asc_nulls_last(c) for c in (order_by, *others, tie)]
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialise(
+        # numbers the rows, so that ranges can divide equal ones
+        df.withColumn(tie, F.monotonically_increasing_id())
+        .repartitionByRange(partitions, *order)
+        .withColumn(place, F.spark_partition_id()),
+        "ranges",
+    )
+    sizes = ranged.groupBy(place).agg(F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy(place).rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        "__range", F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
+        place, F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before")
+    )
+    numbered = ranged.withColumn(
+        "__nth", F.row_number().over(Window.partitionBy(place).orderBy(*order))
     )
-    inside = Window.partitionBy("__range").orderBy(order_by)
-    numbered = ranged.withColumn("__nth", F.row_number().over(inside))
     key = (F.col("__before") + F.col("__nth") + F.lit(start - 1)).cast("bigint")
-    return numbered.join(offsets, "__range").select(key.alias(key_name), *df.columns)
+    return numbered.join(offsets, place).select(key.alias(key_name), *df.columns)

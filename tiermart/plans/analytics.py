@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiermart.functions import exact_mean, growth_percentage, mean, percentage
+from tiermart.operators.dedupe import dedupe_latest
 from tiermart.plans.wide import DELIVERED
 
 REPORT_SIZE = 10
@@ -39,11 +40,15 @@ def _ranked(report: DataFrame, amount: str, *keys: str) -> DataFrame:
 
 
 def order_grain(master: DataFrame) -> DataFrame:
-    """One row per order: the order-level columns without the item fan-out."""
-    return master.select(
+    """One row per order: the order-level columns without the item fan-out.
+
+    Where versions of the customer join, the order keeps one of them, chosen by the columns' values.
+    """
+    columns = master.select(
         "order_id", "customer_id", "customer_name", "gender",
         "order_date", "order_status", "total_value",
-    ).distinct()
+    )
+    return dedupe_latest(columns, ["order_id"], ["order_date"])
 
 
 # ---- sales ------------------------------------------------------------------
