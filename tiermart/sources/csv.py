@@ -27,10 +27,6 @@ CSV_OPTIONS = {
 }
 CORRUPT = "_corrupt_record"
 
-# File names and their keys are joined to the rows by broadcast up to this many
-# files (at most some 100 MB); beyond it by an ordinary join.
-MAX_BROADCAST_FILES = 100_000
-
 
 def csv_options(
     multi_line: bool = True, mode: str = "FAILFAST", header: bool = True
@@ -101,7 +97,6 @@ def with_audit(
     entity: Entity,
     run_ts: RunTs = None,
     hash_content: bool = True,
-    max_broadcast_files: int = MAX_BROADCAST_FILES,
 ) -> DataFrame:
     """Add file name, modification time, content key and load time.
 
@@ -118,8 +113,6 @@ def with_audit(
     keys = content_keys(spark, path).select(
         F.col("file_name").alias("_stg_file_name"), F.col("content_key").alias("_stg_file_md5")
     )
-    if len(scan.inputFiles()) <= max_broadcast_files:
-        keys = F.broadcast(keys)
     return (
         rows.join(keys, "_stg_file_name", "left")
         .withColumn("_copy_data_ts", run_timestamp(run_ts))

@@ -2,16 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tiermart.functions.columns import instant_in_zone
 
-# Above this size a file is not read as one value; its key then comes from
-# path, size and modification time.
-MAX_HASHED_BYTES = 256 * 1024 * 1024
-
-
 def _files(spark: SparkSession, path: str | list[str], pattern: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern is not None:
@@ -31,22 +26,27 @@ def list_files(
 
 
 def content_keys(
-    spark: SparkSession,
-    path: str | list[str],
-    pattern: str | None = None,
-    max_bytes: int = MAX_HASHED_BYTES,
+    spark: SparkSession, path: str | list[str], pattern: str | None = None
 ) -> DataFrame:
-    """One row per file: `file_name` and an MD5 `content_key`.
+    """One row per file with lines: `file_name` and an MD5 `content_key`.
 
-    The size test reaches the reader, so large files are never opened.
+    The key is made from the number of lines and two sums over the MD5 of each line, so files of any
+    size are read in parts and combined before the shuffle. Files with the same lines, in
+    whichever order and with whichever line ends, have the same key.
     """
-    files = _files(spark, path, pattern)
-    name = F.col("_metadata.file_path").alias("file_name")
-    small = files.filter(F.col("length") <= max_bytes).select(
-        name, F.md5("content").alias("content_key")
+    reader = spark.read.option("recursiveFileLookup", "true")
+    if pattern is not None:
+        reader = reader.option("pathGlobFilter", pattern)
+    digest = F.md5("value")
+
+    def part(start: int) -> Column:
+        return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(20,0)")
+
+    lines = reader.text(path).select(
+        F.col("_metadata.file_path").alias("file_name"), part(1).alias("one"), part(16).alias("two")
     )
-    stamp = F.concat_ws("|", "path", "length", F.unix_micros("modificationTime"))
-    large = files.filter(F.col("length") > max_bytes).select(
-        name, F.md5(stamp).alias("content_key")
+    return (
+        lines.groupBy("file_name")
+        .agg(F.count(F.lit(1)).alias("lines"), F.sum("one").alias("one"), F.sum("two").alias("two"))
+        .select("file_name", F.md5(F.concat_ws("|", "lines", "one", "two")).alias("content_key"))
     )
-    return small.unionByName(large)
