@@ -10,12 +10,16 @@ from tiermart.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         master="local[8]",
         shuffle_partitions=4,
-        conf={"spark.driver.memory": "4g", "spark.sql.session.timeZone": "UTC"},
+        conf={
+            "spark.driver.memory": "4g",
+            "spark.sql.session.timeZone": "UTC",
+            "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A key is looked for from this share of a table's rows, so at most 200 keys of
 # a table are hot. It is raised where shuffle partitions are so few that such a
@@ -205,6 +206,14 @@ def divide_by(
     return cells.sized(df.sparkSession, sizes)
 
 
+def _holds(kind: T.DataType, parts: tuple[type[T.DataType], ...]) -> bool:
+    """Whether a type is or contains one of `parts`."""
+    inner = [f.dataType for f in kind.fields] if isinstance(kind, T.StructType) else []
+    if isinstance(kind, T.ArrayType):
+        inner = [kind.elementType]
+    return isinstance(kind, parts) or any(_holds(i, parts) for i in inner)
+
+
 def divided_join(
     left: DataFrame,
     right: DataFrame,
@@ -217,13 +226,18 @@ def divided_join(
 
     `how` keeps the left side: inner, left, left_semi or left_anti.
     """
+    unhashable = (T.MapType, T.VariantType)
+    for key in keys:
+        if isinstance(left.schema[key].dataType, unhashable):
+            raise ValueError(f"rows cannot be joined on {key}")
     cells = find_cells({"left": [(left, keys)]})["left"]
     kinds = {f.name: f.dataType for f in left.schema}
     # a value that does not fit the type of the left key cannot equal one
     right = right.withColumns(
         {k: F.col(k).try_cast(kinds[k]) for k in keys if right.schema[k].dataType != kinds[k]}
     )
-    divided = cells.place(left, keys, {0: left.columns})
+    hashed = [f.name for f in left.schema if not _holds(f.dataType, unhashable)]
+    divided = cells.place(left, keys, {0: hashed})
     repeated = cells.place(right, keys, {})
     on = cells.on(keys)
     if cells.table is not None:
