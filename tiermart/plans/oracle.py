@@ -274,6 +274,9 @@ FROM r_master GROUP BY 1 ORDER BY orders_count DESC, daily_order LIMIT 1
     "cust_retention_rate_distinct": _retention("count(DISTINCT order_id)"),
     "sales_total_revenue_by_order": f"""
 SELECT {_SUM.format('total_value')} AS total_sales_revenue FROM r_order
+""",
+    "sales_total_revenue_by_order_renamed": f"""
+SELECT {_SUM.format('total_value')} AS total_sales_revenue FROM r_order
 """,
     "sales_average_order_value_by_order": _rounded_mean("r_order"),
     "master_orders": "SELECT * FROM r_master",
@@ -307,7 +310,7 @@ def _load_filter(number: int, loads: int = 2) -> str:
     if number > 0:
         bounds.append(f"o_orderdate >= {_ts(LOADS[number - 1])}")
     if number < loads - 1:
-        bounds.append(f"o_orderdate < {_ts(LOADS[number])}")
+        bounds.append(f"(o_orderdate < {_ts(LOADS[number])} OR o_orderdate IS NULL)")
     return " AND ".join(bounds)
 
 
@@ -367,7 +370,7 @@ _LINE_KEYS = ["l_orderkey", "l_linenumber"]
 
 
 def _line_state(comparison: str) -> str:
-    rows = f"(SELECT * FROM lineitem WHERE l_shipdate {comparison} {_T2}) AS shipped"
+    rows = f"(SELECT * FROM lineitem WHERE coalesce(l_shipdate, {_ts('1900-01-01 00:00:00')}) {comparison} {_T2}) AS shipped"
     return _latest(rows, _LINE_KEYS, ["l_shipdate"], _LINE_COLUMNS)
 
 
@@ -482,6 +485,34 @@ SELECT customer.* FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM even
 """,
     "surrogate_keys": """
 SELECT row_number() OVER (ORDER BY o_orderkey) AS order_sk, o_orderkey, o_custkey FROM orders
+""",
+    "surrogate_keys_sparse": """
+SELECT row_number() OVER (ORDER BY place NULLS LAST, o_orderkey) AS order_sk, place, o_orderkey
+FROM (SELECT CASE WHEN o_orderstatus <> 'O' THEN o_custkey * 1000003 END AS place, o_orderkey FROM orders) AS o
+""",
+    "quality_checks_items": f"""
+WITH latest_lines AS ({_LINES}), r_items AS ({_ITEMS})
+SELECT 'unique' AS "check", CAST(0 AS BIGINT) AS violations
+UNION ALL
+SELECT 'not_null', CAST(max(CASE WHEN order_id % 97 = 0 THEN 1 ELSE 0 END) AS BIGINT) FROM r_items
+UNION ALL
+SELECT 'foreign_key_orders', CAST(0 AS BIGINT)
+UNION ALL
+SELECT 'foreign_key_products', CAST(max(CASE WHEN order_id % 89 = 0 THEN 1 ELSE 0 END) AS BIGINT) FROM r_items
+""",
+    "csv_file_keys": """
+WITH lines AS (
+  SELECT o_orderstatus, concat_ws(',', o_orderkey, o_custkey, o_orderstatus) AS value FROM orders
+),
+digests AS (
+  SELECT o_orderstatus, value, CAST('0x' || substr(md5(value), 1, 15) AS HUGEINT) AS one,
+         CAST('0x' || substr(md5(value), 16, 15) AS HUGEINT) AS two
+  FROM lines
+)
+SELECT o_orderstatus AS order_status,
+       md5(concat_ws('|', count(*), sum(one), sum(two))) AS content_key,
+       CAST(sum(strlen(value) + 1) AS BIGINT) AS file_size
+FROM digests GROUP BY o_orderstatus
 """,
     "csv_roundtrip": f"""
 SELECT CAST(address_id AS VARCHAR) AS address_id, CAST(customer_id AS VARCHAR) AS customer_id,
@@ -546,6 +577,39 @@ SELECT order_id, customer_id, order_date,
        total_value, address_id,
        CASE order_status WHEN 'Pending' THEN {_T2} ELSE {_T1} END AS last_updated_ts
 FROM ({_ORDERS}) AS r_orders
+""",
+    **{
+        f"load_clean_orders_late_file{mode}": f"""
+SELECT order_id, customer_id, order_date, order_status, total_value, address_id
+FROM ({_ORDERS}) AS r_orders
+"""
+        for mode in ("", "_incremental", "_log")
+    },
+    "load_fact_returns_twice": f"""
+WITH latest_lines AS ({_LINES}), r_returns AS ({_RETURNS})
+SELECT return_id, order_id, product_id, return_date, return_reason, {_T1} AS last_updated_ts
+FROM r_returns
+""",
+    "load_fact_payments": f"""
+SELECT p.*, {_T1} AS last_updated_ts FROM ({_PAYMENTS}) AS p
+""",
+    "stream_after_batch_customers": f"""
+WITH r_customers AS ({_CUSTOMERS})
+SELECT r_customers.*, CASE WHEN gender = 'Female' THEN {_T1} ELSE {_T2} END AS effective_start_date,
+       CAST(NULL AS TIMESTAMP) AS effective_end_date, true AS is_current,
+       CASE WHEN gender = 'Female' THEN {_T1} ELSE {_T2} END AS last_updated_ts
+FROM r_customers
+""",
+    "batch_between_streams": f"""
+WITH r_customers AS ({_CUSTOMERS})
+SELECT r_customers.*, CASE WHEN gender = 'Female' THEN {_T1} ELSE {_T2} END AS effective_start_date,
+       CASE WHEN gender = 'Female' THEN {_T3} END AS effective_end_date,
+       gender <> 'Female' AS is_current,
+       CASE WHEN gender = 'Female' THEN {_T3} ELSE {_T2} END AS last_updated_ts
+FROM r_customers
+UNION ALL
+SELECT customer_id, name, gender, email, dob, '1' || phone_number, joining_date, {_T3}, NULL, true, {_T3}
+FROM r_customers WHERE gender = 'Female'
 """,
     "load_master_orders": _on_master("SELECT * FROM r_master"),
     "stream_raw_ingest": f"""

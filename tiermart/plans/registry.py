@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,6 +29,7 @@ from tiermart.operators.merge import (
 )
 from tiermart.operators.quality import (
     assign_surrogate_key,
+    check_entity,
     check_foreign_key,
     check_not_null,
     check_unique,
@@ -53,7 +55,7 @@ from tiermart.sources.csv import (
     scan_typed,
     write_csv,
 )
-from tiermart.sources.files import list_files
+from tiermart.sources.files import content_keys, list_files
 from tiermart.sources.tables import CLEAN, CURATED, Layers
 from tiermart.streaming.ingest import ingest_available, raw_stream, upsert_available
 
@@ -130,6 +132,13 @@ def sales_total_revenue_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.total_sales_revenue(analytics.order_grain(master_table(spark, sf_dir)))
 
 
+def sales_total_revenue_by_order_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order joins a second version of its customer; each is still counted once."""
+    master = master_table(spark, sf_dir)
+    renamed = master.withColumn("customer_name", F.concat(F.lit("Former "), "customer_name"))
+    return analytics.total_sales_revenue(analytics.order_grain(master.unionByName(renamed)))
+
+
 def sales_average_order_value_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.average_order_value(analytics.order_grain(master_table(spark, sf_dir)))
 
@@ -201,12 +210,16 @@ def conform_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load(spark: SparkSession, sf_dir: str, number: int, loads: int = 2) -> DataFrame:
-    """Orders of one load; the loads together are the whole table."""
+    """Orders of one load; the loads together are the whole table.
+
+    Orders without a date are in the first load.
+    """
     df = _orders_with_open_priority(spark, sf_dir)
+    date = F.col("o_orderdate")
     if number > 0:
-        df = df.filter(F.col("o_orderdate") >= views.ts(LOADS[number - 1]))
+        df = df.filter(date >= views.ts(LOADS[number - 1]))
     if number < loads - 1:
-        df = df.filter(F.col("o_orderdate") < views.ts(LOADS[number]))
+        df = df.filter((date < views.ts(LOADS[number])) | date.isNull())
     return df
 
 
@@ -314,10 +327,10 @@ def scd2_apply_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scd2_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Versions of order lines by (order, line), lines shipped earlier loaded first."""
+    """Versions of order lines by (order, line), lines shipped earlier or never loaded first."""
     keys = ["l_orderkey", "l_linenumber"]
     lines = views.table(spark, sf_dir, "lineitem")
-    early = F.col("l_shipdate") < views.ts(LOADS[1])
+    early = F.coalesce(F.col("l_shipdate") < views.ts(LOADS[1]), F.lit(True))
 
     def state(rows: DataFrame, load: str) -> DataFrame:
         return (
@@ -410,6 +423,36 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_surrogate_key(orders, "order_sk", "o_orderkey")
 
 
+def surrogate_keys_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys by a column that is sparse, repeats, and is NULL for open orders."""
+    place = F.when(F.col("o_orderstatus") != "O", F.col("o_custkey") * 1_000_003)
+    orders = views.table(spark, sf_dir, "orders").select(place.alias("place"), "o_orderkey")
+    return assign_surrogate_key(orders, "order_sk", "place")
+
+
+def quality_checks_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All declared checks of the order items, with the violations of each.
+
+    Items of one order are without a quantity, items of another name an unknown product.
+    """
+    tables = _entities(spark, sf_dir)
+    first = F.col("order_id") % 97 == 0
+    items = tables["order_items"].withColumns(
+        {
+            "quantity": F.when(~first, F.col("quantity")),
+            "product_id": F.when(F.col("order_id") % 89 == 0, F.lit(-1).cast("bigint")).otherwise(
+                F.col("product_id")
+            ),
+        }
+    )
+    checks = check_entity(items, ENTITIES["order_items"], tables)
+    found = [
+        check.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
+        for name, check in checks.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 # ---- files ------------------------------------------------------------------
 
 
@@ -503,6 +546,19 @@ def csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def csv_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Content key, rows and size of each file; one file of order lines for each status."""
+    orders = views.table(spark, sf_dir, "orders")
+    line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus")
+    path = scratch_path(spark, "file-keys")
+    one = orders.select("o_orderstatus", line.alias("value")).repartition("o_orderstatus")
+    one.write.partitionBy("o_orderstatus").text(path)
+    status = F.regexp_extract("file_name", "o_orderstatus=([^/]*)/", 1)
+    keys = content_keys(spark, path, "*.txt").select(status.alias("order_status"), "content_key")
+    sizes = list_files(spark, path, "*.txt").select(status.alias("order_status"), "file_size")
+    return keys.join(sizes, "order_status")
+
+
 def stage_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Folders of a listing of all orders, written by status."""
     path = scratch_path(spark, "stage")
@@ -592,6 +648,54 @@ def load_clean_orders_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.table(CLEAN, entity.clean_table).select(*entity.columns, "last_updated_ts")
 
 
+def _late_file(spark: SparkSession, sf_dir: str, options: list[LoadOptions]) -> DataFrame:
+    """A file of orders is loaded after a newer one; the newer rows stay."""
+    entity = ENTITIES["orders"]
+    newer = views.source_columns({"orders": views.orders(spark, sf_dir)}, "orders")
+    older = newer.withColumn("order_status", F.lit("Outdated"))
+    paths = [_as_files(spark, df, "orders") for df in (older, newer)]
+    layers = _layers(spark, "orders_late")
+    layers.create()
+    for path, run_ts, choice in zip(reversed(paths), LOADS, options):
+        load_raw(layers, entity, path, run_ts)
+        load_clean(layers, entity, run_ts, choice)
+    return layers.table(CLEAN, entity.clean_table).select(*entity.columns)
+
+
+def load_clean_orders_late_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late_file(spark, sf_dir, [LoadOptions(), LoadOptions()])
+
+
+def load_clean_orders_late_file_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _late_file(spark, sf_dir, [LoadOptions(since=run_ts) for run_ts in LOADS[:2]])
+
+
+def load_clean_orders_late_file_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    options = [LoadOptions(since=run_ts, log_facts=True) for run_ts in LOADS[:2]]
+    return _late_file(spark, sf_dir, options)
+
+
+def load_fact_returns_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second run on the same files adds no returns."""
+    entity = ENTITIES["returns"]
+    path = _as_files(spark, views.source_columns(_entities(spark, sf_dir), "returns"), "returns")
+    layers = _layers(spark, "returns")
+    layers.create()
+    for run_ts in LOADS[:2]:
+        run_entity(layers, entity, path, run_ts)
+    return layers.table(CURATED, entity.curated_table)
+
+
+def load_fact_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payments from their file through the clean to the fact table."""
+    entity = ENTITIES["payments"]
+    text = views.source_columns({"payments": views.payments(spark, sf_dir)}, "payments")
+    layers = _layers(spark, "payments")
+    layers.create()
+    run_entity(layers, entity, _as_files(spark, text, "payments"), LOADS[0])
+    return layers.table(CURATED, entity.curated_table)
+
+
 def load_master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All entities from files to the wide table through all layers."""
     tables = _entities(spark, sf_dir)
@@ -636,6 +740,48 @@ def stream_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.table(CURATED, entity.curated_table)
 
 
+def _streamed(spark: SparkSession, layers: Layers, df: DataFrame, run_ts: str) -> None:
+    """One delivery of customers by a stream of its own."""
+    entity, folder = ENTITIES["customers"], scratch_path(spark, "incoming")
+    write_csv(df, folder)
+    upsert_available(
+        raw_stream(spark, folder, entity, run_ts),
+        layers,
+        entity,
+        scratch_path(spark, "checkpoint"),
+        run_ts,
+        versions=True,
+    ).awaitTermination()
+
+
+def _by_gender(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    customers = views.source_columns({"customers": views.customers(spark, sf_dir)}, "customers")
+    female = F.col("gender") == "Female"
+    return [customers.filter(female), customers.filter(~female)]
+
+
+def stream_after_batch_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch load, then a stream of other customers: the dimension holds both."""
+    layers = _layers(spark, "shared")
+    layers.create()
+    first, second = _by_gender(spark, sf_dir)
+    run_entity(layers, ENTITIES["customers"], _as_files(spark, first, "customers"), LOADS[0])
+    _streamed(spark, layers, second, LOADS[1])
+    return layers.table(CURATED, ENTITIES["customers"].curated_table)
+
+
+def batch_between_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams with a batch load between them; the last one changes the first one's rows."""
+    layers = _layers(spark, "between")
+    layers.create()
+    first, second = _by_gender(spark, sf_dir)
+    _streamed(spark, layers, first, LOADS[0])
+    run_entity(layers, ENTITIES["customers"], _as_files(spark, second, "customers"), LOADS[1])
+    changed = first.withColumn("phone_number", F.concat(F.lit("1"), F.col("phone_number")))
+    _streamed(spark, layers, changed, LOADS[2])
+    return layers.table(CURATED, ENTITIES["customers"].curated_table)
+
+
 # ---- beyond the wide table --------------------------------------------------
 
 
@@ -658,6 +804,7 @@ OPERATORS: list[Query] = [
     master_orders_by_address,
     master_orders_every_status,
     sales_total_revenue_by_order,
+    sales_total_revenue_by_order_renamed,
     sales_average_order_value_by_order,
     dedupe_latest_lineitem,
     dedupe_latest_events,
@@ -682,20 +829,30 @@ OPERATORS: list[Query] = [
     quality_orphans,
     quality_orphan_rows,
     surrogate_keys,
+    surrogate_keys_sparse,
+    quality_checks_items,
     csv_roundtrip,
     csv_audit_columns,
     csv_inline_cast,
     csv_null_tokens,
     csv_quarantine,
+    csv_file_keys,
     stage_listing,
     load_clean_customers,
     load_dim_customers,
     load_dim_customers_two_step,
     load_fact_orders,
     load_clean_orders_log,
+    load_clean_orders_late_file,
+    load_clean_orders_late_file_incremental,
+    load_clean_orders_late_file_log,
+    load_fact_returns_twice,
+    load_fact_payments,
     load_master_orders,
     stream_raw_ingest,
     stream_upsert_customers,
+    stream_after_batch_customers,
+    batch_between_streams,
     purchases_by_hour,
     visitor_conversion,
     payments_by_method,
