@@ -3,12 +3,17 @@
 from __future__ import annotations
 
 import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tiermart
+
 # white space between words: the byte classes of the contract, \x20 and \x09-\x0D
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -22,6 +27,26 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, which need not have it installed.
+
+    Spark serves the archive from the driver, once per application.
+    """
+    application = spark.sparkContext.applicationId
+    package = Path(tiermart.__file__).parent
+    if application in _SHIPPED or not package.is_dir():
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="package-"), f"{package.name}.zip")
+    with zipfile.ZipFile(archive, "w") as file:
+        for module in sorted(package.rglob("*.py")):
+            file.write(module, module.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _SHIPPED.add(application)
+
+
 def map_batches(
     df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str
 ) -> DataFrame:
@@ -33,6 +58,7 @@ def map_batches(
             if result is not None and result.num_rows:
                 yield result
 
+    ship_package(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
