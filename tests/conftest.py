@@ -26,6 +26,12 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def look_at_small_tables(monkeypatch):
+    """Hot keys are looked for in the small tables of the tests, too."""
+    monkeypatch.setattr("tiermart.operators.skew.SMALLEST_TABLE", 0)
+
+
 @pytest.fixture
 def conf(spark):
     """Set session settings for one test."""

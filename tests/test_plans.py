@@ -11,7 +11,7 @@ from tiermart.operators.dedupe import dedupe_latest
 from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply
 from tiermart.operators.lookup import as_of
 from tiermart.operators.quality import check_unique
-from tiermart.operators.skew import CELL, divide_by, find_cells
+from tiermart.operators.skew import CELL, divide_by, divided_join, find_cells
 from tiermart.plans import analytics
 from tiermart.plans.wide import MASTER_COLUMNS, build_master_orders
 from tiermart.session import materialise, scratch_path
@@ -184,6 +184,24 @@ def test_hot_null_keys_of_an_outer_join(spark):
     assert rows(joined.select("k", "a", "b")) == rows(left.join(right, "k", "left"))
 
 
+def test_small_tables_are_not_looked_at(spark, monkeypatch):
+    monkeypatch.setattr("tiermart.operators.skew.SMALLEST_TABLE", 1 << 30)
+    df = spark.range(0, 1000).select(F.lit(1).alias("k"))
+    monkeypatch.setattr("tiermart.operators.skew.hot_keys", None)  # would be called
+    assert find_cells({"j": [(df, ["k"])]})["j"].table is None
+
+
+def test_hot_keys_beside_a_map_and_with_unfit_keys(spark, no_broadcast):
+    left = spark.range(0, 3000).select(
+        F.lit(1).alias("k"), F.create_map(F.lit("a"), "id").alias("m"), "id"
+    )
+    right = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    joined = divided_join(left, right, ["k"], "left")
+    assert joined.count() == 3000 and joined.select("v").distinct().count() == 1
+    with pytest.raises(ValueError):
+        divided_join(left, left.select("m"), ["m"], "left_semi")
+
+
 def test_cells_need_equal_key_types(spark):
     left = spark.range(0, 100).select(F.lit(1).cast("bigint").alias("k"))
     cells = find_cells({"j": [(left, ["k"])]})["j"]

@@ -29,6 +29,10 @@ SMALLEST_SHARE, LARGEST_SHARE = 0.005, 0.1
 # input partitions, so neither a task nor the driver ever holds more.
 _GROUPS, _TOP, _TRACKED = 1024, 200, 2048
 
+# A table whose estimated size on disk is below this is not looked at: a task that got all rows
+# of one of its keys would still hold less than what Spark calls a skewed partition.
+SMALLEST_TABLE = 64 * 1024 * 1024
+
 CELL = "__cell"
 
 
@@ -67,6 +71,11 @@ def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], share: float) ->
     )
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's estimate; of a join it is an upper bound."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 @dataclass(frozen=True)
 class Cells:
     """Number of cells per hot key, one dimension per table that shares the key."""
@@ -144,7 +153,8 @@ def find_cells(
 ) -> dict[str, Cells]:
     """Cells for each named join, given its tables with their key columns.
 
-    Runs one small job for all joins. A hot key gets as many cells along a
+    Runs one small job for all joins of tables that are large enough to have hot keys, none if
+    there is no such table. A hot key gets as many cells along a
     table's dimension as make each hold about half an average shuffle partition.
     """
     # joins of one table are looked at in one pass over it
@@ -155,6 +165,9 @@ def find_cells(
             frames[id(df)] = df
             by_table.setdefault(id(df), []).append((name, i, keys))
     spark = next(iter(frames.values())).sparkSession
+    by_table = {t: uses for t, uses in by_table.items() if _estimated_bytes(frames[t]) >= SMALLEST_TABLE}
+    if not by_table:
+        return {name: no_cells(*group[0], len(group)) for name, group in joins.items()}
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if share is None:
         share = min(max(2 / partitions, SMALLEST_SHARE), LARGEST_SHARE)
