@@ -50,7 +50,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packing),
 ]
 
-# models, surrogates and token ids have no SQL; tests/llm/test_pipeline.py follows each stage instead
+# models, surrogates and token ids have no SQL; tests/llm/test_llm_queries.py follows each stage instead
 ORACLE_SQL = None
 
 
