@@ -37,6 +37,14 @@ def test_clean_texts(text):
     assert kinds(text) == []
 
 
+def test_numbers_beside_each_other():
+    parts = ["+1 (608) 555-2280", "37.92.178.161", "4111111111111111", "(608) 555-2280", "10.0.0.1", "+49 30 123456", "4111 1111 1111 1111"]
+    for a in parts:
+        for b in parts:
+            if a.startswith("4111 ") or "." in a or "." in b or b[0] in "+(":
+                assert [t for _, t in kinds(f"x {a} {b} y")] == [a, b]
+
+
 def test_surrogates_keep_type_format_gender_script_and_coreference():
     keyed = Surrogates(KEY)
     new = keyed.rewrite(TEXT, find_entities(TEXT))

@@ -44,10 +44,10 @@ DIGITS = re.compile(
     r"(?P<ip>(?:\d{1,3}\.){3}\d{1,3})(?![\w]|\.\d)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?![\w-])"
     r"|(?P<card>\d{13,19}|\d{4}(?P<sign>[ -])\d{4}(?P=sign)\d{4}(?P=sign)\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?![\w-]|\.\d)"
-    r"|(?P<phone>(?:\+\d{1,3}[ .-]?|00\d{1,3}[ .-])?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ ./-]?\d{2,5}){1,4})(?![\w-])"
+    r"|(?P<phone>(?:\+\d{1,3}[ .-]?|00\d{1,3}[ .-])?(?:\(\d{1,5}\)[ .-]?)?\d{2,5}(?:[ ./-]?\d{2,5}){1,4})(?![\w-]|\.\d)"
     r")"
-    r"|(?P<plus>\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{1,5}(?:[ ./-]?\d{2,5}){1,5})(?![\w-])"
-    r"|(?P<paren>(?<!\w)\(\d{2,5}\)[ .-]?\d{2,5}(?:[ ./-]?\d{2,5}){1,3})(?![\w-])"
+    r"|(?P<plus>\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{1,5}(?:[ ./-]?\d{2,5}){1,5})(?![\w-]|\.\d)"
+    r"|(?P<paren>(?<!\w)\(\d{2,5}\)[ .-]?\d{2,5}(?:[ ./-]?\d{2,5}){1,3})(?![\w-]|\.\d)"
 )
 IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]|\.\w)")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
