@@ -41,8 +41,8 @@ FEATURES = [
 def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """(doc_id, position, word, key, finding, before, after, path) of docs(doc_id, text, <path>).
 
-    Candidates are values of 12 or more characters with letters and digits, values of 6 or more behind a
-    secret word and = or :, and heads of private keys. `position` is the number of the
+    Candidates are values of 12 or more characters with letters and digits, values of an issued format, values
+    of 6 or more behind a secret word and = or :, and heads of private keys. `position` is the number of the
     word in the text, from 0; `key` is what the value is assigned to; `before` and
     `after` are the neighbouring words. A null text has none.
     """
@@ -51,7 +51,7 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     places = F.filter(
         F.sequence(F.lit(0), F.size("words") - 1),
         lambda i: F.expr("words")[i].rlike(
-            rf"[0-9].{{5}}|.{{5}}[0-9]|(?i)(?:{SECRET_WORDS})[\"']?[=:]|^-----BEGIN"
+            rf"[0-9].{{5}}|.{{5}}[0-9]|(?:{ISSUED})|^-----BEGIN|(?i)(?:{SECRET_WORDS})[\"']?[=:]"
         )
         | (
             (i >= 2)
@@ -100,7 +100,8 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         & F.col("finding").rlike("[A-Za-z]")
     )
     secret = F.col("key").rlike(rf"(?i)(?:{SECRET_WORDS})") & (F.length("finding") >= 6)
-    return named.where(pem | long | secret).select(
+    issued = F.col("finding").rlike(f"^(?:{ISSUED})$")
+    return named.where(pem | long | secret | issued).select(
         "doc_id", "position", "word", "key", "finding", "before", "after", "path"
     )
 
