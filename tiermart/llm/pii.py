@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from ipaddress import AddressValueError, IPv6Address
 from math import isqrt
 
 import pyarrow as pa
@@ -26,6 +27,11 @@ TITLES = {
     "m": "Mr Herr Monsieur Señor Sr Don господин".split(),
     "": "Dr Prof Professor Doctor".split(),
 }
+# country codes of one and two digits; all others have three
+COUNTRIES = frozenset(
+    "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
+    "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
 VOWELS = {"latin": "aeiou", "cyrillic": "аеиоуыэюя"}
 CONSONANTS = {"latin": "bcdfghjklmnprstvwz", "cyrillic": "бвгджзклмнпрстфхцчш"}
 
@@ -49,8 +55,11 @@ DIGITS = re.compile(
     r"|(?P<plus>\+\d{1,3}[ .-]?(?:\(\d{1,5}\)[ .-]?)?\d{1,5}(?:[ ./-]?\d{2,5}){1,5})(?![\w-]|\.\d)"
     r"|(?P<paren>(?<!\w)\(\d{2,5}\)[ .-]?\d{2,5}(?:[ ./-]?\d{2,5}){1,3})(?![\w-]|\.\d)"
 )
-IPV6 = re.compile(r"(?<![\w:.])(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}(?![\w:]|\.\w)")
-IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
+IPV6 = re.compile(
+    r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\w)"
+)
+IBAN = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
 PERSON = re.compile(
     rf"(?<!\w)(?:(?P<title>{'|'.join(sorted(GENDERS, key=len, reverse=True))})\.? (?P<named>{_SURNAME}(?: {_SURNAME})?)"
     rf"|(?P<given>{'|'.join(sorted(NAMES, key=len, reverse=True))}) (?P<family>{_SURNAME}))(?!\w)"
@@ -74,12 +83,50 @@ def luhn(digits: str) -> bool:
 
 
 def iban_valid(text: str) -> bool:
-    return int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+    """Whether the check digits are those that belong to the rest, which are 02 to 98."""
+    return 2 <= int(text[2:4]) <= 98 and int("".join(str(int(c, 36)) for c in text[4:] + text[:4])) % 97 == 1
+
+
+def _plain(text: str) -> str:
+    """The text with the digits of any script as 0-9."""
+    if text.isascii():
+        return text
+    return "".join(str(int(c)) if c.isdecimal() else c for c in text)
+
+
+def _digits_of(text: str) -> str:
+    return re.sub(r"\D", "", _plain(text))
+
+
+def _dialled(text: str) -> tuple[str, str]:
+    """The country code of a phone number and the digits behind it, without a (0) between them.
+
+    Without + or 00 there is no code.
+    """
+    plain = _plain(text)
+    if not plain.startswith(("+", "00")):
+        return "", _digits_of(plain)
+    digits = _digits_of(plain.replace("(0)", ""))
+    if plain[0] == "0":
+        digits = digits[2:]
+    size = next(n for n in (1, 2, 3) if n == 3 or digits[:n] in COUNTRIES)
+    return digits[:size], digits[size:]
+
+
+def _ipv6_valid(text: str) -> bool:
+    """Short forms need three groups and a digit, as names in programs are written alike."""
+    if "::" in text and (len(text.replace("::", ":").split(":")) < 3 or not re.search("[0-9]", text)):
+        return False
+    try:
+        IPv6Address(text)
+    except AddressValueError:
+        return False
+    return True
 
 
 def _number_kind(match: re.Match) -> str | None:
-    text = match.group()
-    digits = re.sub(r"\D", "", text)
+    text = _plain(match.group())
+    digits = _digits_of(text)
     if match["ip"]:
         parts = text.split(".")
         return "ip" if all(int(p) < 256 and str(int(p)) == p for p in parts) else None
@@ -104,7 +151,7 @@ def find_entities(text: str) -> list[Entity]:
     found: list[Entity] = []
     if "@" in text:
         found += [Entity(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
-    if any(map(text.__contains__, "0123456789")):
+    if re.search(r"\d", text):
         found += [Entity(m.start(), m.end(), "iban") for m in IBAN.finditer(text) if iban_valid(m.group().replace(" ", ""))]
         found += [
             Entity(m.start(), m.end(), kind)
@@ -112,7 +159,7 @@ def find_entities(text: str) -> list[Entity]:
             if (kind := _number_kind(m))
         ]
         if ":" in text:
-            found += [Entity(m.start(), m.end(), "ipv6") for m in IPV6.finditer(text)]
+            found += [Entity(m.start(), m.end(), "ipv6") for m in IPV6.finditer(text) if _ipv6_valid(m.group())]
     for match in PERSON.finditer(text):
         if match["given"] and match["family"].lower() != match["given"].lower():
             found.append(Entity(match.start(), match.end(), "person", NAMES[match["given"]][1]))
@@ -130,10 +177,11 @@ class Surrogates:
     """Keyed one-to-one replacements.
 
     Each replacement permutes the values of one type and format among themselves, so equal entities get equal
-    surrogates in every document and different entities different ones, without a table.
-    The permutation is a Feistel network on the positions of the value in
-    the list of all values of its format, repeated until the result is a value of the
-    same kind.
+    surrogates in every document and different entities different ones, without a table. What is
+    permuted is the canonical form of an entity, so that all ways to write it agree.
+    A Feistel network orders all values of a format, and a value is replaced by
+    the next one in this order that is of the same kind; so none
+    stays as it is where there is another.
     """
 
     def __init__(self, key: bytes) -> None:
@@ -156,17 +204,23 @@ class Surrogates:
             return value
         a = isqrt(size - 1) + 1
         b = -(-size // a)
+        place = self._placed(value, a, b, f"{tweak}/{size}", 1)
         while True:
-            left, right = divmod(value, b)
-            for turn in range(6):
-                if turn % 2:
-                    right = (right + self._number(tweak, size, turn, left)) % b
-                else:
-                    left = (left + self._number(tweak, size, turn, right)) % a
-            value = left * b + right
+            place = (place + 1) % (a * b)
+            value = self._placed(place, a, b, f"{tweak}/{size}", -1)
             if value < size and (accept is None or accept(value)):
                 return value
 
+    def _placed(self, value: int, a: int, b: int, tweak: str, sign: int) -> int:
+        """The place of a value of 0..a*b-1 in the keyed order; with sign -1 the value of a place."""
+        left, right = divmod(value, b)
+        for turn in range(6)[::sign]:
+            if turn % 2:
+                right = (right + sign * self._number(tweak, turn, left)) % b
+            else:
+                left = (left + sign * self._number(tweak, turn, right)) % a
+        return left * b + right
+
     def _characters(self, text: str, alphabets: list[str], tweak: str) -> str:
         """Permute a text whose characters each come from their own alphabet."""
         value, size = 0, 1
@@ -222,25 +276,43 @@ class Surrogates:
         return ".".join(map(str, new.to_bytes(4, "big")))
 
     def _ipv6(self, text: str, gender: str) -> str:
-        value = int("".join(part.zfill(4) for part in text.split(":")), 16)
-        new = f"{self.permute(value, 1 << 128, 'ipv6'):032x}"
-        return ":".join(new[i : i + 4] for i in range(0, 32, 4))
+        """Groups that are zero stay, and so do short forms, padding and case."""
+        packed = IPv6Address(text).packed
+        groups = [int.from_bytes(packed[i : i + 2], "big") for i in range(0, 16, 2)]
+        value = 0
+        for group in filter(None, groups):
+            value = value * 0xFFFF + group - 1
+        mask = "".join("x" if group else "0" for group in groups)
+        value = self.permute(value, 0xFFFF ** mask.count("x"), f"ipv6/{mask}")
+        for i in reversed(range(8)):
+            if groups[i]:
+                value, rest = divmod(value, 0xFFFF)
+                groups[i] = rest + 1
+        if "::" in text:
+            new = IPv6Address(b"".join(group.to_bytes(2, "big") for group in groups)).compressed
+        else:
+            width = 4 if re.search(r"(?<!\w)0\w", text) else 1
+            new = ":".join(f"{group:0{width}x}" for group in groups)
+        return new.upper() if re.search("[A-F]", text) else new
 
     def _ssn(self, text: str, gender: str) -> str:
-        return _refill(text, self._digits(text.replace("-", ""), "ssn"))
+        return _refill(text, iter(self._digits(_digits_of(text), "ssn")))
 
     def _phone(self, text: str, gender: str) -> str:
         """The country code, the first digit behind it and all signs stay."""
-        code = re.match(r"(?:\+|00)\d{1,3}(?=[ .(-])", text)
-        digits = re.sub(r"\D", "", text[code.end() :] if code else text)
-        prefix = re.sub(r"\D", "", code.group()) if code else ""
-        new = digits[0] + self._digits(digits[1:], f"phone/{prefix}/{digits[0]}")
-        kept = code.group() if code else ""
-        return kept + _refill(text[len(kept) :], new)
+        code, rest = _dialled(text)
+        accept = None
+        if not code and rest[0] == "0":  # 00 would make it a number with a country code
+            accept = lambda new: (new[0] == "0") == (rest[1] == "0")
+        new = rest[0] + self._digits(rest[1:], f"phone/{code}/{rest[0]}", accept)
+        if not code:
+            return _refill(text, iter(new))
+        digits = iter(("00" if text[0] != "+" else "") + code + new)
+        return "(0)".join(_refill(part, digits) for part in text.split("(0)"))
 
     def _card(self, text: str, gender: str) -> str:
         """The first digit stays; the check digit of a valid number is valid again."""
-        digits = re.sub(r"\D", "", text)
+        digits = _digits_of(text)
         if luhn(digits):
             body = digits[0] + self._digits(digits[1:-1], f"card/{digits[0]}")
             new = next(body + str(d) for d in range(10) if luhn(body + str(d)))
@@ -249,7 +321,7 @@ class Surrogates:
             new = first + self._digits(
                 digits[1:], f"invalid/{first}", lambda rest: not luhn(first + rest)
             )
-        return _refill(text, new)
+        return _refill(text, iter(new))
 
     def _iban(self, text: str, gender: str) -> str:
         """The country stays; letters become letters and digits digits, with a valid check."""
@@ -264,30 +336,35 @@ class Surrogates:
         and consonants in their places."""
         return "".join(
             part if part in " -"
-            else self.cycles[NAMES[part]][part] if part in NAMES
+            else self._given(part) if part.capitalize() in NAMES
             else self._spelled(part)
             for part in re.split(r"([ -])", text)
         )
 
+    def _given(self, part: str) -> str:
+        name = part.capitalize()
+        new = self.cycles[NAMES[name]][name]
+        return new.upper() if part.isupper() else new
+
     def _spelled(self, name: str) -> str:
-        lower, alphabets, shape = name.lower(), [], []
-        for character in lower:
+        alphabets, shape = [], []
+        for character in name:
             alphabet, sort = character, character
             for script in VOWELS:
-                if character in VOWELS[script]:
+                if character.lower() in VOWELS[script]:
                     alphabet, sort = VOWELS[script], "v" + script[0]
-                elif character in CONSONANTS[script]:
+                elif character.lower() in CONSONANTS[script]:
                     alphabet, sort = CONSONANTS[script], "c" + script[0]
             alphabets.append(alphabet)
             shape.append(sort)
-
-        def usual(new: str) -> bool:  # a spelled name must not become a known given name
-            return new.capitalize() not in NAMES
-
-        new = self._characters(lower, alphabets, "name/" + "".join(shape))
-        while not usual(new):
-            new = self._characters(new, alphabets, "name/" + "".join(shape))
-        return "".join(n.upper() if t.isupper() else n for n, t in zip(new, name))
+        new = "".join(c.lower() if len(a) > 1 else c for c, a in zip(name, alphabets))
+        tweak = "name/" + "".join(shape).lower()
+        new = self._characters(new, alphabets, tweak)
+        while new.capitalize() in NAMES:  # a spelled name must not become a known given name
+            new = self._characters(new, alphabets, tweak)
+        return "".join(
+            n.upper() if c.isupper() and len(a) > 1 else n for n, c, a in zip(new, name, alphabets)
+        )
 
     def rewrite(self, text: str, entities: list[Entity]) -> str:
         parts, at = [], 0
@@ -298,18 +375,23 @@ class Surrogates:
         return "".join([*parts, text[at:]])
 
 
-def _refill(text: str, digits: str) -> str:
-    new = iter(digits)
-    return "".join(next(new) if c.isdigit() else c for c in text)
+def _refill(text: str, digits: Iterator[str]) -> str:
+    """The text with other digits, of the script of those that they replace."""
+    return "".join(chr(ord(c) - int(c) + int(next(digits))) if c.isdecimal() else c for c in text)
 
 
 def canonical(text: str, kind: str) -> str:
     """What makes two spellings the same entity."""
-    if kind in ("card", "phone", "ssn"):
-        return ("+" if text.startswith("+") else "") + re.sub(r"\D", "", text)
+    if kind == "phone":
+        code, rest = _dialled(text)
+        return f"+{code} {rest}" if code else rest
+    if kind in ("card", "ssn"):
+        return _digits_of(text)
     if kind == "iban":
         return text.replace(" ", "")
-    return text.lower() if kind in ("email", "ipv6") else text
+    if kind == "ipv6":
+        return IPv6Address(text).exploded
+    return text.lower() if kind in ("email", "person") else text
 
 
 def pseudonymise(docs: DataFrame, key: bytes) -> DataFrame:
