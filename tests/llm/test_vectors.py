@@ -1,7 +1,7 @@
 import numpy as np
 
 from tiermart.llm.components import connected_components
-from tiermart.llm.vectors import leaves, near_duplicate_vectors
+from tiermart.llm.vectors import TREES, _cells, leaves, near_duplicate_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int, kept boolean, n_links string"
 
@@ -69,6 +69,34 @@ def test_against_all_pairs(spark):
     assert result(near_duplicate_vectors(frame(spark, rows), cell=40, block=16)) == got
 
 
+def test_copies_that_differ_by_rounding_only(spark):
+    """Scaled copies are not equal after rounding, and no direction tells them apart."""
+    rng = np.random.default_rng(5)
+    base = rng.standard_normal(8)
+    rows = [(i, (base * (1 + i / 7)).tolist(), 1) for i in range(400)]
+    rows += [(1000 + i, rng.standard_normal(8).tolist(), 1) for i in range(50)]
+    want = expected(rows)
+    assert sum(r[1] == 399 for r in want) >= 400
+    assert result(near_duplicate_vectors(frame(spark, rows), cell=64, block=50)) == want
+
+
+def test_cells_are_small_and_bounded_in_number(spark):
+    rng = np.random.default_rng(6)
+    vectors = rng.standard_normal((6000, 12))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    same = np.ones((300, 12)) / 12**0.5
+    rows = [(i, "a", v.tobytes()) for i, v in enumerate(vectors)]
+    rows += [(10_000 + i, "b", v.tobytes()) for i, v in enumerate(same)]
+    found = _cells(spark.createDataFrame(rows, "node long, label string, unit binary"), 100).collect()
+    sizes, places = {}, {}
+    for row in found:
+        sizes[row.cell] = sizes.get(row.cell, 0) + 1
+        places[row.node] = places.get(row.node, 0) + 1
+    assert set(places) == {r[0] for r in rows} and min(places.values()) >= TREES
+    assert max(sizes.values()) <= 160
+    assert len(found) < 4 * TREES * len(rows)
+
+
 def test_no_rows(spark):
     assert result(near_duplicate_vectors(frame(spark, []))) == []
     assert result(near_duplicate_vectors(frame(spark, [(1, None, None)]))) == [(1, 0, 1, True)]

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from functools import reduce
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +20,8 @@ TREES = 6
 LEAF = 512  # vectors that are compared with each other
 CELL = 8192  # vectors of a cell, whose trees are grown in one task
 BLOCK = 256  # vectors of one side when links are counted
-SAMPLE = 65_536  # vectors that the upper trees are fitted on
+SAMPLE = 4096  # vectors of a larger cell that its trees are fitted on, about
+SHARE = 65_536  # vectors of a larger cell that one task leads down its trees, about
 # Half the width of the strip on both sides of a split whose vectors go to both sides. The
 # projections of two unit vectors of cosine 0.98 on a random direction of unit
 # variance differ by 0.2 in standard deviation.
@@ -32,16 +36,18 @@ def _split(vectors: np.ndarray, key: tuple[int, ...], spill: float = SPILL):
     """A random direction, the point that halves the vectors on it, and the strip.
 
     The strip is narrowed where more than a fifth of the vectors would be on both sides. None if
-    all vectors have the same place.
+    so many vectors have the same place that one side would keep nearly all.
     """
     direction = _random(*key).standard_normal(vectors.shape[1])
     places = vectors @ direction
     middle = float(np.median(places))
-    if not (places < middle).any():
-        return None
-    while (np.abs(places - middle) <= spill).mean() > 0.2 and spill > 1e-9:
-        spill /= 2
-    return direction, middle, spill
+    while True:
+        low, high = (side.mean() for side in _sides(places, middle, spill))
+        if low + high <= 1.2 and max(low, high) <= 0.875:
+            return direction, middle, spill
+        if not spill:
+            return None
+        spill = spill / 2 if spill > 1e-9 else 0.0
 
 
 def _sides(places: np.ndarray, middle: float, spill: float) -> tuple[np.ndarray, np.ndarray]:
@@ -60,9 +66,6 @@ def leaves(vectors: np.ndarray, tree: int, leaf: int = LEAF) -> Iterator[np.ndar
             continue
         direction, middle, strip = found
         low, high = _sides(vectors[rows] @ direction, middle, strip)
-        if low.all() or high.all():
-            yield rows  # the places differ by rounding only
-            continue
         waiting += [(rows[low], 2 * node), (rows[high], 2 * node + 1)]
 
 
@@ -131,112 +134,179 @@ def _matrix(units) -> np.ndarray:
     return np.stack([np.frombuffer(unit, dtype=np.float64) for unit in units])
 
 
-def _grow(sample: dict[str, list[bytes]], share: float, cell: int) -> dict:
-    """Upper trees of groups, from a sample that holds `share` of their rows.
+POINTS = "array<struct<tree:int,node:long,middle:double,strip:double>>"
+POINT = {"tree": pa.int32(), "node": pa.int64(), "middle": pa.float64(), "strip": pa.float64()}
+GROWN = pa.schema(
+    {"cell": pa.string(), "size": pa.int64(), "points": pa.list_(pa.struct(list(POINT.items())))}
+)
+
+
+def _key(cell: str, tree: int, node: int) -> tuple[int, ...]:
+    """What a direction of the upper trees is drawn from: every cell has its own."""
+    return 1000, zlib.crc32(cell.encode()), tree, node
 
-    {group: [tree]}, where a tree is {node: (split point, strip)}; directions come from
-    the numbers of tree and node. A group that cannot be split has empty trees.
+
+def _grow(cell: str, vectors: np.ndarray, size: int, limit: int, trees: int) -> list[dict]:
+    """Split points (tree, node, middle, strip) of a cell of `size` rows, from a sample of them.
+
+    A node is split until `limit` rows are left in it, or too few of the sample. Empty for a
+    cell that cannot be split.
     """
-    forest = {}
-    for group, units in sample.items():
-        vectors, trees = _matrix(units), []
-        for tree in range(TREES):
-            points, waiting = {}, [(np.arange(len(vectors)), 1)]
-            while waiting:
-                rows, node = waiting.pop()
-                if len(rows) < 16 or (node > 1 and len(rows) / share <= cell):
-                    continue
-                found = _split(vectors[rows], (1000 + tree, node))
-                if found is None:
-                    continue
-                direction, *points[node] = found
-                low, high = _sides(vectors[rows] @ direction, found[1], 0.0)
-                waiting += [(rows[low], 2 * node), (rows[high], 2 * node + 1)]
-            trees.append(points)
-        forest[group] = trees
-    return forest
+    share = len(vectors) / size
+    points = []
+    for tree in range(trees):
+        waiting = [(np.arange(len(vectors)), 1)]
+        while waiting:
+            rows, node = waiting.pop()
+            if len(rows) < 16 or (node > 1 and len(rows) / share <= limit):
+                continue
+            found = _split(vectors[rows], _key(cell, tree, node))
+            if found is None:
+                continue
+            direction, middle, strip = found
+            points.append({"tree": tree, "node": node, "middle": middle, "strip": strip})
+            low, high = _sides(vectors[rows] @ direction, middle, 0.0)
+            waiting += [(rows[low], 2 * node), (rows[high], 2 * node + 1)]
+    return points
 
 
-def _cells(rows: DataFrame, cell: int) -> DataFrame:
-    """(cell, node, unit): groups of rows small enough for one task.
+def _grown(rows: DataFrame, limit: int, level: int) -> DataFrame:
+    """(cell, size, points) of the cells of rows(cell, size, node, unit) that can be split.
 
-    A group is a label and a number of dimensions. One that has more than `cell` rows is
-    divided by `TREES` trees fitted on a bounded sample that a hash of the row
-    chooses; every row is then led down all trees, and down both sides of a split
-    that is near. Cells that are still too large are divided again, at
-    most 4096 groups a round.
+    A hash of the row chooses a sample of about `SAMPLE` rows of every cell, or all if it has fewer.
     """
-    active = rows.select(
-        F.concat_ws("/", F.length("label"), "label", F.length("unit")).alias("cell"), "node", "unit"
+    trees = TREES if level == 0 else 1
+
+    def grow(key, table):
+        cell, size = key[0].as_py(), key[1].as_py()
+        points = _grow(cell, _matrix(sorted(table.column("unit").to_pylist())), size, limit, trees)
+        found = [{"cell": cell, "size": size, "points": points}] if points else []
+        return pa.Table.from_pylist(found, schema=GROWN)
+
+    part = F.pmod(F.xxhash64("node", F.lit(11 + level)), F.lit(1 << 40))
+    chosen = part * F.col("size") < F.lit(SAMPLE).cast("double") * (1 << 40)
+    return (
+        rows.where(chosen)
+        .groupBy("cell", "size")
+        .applyInArrow(grow, f"cell string, size long, points {POINTS}")
     )
-    done = active.limit(0)
-    while True:
-        large = {
-            row["cell"]: row["size"]
-            for row in active.groupBy("cell")
-            .agg(F.count(F.lit(1)).alias("size"))
-            .where(F.col("size") > cell)
-            .orderBy(F.desc("size"), "cell")
-            .limit(4096)
-            .collect()
-        }
-        if not large:
-            return done.union(active)
-        crowded = active.where(F.col("cell").isin(list(large)))
-        share = min(1.0, SAMPLE / sum(large.values()))
-        chosen = F.pmod(F.xxhash64("node", F.lit(11)), F.lit(1 << 40)) < int(share * (1 << 40))
-        sample: dict[str, list[bytes]] = {}
-        for row in crowded.where(chosen).select("cell", "unit").toLocalIterator():
-            sample.setdefault(row["cell"], []).append(bytes(row["unit"]))
-        forest = {k: v for k, v in _grow(sample, share, cell).items() if any(v)}
-        settled = [k for k in large if k not in forest]  # nothing splits these
-        waiting = active.where(~F.col("cell").isin(list(large)))
-        done = done.union(active.where(F.col("cell").isin(settled)))
-        active = materialise(
-            _led(crowded.where(F.col("cell").isin(list(forest))), forest).union(waiting), "cells"
-        )
 
 
-def _led(rows: DataFrame, forest: dict) -> DataFrame:
-    """Rows with the cells that the trees lead them to."""
-
-    def lead(batch: pa.RecordBatch) -> pa.RecordBatch:
-        out = []
-        for group, row, unit in zip(*(column(batch, n) for n in ("cell", "node", "unit"))):
-            vector = np.frombuffer(unit, dtype=np.float64)
-            for tree, points in enumerate(forest[group]):
-                waiting = [1]
-                while waiting:
-                    node = waiting.pop()
-                    if node not in points:
-                        out.append((f"{group}/{tree}.{node}", row, unit))
-                        continue
-                    middle, strip = points[node]
-                    place = float(vector @ _direction(tree, node, len(vector)))
-                    if place < middle + strip:
-                        waiting.append(2 * node)
-                    if place >= middle - strip:
-                        waiting.append(2 * node + 1)
-        kinds = (pa.string(), pa.int64(), pa.binary())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(v, type=k) for v, k in zip(zip(*out), kinds)], names=["cell", "node", "unit"]
-        )
+def _led(rows: DataFrame, grown: DataFrame) -> DataFrame:
+    """(cell, node, unit): the cells that rows(cell, size, node, unit) reach down the trees of their cell.
 
-    return map_batches(
-        rows, lambda b: lead(b) if b.num_rows else None, "cell string, node long, unit binary"
+    The rows of a cell are dealt to as many tasks as it has shares; the split points go
+    to each of them and are sorted before the rows.
+    """
+    shares = F.ceil(F.col("size") / SHARE).cast("int")
+    dealt = rows.select(
+        "cell",
+        F.pmod(F.xxhash64("node", F.lit(13)), shares).cast("int").alias("part"),
+        F.lit(1).alias("kind"),
+        "node",
+        "unit",
+        F.lit(None).cast(POINTS).alias("points"),
+    )
+    known = grown.select(
+        "cell",
+        F.explode(F.sequence(F.lit(0), shares - 1)).alias("part"),
+        F.lit(0).alias("kind"),
+        F.lit(None).cast("long").alias("node"),
+        F.lit(None).cast("binary").alias("unit"),
+        "points",
     )
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees: dict[int, dict[int, tuple[float, float]]] = {}
+        directions: dict[tuple[int, int], np.ndarray] = {}  # of the present cell
+        for batch in batches:
+            out = []
+            names = ("cell", "kind", "node", "unit", "points")
+            events = zip(*(column(batch, name) for name in names))
+            for (cell, kind), rows in groupby(events, key=lambda event: event[:2]):
+                if kind == 0:
+                    trees, directions = {}, {}
+                    for point in list(rows)[-1][4]:
+                        tree = trees.setdefault(point["tree"], {})
+                        tree[point["node"]] = point["middle"], point["strip"]
+                    continue
+                _, _, nodes, units, _ = zip(*rows)
+                for tree, node, found in _walk(cell, _matrix(units), trees, directions):
+                    out += [(f"{cell}/{tree}.{node}", nodes[i], units[i]) for i in found]
+            if out:
+                kinds = (pa.string(), pa.int64(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(v, type=k) for v, k in zip(zip(*out), kinds)],
+                    names=["cell", "node", "unit"],
+                )
+
+    return (
+        dealt.union(known)
+        .repartition("cell", "part")
+        .sortWithinPartitions("cell", "part", "kind")
+        .mapInArrow(run, "cell string, node long, unit binary")
+    )
 
-_DIRECTIONS: dict[tuple[int, int, int], np.ndarray] = {}
 
+def _walk(cell: str, vectors: np.ndarray, trees: dict, directions: dict):
+    """(tree, leaf, row numbers) of the leaves that some of the vectors reach."""
+    for tree, points in trees.items():
+        waiting = [(np.arange(len(vectors)), 1)]
+        while waiting:
+            rows, node = waiting.pop()
+            if not len(rows):
+                continue
+            if node not in points:
+                yield tree, node, rows
+                continue
+            if (tree, node) not in directions:
+                drawn = _random(*_key(cell, tree, node))
+                directions[tree, node] = drawn.standard_normal(vectors.shape[1])
+            low, high = _sides(vectors[rows] @ directions[tree, node], *points[node])
+            waiting += [(rows[low], 2 * node), (rows[high], 2 * node + 1)]
+
+
+def _cells(rows: DataFrame, limit: int) -> DataFrame:
+    """(cell, node, unit): groups of rows small enough for one task.
 
-def _direction(tree: int, node: int, size: int) -> np.ndarray:
-    key = (1000 + tree, node)
-    if (*key, size) not in _DIRECTIONS:
-        if len(_DIRECTIONS) > 20_000:
-            _DIRECTIONS.clear()
-        _DIRECTIONS[*key, size] = _random(*key).standard_normal(size)
-    return _DIRECTIONS[*key, size]
+    A group is a label and a number of dimensions. One that has more than `limit` rows is
+    divided by `TREES` trees, and cells that are still too large by one further tree of
+    their own, until none is. Trees are grown in tasks, each on a bounded sample of its
+    cell; every row is led down them, and down both sides of a split that is near. Rows
+    so alike that no direction divides them are dealt by hashes, once per tree.
+    """
+    active = rows.select(
+        F.concat_ws("/", F.length("label"), "label", F.length("unit")).alias("cell"), "node", "unit"
+    )
+    done: list[DataFrame] = []
+    level = 0
+    while True:
+        crowded = materialise(
+            active.groupBy("cell")
+            .agg(F.count(F.lit(1)).alias("size"))
+            .where(F.col("size") > limit),
+            "crowded",
+        )
+        if crowded.isEmpty():
+            return reduce(DataFrame.union, done, active)
+        done.append(active.join(crowded, "cell", "left_anti"))
+        sized = active.join(crowded, "cell").select("cell", "size", "node", "unit")
+        grown = materialise(_grown(sized, limit, level), "trees")
+        tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
+        done.append(
+            sized.join(grown, "cell", "left_anti")
+            .withColumn("tree", tree)
+            .withColumn("parts", F.ceil(F.col("size") / limit))
+            .select(
+                F.concat_ws(
+                    "/", "cell", F.lit("alike"), "tree", F.pmod(F.xxhash64("node", "tree"), "parts")
+                ).alias("cell"),
+                "node",
+                "unit",
+            )
+        )
+        active = materialise(_led(sized.join(grown, "cell", "left_semi"), grown), "cells")
+        level += 1
 
 
 def near_duplicate_vectors(
