@@ -38,27 +38,50 @@ FEATURES = [
 ]
 
 
+# Patterns of one scan through a word. It goes on where the last match ended and never back, so that long words
+# take linear time
+RUN = r"A-Za-z0-9_+/.~\-"
+QUOTES = r"[\\\"'`]*+"
+SIGN = r"(?::?={1,3}>?|:(?!//))"
+SECRET_NAME = rf"(?=[{RUN}]*?(?i:{SECRET_WORDS}))[{RUN}]++"
+ISSUED_PART = rf"(?<![A-Za-z0-9])(?:{ISSUED})(?![A-Za-z0-9])"
+VALUES = (
+    rf"\G([^{RUN}]*+)(?:"  # 1: what stands before
+    # the password of an address (2)
+    r"(?<=:)//[^/:@\"'`<>?#]*+:([^/\"'`<>?#]+)@"
+    # a secret word (3) with a value in quotes (4) or up to a quote or the next name (5)
+    rf"|({SECRET_NAME}){QUOTES}{SIGN}\\*+[\"'`]?+(?!{SECRET_NAME}{QUOTES}{SIGN})(?:"
+    r"((?<=\")(?:[^\"\\]|\\[^\"'`])++|(?<=')(?:[^'\\]|\\[^\"'`])++|(?<=`)(?:[^`\\]|\\[^\"'`])++)"
+    rf"|(?<![\"'`])((?:(?![&;,|?]{QUOTES}[\w.\-]++{QUOTES}[=:])[^\"'`])++))"
+    # an issued key, or a run without one (6)
+    rf"|({ISSUED_PART}|(?:(?!{ISSUED_PART})[{RUN}])++(?:={{1,2}}+(?![=>]|{QUOTES}[{RUN}]))?+)"
+    r")(?=([^&?;,{}()|<>\[\]]{0,100}))"  # 7: what stands behind
+)
+
+
 def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     """(doc_id, position, word, key, finding, before, after, path) of docs(doc_id, text, <path>).
 
-    Candidates are values of 12 or more characters with letters and digits, values of an issued format, values
-    of 6 or more behind a secret word and = or :, and heads of private keys. `position` is the number of the
-    word in the text, from 0; `key` is what the value is assigned to; `before` and
-    `after` are the neighbouring words. A null text has none.
+    Candidates are all values of 12 or more characters with letters and digits, values of an issued format, values
+    of 6 or more behind a secret word and = or :, of any signs up to the closing quote, white space or the next
+    name, passwords of addresses (their key is password), and heads of private keys. A word may
+    hold several. `position` is the number of the
+    word in the text, from 0; `word` is the part of it around the value; `key` is what the value is assigned to;
+    `before` and `after` are the neighbouring words. A null text has none.
     """
     words = F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")
     # a cheap test first: only few words go through the patterns
     places = F.filter(
         F.sequence(F.lit(0), F.size("words") - 1),
         lambda i: F.expr("words")[i].rlike(
-            rf"[0-9].{{5}}|.{{5}}[0-9]|(?:{ISSUED})|^-----BEGIN|(?i)(?:{SECRET_WORDS})[\"']?[=:]"
+            rf"[0-9].{{5}}|.{{5}}[0-9]|(?:{ISSUED})|-----BEGIN|//[^/@]*+@|(?i)(?:{SECRET_WORDS})[\w.\-]*+{QUOTES}[=:]"
         )
         | (
             (i >= 2)
             & F.get("words", i - 1).isin("=", ":", ":=", "=>")
             & F.get("words", i - 2).rlike(rf"(?i)(?:{SECRET_WORDS})")
         )
-        | ((i >= 1) & F.get("words", i - 1).rlike(rf"(?i)(?:{SECRET_WORDS})[\"']?[=:]$")),
+        | ((i >= 1) & F.get("words", i - 1).rlike(rf"(?i)(?:{SECRET_WORDS})[\w.\-]*+{QUOTES}(?:[=:]|=>)$")),
     )
     listed = docs.select(
         "doc_id", F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), words.alias("words")
@@ -68,32 +91,57 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         return F.coalesce(F.get("words", F.col("position") + shift), F.lit(""))
 
     located = listed.select(
-        "doc_id", "position", "path", at(0).alias("word"), at(-1).alias("before"),
+        "doc_id", "position", "path", at(0).alias("whole"), at(-1).alias("before"),
         at(-2).alias("earlier"), at(1).alias("after"), at(2).alias("later"),
     )
     signs = F.col("before").rlike("^(?:=|:|:=|=>)$")
-    own = F.regexp_extract("word", r"(?<![\w.\-])([A-Za-z_][\w.\-]*+)[\"']?(?:=>|:=|=|:)", 1)
-    key = (
-        F.when(own != "", own)
-        .when(signs, F.col("earlier"))
-        .when(F.col("before").rlike("[=:]$"), F.col("before"))
-        .otherwise("")
-    )
-    pem = (F.col("word") == "-----BEGIN") & F.concat_ws(" ", "after", "later").rlike("PRIVATE|KEY")
-    # patterns start at the start of a run and never go back, so that long words take linear time
-    run = F.when(F.col("word").rlike("[=:][\"']?$") & (own != ""), "").otherwise(
-        F.regexp_extract(
-            "word",
-            r"(?<![A-Za-z0-9_+/.~\-])([A-Za-z0-9_+/.~\-]{6,}+={0,2}+)[^A-Za-z0-9_+/~=\-]*+$",
-            1,
-        )
+    assigned = F.when(signs, F.col("earlier")).when(F.col("before").rlike("(?:[=:]|=>)$"), F.col("before"))
+    name = F.regexp_extract(F.coalesce(assigned, F.lit("")), rf"(?<![{RUN}])([{RUN}]++)[^{RUN}]*+$", 1)
+    # a name in the words before is put in front, so that one pattern finds all names
+    scanned = located.withColumn("name", name).withColumn(
+        "scanned",
+        F.when(F.col("name") != "", F.concat("name", F.lit("="), "whole")).otherwise(F.col("whole")),
+    )
+    groups = scanned.withColumns(
+        {f"g{n}": F.regexp_extract_all("scanned", F.lit(VALUES), F.lit(n)) for n in range(1, 8)}
     )
-    value = F.when(pem, F.concat_ws(" ", "word", "after", "later")).otherwise(
-        F.regexp_replace(run, r"^[.\-]+(?=[A-Za-z0-9])|\.+$", "")
+    zipped = groups.select(
+        "doc_id", "position", "path", "before", "after", "later", "name",
+        F.posexplode(F.arrays_zip(*(f"g{n}" for n in range(1, 8)), F.array_insert("g6", 1, F.lit("")).alias("g8"))).alias("nth", "part"),
+    ).select("*", "part.*").where(F.col("g1").isNotNull())
+    named = F.when(F.col("g3") != "", F.col("g3")).when(F.col("g2") != "", F.lit("password")).otherwise(
+        F.when(F.col("g1").rlike(rf"^{QUOTES}{SIGN}{QUOTES}$"), F.col("g8")).otherwise("")
     )
-    named = located.withColumn("key", F.regexp_replace(key, r"[\"'=:]+", "")).withColumn(
-        "finding", value
+    padded = F.col("g6").endswith("=") & ((F.length("g6") % 4 != 0) | (F.length("g6") < 12))
+    run = F.regexp_replace(
+        F.when(padded, F.rtrim("g6", F.lit("="))).otherwise(F.col("g6")), r"^[.\-]+(?=[A-Za-z0-9])|\.+$", ""
     )
+    value = (
+        F.when(F.col("g4") != "", F.col("g4"))
+        .when(F.col("g5") != "", F.rtrim("g5", F.lit(",;.)]}>\\")))
+        .when(F.col("g2") != "", F.col("g2"))
+        .otherwise(run)
+    )
+    head = F.concat_ws("", "g4", "g5", "g6")
+    pem = (head.endswith("-----BEGIN") & F.concat_ws(" ", "after", "later").rlike("PRIVATE|KEY")) | head.rlike(
+        r"-----BEGIN[+_][A-Z0-9+_]*PRIVATE"
+    )
+    begin = F.regexp_extract(head, "-----BEGIN.*", 0)
+    part = F.concat(
+        F.regexp_replace("g1", r"^.*[&?;,{}()|<>\[\]]", ""),
+        F.when(F.col("g3") != "", F.concat("g3", F.lit("="))).otherwise(F.lit("")),
+        F.when(F.col("g4") != "", F.concat(F.lit('"'), "g4")).otherwise(F.concat("g5", "g2", "g6")),
+        "g7",
+    )
+    found = zipped.select(
+        "doc_id", "position", "path", "before", "after", part.alias("word"),
+        F.regexp_replace(named, r"^.*[/+~]|=+$", "").alias("key"),
+        F.when(pem, F.when(begin == "-----BEGIN", F.concat_ws(" ", begin, "after", "later")).otherwise(begin))
+        .otherwise(value).alias("finding"),
+        # the name that was put in front is no value of this word
+        ((F.col("nth") == 0) & (F.col("name") != "") & (F.col("g3") == "")).alias("outside"),
+        pem.alias("pem"),
+    ).where(~F.col("outside"))
     long = (
         (F.length("finding") >= 12)
         & F.col("finding").rlike("[0-9]")
@@ -101,7 +149,7 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     )
     secret = F.col("key").rlike(rf"(?i)(?:{SECRET_WORDS})") & (F.length("finding") >= 6)
     issued = F.col("finding").rlike(f"^(?:{ISSUED})$")
-    return named.where(pem | long | secret | issued).select(
+    return found.where(F.col("pem") | long | secret | issued).select(
         "doc_id", "position", "word", "key", "finding", "before", "after", "path"
     )
 
@@ -150,7 +198,10 @@ def proven() -> Column:
     secret = (F.col("issued") == 1) | (
         (F.col("near_secret") == 1) & (F.col("assigned") == 1) & mixed
     )
-    address = F.col("word").rlike(r"@|://|^[\w.\-]+\.[a-z]{2,4}[^\w]*$|^[0-9.:,;/\-]+$")
+    named = F.col("key").rlike(rf"(?i)(?:{SECRET_WORDS})")
+    address = F.when(
+        named, F.col("finding").rlike(r"://|^[\w.+\-]+@[\w.\-]+\.[a-z]{2,}$|^[\w.\-]+\.[a-z]{2,4}$|^[0-9.:,;/\-]+$")
+    ).otherwise(F.col("word").rlike(r"@|://|^[\w.\-]+\.[a-z]{2,4}[^\w]*$|^[0-9.:,;/\-]+$"))
     filler = (F.col("coverage") >= 0.5) | F.lower("finding").rlike(r"^(.)\1+$|xxxx|\*{3}")
     return F.when(address | filler, 0.0).when(secret, 1.0)
 
@@ -195,8 +246,8 @@ def scan_secrets(
     """(doc_id, position, finding, key, score, is_secret) of docs(doc_id, text, <path>).
 
     One row per candidate, with the forest's verdict; `is_secret` is false for what it removes as a false
-    positive. `labelled` (doc_id, position, label) holds findings that people judged; without it,
-    findings whose context proves what they are train the forest, of documents
+    positive. `labelled` (doc_id, position, label) holds findings that people judged, with a column `finding`
+    where a word has several; without it, findings whose context proves what they are train the forest, of documents
     whose crc32(doc_id) mod 5 is not 0. Null, empty and clean texts have no rows; a repeated
     row has its findings repeated; other columns are ignored.
     """
@@ -207,10 +258,11 @@ def scan_secrets(
             & (F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5, F.lit(1)) != 0)
         )
     else:
-        judged = labelled.select(
-            "doc_id", "position", F.col("label").cast("double").alias("label")
-        ).where(F.col("label").isNotNull())
-        train = found.join(judged, ["doc_id", "position"])
+        place = [c for c in ("doc_id", "position", "finding") if c in labelled.columns]
+        judged = labelled.select(*place, F.col("label").cast("double").alias("label")).where(
+            F.col("label").isNotNull()
+        )
+        train = found.join(judged, place)
     scored = score_findings(found, train_filter(train))
     return scored.select(
         "doc_id", "position", "finding", "key", "score", (F.col("score") >= least).alias("is_secret")
