@@ -54,3 +54,33 @@ def test_rows(spark):
     want = [(1, "u", WANT, len(WANT)), (2, None, "", 0), (None, "v", "", 0), (1, "u", WANT, len(WANT))]
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
     assert extract_text(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
+
+
+NEWS = [
+    "Shares of the carmaker fell 4% on Tuesday after regulators in Brussels opened an inquiry into battery suppliers, according to two officials.",
+    "Heavy rain flooded several villages near Porto overnight, forcing hundreds of residents to leave their homes, emergency services said Monday morning.",
+    "Researchers at Oslo University measured glacier thickness using satellite radar, finding annual losses nearly double earlier published estimates.",
+]
+FINNISH = "Hallitus esitteli tiistaina uuden ohjelman, jonka tavoitteena on parantaa rautatieliikenteen toimivuutta koko maassa ensi vuosikymmenen aikana. " * 2
+
+
+def test_plain_paragraphs_and_other_languages():
+    menu = "".join(f'<li><a href="/{i}">Section {i}</a></li>' for i in range(9))
+    body = "".join(f"<p>{p}</p>" for p in NEWS)
+    assert main_text(f"<body><ul>{menu}</ul>{body}<ul>{menu}</ul></body>") == " ".join(NEWS)
+    assert main_text(f"<body><ul>{menu}</ul><p>{LONG}</p><p>{NEWS[0]}</p></body>") == f"{LONG.strip()} {NEWS[0]}"
+    assert main_text(f"<body><ul>{menu}</ul><h1>Uutiset</h1><p>{FINNISH}</p><p>{FINNISH}</p><ul>{menu}</ul></body>") == f"Uutiset {FINNISH.strip()} {FINNISH.strip()}"
+
+
+def test_longest_run_of_short_texts():
+    link = '<p><a href="/">All of the news</a></p>'
+    assert main_text(f"<body><p>Ad hoc</p>{link}<p>First line</p><p>Second line</p>{link}<p>Last</p></body>") == "First line Second line"
+
+
+def test_content_lifts_outer_bans():
+    for wrapper in ('<form id="aspnetForm">', '<div class="header-layout">', '<div id="page-overlay">'):
+        for inner in ("article", "main"):
+            assert main_text(f"<body>{wrapper}<p>{LONG}</p><{inner}><p>Text.</p></{inner}></body>") == "Text."
+    assert main_text('<body><div class="sidebar"><main><p>Text.</p></main></div></body>') == "Text."
+    for wrapper in ('<div id="comments">', '<div class="related-posts">', "<aside>", "<div hidden>"):
+        assert main_text(f"<body><article>Text.</article>{wrapper}<article><p>{LONG}</p></article></body>") == "Text."

@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm.common import column, map_batches, texts_of
-from tiermart.llm.textstats import STOP_WORDS
 
 # Elements and words of the markup
 BLOCKS = frozenset(
@@ -39,8 +38,64 @@ MARKED = frozenset(
     "promotion related replies reply respond share sharing sidebar signup social sponsor sponsored "
     "subscribe toolbar topbar widget widgets".split()
 )
+# marked words whose elements often hold articles that are not the page's own
+CARDS = frozenset(
+    "ad ads advert adverts advertisement advertising comment comments disqus promo promotion related replies "
+    "reply respond sponsor sponsored".split()
+)
+STRENGTH = ("", "soft", "card", "hard")  # bans: main lifts soft and card ones, article soft ones
 ROLES = frozenset("banner navigation contentinfo complementary search dialog alert form menu".split())
 
+# function words by language
+STOP_WORDS = frozenset(
+    (
+        "a about above after again against all also am an and any are as at be because been before being below "
+        "between both but by can could did do does doing down during each even few for from further had has have "
+        "having he her here hers herself him himself his how however i if in into is it its itself just like many may me "
+        "might more most much must my myself no nor not now of off on once one only or other our ours out over own "
+        "said same say says shall she should since so some still such than that the their theirs them themselves then there "
+        "these they this those through to too two under until up upon very was we were what when where whether "
+        "which while who whom whose why will with within without would yet you your yours "
+        "aber alle allem allen aller alles als also am an andere anderen auch auf aus bei beim bin bis bist da damit dann "
+        "das dass daß dein dem den denn der des dich die dies diese diesem diesen dieser dieses doch dort du durch ein "
+        "eine einem einen einer eines er es etwas euch euer für gegen hat hatte hatten habe haben hier hin hinter ich ihm "
+        "ihn ihnen ihr ihre ihrem ihren ihrer im in indem ins ist ja jede jedem jeden jeder jedes jetzt kann kein keine "
+        "keinen können machen man mehr mein meine mich mir mit muss nach nicht nichts noch nun nur ob oder ohne schon "
+        "sehr sein seine seinem seinen seiner seit selbst sich sie sind so soll sollte sondern sowie über um und uns unser "
+        "unter vom von vor war waren was weil welche welcher wenn wer werde werden wie wieder will wir wird wo wurde "
+        "wurden während zu zum zur zwar zwischen "
+        "ai ainsi alors après au aucun aussi autre autres aux avait avant avec avoir c car ce cela ces cet cette ceux "
+        "chaque chez comme comment contre d dans de depuis des deux dit donc dont du elle elles en encore entre est et "
+        "étaient était été être eu eux faire fait font ici il ils j je jusque l la le les leur leurs lors lui ma mais me "
+        "même mes moi moins mon n ne ni nos notre nous on ont ou où par parce pas peu peut plus plusieurs pour pourquoi "
+        "quand que quel quelle quelles quels qui quoi s sa sans se selon sera ses si son sont sous sur ta te tes toi ton "
+        "tous tout toute toutes très tu un une vers vos votre vous y à "
+        "al algo algunos ante antes aunque cada como con contra cual cuando cómo del desde donde durante e el ella ellas "
+        "ellos era eran eres es esa esas ese eso esos esta estaba estado estas este esto estos está están fue fueron ha "
+        "haber había han hasta hay la las lo los mas me mi mientras mis mucho muchos muy más nada ni nos nosotros nuestra "
+        "nuestro o os otra otras otro otros para pero poco por porque que quien quienes qué se sea según ser si sido "
+        "sin sino sobre solo son su sus sólo también tan tanto te tiene tienen todo todos tras tu tus un una uno unos "
+        "vosotros ya yo él "
+        "agli ai al alla alle allo anche ancora che chi ci come con cui da dagli dai dal dalla dalle degli dei del della "
+        "delle dello di dopo dove due è e ed era essere fra gli ha hanno ho i il in io l la le lei lo loro lui ma me mi "
+        "molto ne negli nei nel nella nelle nello noi non o ogni per perché però più poi quale quando quanto quella quello "
+        "questa queste questi questo se sei senza si sia solo sono sta stato su sua sue sugli sui sul sulla sulle suo suoi "
+        "tra tutti tutto un una uno "
+        "ao aos as até com da das de depois do dos e ela elas ele eles em entre era essa esse esta este está eu foi foram "
+        "há isso isto já lhe mais mas mesmo meu minha muito na nas nem no nos não nós o os ou para pela pelas pelo pelos "
+        "por quando que quem são se sem ser seu seus sua suas só também tem têm uma umas você às é "
+        "aan al alles als altijd bij dan dat de deze die dit doch doen door dus een en er ge geen had heb hebben heeft "
+        "het hier hij hoe hun ik in is je kan kon maar me meer men met mij mijn naar niet nog nu of om omdat onder ons ook "
+        "op over te tegen toch toen tot u uit van veel voor want waren wat werd wezen wie wil worden wordt zal ze zelf "
+        "zich zij zijn zo zonder zou "
+        "а без более бы был была были было быть в вам вас ведь весь во вот все всего всех вы где да даже для до его ее "
+        "если есть еще же за здесь и из или им их к как ко когда которая которые который кто ли либо между меня мне "
+        "может мы на над надо не него нее нет ни них но ну о об однако он она они оно от очень по под при с сам свой "
+        "себя со так также такой там те тем то того тоже той только том ты у уже хотя чего чем что чтобы эта эти это "
+        "этого этой этом этот я"
+    ).split()
+)
+
 TOKEN = re.compile(
     r"<!--(?s:.*?)(?:--!?>|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)"
@@ -57,6 +112,7 @@ SHORT = 70  # characters
 LONG = 200
 FEW_STOPS = 0.30
 MANY_STOPS = 0.32
+MARKS = ".,;:!?()[]\"'\u2018\u2019\u201c\u201d\u00ab\u00bb"
 
 
 @dataclass
@@ -75,15 +131,17 @@ class Block:
 @dataclass
 class _Open:
     name: str
-    banned: bool
+    banned: str
     content: bool
 
 
-def _banned(name: str, attributes: str, content: bool) -> bool:
-    if name in BOILERPLATE or (name == "header" and not content):
-        return True
+def _banned(name: str, attributes: str, content: bool) -> str:
+    """How an element bans what is inside, one of STRENGTH."""
+    own = "soft" if name == "form" else ""
+    if not own and (name in BOILERPLATE or (name == "header" and not content)):
+        return "hard"
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return own
     for match in ATTRIBUTE.finditer(attributes):
         key, *values = match.groups()
         key, value = key.lower(), next((v for v in values if v), "")
@@ -91,23 +149,29 @@ def _banned(name: str, attributes: str, content: bool) -> bool:
             for token in value.split():
                 if re.match(r"(?:no|has|with|without)[-_]", token):
                     continue
-                if MARKED & {word.lower() for word in NAMES.findall(token)} and not (
+                marked = MARKED & {word.lower() for word in NAMES.findall(token)}
+                if marked and not (
                     content and token.lower() in ("header", "entry-header", "post-header", "article-header")
                 ):
-                    return True
-        elif key == "role" and value.lower() in ROLES or key == "hidden":
-            return True
+                    card = marked & CARDS or token.lower() in ("sidebar", "widget", "widgets")
+                    own = max(own, "card" if card else "soft", key=STRENGTH.index)
+        elif key == "role" and value.lower() in ROLES:
+            if value.lower() != "form":
+                return "hard"
+            own = own or "soft"
+        elif key == "hidden":
+            return "hard"
         elif key == "aria-hidden" and value.lower() == "true":
-            return True
+            return "hard"
         elif key == "style" and re.search(r"display\s*+:\s*+none|visibility\s*+:\s*+hidden", value.lower()):
-            return True
-    return False
+            return "hard"
+    return own
 
 
 def blocks_of(html: str) -> list[Block]:
     """The blocks of a page in page order, without labels."""
     blocks: list[Block] = []
-    stack = [_Open("", False, False)]
+    stack = [_Open("", "", False)]
     links = 0
     current: Block | None = None
     at = 0
@@ -121,7 +185,7 @@ def blocks_of(html: str) -> list[Block]:
                 return
             top = stack[-1]
             heading = any(re.fullmatch("h[1-6]", o.name) for o in stack)
-            current = Block(top.banned, top.content, heading)
+            current = Block(bool(top.banned), top.content, heading)
             blocks.append(current)
         decoded = unescape(segment) if "&" in segment else segment
         current.parts.append(decoded)
@@ -170,13 +234,27 @@ def blocks_of(html: str) -> list[Block]:
                 continue
             top = stack[-1]
             inside = top.content or name in CONTENT
-            stack.append(_Open(name, top.banned or _banned(name, attributes, top.content), inside))
+            outer = top.banned
+            if outer == "soft" and name in CONTENT or outer == "card" and name == "main":
+                outer = ""
+            banned = max(outer, _banned(name, attributes, top.content), key=STRENGTH.index)
+            stack.append(_Open(name, banned, inside))
             links += name == "a"
     return blocks
 
 
+def _stops(text: str) -> float:
+    """The share of function words; what an apostrophe joins counts as the word before or behind it."""
+    words = text.split()
+    return sum(_stop(w.lower().strip(MARKS)) for w in words) / len(words)
+
+
+def _stop(word: str) -> bool:
+    return word in STOP_WORDS or any(p in STOP_WORDS for p in re.split("['\u2019]", word) if p != word)
+
+
 def _classify(block: Block) -> str:
-    """First pass: good, bad, or undecided (near, short)."""
+    """First pass: good, bad, or undecided (near, long, short)."""
     size = len(block.text)
     if block.banned:
         return "bad"
@@ -184,18 +262,17 @@ def _classify(block: Block) -> str:
         return "bad" if not block.heading else "short"
     if size < SHORT:
         return "short"
-    words = block.text.split()
-    stops = sum(w.lower().strip(".,;:!?").encode("utf-8", "replace") in STOP_WORDS for w in words)
-    density = stops / len(words)
+    density = _stops(block.text)
     if density >= MANY_STOPS:
         return "good" if size > LONG else "near"
-    return "near" if density >= FEW_STOPS or block.content else "bad"
+    # few known function words say little about a text without links: it may be in another language
+    return "near" if density >= FEW_STOPS or block.content else "long"
 
 
 def _inherit(blocks: list[Block]) -> None:
     """Second pass: an undecided block takes the label of its nearest decided neighbours.
 
-    Both neighbours must be good, or one of them for a block that is nearly good. An
+    Both neighbours must be good, or one of them for a block that is nearly good or long. An
     article is its own neighbourhood: what is undecided in it is good.
     """
     decided = [b.label if b.label in ("good", "bad") else None for b in blocks]
@@ -217,7 +294,18 @@ def _inherit(blocks: list[Block]) -> None:
             block.label = "good"
             continue
         good = [side for side in (left, right) if side == "good"]
-        block.label = "good" if len(good) == 2 or (block.label == "near" and good) else "bad"
+        block.label = "good" if len(good) == 2 or (block.label in ("near", "long") and good) else "bad"
+
+
+def _longest_run(blocks: list[Block]) -> list[Block]:
+    """The neighbouring undecided blocks with most characters; bad blocks end a run."""
+    runs: list[list[Block]] = [[]]
+    for block in blocks:
+        if block.label == "bad":
+            runs.append([])
+        else:
+            runs[-1].append(block)
+    return max(runs, key=lambda run: sum(len(block.text) for block in run))
 
 
 def main_text(html: str) -> str:
@@ -228,11 +316,11 @@ def main_text(html: str) -> str:
     blocks = [block for block in blocks if block.text]
     for block in blocks:
         block.label = _classify(block)
-    if not any(b.label in ("good",) or (b.content and not b.banned) for b in blocks):
-        # a page of short texts only: what is nearly good decides, else the longest run
-        for block in blocks:
-            if block.label == "near":
-                block.label = "good"
+    if not any(b.label == "good" or (b.content and not b.banned) for b in blocks):
+        # a page without a good block: what is nearly good decides, else the longest run
+        decisive = [b for b in blocks if b.label == "near"] or _longest_run(blocks)
+        for block in decisive:
+            block.label = "good"
     _inherit(blocks)
     return " ".join(block.text for block in blocks if block.label == "good")
 
