@@ -153,3 +153,27 @@ def test_rows(spark):
     shared = spark.createDataFrame([("x", "a", "s"), ("x", "b", "s"), ("x", "a", "s"), ("y", "c", "s")], "kind string, canonical string, replaced string")
     assert [tuple(r) for r in collisions(shared).collect()] == [("x", "s", 2)]
     assert pseudonymise(docs.limit(0), KEY).collect() == []
+
+
+@pytest.mark.parametrize("text", [
+    "9807915762804490", "0007 6871 9910 1951", "01 23 45 67 89", "06.12.34.56.78", "912 345 678", "0470 12 34 56", "030/12 34 56 78",
+    "fe80::1", "::1", "2001:db8::", "fe80::", "2001:db8:1::", "1:2:3:4:5:6:7::",
+])
+def test_values_in_other_forms(text):
+    ((kind, found),) = kinds(f"x {text} y")
+    assert found == text and kind == ("ipv6" if ":" in text else "card" if len(re.sub(r"\D", "", text)) == 16 else "phone")
+    new = Surrogates(KEY).replace(text, kind)
+    assert new != text and (kind == "ipv6" or kinds(f"x {new} y") == [(kind, new)])
+
+
+def test_what_only_looks_alike():
+    for text in ("x[::2] and y[1::2] and a::b", "::", "on 01.02.2020 10:30", "01/02/2020", "912.345.678", "std::vector"):
+        assert kinds(text) == []
+
+
+def test_bare_names_and_capitals_of_all_scripts():
+    text = "Dr Šimková met Mr Παπακης. Later Šimková and Παπακης left; Anna Łuczak came, Anna saw Łuczak's car. Simková stayed."
+    assert [t for _, t in kinds(text)] == ["Šimková", "Παπακης", "Šimková", "Παπακης", "Anna Łuczak", "Anna", "Łuczak"]
+    keyed = Surrogates(KEY)
+    new = [t for _, t in kinds(keyed.rewrite(text, find_entities(text)))]
+    assert new[0] == new[2] != "Šimková" and new[1] == new[3] != "Παπακης" and new[4] == f"{new[5]} {new[6]}" != "Anna Łuczak"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from ipaddress import AddressValueError, IPv6Address
@@ -14,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tiermart.llm.common import column, map_batches, texts_of
+from tiermart.llm.textstats import STOP_WORDS
 
 # Given names by script and gender, and titles by gender
 GIVEN = {
@@ -32,14 +34,14 @@ COUNTRIES = frozenset(
     "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
     "60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
 )
-VOWELS = {"latin": "aeiou", "cyrillic": "аеиоуыэюя"}
-CONSONANTS = {"latin": "bcdfghjklmnprstvwz", "cyrillic": "бвгджзклмнпрстфхцчш"}
+VOWELS = {"latin": "aeiou", "cyrillic": "аеиоуыэюя", "greek": "αειου"}
+CONSONANTS = {"latin": "bcdfghjklmnprstvwz", "cyrillic": "бвгджзклмнпрстфхцчш", "greek": "βγδζθκλμνπρτφχ"}
 
 NAMES = {name: kind for kind, names in GIVEN.items() for name in names}
 GENDERS = {title: gender for gender, titles in TITLES.items() for title in titles}
 
 _WORD = r"[^\W\d_]"
-_CAPITAL = r"[A-ZÀ-ÖØ-ÞА-ЯЁ]"
+_CAPITAL = "[" + "".join(c for c in map(chr, range(0x10000)) if unicodedata.category(c) in ("Lu", "Lt")) + "]"
 _SURNAME = rf"{_CAPITAL}{_WORD}+(?:-{_CAPITAL}{_WORD}+)?"
 EMAIL = re.compile(
     r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
@@ -57,8 +59,15 @@ DIGITS = re.compile(
 )
 IPV6 = re.compile(
     r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
-    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\w)"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6}"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,7}:"
+    r"|::(?:[0-9A-Fa-f]{1,4}:){0,6}[0-9A-Fa-f]{1,4})(?![\w:]|\.\w)"
 )
+# how numbers without a country code are grouped
+DIALLED = re.compile(r"(?:\(\d{2,5}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|[2-9]\d\d([ -])\d{3}\1\d{3}")
+LOCAL = re.compile(r"0\d{2,4}[ /-]\d{3,8}(?:[ -]\d{2,5})*")
+GROUPED = re.compile(r"0[1-9]\d{0,3}([ ./-])\d{2,4}(?:\1\d{2,4}){1,4}|0[1-9]\d{1,3}/\d{2,4}(?: \d{2,4}){1,3}")
+TOKEN = re.compile(rf"(?<!\w){_WORD}++(?:-{_WORD}++)*+(?!\w)")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
 PERSON = re.compile(
     rf"(?<!\w)(?:(?P<title>{'|'.join(sorted(GENDERS, key=len, reverse=True))})\.? (?P<named>{_SURNAME}(?: {_SURNAME})?)"
@@ -114,9 +123,13 @@ def _dialled(text: str) -> tuple[str, str]:
 
 
 def _ipv6_valid(text: str) -> bool:
-    """Short forms need three groups and a digit, as names in programs are written alike."""
-    if "::" in text and (len(text.replace("::", ":").split(":")) < 3 or not re.search("[0-9]", text)):
-        return False
+    """Short forms need a digit and three groups, a first one of four signs as all assigned prefixes
+    have, or to be ::1, as names and slices in programs are written alike."""
+    if "::" in text and text != "::1":
+        groups = [group for group in text.split(":") if group]
+        assigned = len(groups) > 2 or len(text.split(":")[0]) == 4
+        if not assigned or not re.search("[0-9]", text):
+            return False
     try:
         IPv6Address(text)
     except AddressValueError:
@@ -133,21 +146,22 @@ def _number_kind(match: re.Match) -> str | None:
     if match["ssn"]:
         return "ssn"
     if match["card"]:
-        # numbers of 16 digits are taken for cards also where the check digit is wrong
-        return "card" if luhn(digits) or (len(digits) == 16 and digits[0] in "23456") else None
+        # all numbers of 16 digits are taken for cards, also where the check digit is wrong
+        return "card" if luhn(digits) or len(digits) == 16 else None
     if match["plus"] or match["paren"] or text.startswith(("+", "00")):
         return "phone" if 8 <= len(digits) <= 15 else None
     if match["phone"]:
         # without a country code the groups must look like a number to dial
-        dialled = re.fullmatch(r"(?:\(\d{2,5}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}", text)
-        local = re.fullmatch(r"0\d{2,4}[ /-]\d{3,8}(?:[ -]\d{2,5})*", text)
-        return "phone" if dialled or local else None
+        if DIALLED.fullmatch(text) or LOCAL.fullmatch(text):
+            return "phone"
+        return "phone" if GROUPED.fullmatch(text) and 9 <= len(digits) <= 11 else None
     return None
 
 
 def find_entities(text: str) -> list[Entity]:
     """E-mail addresses, IP addresses, cards, IBANs, phone and social security numbers and
-    names with a title or a known given name; from left to right, without overlaps."""
+    names with a title or a known given name, and the bare parts of those names elsewhere in the text;
+    from left to right, without overlaps."""
     found: list[Entity] = []
     if "@" in text:
         found += [Entity(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
@@ -160,11 +174,23 @@ def find_entities(text: str) -> list[Entity]:
         ]
         if ":" in text:
             found += [Entity(m.start(), m.end(), "ipv6") for m in IPV6.finditer(text) if _ipv6_valid(m.group())]
+    genders: dict[str, str] = {}
     for match in PERSON.finditer(text):
         if match["given"] and match["family"].lower() != match["given"].lower():
             found.append(Entity(match.start(), match.end(), "person", NAMES[match["given"]][1]))
         elif match["title"]:
             found.append(Entity(match.start("named"), match.end("named"), "person", GENDERS[match["title"]]))
+        else:
+            continue
+        for part in text[found[-1].start : found[-1].end].split(" "):
+            if part.lower().encode("utf-8", "replace") not in STOP_WORDS and part not in GENDERS:
+                genders.setdefault(part, found[-1].gender)
+    if genders:
+        found += [
+            Entity(m.start(), m.end(), "person", genders[m.group()])
+            for m in TOKEN.finditer(text)
+            if m.group() in genders
+        ]
     found.sort(key=lambda e: (e.start, -e.end))
     kept: list[Entity] = []
     for entity in found:
