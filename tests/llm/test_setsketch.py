@@ -124,3 +124,22 @@ def test_shingles():
     assert len(shingles("a b c d", 3)) == 2 and len(shingles("a b", 3)) == 1 and len(shingles(" ", 3)) == 0
     assert len(shingles("a b c a b c", 3)) == 3
     assert (shingles("A b", 3) == shingles("a B", 3)).all() and (shingles("a b", 2) != shingles("b a", 2)).all()
+
+
+def test_bands_follow_from_the_threshold():
+    assert [(r.bands, r.rows) for r in (NearDuplicates(85, 3), NearDuplicates(80, 5), NearDuplicates())] == [(21, 6), (25, 5), (25, 5)]
+    for percent in range(10, 101):
+        rule = NearDuplicates(percent)
+        assert rule.missed(rule.rows) < 1e-4 and rule.bands * rule.rows <= setsketch.REGISTERS
+
+
+def test_lone_pairs_at_the_threshold_share_a_band():
+    rng = np.random.default_rng(5)
+    rule, missed = NearDuplicates(80, 5), {5: 0, 6: 0}
+    for _ in range(6000):
+        values = rng.integers(0, 2**64, 100, dtype=np.uint64)  # 80 of 100 in common
+        same = registers(minima(values[:90])) == registers(minima(np.concatenate([values[:80], values[90:]])))
+        for rows in missed:
+            used = setsketch.REGISTERS // rows * rows
+            missed[rows] += not same[:used].reshape(-1, rows).all(axis=1).any()
+    assert missed[rule.rows] <= 2 < missed[6]

@@ -16,9 +16,9 @@ from tiermart.llm.common import column, map_batches, texts_of
 from tiermart.llm.components import connected_components
 from tiermart.session import materialise
 
-BANDS = 21
-ROWS = 6  # registers of a band
-REGISTERS = BANDS * ROWS
+REGISTERS = 126
+MOST_ROWS = 6  # registers of a band, at most
+MISSED = 1e-4  # chance that a pair at the threshold shares no band, at most
 BASE = 1.001  # registers are logarithms to this base
 RATE = 20.0
 LIMIT = 65_534  # largest register, below it is 0
@@ -114,6 +114,19 @@ class NearDuplicates:
     percent: int = 80
     size: int = 5
 
+    def missed(self, rows: int) -> float:
+        """The chance that a pair at the threshold shares no band of so many registers."""
+        return (1 - (self.percent / 100) ** rows) ** (REGISTERS // rows)
+
+    @property
+    def rows(self) -> int:
+        """Registers of a band: as many as miss few enough pairs."""
+        return next((n for n in range(MOST_ROWS, 1, -1) if self.missed(n) < MISSED), 1)
+
+    @property
+    def bands(self) -> int:
+        return REGISTERS // self.rows
+
     @property
     def least_estimate(self) -> float:
         """Four standard deviations of the estimate below the threshold."""
@@ -154,12 +167,13 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
     )
 
 
-def _buckets(firsts: DataFrame) -> DataFrame:
+def _buckets(firsts: DataFrame, rule: NearDuplicates) -> DataFrame:
     """(bucket, band, node): one row per band of each sketch."""
+    size = 2 * rule.rows  # bytes
     bands = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)),
+        F.sequence(F.lit(0), F.lit(rule.bands - 1)),
         lambda i: F.struct(
-            F.xxhash64(i, F.substring("sketch", i * (2 * ROWS) + 1, F.lit(2 * ROWS))).alias("bucket"),
+            F.xxhash64(i, F.substring("sketch", i * size + 1, F.lit(size))).alias("bucket"),
             i.alias("band"),
         ),
     )
@@ -346,7 +360,7 @@ def _block_links(
         mine = np.array(table.column("mine").to_pylist())
         sizes = np.array(table.column("n_shingles").to_pylist(), dtype=float)
         sketch = _sketch_matrix(table.column("sketch").to_pylist())
-        earlier = ROWS * table.column("band")[0].as_py()
+        earlier = rule.rows * table.column("band")[0].as_py()
         pairs = []
         for i in range(len(nodes) - 1):
             others = groups[i + 1 :] != groups[i]
@@ -360,7 +374,7 @@ def _block_links(
             good = likely(rule.least_estimate, higher, lower, np.full(len(js), sizes[i]), sizes[js])
             js, unequal = js[good], (higher + lower)[good]
             if earlier and len(js):
-                same = (sketch[i, :earlier] == sketch[js, :earlier]).reshape(len(js), -1, ROWS)
+                same = (sketch[i, :earlier] == sketch[js, :earlier]).reshape(len(js), -1, rule.rows)
                 new = ~same.all(axis=2).any(axis=1)
                 js, unequal = js[new], unequal[new]
             pairs += [(int(d), i, int(j)) for d, j in zip(unequal, js)]
@@ -406,8 +420,9 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) ->
     class is compared with the smallest one that it shares a bucket with: first by joint estimate, then by
     the full sets. 4. Buckets that still hold several components are compared in blocks: each document
     proposes its likeliest partners of other components, ever more of them, until
-    every candidate above the estimate's margin is verified or united. A pair at
-    the threshold shares no bucket with a probability below 1 in 10,000.
+    every candidate above the estimate's margin is verified or united. Bands follow from the threshold:
+    a pair at it shares no bucket with a probability of 5 in 100,000 at 85 percent (21 bands of 6
+    registers) and at 80 percent (25 bands of 5), and below 1 in 10,000 at all from 10 percent on.
     """
     spark = docs.sparkSession
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -425,7 +440,7 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) ->
         .withColumn("node", F.xxhash64("class")),
         "classes",
     )
-    buckets = _buckets(firsts)
+    buckets = _buckets(firsts, rule)
     crowded = materialise(_crowded(buckets), "crowded")
     members = materialise(buckets.join(crowded, "bucket"), "members")
 
