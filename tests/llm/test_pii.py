@@ -177,3 +177,13 @@ def test_bare_names_and_capitals_of_all_scripts():
     keyed = Surrogates(KEY)
     new = [t for _, t in kinds(keyed.rewrite(text, find_entities(text)))]
     assert new[0] == new[2] != "Šimková" and new[1] == new[3] != "Παπακης" and new[4] == f"{new[5]} {new[6]}" != "Anna Łuczak"
+
+
+def test_the_pipeline_checks_collisions(spark, monkeypatch):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(1, TEXT)], "doc_id long, text string")
+    assert corpus_pipeline.pii(spark, docs, "").count() == 1
+    monkeypatch.setattr(pii, "collisions", lambda found: found.limit(1))
+    with pytest.raises(ValueError, match="several entities"):
+        corpus_pipeline.pii(spark, docs, "")

@@ -485,6 +485,13 @@ def collisions(entities: DataFrame) -> DataFrame:
     )
 
 
+def require_distinct(docs: DataFrame, key: bytes) -> None:
+    """Raise if two entities of docs(doc_id, text) share a surrogate."""
+    shared = collisions(entity_table(docs, key)).count()
+    if shared:
+        raise ValueError(f"{shared} surrogates stand for several entities")
+
+
 def pseudonymised_documents(docs: DataFrame, key: bytes) -> DataFrame:
     """(doc_id, text, n_entities, kinds) of docs(doc_id, text): the text with surrogates.
 
@@ -492,9 +499,7 @@ def pseudonymised_documents(docs: DataFrame, key: bytes) -> DataFrame:
     runs first and raises if two entities of the corpus share a surrogate. One
     row per input row; a null text stays null and has no entities.
     """
-    shared = collisions(entity_table(docs, key)).count()
-    if shared:
-        raise ValueError(f"{shared} surrogates stand for several entities")
+    require_distinct(docs, key)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         surrogates, rows = _surrogates(key), []
