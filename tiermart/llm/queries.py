@@ -14,6 +14,7 @@ from tiermart.llm.html import extract_text
 from tiermart.llm.packing import pack, token_pieces
 from tiermart.llm.pieces import piece_digests
 from tiermart.llm.pii import pseudonymised_documents
+from tiermart.llm.ranked import ranked_search
 from tiermart.llm.rules import fit_rules, rule_verdicts
 from tiermart.llm.secrets import scan_secrets
 from tiermart.llm.setsketch import NearDuplicates, near_duplicates
@@ -93,6 +94,12 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_digests(table(spark, sf_dir, "documents"), public_tokenizers.path(PIECE_MODEL))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), best=50
+    )
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -106,6 +113,7 @@ QUERIES: dict[str, Query] = {
         op8_pii,
         op9_secrets,
         op10_pieces,
+        op11_ranked_search,
     )
 }
 
@@ -178,5 +186,36 @@ reach(a, b) AS (
 component AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
 FROM documents d JOIN component USING (doc_id) LEFT JOIN sizes USING (doc_id)
+""",
+    "op11_ranked_search": """
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark
+),
+listed AS (
+  SELECT kind, id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS terms
+  FROM texts
+),
+sizes AS (SELECT id AS doc_id, len(terms) AS n FROM listed WHERE kind = 'd' AND len(terms) > 0),
+corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS total FROM sizes),
+counted AS (
+  SELECT kind, id, term, count(*) AS tf FROM (SELECT kind, id, unnest(terms) AS term FROM listed) GROUP BY ALL
+),
+held AS (SELECT term, count(*) AS df FROM counted WHERE kind = 'd' GROUP BY term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w FROM held, corpus
+),
+norms AS (SELECT doc_id, 50 + (50 * n * docs) // total AS m FROM sizes, corpus),
+scored AS (
+  SELECT i.id AS item_id, d.id AS doc_id,
+    CAST(sum(w * ((1000000000 * d.tf) // (1000 * d.tf + 20 * m))) AS BIGINT) AS score
+  FROM counted i JOIN counted d ON i.kind = 'i' AND d.kind = 'd' AND i.term = d.term
+  JOIN weights ON weights.term = i.term JOIN norms ON norms.doc_id = d.id
+  GROUP BY 1, 2
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 50
 """,
 }
