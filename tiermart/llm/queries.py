@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tiermart.llm.classifier import fit_quality, quality_scores
 from tiermart.llm.common import table
 from tiermart.llm.html import extract_text
+from tiermart.llm.negatives import hard_negatives
 from tiermart.llm.packing import pack, token_pieces
 from tiermart.llm.pieces import piece_digests
 from tiermart.llm.pii import pseudonymised_documents
@@ -100,6 +101,13 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label")
+    moved = F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -114,6 +122,7 @@ QUERIES: dict[str, Query] = {
         op9_secrets,
         op10_pieces,
         op11_ranked_search,
+        op12_hard_negatives,
     )
 }
 
@@ -217,5 +226,27 @@ scored AS (
 SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
 FROM scored WHERE score > 0
 QUALIFY rank <= 50
+""",
+    "op12_hard_negatives": """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_dot_product(a.e, b.e) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id
+),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id) AS INTEGER) AS rank,
+  id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT same
+  AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
 """,
 }
