@@ -16,6 +16,7 @@ from tiermart.llm.packing import pack, token_pieces
 from tiermart.llm.pieces import piece_digests
 from tiermart.llm.pii import pseudonymised_documents
 from tiermart.llm.ranked import ranked_search
+from tiermart.llm.records import stored_sequences
 from tiermart.llm.rules import fit_rules, rule_verdicts
 from tiermart.llm.secrets import scan_secrets
 from tiermart.llm.setsketch import NearDuplicates, near_duplicates
@@ -27,6 +28,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
 # a fixed key, so that results can be compared between runs; real ones come from a secret store
 PII_KEY = b"tiermart example key"
 
@@ -108,6 +110,12 @@ def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(rows, F.col("vec_id") % 100 == 0)
 
 
+def op13_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    stored = stored_sequences(docs, public_tokenizers.path(WORD_TOKENIZER), end_id=1)
+    return stored.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES: dict[str, Query] = {
     function.__name__: function
     for function in (
@@ -123,6 +131,7 @@ QUERIES: dict[str, Query] = {
         op10_pieces,
         op11_ranked_search,
         op12_hard_negatives,
+        op13_token_records,
     )
 }
 
