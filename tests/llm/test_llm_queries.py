@@ -15,6 +15,7 @@ from tiermart.llm.pii import Surrogates, find_entities
 from tiermart.llm.queries import PII_KEY, SQL
 from test_packing import best_fit
 from test_quality import brute
+from test_records import brute as all_records
 from test_setsketch import expected
 from tiermart.llm.setsketch import NearDuplicates
 
@@ -42,7 +43,7 @@ def test_sql(spark, name):
 
 def test_registered():
     names = [n for n in entry.queries() if re.match(r"op\d+_", n)]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 def test_packing(spark):
@@ -105,6 +106,12 @@ def test_pieces(spark):
     assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in rows(spark, "documents"))
 
 
+def test_token_records(spark):
+    order = sorted((r.doc_id, r.text) for r in rows(spark, "documents"))
+    got = sorted(tuple(r) for r in query(spark, "op13_token_records").collect())
+    assert got == [(i, start, n, zlib.crc32(ids)) for i, start, n, ids in all_records(order)]
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     labels = {r.doc_id: r.quality for r in rows(spark, "labels")}
