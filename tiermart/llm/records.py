@@ -21,7 +21,7 @@ import struct
 import unicodedata
 import zlib
 from collections import OrderedDict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +37,7 @@ ROLL = 256 * 1024 * 1024  # bytes after which a task begins another file
 READ = 1024  # records that are read at a time
 SPLIT = 128 * 1024 * 1024  # bytes a reading task gets, about
 OPEN = 32  # files that a task of a shuffled read keeps open
-WORDS = 1_000_000  # words whose ids a worker remembers
+WORDS = 500_000  # words whose ids a worker remembers, and as many of earlier ones
 
 MANIFEST = "partition int, part int, name string, records long, ids long, bytes long"
 SEQUENCES = "doc_id long, start long, n_tokens long, ids binary"
@@ -57,25 +57,59 @@ def _class(first: str) -> str:
     )
 
 
+def _byte_signs() -> list[str]:
+    """The characters that stand for bytes in a byte-level vocabulary: printable ones for
+    themselves, the others in order from 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in shown]
+    signs = {**{b: chr(b) for b in shown}, **{b: chr(256 + n) for n, b in enumerate(rest)}}
+    return [signs[b] for b in range(256)]
+
+
+class _Known(dict):
+    """The ids of words met before; when there are too many, those not met again are forgotten."""
+
+    def __init__(self, encode: Callable[[str], bytes]) -> None:
+        self.encode = encode
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        if len(self) >= WORDS:
+            self.older = dict(self)
+            self.clear()
+        self[word] = ids
+        return ids
+
+
 class WordTokenizer:
     """Ids of a vocabulary with word ends, as `tokenizers` gives them.
 
     The vocabulary's pattern divides a lower-case text into words, whose ids do not depend on what stands
-    around them. In texts of simple characters the same division is done here, and each
-    different word is encoded once; other texts, and those that hold a special token, are encoded whole.
+    around them. In texts of simple characters the same division is done here, and the library's
+    model encodes each different word once; other texts, and those that hold a special token, go
+    through the library whole.
     """
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
 
         self.exact = Tokenizer.from_file(path)
+        self.model = self.exact.model
         self.special = [token.content for token in self.exact.get_added_tokens_decoder().values()]
         self.kind = np.dtype("<u2" if self.exact.get_vocab_size() <= 1 << 16 else "<u4")
         letters, numbers = _class("L"), _class("N")
         self.words = re.compile(
-            f"{_CONTRACTIONS}|[{letters}]+|[{numbers}]|[^{_SPACES}{letters}{numbers}]+"
+            f"[{letters}]+|{_CONTRACTIONS}|[{numbers}]|[^{_SPACES}{letters}{numbers}]+"
         ).findall
-        self.known: dict[str, bytes] = {}
+        self.signs = _byte_signs()
+        self.known = _Known(self._word)
+
+    def _word(self, word: str) -> bytes:
+        shown = "".join([self.signs[b] for b in word.encode()])
+        return np.array([token.id for token in self.model.tokenize(shown)], self.kind).tobytes()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.exact.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
@@ -84,15 +118,7 @@ class WordTokenizer:
         """The ids of a text, `kind` by `kind`."""
         if (not text.isascii() and _OTHER.search(text)) or any(s in text for s in self.special):
             return self._whole(text)
-        words = self.words(text.lower())
-        try:
-            return b"".join(map(self.known.__getitem__, words))
-        except KeyError:
-            if len(self.known) > WORDS:
-                self.known.clear()
-            for word in set(words) - self.known.keys():
-                self.known[word] = self._whole(word)
-            return b"".join(map(self.known.__getitem__, words))
+        return b"".join(map(self.known.__getitem__, self.words(text.lower())))
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
