@@ -1,4 +1,5 @@
 import random
+import time
 
 from tiermart.llm.secrets import FEATURES, find_candidates, proven, scan_secrets, train_filter, with_features
 
@@ -105,3 +106,32 @@ def test_forest_keeps_values_inside_addresses_and_json(spark):
     got = scan_secrets(frame(spark, texts)).where("doc_id >= 400").collect()
     kept = {r.doc_id for r in got if r.is_secret and r.key in ("token", "password")}
     assert kept == set(range(400, 520))
+
+
+def test_what_stands_far_behind_a_value_counts(spark):
+    far = "a1b2c3d4e5f6g7" + "!" * 300 + "@mail.example.com"
+    got = find_candidates(frame(spark, [(1, far), (2, "a1b2c3d4e5f6g7;x@mail.example.com")])).collect()
+    words = {(r.doc_id, r.finding): r.word for r in got}
+    assert words[1, "a1b2c3d4e5f6g7"] == far
+    assert words[2, "a1b2c3d4e5f6g7"] == "a1b2c3d4e5f6g7"
+
+
+def test_many_candidates_in_one_text(spark):
+    """A text of 100,000 candidate words, and one word of 50,000 values, take about as long as many short texts."""
+    value = "{:012d}abc"
+    many = [value.format(i) for i in range(100_000)]
+    short = [(i, " ".join(many[i::1000])) for i in range(1000)]
+    inside = '"' + '","'.join(many[:50_000]) + '"'
+
+    def timed(texts):
+        df = frame(spark, texts).coalesce(1)
+        start = time.time()
+        found = find_candidates(df).selectExpr("count(*)", "sum(length(word))").first()
+        return time.time() - start, found[0]
+
+    timed(short[:50])
+    usual, n = timed(short)
+    one, same = timed([(1, " ".join(many))])
+    packed, values = timed([(1, inside)])
+    assert n == same == 100_000 and values == 50_000
+    assert one < 3 * usual + 5 and packed < 3 * usual + 5

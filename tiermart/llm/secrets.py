@@ -55,7 +55,8 @@ VALUES = (
     rf"|(?<![\"'`])((?:(?![&;,|?]{QUOTES}[\w.\-]++{QUOTES}[=:])[^\"'`])++))"
     # an issued key, or a run without one (6)
     rf"|({ISSUED_PART}|(?:(?!{ISSUED_PART})[{RUN}])++(?:={{1,2}}+(?![=>]|{QUOTES}[{RUN}]))?+)"
-    r")(?=([^&?;,{}()|<>\[\]]{0,100}))"  # 7: what stands behind
+    # 7: the signs behind, up to the next value or the end of a part
+    rf")(?=([^{RUN}&?;,{{}}()|<>\[\]]*+))"
 )
 
 
@@ -66,7 +67,7 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     of 6 or more behind a secret word and = or :, of any signs up to the closing quote, white space or the next
     name, passwords of addresses (their key is password), and heads of private keys. A word may
     hold several. `position` is the number of the
-    word in the text, from 0; `word` is the part of it around the value; `key` is what the value is assigned to;
+    word in the text, from 0; `word` is the part of it around the value, up to the next separator or the end of the next value; `key` is what the value is assigned to;
     `before` and `after` are the neighbouring words. A null text has none.
     """
     words = F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+")
@@ -83,17 +84,25 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         )
         | ((i >= 1) & F.get("words", i - 1).rlike(rf"(?i)(?:{SECRET_WORDS})[\w.\-]*+{QUOTES}(?:[=:]|=>)$")),
     )
-    listed = docs.select(
-        "doc_id", F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), words.alias("words")
-    ).select("doc_id", "path", "words", F.explode(places).alias("position"))
 
-    def at(shift: int) -> Column:
-        return F.coalesce(F.get("words", F.col("position") + shift), F.lit(""))
+    def around(i: Column) -> Column:
+        """A word and its neighbours; a row carries these only, however many words its text has."""
 
-    located = listed.select(
-        "doc_id", "position", "path", at(0).alias("whole"), at(-1).alias("before"),
-        at(-2).alias("earlier"), at(1).alias("after"), at(2).alias("later"),
-    )
+        def at(shift: int) -> Column:
+            return F.coalesce(F.get("words", i + shift), F.lit(""))
+
+        return F.struct(
+            i.alias("position"), at(0).alias("whole"), at(-1).alias("before"), at(-2).alias("earlier"),
+            at(1).alias("after"), at(2).alias("later"),
+        )
+
+    located = (
+        docs.select(
+            "doc_id", F.coalesce(F.col(path).cast("string"), F.lit("")).alias("path"), words.alias("words")
+        )
+        .select("doc_id", "path", F.explode(F.transform(places, around)).alias("found"))
+        .select("doc_id", "path", "found.*")
+    )
     signs = F.col("before").rlike("^(?:=|:|:=|=>)$")
     assigned = F.when(signs, F.col("earlier")).when(F.col("before").rlike("(?:[=:]|=>)$"), F.col("before"))
     name = F.regexp_extract(F.coalesce(assigned, F.lit("")), rf"(?<![{RUN}])([{RUN}]++)[^{RUN}]*+$", 1)
@@ -107,7 +116,10 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
     )
     zipped = groups.select(
         "doc_id", "position", "path", "before", "after", "later", "name",
-        F.posexplode(F.arrays_zip(*(f"g{n}" for n in range(1, 8)), F.array_insert("g6", 1, F.lit("")).alias("g8"))).alias("nth", "part"),
+        F.posexplode(F.arrays_zip(
+            *(f"g{n}" for n in range(1, 8)), F.array_insert("g6", 1, F.lit("")).alias("g8"),
+            *(F.slice(f"g{n}", 2, F.greatest(F.size(f"g{n}"), F.lit(1))).alias(f"next{n}") for n in (1, 2, 3, 6)),
+        )).alias("nth", "part"),
     ).select("*", "part.*").where(F.col("g1").isNotNull())
     named = F.when(F.col("g3") != "", F.col("g3")).when(F.col("g2") != "", F.lit("password")).otherwise(
         F.when(F.col("g1").rlike(rf"^{QUOTES}{SIGN}{QUOTES}$"), F.col("g8")).otherwise("")
@@ -132,6 +144,11 @@ def find_candidates(docs: DataFrame, path: str = "source") -> DataFrame:
         F.when(F.col("g3") != "", F.concat("g3", F.lit("="))).otherwise(F.lit("")),
         F.when(F.col("g4") != "", F.concat(F.lit('"'), "g4")).otherwise(F.concat("g5", "g2", "g6")),
         "g7",
+        # the next value belongs to the part if nothing ends it in between
+        F.when(
+            F.col("next1") == F.col("g7"),
+            F.concat("next3", F.when(F.col("next2") != "", F.concat(F.lit("//"), "next2")).otherwise(F.lit("")), "next6"),
+        ).otherwise(F.lit("")),
     )
     found = zipped.select(
         "doc_id", "position", "path", "before", "after", part.alias("word"),
