@@ -1,7 +1,7 @@
 import numpy as np
 
 from tiermart.llm.components import connected_components
-from tiermart.llm.vectors import TREES, _cells, leaves, near_duplicate_vectors
+from tiermart.llm.vectors import MISS, SAMPLE, TREES, _cells, _grow, _walk, leaves, near_duplicate_vectors
 
 SCHEMA = "vec_id long, embedding array<float>, label int, kept boolean, n_links string"
 
@@ -121,3 +121,33 @@ def test_components(spark):
     want |= {i: 100 for i in range(100, 150)} | {i: 200 for i in range(200, 241)}
     assert got == want
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").collect() == []
+
+
+def met(n, alike, limit, pairs=200, size=64):
+    """Share of lone pairs of cosine 0.981 that some tree brings together, and the number of trees, among
+    vectors with about `alike` as cosine to each other."""
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal(size)
+    vectors = rng.standard_normal((n, size))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    vectors = alike**0.5 * centre / np.linalg.norm(centre) + (1 - alike) ** 0.5 * vectors
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    one, aside = vectors[:pairs], rng.standard_normal((pairs, size))
+    aside -= (aside * one).sum(axis=1)[:, None] * one
+    aside /= np.linalg.norm(aside, axis=1)[:, None]
+    vectors = np.concatenate([vectors, 0.981 * one + (1 - 0.981**2) ** 0.5 * aside])
+    sample = vectors[rng.choice(len(vectors), SAMPLE, replace=False)]
+    trees = {}
+    for point in _grow("c", sample, len(vectors), limit, 0.2, True):
+        trees.setdefault(point["tree"], {})[point["node"]] = point["middle"], point["strip"]
+    found = np.zeros(pairs, dtype=bool)
+    for _, _, rows in _walk("c", vectors, trees, {}):
+        found |= np.isin(np.arange(pairs), rows) & np.isin(np.arange(n, n + pairs), rows)
+    return found.mean(), len(trees)
+
+
+def test_dense_labels_get_more_trees_and_lose_no_pairs():
+    loose, few = met(60_000, 0.0, 512)
+    dense, many = met(60_000, 0.95, 512)
+    assert loose >= 1 - 2 * MISS and dense >= 1 - 2 * MISS
+    assert few == TREES < many

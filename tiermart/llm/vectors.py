@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from functools import reduce
@@ -16,8 +17,9 @@ from tiermart.llm.common import column, map_batches
 from tiermart.llm.components import connected_components
 from tiermart.session import materialise
 
-TREES = 6
-LEAF = 512  # vectors that are compared with each other
+TREES = 6  # at least
+MISS = 0.02  # chance that no tree brings a pair at the threshold together, at most
+LEAF = 2048  # vectors that are compared with each other
 CELL = 8192  # vectors of a cell, whose trees are grown in one task
 BLOCK = 256  # vectors of one side when links are counted
 SAMPLE = 4096  # vectors of a larger cell that its trees are fitted on, about
@@ -26,6 +28,7 @@ SHARE = 65_536  # vectors of a larger cell that one task leads down its trees, a
 # projections of two unit vectors of cosine 0.98 on a random direction of unit
 # variance differ by 0.2 in standard deviation.
 SPILL = 0.1
+GROWTH = 1.2  # rows on both sides of a split against the rows before, at most
 
 
 def _random(*key: int) -> np.random.Generator:
@@ -35,15 +38,16 @@ def _random(*key: int) -> np.random.Generator:
 def _split(vectors: np.ndarray, key: tuple[int, ...], spill: float = SPILL):
     """A random direction, the point that halves the vectors on it, and the strip.
 
-    The strip is narrowed where more than a fifth of the vectors would be on both sides. None if
-    so many vectors have the same place that one side would keep nearly all.
+    The strip is narrowed where more than a fifth of the vectors would be on both sides; more trees then
+    make up for it, see `_grow`. None if so many vectors have the same place that one side
+    would keep nearly all.
     """
     direction = _random(*key).standard_normal(vectors.shape[1])
     places = vectors @ direction
     middle = float(np.median(places))
     while True:
         low, high = (side.mean() for side in _sides(places, middle, spill))
-        if low + high <= 1.2 and max(low, high) <= 0.875:
+        if low + high <= GROWTH and max(low, high) <= 0.875:
             return direction, middle, spill
         if not spill:
             return None
@@ -55,6 +59,22 @@ def _sides(places: np.ndarray, middle: float, spill: float) -> tuple[np.ndarray,
     return places < middle + spill, places >= middle - spill
 
 
+def _missed(places: np.ndarray, middle: float, strip: float, chord: float) -> float:
+    """The chance that a split divides two vectors `chord` apart and neither lies in the strip.
+
+    Their places differ by a normal variable of deviation `chord`. They are divided where the
+    difference crosses the whole strip, which happens as often as the part of it beyond the strip is long, times
+    the density of places at the split. Where vectors lie so close that most pairs are links, pairs
+    are united by others; the density counts as if they were just too far apart for that.
+    """
+    width = 0.5 * float(places.std())
+    density = float((np.abs(places - middle) <= width).mean()) / (2 * width) if width else math.inf
+    density = min(density, math.sqrt(2) / (chord * math.sqrt(2 * math.pi)))
+    z = 2 * strip / chord
+    beyond = math.exp(-z * z / 2) / math.sqrt(2 * math.pi) - z * math.erfc(z / math.sqrt(2)) / 2
+    return min(2 * chord * beyond * density, 1.0)
+
+
 def leaves(vectors: np.ndarray, tree: int, leaf: int = LEAF) -> Iterator[np.ndarray]:
     """Row numbers of each leaf of one random tree; a node with more than `leaf` rows is split."""
     waiting = [(np.arange(len(vectors)), 1)]
@@ -146,40 +166,62 @@ def _key(cell: str, tree: int, node: int) -> tuple[int, ...]:
     return 1000, zlib.crc32(cell.encode()), tree, node
 
 
-def _grow(cell: str, vectors: np.ndarray, size: int, limit: int, trees: int) -> list[dict]:
-    """Split points (tree, node, middle, strip) of a cell of `size` rows, from a sample of them.
+def _tree(cell: str, vectors: np.ndarray, size: int, limit: int, tree: int, chord: float):
+    """Split points of one tree, and the chance that it brings a pair `chord` apart together.
 
-    A node is split until `limit` rows are left in it, or too few of the sample. Empty for a
-    cell that cannot be split.
+    A node is split until `limit` rows are left in it, or too few of the sample; levels that are left
+    for later trees count as the levels above them do.
     """
     share = len(vectors) / size
-    points = []
-    for tree in range(trees):
-        waiting = [(np.arange(len(vectors)), 1)]
-        while waiting:
-            rows, node = waiting.pop()
-            if len(rows) < 16 or (node > 1 and len(rows) / share <= limit):
-                continue
-            found = _split(vectors[rows], _key(cell, tree, node))
-            if found is None:
-                continue
-            direction, middle, strip = found
-            points.append({"tree": tree, "node": node, "middle": middle, "strip": strip})
-            low, high = _sides(vectors[rows] @ direction, middle, 0.0)
-            waiting += [(rows[low], 2 * node), (rows[high], 2 * node + 1)]
+    points, together = [], 0.0
+    waiting = [(np.arange(len(vectors)), 1, 0.0, 0)]
+    while waiting:
+        rows, node, kept, depth = waiting.pop()
+        small = len(rows) < 16 or (node > 1 and len(rows) / share <= limit)
+        found = None if small else _split(vectors[rows], _key(cell, tree, node))
+        if found is None:
+            left = math.log(max(len(rows) / share / limit, 1)) / math.log(2 / GROWTH)
+            together += len(rows) / len(vectors) * math.exp(kept * (1 + left / max(depth, 1)))
+            continue
+        direction, middle, strip = found
+        points.append({"tree": tree, "node": node, "middle": middle, "strip": strip})
+        places = vectors[rows] @ direction
+        kept += math.log1p(-min(_missed(places, middle, strip, chord), 0.999))
+        low, high = _sides(places, middle, 0.0)
+        waiting += [(rows[low], 2 * node, kept, depth + 1), (rows[high], 2 * node + 1, kept, depth + 1)]
+    return points, together
+
+
+def _grow(
+    cell: str, vectors: np.ndarray, size: int, limit: int, chord: float, forest: bool
+) -> list[dict]:
+    """Split points (tree, node, middle, strip) of a cell of `size` rows, from a sample of them.
+
+    A forest has as many trees as leave a pair at the threshold apart with a chance of `MISS` at most, however
+    deep and dense the cell is, and `TREES` at least. Empty for a cell that cannot be split.
+    """
+    points: list[dict] = []
+    missed, tree = 1.0, 0
+    while tree == 0 or (forest and (tree < TREES or missed > MISS)):
+        found, together = _tree(cell, vectors, size, limit, tree, chord)
+        if not found:
+            break
+        points += found
+        missed *= 1 - together
+        tree += 1
     return points
 
 
-def _grown(rows: DataFrame, limit: int, level: int) -> DataFrame:
+def _grown(rows: DataFrame, limit: int, level: int, chord: float) -> DataFrame:
     """(cell, size, points) of the cells of rows(cell, size, node, unit) that can be split.
 
     A hash of the row chooses a sample of about `SAMPLE` rows of every cell, or all if it has fewer.
     """
-    trees = TREES if level == 0 else 1
 
     def grow(key, table):
         cell, size = key[0].as_py(), key[1].as_py()
-        points = _grow(cell, _matrix(sorted(table.column("unit").to_pylist())), size, limit, trees)
+        sample = _matrix(sorted(table.column("unit").to_pylist()))
+        points = _grow(cell, sample, size, limit, chord, level == 0)
         found = [{"cell": cell, "size": size, "points": points}] if points else []
         return pa.Table.from_pylist(found, schema=GROWN)
 
@@ -266,11 +308,11 @@ def _walk(cell: str, vectors: np.ndarray, trees: dict, directions: dict):
             waiting += [(rows[low], 2 * node), (rows[high], 2 * node + 1)]
 
 
-def _cells(rows: DataFrame, limit: int) -> DataFrame:
+def _cells(rows: DataFrame, limit: int, chord: float = 0.2) -> DataFrame:
     """(cell, node, unit): groups of rows small enough for one task.
 
     A group is a label and a number of dimensions. One that has more than `limit` rows is
-    divided by `TREES` trees, and cells that are still too large by one further tree of
+    divided by a forest, and cells that are still too large by one further tree of
     their own, until none is. Trees are grown in tasks, each on a bounded sample of its
     cell; every row is led down them, and down both sides of a split that is near. Rows
     so alike that no direction divides them are dealt by hashes, once per tree.
@@ -291,7 +333,7 @@ def _cells(rows: DataFrame, limit: int) -> DataFrame:
             return reduce(DataFrame.union, done, active)
         done.append(active.join(crowded, "cell", "left_anti"))
         sized = active.join(crowded, "cell").select("cell", "size", "node", "unit")
-        grown = materialise(_grown(sized, limit, level), "trees")
+        grown = materialise(_grown(sized, limit, level, chord), "trees")
         tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1)))
         done.append(
             sized.join(grown, "cell", "left_anti")
@@ -359,7 +401,8 @@ def near_duplicate_vectors(
         moved = roots != ids
         return pa.table({"node": pa.array(ids[moved]), "root": pa.array(roots[moved])})
 
-    edges = _cells(classes, cell).groupBy("cell").applyInArrow(link, "node long, root long")
+    chord = math.sqrt(max(2 - 2 * least, 1e-12))
+    edges = _cells(classes, cell, chord).groupBy("cell").applyInArrow(link, "node long, root long")
     grouped = materialise(connected_components(edges, "node", "root"), "components")
 
     sizes = materialise(
