@@ -1,0 +1,235 @@
+"""Loads that rewrite touched buckets only, closed versions that stay, and loads that fail half-way."""
+
+import os
+
+import pytest
+from helpers import plan, rows
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tiermart.plans.loads import LoadOptions, clean_segments, load_raw, run_entity, version_segments
+from tiermart.schemas import ENTITIES, struct
+from tiermart.session import scratch_path
+from tiermart.sources.landing import LOAD, Landing
+from tiermart.sources.segments import Segments
+from tiermart.sources.tables import CLEAN, COMMON, CURATED, RAW, Layers
+
+CUSTOMERS = ENTITIES["customers"]
+RUNS = ["2024-01-01 00:00:00", "2024-02-01 00:00:00", "2024-03-01 00:00:00"]
+SCHEMA = struct([("id", T.LongType()), ("value", T.StringType()), ("done", T.BooleanType())])
+
+
+@pytest.fixture
+def layers(spark):
+    location = scratch_path(spark, "segments")
+    made = Layers(spark, "s" + location[-8:] + "_", location)
+    made.create()
+    yield made
+    made.drop_all()
+
+
+def _customers(folder, name, numbers, phone):
+    path = os.path.join(str(folder), f"{name}.csv")
+    with open(path, "w") as out:
+        out.write(",".join(CUSTOMERS.columns) + "\n")
+        for i in numbers:
+            out.write(f"{i},N{i},Female,{i}@x,1990-01-01,{phone},2020-01-01\n")
+    return path
+
+
+def _files(layers, layer, table):
+    """Size of every Parquet file below a table's data."""
+    top = layers.spark.sql(f"DESCRIBE TABLE EXTENDED {layers.name(layer, layers.data_name(table))}")
+    place = top.where("col_name = 'Location'").first()["data_type"].removeprefix("file:")
+    return {
+        os.path.join(at, f): os.path.getsize(os.path.join(at, f))
+        for at, _, names in os.walk(place)
+        for f in names
+        if f.endswith(".parquet")
+    }
+
+
+def _in_buckets(segments, buckets, numbers):
+    df = segments.layers.spark.createDataFrame([(i,) for i in numbers], "customer_id long")
+    return [r[0] for r in df.where(segments._bucket(df).isin(buckets)).collect()]
+
+
+@pytest.mark.parametrize("null_safe", [False, True])
+def test_a_load_writes_the_buckets_of_its_rows_only(layers, tmp_path, null_safe):
+    def load(path, run, **more):
+        run_entity(layers, CUSTOMERS, path, run, LoadOptions(since=run, null_safe=null_safe, **more))
+
+    load(_customers(tmp_path, "a", range(2000), "01"), RUNS[0], rewrite_buckets=32)
+    clean = clean_segments(layers, CUSTOMERS, 32)
+    dim = version_segments(layers, CUSTOMERS, 32)
+    before = {t.table: (_files(layers, t.layer, t.table), t.versions()) for t in (clean, dim)}
+    some = _in_buckets(clean, [3, 7], range(2000))
+    assert 50 < len(some) < 300
+    load(_customers(tmp_path, "b", some[:20], "02"), RUNS[1], rewrite_buckets=32)
+    touched = clean.touched(layers.spark.createDataFrame([(i,) for i in some[:20]], "customer_id long"))
+    assert touched == [3, 7]
+    for t in (clean, dim):
+        files, versions = before[t.table]
+        now = t.versions()
+        assert [b for b in range(32) if now[b] != versions[b]] == touched
+        new = {f: n for f, n in _files(layers, t.layer, t.table).items() if f not in files}
+        assert new and all("_bucket=3/" in f or "_bucket=7/" in f or "_final=1/" in f for f in new)
+        # about two of 32 buckets, and closed versions
+        assert sum(new.values()) < sum(files.values()) / 6
+    # the same as loads that write everything
+    whole = Layers(layers.spark, layers.prefix + "w_", layers.location + "w")
+    whole.create()
+    for name, run in (("a", RUNS[0]), ("b", RUNS[1])):
+        path = os.path.join(str(tmp_path), f"{name}.csv")
+        run_entity(whole, CUSTOMERS, path, run, LoadOptions(since=run, null_safe=null_safe))
+    assert rows(layers.table(CLEAN, clean.table)) == rows(whole.table(CLEAN, clean.table))
+    assert rows(layers.table(CURATED, dim.table)) == rows(whole.table(CURATED, dim.table))
+    assert layers.table(CURATED, dim.table).count() == 2020
+    whole.drop_all()
+
+
+def test_closed_versions_are_written_once(layers, tmp_path):
+    closed = {}
+    for number, run in enumerate(RUNS):
+        path = _customers(tmp_path, str(number), range(100), f"0{number}")
+        run_entity(layers, CUSTOMERS, path, run, LoadOptions(since=run, rewrite_buckets=4))
+        files = _files(layers, CURATED, CUSTOMERS.curated_table)
+        stamps = {f: os.stat(f).st_mtime_ns for f in files if "_final=1" in f}
+        assert all(stamps.get(f) == at for f, at in closed.items())  # all there, none written again
+        assert (len(stamps) > len(closed)) == (number > 0)
+        closed = stamps
+    dim = layers.table(CURATED, CUSTOMERS.curated_table)
+    assert dim.count() == 300 and dim.filter("is_current").count() == 100
+    read = layers.spark.read.parquet(*[os.path.dirname(f) for f in closed])
+    assert read.count() == 200 and read.filter("is_current").count() == 0
+    # a load reads open versions only
+    opened = version_segments(layers, CUSTOMERS, 4).open_rows([1])
+    assert opened.inputFiles() and all("_final=0/_bucket=1/" in f for f in opened.inputFiles())
+
+
+def _segments(layers, buckets=4):
+    return Segments(layers, COMMON, "held", SCHEMA, ["id"], buckets, final="done")
+
+
+def _frame(layers, data):
+    return layers.spark.createDataFrame(data, SCHEMA)
+
+
+def test_readers_see_all_of_a_load_or_nothing(layers, monkeypatch):
+    held = _segments(layers)
+    first = _frame(layers, [(i, "a", False) for i in range(20)])
+    held.rewrite(first, held.touched(first))
+    seen = rows(layers.table(COMMON, "held"))
+    second = _frame(layers, [(i, "b", i % 2 == 0) for i in range(20)])
+
+    def fail(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Segments, "_publish", fail)
+        with pytest.raises(OSError):
+            held.rewrite(second, held.touched(second))
+    assert rows(layers.table(COMMON, "held")) == seen  # nor do final rows of the failed load show
+    held.rewrite(second, held.touched(second))
+    assert rows(layers.table(COMMON, "held")) == rows(second)
+    assert rows(held.open_rows()) == rows(second.where("NOT done"))
+
+
+def test_the_last_view_stays_readable_and_older_buckets_go(layers):
+    held = _segments(layers)
+    for value in "abcd":
+        df = _frame(layers, [(i, value, False) for i in range(20)])
+        before = layers.table(COMMON, "held") if value != "a" else None
+        held.rewrite(df, held.touched(df))
+        if before is not None:
+            assert {r.value for r in before.collect()} == {chr(ord(value) - 1)}
+    versions = {f.split("_version=")[1].split("/")[0] for f in _files(layers, COMMON, "held")}
+    assert len(versions) == 2
+
+
+def test_odd_rows_and_tables(layers):
+    held = _segments(layers)
+    none = _frame(layers, [])
+    held.rewrite(none, held.touched(none))
+    assert rows(layers.table(COMMON, "held")) == [] and layers.table(COMMON, "held").columns == SCHEMA.names
+    # null keys have a bucket, a null condition is not final
+    odd = _frame(layers, [(None, "a", None), (None, "b", True), (1, None, False)])
+    held.rewrite(odd, held.touched(odd))
+    assert rows(layers.table(COMMON, "held")) == rows(odd)
+    # the number of buckets stays; keys of another type find the same bucket
+    other = _segments(layers, buckets=9)
+    assert len(other.versions()) == 4
+    text = odd.select(F.col("id").cast("string"), "value")
+    assert other.touched(text) == held.touched(odd)
+    layers.drop(COMMON, "held")
+    assert not layers.exists(COMMON, "held") and not layers.exists(COMMON, "held__data")
+
+
+def test_a_replaced_table_is_taken_over(layers):
+    old = _frame(layers, [(i, "old", i < 5) for i in range(20)])
+    layers.replace(COMMON, "held", old)
+    held = _segments(layers)
+    change = _frame(layers, [(7, "new", False)])
+    touched = held.touched(change)
+    assert touched == [0, 1, 2, 3]
+    kept = held.open_rows(touched).where("id <> 7").unionByName(change)
+    held.rewrite(kept, touched)
+    assert rows(layers.table(COMMON, "held")) == rows(old.where("id <> 7").unionByName(change))
+    assert layers.versions(COMMON, "held") == []
+    assert len(held.touched(change)) == 1
+
+
+def test_only_published_folders_are_opened(layers):
+    held = _segments(layers)
+    for value in "ab":
+        df = _frame(layers, [(i, value, i == 3) for i in range(20)])
+        held.rewrite(df, held.touched(df))
+    shown = layers.table(COMMON, "held")
+    now = {f"_version={v}/" for v in held.versions()}
+    assert all(any(v in f for v in now) or "_final=1" in f for f in shown.inputFiles())
+    assert "PartitionFilters: [" in plan(shown) and "Join" not in plan(shown)
+
+
+# ---- raw loads ----
+
+
+def test_a_failed_load_leaves_nothing(layers, tmp_path, monkeypatch):
+    path = _customers(tmp_path, "a", range(10), "01")
+
+    def fail(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Landing, "publish", fail)
+        with pytest.raises(OSError):
+            load_raw(layers, CUSTOMERS, path, RUNS[0])
+    raw = layers.table(RAW, CUSTOMERS.raw_table)
+    data = layers.name(RAW, layers.data_name(CUSTOMERS.raw_table))
+    assert raw.count() == 0 and layers.spark.table(data).count() == 10
+    load_raw(layers, CUSTOMERS, path, RUNS[1])
+    assert rows(layers.table(RAW, CUSTOMERS.raw_table).select("customer_id")) == sorted(
+        [(str(i),) for i in range(10)], key=repr
+    )
+    # what the failed load had written is gone
+    assert layers.spark.table(data).count() == 10
+    assert layers.spark.table(data).select(LOAD).distinct().count() == 1
+    assert layers.table(RAW, CUSTOMERS.raw_table).columns == CUSTOMERS.raw_schema.names
+
+
+def test_many_files_load_in_groups(layers, tmp_path, monkeypatch):
+    monkeypatch.setattr("tiermart.plans.loads.FILES", 2)
+    paths = [_customers(tmp_path, f"f{i}", [i], "01") for i in range(5)]
+    for _ in range(2):  # the second finds nothing new
+        load_raw(layers, CUSTOMERS, paths, RUNS[0])
+        assert layers.table(RAW, CUSTOMERS.raw_table).count() == 5
+        ledger = layers.table(COMMON, f"{CUSTOMERS.raw_table}_loads")
+        assert ledger.count() == 5 and ledger.select("load_id").distinct().count() == 3
+
+
+def test_files_may_be_loaded_again_on_request(layers, tmp_path):
+    path = _customers(tmp_path, "a", range(3), "01")
+    load_raw(layers, CUSTOMERS, path, RUNS[0], LoadOptions(skip_loaded=False))
+    load_raw(layers, CUSTOMERS, path, RUNS[0])
+    load_raw(layers, CUSTOMERS, path, RUNS[0])
+    load_raw(layers, CUSTOMERS, path, RUNS[0], LoadOptions(skip_loaded=False))
+    assert layers.table(RAW, CUSTOMERS.raw_table).count() == 9

@@ -9,7 +9,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs
@@ -18,23 +17,18 @@ from tiermart.operators.dedupe import dedupe_latest
 from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply, scd2_pass, stamped
 from tiermart.operators.quality import require_not_null
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
-from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, LOAD_TS, UPDATED_TS, Entity, struct
+from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, IS_CURRENT, LOAD_TS, UPDATED_TS, Entity
 from tiermart.sources.csv import read_raw
 from tiermart.sources.files import list_files
-from tiermart.sources.tables import CLEAN, COMMON, CURATED, RAW, Layers
+from tiermart.sources.landing import FILE_FIELDS, Landing
+from tiermart.sources.segments import Segments
+from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
 
 MASTER = "master_orders"
 # the row of the newer file, then of the later copy, is the newer one
 NEWER_BY = [LOAD_TS, "_copy_data_ts"]
-# files loaded into a raw table; one such table each, as loads run in parallel
-HISTORY_SCHEMA = struct(
-    [
-        ("file_name", T.StringType()),
-        ("file_size", T.LongType()),
-        ("last_modified", T.TimestampNTZType()),
-        ("loaded_at", T.TimestampNTZType()),
-    ]
-)
+# new files that one load takes; more are loaded in turn
+FILES = 10_000
 
 
 @dataclass(frozen=True)
@@ -51,6 +45,9 @@ class LoadOptions:
     modification time) are not loaded again.
     enforce_required: a NULL in a column declared NOT NULL aborts the load.
     buckets: hash buckets of replaced tables; 0 leaves them unbucketed.
+    rewrite_buckets: replaced tables are kept in so many buckets, of which a load writes only those that its
+    rows fall into, and closed versions of dimensions are appended once and never read or written
+    by a load again; 0 writes whole tables. Pays for incremental loads.
     log_facts: clean tables of facts are logs: a load appends its rows, and a view
     shows the latest row per key. Loads then rewrite nothing; readers pay one
     shuffle by key. To be chosen before the first load of a table.
@@ -67,6 +64,7 @@ class LoadOptions:
     skip_loaded: bool = True
     enforce_required: bool = True
     buckets: int = 0
+    rewrite_buckets: int = 0
     log_facts: bool = False
     since: str | None = None
     hash_content: bool = True
@@ -106,29 +104,47 @@ def load_raw(
 ) -> None:
     """Append the files to the raw table.
 
-    The history of loaded files is written after the rows: a load that fails in
-    between is repeated, and the clean layer removes the rows that came twice.
+    Rows land first and are published with the names of their files after, in one step: a load that fails
+    in between leaves nothing that readers or the next load can see. Very many new files are
+    loaded in groups, each published on its own.
     """
     spark = layers.spark
-    layers.create_table(RAW, entity.raw_table, entity.raw_schema)
+    raw = Landing(layers, RAW, entity.raw_table, entity.raw_schema)
+    raw.create()
+    now = run_timestamp(run_ts)
     if not options.skip_loaded:
-        rows = read_raw(spark, path, entity, run_ts, options.hash_content)
-        layers.append(RAW, entity.raw_table, rows)
-        return
-    history = f"{entity.raw_table}_loads"
-    layers.create_table(COMMON, history, HISTORY_SCHEMA)
-    files = list_files(spark, path)
-    done = layers.table(COMMON, history).drop("loaded_at")
-    new = files.join(done, files.columns, "left_anti").select(*files.columns)
-    found = new.collect()  # names of files only
-    if not found:
+        load_id = raw.land(read_raw(spark, path, entity, run_ts, options.hash_content))
+        # no file is named, so that a later load does not take them for loaded
+        unnamed = [F.lit(None).cast(kind).alias(name) for name, kind in FILE_FIELDS]
+        raw.publish(load_id, spark.range(1).select(*unnamed, now.alias("loaded_at")))
         return
-    names = [row.file_name for row in found]
-    rows = read_raw(spark, names, entity, run_ts, options.hash_content)
-    layers.append(RAW, entity.raw_table, rows)
-    loaded = spark.createDataFrame(found, new.schema)
-    loaded = loaded.withColumn("loaded_at", run_timestamp(run_ts))
-    layers.append(COMMON, history, loaded.select(*HISTORY_SCHEMA.names))
+    while True:
+        files = list_files(spark, path)
+        new = files.join(raw.files(), files.columns, "left_anti").select(*files.columns)
+        found = new.orderBy("last_modified", "file_name").limit(FILES).collect()  # names only
+        if found:
+            names = [row.file_name for row in found]
+            load_id = raw.land(read_raw(spark, names, entity, run_ts, options.hash_content))
+            loaded = spark.createDataFrame(found, new.schema)
+            raw.publish(load_id, loaded.withColumn("loaded_at", now))
+        if len(found) < FILES:
+            return
+
+
+def clean_segments(
+    layers: Layers, entity: Entity, buckets: int, keys: Sequence[str] | None = None
+) -> Segments:
+    return Segments(
+        layers, CLEAN, entity.clean_table, entity.clean_schema, keys or entity.key, buckets
+    )
+
+
+def version_segments(layers: Layers, entity: Entity, buckets: int) -> Segments:
+    """Current versions in buckets, closed ones apart."""
+    table, schema = entity.curated_table, entity.curated_schema
+    return Segments(
+        layers, CURATED, table, schema, entity.version_key, buckets, final=f"NOT coalesce({IS_CURRENT}, false)"
+    )
 
 
 def load_clean(
@@ -157,11 +173,16 @@ def load_clean(
             CLEAN, entity.clean_table, rows, entity.key, [*NEWER_BY, UPDATED_TS]
         )
         return
-    target = layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema)
     keys = list(merge_key or entity.key)
     skip = {*keys, *entity.key}
-    if options.incremental:
+    if options.incremental or options.rewrite_buckets:
         source = layers.stage(f"load_{entity.clean_table}", source)
+    if options.rewrite_buckets:
+        held = clean_segments(layers, entity, options.rewrite_buckets, keys)
+        touched = held.touched(source)
+        target = held.open_rows(touched)
+    else:
+        target = layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema)
     merged = scd1_upsert(
         target,
         source,
@@ -172,6 +193,9 @@ def load_clean(
         incremental=options.incremental,
         newer_by=NEWER_BY,
     )
+    if options.rewrite_buckets:
+        held.rewrite(merged, touched)
+        return
     layers.replace(
         CLEAN, entity.clean_table, merged, bucket_by=keys, buckets=options.buckets
     )
@@ -195,11 +219,16 @@ def load_curated(
     if options.enforce_required and entity.nullable:
         # nullable in the clean layer, required here
         source = require_not_null(source, entity.typed_columns)
-    if options.incremental:
+    if options.incremental or (options.rewrite_buckets and entity.is_dimension):
         source = layers.stage(f"load_{entity.curated_table}", source)
     table = entity.curated_table
     if entity.curate == "versioned":
-        dim = layers.table_or_empty(CURATED, table, entity.curated_schema)
+        if options.rewrite_buckets:
+            held = version_segments(layers, entity, options.rewrite_buckets)
+            touched = held.touched(source)
+            dim = held.open_rows(touched)
+        else:
+            dim = layers.table_or_empty(CURATED, table, entity.curated_schema)
         merge = scd2_pass if options.two_step_versions else scd2_apply
         state = merge(
             dim,
@@ -212,6 +241,9 @@ def load_curated(
             source_unique=set(entity.key) <= set(entity.version_key),
             incremental=options.incremental,
         )
+        if options.rewrite_buckets:
+            held.rewrite(state, touched)
+            return
         layers.replace(
             CURATED, table, state, bucket_by=entity.version_key, buckets=options.buckets
         )

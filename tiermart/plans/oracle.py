@@ -660,5 +660,19 @@ FROM r_master GROUP BY order_status
 }
 
 
+# other ways to store the same results
+_OPERATORS |= {
+    "load_clean_customers_by_bucket": _OPERATORS["load_clean_customers"],
+    "load_dim_customers_by_segment": _OPERATORS["load_dim_customers"],
+    "stream_upsert_customers_by_bucket": _OPERATORS["stream_upsert_customers"],
+    "load_raw_after_failure": f"""
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(customer_id AS VARCHAR) AS customer_id,
+       CAST(order_date AS VARCHAR) AS order_date, order_status, CAST(total_value AS VARCHAR) AS total_value,
+       CAST(address_id AS VARCHAR) AS address_id, {_T2} AS _copy_data_ts
+FROM ({_ORDERS}) AS r_orders
+""",
+}
+
+
 def all_sql() -> dict[str, str]:
     return {**{name: _on_master(sql) for name, sql in _REPORTS.items()}, **_OPERATORS}

@@ -56,7 +56,8 @@ from tiermart.sources.csv import (
     write_csv,
 )
 from tiermart.sources.files import content_keys, list_files
-from tiermart.sources.tables import CLEAN, CURATED, Layers
+from tiermart.sources.landing import Landing
+from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
 from tiermart.streaming.ingest import ingest_available, raw_stream, upsert_available
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -614,6 +615,43 @@ def load_dim_customers_two_step(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _two_customer_loads(spark, sf_dir, options).table(CURATED, "dim_customers")
 
 
+def _by_bucket(spark: SparkSession, sf_dir: str) -> Layers:
+    """Two incremental loads, of which the second rewrites the buckets of the changed customers only."""
+    layers = _layers(spark, "buckets")
+    layers.create()
+    first, second = _customer_drops(spark, sf_dir)
+    for path, run_ts in ((first, LOADS[0]), (second, LOADS[1])):
+        options = LoadOptions(rewrite_buckets=16, since=run_ts)
+        run_entity(layers, ENTITIES["customers"], path, run_ts, options)
+    return layers
+
+
+def load_clean_customers_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _by_bucket(spark, sf_dir).table(CLEAN, "clean_customers").select(
+        "customer_id", "gender", "phone_number", "dob", "last_updated_ts", "is_active", "_copy_data_ts"
+    )
+
+
+def load_dim_customers_by_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current versions in buckets, closed ones in segments that are written once."""
+    return _by_bucket(spark, sf_dir).table(CURATED, "dim_customers")
+
+
+def load_raw_after_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that ends before it is published, then the same load again: every row once."""
+    entity = ENTITIES["orders"]
+    text = views.source_columns({"orders": views.orders(spark, sf_dir)}, "orders")
+    path = _as_files(spark, text, "orders")
+    layers = _layers(spark, "raw_orders")
+    layers.create()
+    raw = Landing(layers, RAW, entity.raw_table, entity.raw_schema)
+    raw.create()
+    raw.land(read_raw(spark, path, entity, LOADS[0]))
+    for run_ts in LOADS[1:3]:  # the second of these finds nothing new
+        load_raw(layers, entity, path, run_ts)
+    return layers.table(RAW, entity.raw_table).select(*entity.columns, "_copy_data_ts")
+
+
 def load_fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A status change after the first load reaches the clean layer only."""
     entity = ENTITIES["orders"]
@@ -725,7 +763,7 @@ def stream_raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(target).select(*entity.columns, "_copy_data_ts")
 
 
-def stream_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _upserted(spark: SparkSession, sf_dir: str, buckets: int) -> DataFrame:
     """Versions of customers kept up by micro-batches over two deliveries."""
     entity = ENTITIES["customers"]
     layers = _layers(spark, "stream")
@@ -736,10 +774,20 @@ def stream_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     for df, run_ts in zip((first, second), LOADS):
         write_csv(df, folder, mode="append")
         stream = raw_stream(spark, folder, entity, run_ts)
-        upsert_available(stream, layers, entity, checkpoint, run_ts, versions=True).awaitTermination()
+        upsert_available(
+            stream, layers, entity, checkpoint, run_ts, versions=True, buckets=buckets
+        ).awaitTermination()
     return layers.table(CURATED, entity.curated_table)
 
 
+def stream_upsert_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted(spark, sf_dir, buckets=0)
+
+
+def stream_upsert_customers_by_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted(spark, sf_dir, buckets=16)
+
+
 def _streamed(spark: SparkSession, layers: Layers, df: DataFrame, run_ts: str) -> None:
     """One delivery of customers by a stream of its own."""
     entity, folder = ENTITIES["customers"], scratch_path(spark, "incoming")
@@ -841,6 +889,9 @@ OPERATORS: list[Query] = [
     load_clean_customers,
     load_dim_customers,
     load_dim_customers_two_step,
+    load_clean_customers_by_bucket,
+    load_dim_customers_by_segment,
+    load_raw_after_failure,
     load_fact_orders,
     load_clean_orders_log,
     load_clean_orders_late_file,
@@ -851,6 +902,7 @@ OPERATORS: list[Query] = [
     load_master_orders,
     stream_raw_ingest,
     stream_upsert_customers,
+    stream_upsert_customers_by_bucket,
     stream_after_batch_customers,
     batch_between_streams,
     purchases_by_hour,

@@ -4,7 +4,8 @@ Plain Parquet tables have no row-level updates and cannot be overwritten while
 they are read. A table that is replaced is therefore written as a new version
 `<table>__v<n>` and published by pointing the view `<table>` at it; readers of
 the previous version are not disturbed, and a failed write publishes nothing.
-Large tables of facts can be kept as a log instead, to which a load only appends.
+Large tables of facts can be kept as a log instead, to which a load only appends. Tables of which
+a load rewrites only some buckets are in `sources.segments`, raw tables in `sources.landing`.
 """
 
 from __future__ import annotations
@@ -55,22 +56,32 @@ class Layers:
             return self.table(layer, table)
         return self.spark.createDataFrame([], schema)
 
-    def create_table(self, layer: str, table: str, schema: T.StructType) -> None:
+    def create_table(
+        self, layer: str, table: str, schema: T.StructType, partition_by: Sequence[str] = ()
+    ) -> None:
         """Create an appendable table unless it is there already."""
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        parts = f" PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
         self.spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.name(layer, table)} ({columns}) USING parquet"
+            f"CREATE TABLE IF NOT EXISTS {self.name(layer, table)} ({columns}) USING parquet{parts}"
         )
 
+    def data_name(self, table: str) -> str:
+        """The table that holds the rows of a view which shows only some of them."""
+        return f"{table}__data"
+
     def append(self, layer: str, table: str, df: DataFrame) -> None:
         self.create_table(layer, table, df.schema)
         df.write.mode("append").format("parquet").saveAsTable(self.name(layer, table))
 
     def drop(self, layer: str, table: str) -> None:
-        """Drop a table, with its versions or its log, if present."""
+        """Drop a table, with its versions, its log or its data, if present."""
         versions = self.versions(layer, table)
-        log = self.log_name(layer, table)
-        if self.exists(layer, log):
+        log, data = self.log_name(layer, table), self.data_name(table)
+        if self.exists(layer, data):
+            self.spark.sql(f"DROP VIEW IF EXISTS {self.name(layer, table)}")
+            self.spark.sql(f"DROP TABLE {self.name(layer, data)}")
+        elif self.exists(layer, log):
             self.spark.sql(f"DROP VIEW IF EXISTS {self.name(layer, table)}")
             self.spark.sql(f"DROP TABLE {self.name(layer, log)}")
         elif versions:

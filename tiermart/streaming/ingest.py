@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs
 from tiermart.operators.merge import scd1_upsert, scd2_apply
-from tiermart.plans.loads import NEWER_BY, clean_source
+from tiermart.plans.loads import NEWER_BY, clean_segments, clean_source, version_segments
 from tiermart.schemas import AUDIT_COLUMNS, UPDATED_TS, Entity, struct
 from tiermart.sources.csv import csv_options, file_columns, metadata_key, normalise_nulls
 from tiermart.sources.tables import CLEAN, COMMON, CURATED, Layers
@@ -70,6 +70,7 @@ def upsert_available(
     checkpoint: str,
     run_ts: RunTs = None,
     versions: bool = False,
+    buckets: int = 0,
 ) -> StreamingQuery:
     """Merge every micro-batch into the clean table, optionally into versions too.
 
@@ -79,7 +80,8 @@ def upsert_available(
     repeated after a failure is not merged again; one that failed before its
     record was written finds its own rows there and leaves them as they are.
     The reduced batch is stored first: it feeds several joins, and Spark then knows
-    whether it is small enough to leave the target in place.
+    whether it is small enough to leave the target in place. With `buckets`, a batch rewrites only the
+    buckets that its rows fall into, and closed versions are appended once.
     """
     done = f"{entity.clean_table}_batches"
 
@@ -90,8 +92,12 @@ def upsert_available(
         if not layers.table(COMMON, done).filter(this).isEmpty():
             return
         source = layers.stage(f"batch_{entity.clean_table}", clean_source(batch, entity))
+        held = clean_segments(layers, entity, buckets)
+        touched = held.touched(source) if buckets else []
         clean = scd1_upsert(
-            layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema),
+            held.open_rows(touched)
+            if buckets
+            else layers.table_or_empty(CLEAN, entity.clean_table, entity.clean_schema),
             source,
             entity.key,
             run_ts=run_ts,
@@ -99,23 +105,37 @@ def upsert_available(
             incremental=True,
             newer_by=NEWER_BY,
         )
-        layers.replace(CLEAN, entity.clean_table, clean)
+        if buckets:
+            written = held.rewrite(clean, touched)
+        else:
+            layers.replace(CLEAN, entity.clean_table, clean)
+            written = layers.versions(CLEAN, entity.clean_table)[-1]
         if versions:
             # the newest row of each key of the batch, which may be an earlier one
-            newest = layers.table(CLEAN, entity.clean_table).join(
-                source.select(*entity.key), entity.key, "left_semi"
+            stored = held.open_rows(touched) if buckets else layers.table(CLEAN, entity.clean_table)
+            newest = stored.join(source.select(*entity.key), entity.key, "left_semi").select(
+                *entity.typed_columns, UPDATED_TS
             )
+            dims = version_segments(layers, entity, buckets)
+            if buckets:
+                newest = layers.stage(f"newest_{entity.clean_table}", newest)
+                changed = dims.touched(newest)
             dim = scd2_apply(
-                layers.table_or_empty(CURATED, entity.curated_table, entity.curated_schema),
-                newest.select(*entity.typed_columns, UPDATED_TS),
+                dims.open_rows(changed)
+                if buckets
+                else layers.table_or_empty(CURATED, entity.curated_table, entity.curated_schema),
+                newest,
                 entity.version_key,
                 entity.tracked,
                 run_ts,
                 source_unique=True,
                 incremental=True,
             )
-            layers.replace(CURATED, entity.curated_table, dim)
-        record = [(query_id, batch_id, layers.versions(CLEAN, entity.clean_table)[-1])]
+            if buckets:
+                dims.rewrite(dim, changed)
+            else:
+                layers.replace(CURATED, entity.curated_table, dim)
+        record = [(query_id, batch_id, written)]
         layers.append(COMMON, done, layers.spark.createDataFrame(record, BATCHES))
 
     return (
