@@ -1,0 +1,99 @@
+"""Quoted line breaks in files that several tasks read."""
+
+import os
+import random
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from tiermart.schemas import ENTITIES
+from tiermart.sources.csv import read_raw, scan_csv, scan_quoted
+from tiermart.sources.quoted import quoted_records
+
+ENTITY = ENTITIES["customer_addresses"]
+HEADER = ",".join(ENTITY.columns)
+
+
+def _write(folder, name, text):
+    path = os.path.join(str(folder), name)
+    with open(path, "w", newline="", encoding="utf-8") as out:
+        out.write(text)
+    return path
+
+
+def _text(seed, n):
+    draw = random.Random(seed)
+    parts = ["a", "é漢", '""', "\n", ",", "\n\n", " x ", "'", "b" * 40, "NULL", "\\N"]
+    lines = [HEADER]
+    for i in range(n):
+        field = "".join(draw.choices(parts, k=draw.randint(0, 9)))
+        plain = draw.choice(["Delhi", "", "NULL", '""', '"quoted"'])
+        lines.append(f'{i},{i % 7},"{field}",{plain},S,0{i},India')
+    return "\n".join(lines) + "\n"
+
+
+def _same(spark, path):
+    whole = scan_csv(spark, path, ENTITY)  # one task a file
+    found = scan_quoted(spark, path, ENTITY)
+    assert rows(found.select(*ENTITY.columns)) == rows(whole)
+    return found
+
+
+@pytest.mark.parametrize("block", [64, 101, 1000, 10**6])
+def test_as_the_whole_file_reader(spark, tmp_path, conf, block):
+    conf(files__maxPartitionBytes=block, files__openCostInBytes=0)
+    path = _write(tmp_path, "a.csv", _text(block, 120))
+    other = _write(tmp_path, "b.csv", _text(block + 1, 30))
+    _same(spark, [path, other])
+    if block <= 101:
+        assert spark.read.text(path).rdd.getNumPartitions() > 50
+
+
+def test_every_border(spark, tmp_path, conf):
+    """A border before, in and behind each sign of quotes, breaks and the header."""
+    text = HEADER + '\n1,2,"a""\n\n""b",c,d,e,f\n3,4,"",c,d,e,"\n"\n'
+    path = _write(tmp_path, "a.csv", text)
+    for block in range(3, len(text) + 2, 3):
+        conf(files__maxPartitionBytes=block, files__openCostInBytes=0)
+        found = scan_quoted(spark, path, ENTITY).select("address_id", "address", "country")
+        assert rows(found) == [("1", 'a""\n\n""b'.replace('""', '"'), "f"), ("3", "", "\n")]
+
+
+def test_several_tasks_share_a_file(spark, tmp_path, conf):
+    conf(files__maxPartitionBytes=4000, files__openCostInBytes=0)
+    path = _write(tmp_path, "a.csv", _text(5, 1000))
+    records = quoted_records(spark, path).withColumn("task", F.spark_partition_id())
+    assert records.select("task").distinct().count() > 8
+    assert records.count() == 1000
+
+
+def test_line_ends_marks_and_blank_lines(spark, tmp_path):
+    path = _write(tmp_path, "a.csv", "﻿" + HEADER + '\r\n1,2,"a\r\nb",c,d,e,f\r\n\r\n3,4,x,c,d,e,\r\n')
+    got = rows(scan_quoted(spark, path, ENTITY).select("address_id", "address", "country"))
+    assert [(r[0], r[1].replace("\r", ""), r[2]) for r in got] == [("1", "a\nb", "f"), ("3", "x", None)]
+    bare = _write(tmp_path, "b.csv", "﻿1,2,x,c,d,e,f")
+    assert rows(quoted_records(spark, bare, header=False).select("record")) == [("1,2,x,c,d,e,f",)]
+
+
+@pytest.mark.parametrize("text", ["", HEADER, HEADER + "\n", HEADER + "\n\n"])
+def test_files_without_rows(spark, tmp_path, text):
+    assert scan_quoted(spark, _write(tmp_path, "a.csv", text), ENTITY).collect() == []
+
+
+@pytest.mark.parametrize("line", ["1,2,3", "1,2,a,b,c,d,e,f"])
+def test_ragged_records_abort(spark, tmp_path, line):
+    path = _write(tmp_path, "a.csv", f"{HEADER}\n1,2,a,b,c,d,e\n{line}\n")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        scan_quoted(spark, path, ENTITY).select("address_id").collect()
+
+
+def test_audit_columns(spark, tmp_path, conf):
+    conf(files__maxPartitionBytes=300, files__openCostInBytes=0)
+    paths = [_write(tmp_path, f"{i}.csv", _text(i, 40)) for i in range(2)]
+    for hashed in (True, False):
+        got = read_raw(spark, paths, ENTITY, "2024-01-01 00:00:00", hashed)
+        assert got.columns == ENTITY.raw_schema.names and got.count() == 80
+        keys = got.select("_stg_file_name", "_stg_file_load_ts", "_stg_file_md5").distinct().collect()
+        assert len(keys) == 2 and len({r._stg_file_md5 for r in keys}) == 2
+        assert all(r._stg_file_load_ts is not None for r in keys)

@@ -10,6 +10,7 @@ from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs, instant_in_zone
 from tiermart.schemas import AUDIT_COLUMNS, Entity
 from tiermart.sources.files import content_keys
+from tiermart.sources.quoted import quoted_records
 
 # The file format.
 NULL_TOKENS = ["NULL", "null", "\\N"]
@@ -71,6 +72,25 @@ def scan_typed(
     )
 
 
+def scan_quoted(
+    spark: SparkSession, path: str | list[str], entity: Entity, header: bool = True
+) -> DataFrame:
+    """As `scan_csv` and with the columns of the file, for quoted fields that hold line breaks.
+
+    A large file is read by several tasks. Any ragged record aborts.
+    """
+    options = csv_options(multi_line=False, header=False)
+    parsed = quoted_records(spark, path, header).select(
+        F.from_csv("record", F.lit(entity.source_schema.simpleString()[7:-1].replace(":", " ")), options).alias("row"),
+        F.col("file").alias("_stg_file_name"),
+        instant_in_zone(F.col("modified")).alias("_stg_file_load_ts"),
+        metadata_key("file", "size", "modified"),
+    )
+    return normalise_nulls(
+        parsed.select("row.*", "_stg_file_name", "_stg_file_load_ts", "_stg_file_md5"), entity.columns
+    )
+
+
 def file_columns() -> list[Column]:
     """File name and modification time of each row, for any file scan."""
     return [
@@ -79,14 +99,13 @@ def file_columns() -> list[Column]:
     ]
 
 
-def metadata_key() -> Column:
+def metadata_key(
+    path: str = "_metadata.file_path",
+    size: str = "_metadata.file_size",
+    modified: str = "_metadata.file_modification_time",
+) -> Column:
     """MD5 of path, size and modification time: needs no second look at the file."""
-    stamp = F.concat_ws(
-        "|",
-        "_metadata.file_path",
-        "_metadata.file_size",
-        F.unix_micros("_metadata.file_modification_time"),
-    )
+    stamp = F.concat_ws("|", path, size, F.unix_micros(modified))
     return F.md5(stamp).alias("_stg_file_md5")
 
 
@@ -101,15 +120,16 @@ def with_audit(
     """Add file name, modification time, content key and load time.
 
     Hashing the content reads every file twice. Without `hash_content` the key
-    is made from the file's metadata and the files are read once.
+    is made from the file's metadata and the files are read once. A scan that has the file's columns
+    already keeps them.
     """
+    if "_stg_file_name" not in scan.columns:
+        scan = scan.select(*entity.columns, *file_columns(), metadata_key())
     if not hash_content:
-        return (
-            scan.select(*entity.columns, *file_columns(), metadata_key())
-            .withColumn("_copy_data_ts", run_timestamp(run_ts))
-            .select(*entity.columns, *AUDIT_COLUMNS)
+        return scan.withColumn("_copy_data_ts", run_timestamp(run_ts)).select(
+            *entity.columns, *AUDIT_COLUMNS
         )
-    rows = scan.select(*entity.columns, *file_columns())
+    rows = scan.drop("_stg_file_md5")
     keys = content_keys(spark, path).select(
         F.col("file_name").alias("_stg_file_name"), F.col("content_key").alias("_stg_file_md5")
     )
@@ -128,7 +148,7 @@ def read_raw(
     hash_content: bool = True,
 ) -> DataFrame:
     """Rows for the raw table of an entity; any malformed line aborts."""
-    scan = scan_csv(spark, path, entity)
+    scan = (scan_quoted if entity.multi_line else scan_csv)(spark, path, entity)
     return with_audit(spark, scan, path, entity, run_ts, hash_content)
 
 
