@@ -121,8 +121,22 @@ def test_content_keys_follow_the_lines(spark, tmp_path):
     for name, text in texts.items():
         _file(tmp_path, text, name)
     found = {os.path.basename(r.file_name): r.content_key for r in content_keys(spark, str(tmp_path)).collect()}
-    assert found["a"] == found["b"] == found["c"]
-    assert len({found[n] for n in "adeg"}) == 4 and "f" not in found
+    assert "f" not in found and len(set(found.values())) == len(found) == 6  # also by order and line ends
+    _file(tmp_path, texts["a"], "h")
+    again = {os.path.basename(r.file_name): r.content_key for r in content_keys(spark, str(tmp_path)).collect()}
+    assert again["h"] == again["a"] == found["a"]
+
+
+def test_content_keys_do_not_depend_on_blocks(spark, tmp_path, conf):
+    lines = [f"line {i % 17} of {i}" for i in range(400)]
+    swapped = [*lines[:390], lines[395], *lines[391:395], lines[390], *lines[396:]]
+    for name, of in (("a", lines), ("b", swapped), ("c", lines[::-1])):
+        _file(tmp_path, "\n".join(of) + "\n", name)
+    found = []
+    for size in (10**6, 700, 64):
+        conf(files__maxPartitionBytes=size, files__openCostInBytes=0)
+        found.append({os.path.basename(r.file_name): r.content_key for r in content_keys(spark, str(tmp_path)).collect()})
+    assert found[0] == found[1] == found[2] and len(set(found[0].values())) == 3
 
 
 def test_listing(spark, tmp_path):

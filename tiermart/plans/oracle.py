@@ -502,15 +502,18 @@ SELECT 'foreign_key_products', CAST(max(CASE WHEN order_id % 89 = 0 THEN 1 ELSE
 """,
     "csv_file_keys": """
 WITH lines AS (
-  SELECT o_orderstatus, concat_ws(',', o_orderkey, o_custkey, o_orderstatus) AS value FROM orders
+  SELECT o_orderstatus, concat_ws(',', o_orderkey, o_custkey, o_orderstatus) AS value,
+         row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS nth
+  FROM orders
 ),
 digests AS (
-  SELECT o_orderstatus, value, CAST('0x' || substr(md5(value), 1, 15) AS HUGEINT) AS one,
+  SELECT o_orderstatus, value, nth, CAST('0x' || substr(md5(value), 1, 15) AS HUGEINT) AS one,
          CAST('0x' || substr(md5(value), 16, 15) AS HUGEINT) AS two
   FROM lines
 )
 SELECT o_orderstatus AS order_status,
-       md5(concat_ws('|', count(*), sum(one), sum(two))) AS content_key,
+       md5(concat_ws('|', CAST(sum(strlen(value) + 1) AS BIGINT), count(*), sum(one), sum(two),
+                     sum(one * nth), sum(two * nth))) AS content_key,
        CAST(sum(strlen(value) + 1) AS BIGINT) AS file_size
 FROM digests GROUP BY o_orderstatus
 """,
@@ -662,6 +665,7 @@ FROM r_master GROUP BY order_status
 
 # other ways to store the same results
 _OPERATORS |= {
+    "csv_roundtrip_by_blocks": _OPERATORS["csv_roundtrip"],
     "load_clean_customers_by_bucket": _OPERATORS["load_clean_customers"],
     "load_dim_customers_by_segment": _OPERATORS["load_dim_customers"],
     "stream_upsert_customers_by_bucket": _OPERATORS["stream_upsert_customers"],

@@ -51,6 +51,7 @@ from tiermart.session import configure, materialise, scratch_path
 from tiermart.sources.csv import (
     read_or_quarantine,
     read_raw,
+    scan_quoted,
     scan_csv,
     scan_typed,
     write_csv,
@@ -475,6 +476,12 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_csv(spark, path, ENTITIES["customer_addresses"])
 
 
+def csv_roundtrip_by_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same files, each read by as many tasks as it has blocks."""
+    entity = ENTITIES["customer_addresses"]
+    return scan_quoted(spark, _address_files(spark, sf_dir), entity).select(*entity.columns)
+
+
 def csv_audit_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows whose audit columns are complete, by address country."""
     path = _address_files(spark, sf_dir)
@@ -552,7 +559,8 @@ def csv_file_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = views.table(spark, sf_dir, "orders")
     line = F.concat_ws(",", "o_orderkey", "o_custkey", "o_orderstatus")
     path = scratch_path(spark, "file-keys")
-    one = orders.select("o_orderstatus", line.alias("value")).repartition("o_orderstatus")
+    one = orders.select("o_orderstatus", "o_orderkey", line.alias("value")).repartition("o_orderstatus")
+    one = one.sortWithinPartitions("o_orderstatus", "o_orderkey").drop("o_orderkey")
     one.write.partitionBy("o_orderstatus").text(path)
     status = F.regexp_extract("file_name", "o_orderstatus=([^/]*)/", 1)
     keys = content_keys(spark, path, "*.txt").select(status.alias("order_status"), "content_key")
@@ -880,6 +888,7 @@ OPERATORS: list[Query] = [
     surrogate_keys_sparse,
     quality_checks_items,
     csv_roundtrip,
+    csv_roundtrip_by_blocks,
     csv_audit_columns,
     csv_inline_cast,
     csv_null_tokens,

@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs, instant_in_zone
+from tiermart.operators.skew import divided_join
 from tiermart.schemas import AUDIT_COLUMNS, Entity
+from tiermart.session import materialise
 from tiermart.sources.files import content_keys
 from tiermart.sources.quoted import quoted_records
 
@@ -130,11 +132,12 @@ def with_audit(
             *entity.columns, *AUDIT_COLUMNS
         )
     rows = scan.drop("_stg_file_md5")
-    keys = content_keys(spark, path).select(
+    # stored, so that Spark knows the size of one row per file; a file that holds most rows is divided
+    keys = materialise(content_keys(spark, path), "file-keys").select(
         F.col("file_name").alias("_stg_file_name"), F.col("content_key").alias("_stg_file_md5")
     )
     return (
-        rows.join(keys, "_stg_file_name", "left")
+        divided_join(rows, keys, ["_stg_file_name"], "left")
         .withColumn("_copy_data_ts", run_timestamp(run_ts))
         .select(*entity.columns, *AUDIT_COLUMNS)
     )
