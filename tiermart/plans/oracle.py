@@ -666,6 +666,7 @@ FROM r_master GROUP BY order_status
 # other ways to store the same results
 _OPERATORS |= {
     "csv_roundtrip_by_blocks": _OPERATORS["csv_roundtrip"],
+    "scd2_point_in_time_sweep": _OPERATORS["scd2_point_in_time"],
     "load_clean_customers_by_bucket": _OPERATORS["load_clean_customers"],
     "load_dim_customers_by_segment": _OPERATORS["load_dim_customers"],
     "stream_upsert_customers_by_bucket": _OPERATORS["stream_upsert_customers"],

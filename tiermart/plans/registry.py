@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tiermart.functions import convert_timezone
 from tiermart.operators.conform import conform_entity, conform_or_quarantine
 from tiermart.operators.dedupe import dedupe_latest
-from tiermart.operators.lookup import as_of
+from tiermart.operators.lookup import as_of, as_of_sweep
 from tiermart.operators.merge import (
     ambiguous_keys,
     append_rows,
@@ -361,17 +361,27 @@ def scd2_composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scd2_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order with the customer version valid on its day."""
+def _dated_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     facts = views.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("ordered_at"),
     )
-    dim = materialise(_three_loads(spark, sf_dir), "dim")
+    return facts, materialise(_three_loads(spark, sf_dir), "dim")
+
+
+def scd2_point_in_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with the customer version valid on its day."""
+    facts, dim = _dated_orders(spark, sf_dir)
     return as_of(facts, dim, ["customer_id"], "ordered_at", ["last_order_id", "priority"])
 
 
+def scd2_point_in_time_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same by one order of facts and versions."""
+    facts, dim = _dated_orders(spark, sf_dir)
+    return as_of_sweep(facts, dim, ["customer_id"], "ordered_at", ["last_order_id", "priority"])
+
+
 def _fact_orders(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     every = views.orders(spark, sf_dir).withColumn("last_updated_ts", views.ts(LOADS[0]))
     return every.filter(F.col("order_date") < views.ts(LOADS[1]).cast("date")), every
@@ -878,6 +888,7 @@ OPERATORS: list[Query] = [
     scd2_apply_orders,
     scd2_composite_key,
     scd2_point_in_time,
+    scd2_point_in_time_sweep,
     merge_insert_only_orders,
     append_orders_double_load,
     quality_not_null,
