@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tiermart.functions import exact_mean, growth_percentage, mean, percentage
+from tiermart.operators.bitmaps import distinct_counts, distinct_state
 from tiermart.operators.dedupe import dedupe_latest
 from tiermart.plans.wide import DELIVERED
 
@@ -210,6 +211,30 @@ def customer_retention_rate(master: DataFrame, distinct_orders: bool = False) ->
     )
 
 
+# ---- the same by bitmaps ----------------------------------------------------
+
+
+def unique_customers_by_bitmap(master: DataFrame) -> DataFrame:
+    state = distinct_state(_delivered(master), [], "customer_id")
+    return distinct_counts(state, [], "total_unique_customers")
+
+
+def customers_and_sales_by_bitmap(master: DataFrame, key: str) -> DataFrame:
+    state = distinct_state(master, [key], "customer_id", {"total_sales": F.col("total_value")})
+    report = distinct_counts(state, [key], "unique_customers", ["total_sales"])
+    report = report.withColumn("total_sales", F.col("total_sales").cast("decimal(20,2)"))
+    return _ranked(report, "total_sales", key)
+
+
+def sales_conversion_rate_by_bitmap(master: DataFrame) -> DataFrame:
+    orders, customers = (
+        distinct_counts(distinct_state(master, [], c), [], c).select(F.lit(c).alias("of"), F.col(c).alias("n"))
+        for c in ("order_id", "customer_id")
+    )
+    number = [F.sum(F.when(F.col("of") == c, F.col("n"))) for c in ("order_id", "customer_id")]
+    return orders.union(customers).agg(percentage(*number).alias("sales_conversion_rate"))
+
+
 # ---- beyond the wide table --------------------------------------------------
 
 

@@ -663,7 +663,11 @@ FROM r_master GROUP BY order_status
 }
 
 
-# other ways to store the same results
+# other ways to find and to store the same results
+_REPORTS |= {
+    f"{name}_bitmap": _REPORTS[name]
+    for name in ("cust_unique", "cust_by_city", "cust_by_gender", "sales_conversion_rate")
+}
 _OPERATORS |= {
     "csv_roundtrip_by_blocks": _OPERATORS["csv_roundtrip"],
     "scd2_point_in_time_sweep": _OPERATORS["scd2_point_in_time"],

@@ -943,5 +943,9 @@ def all_queries() -> dict[str, Query]:
     found["cust_retention_rate_distinct"] = _report(
         analytics.customer_retention_rate, distinct_orders=True
     )
+    found["cust_unique_bitmap"] = _report(analytics.unique_customers_by_bitmap)
+    for name, key in (("cust_by_city_bitmap", "customer_city"), ("cust_by_gender_bitmap", "gender")):
+        found[name] = _report(analytics.customers_and_sales_by_bitmap, key=key)
+    found["sales_conversion_rate_bitmap"] = _report(analytics.sales_conversion_rate_by_bitmap)
     found.update({query.__name__: query for query in OPERATORS})
     return {name: _configured(query) for name, query in found.items()}
