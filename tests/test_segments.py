@@ -51,7 +51,7 @@ def _files(layers, layer, table):
 
 def _in_buckets(segments, buckets, numbers):
     df = segments.layers.spark.createDataFrame([(i,) for i in numbers], "customer_id long")
-    return [r[0] for r in df.where(segments._bucket(df).isin(buckets)).collect()]
+    return [r[0] for r in df.where(segments.bucket(df).isin(buckets)).collect()]
 
 
 @pytest.mark.parametrize("null_safe", [False, True])

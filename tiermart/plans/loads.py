@@ -16,6 +16,7 @@ from tiermart.operators.conform import conform, conform_entity
 from tiermart.operators.dedupe import dedupe_latest
 from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply, scd2_pass, stamped
 from tiermart.operators.quality import require_not_null
+from tiermart.plans.refresh import MASTER, refresh_master_orders
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
 from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, IS_CURRENT, LOAD_TS, UPDATED_TS, Entity
 from tiermart.sources.csv import read_raw
@@ -24,7 +25,6 @@ from tiermart.sources.landing import FILE_FIELDS, Landing
 from tiermart.sources.segments import Segments
 from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
 
-MASTER = "master_orders"
 # the row of the newer file, then of the later copy, is the newer one
 NEWER_BY = [LOAD_TS, "_copy_data_ts"]
 # new files that one load takes; more are loaded in turn
@@ -47,7 +47,8 @@ class LoadOptions:
     buckets: hash buckets of replaced tables; 0 leaves them unbucketed.
     rewrite_buckets: replaced tables are kept in so many buckets, of which a load writes only those that its
     rows fall into, and closed versions of dimensions are appended once and never read or written
-    by a load again; 0 writes whole tables. Pays for incremental loads.
+    by a load again; the wide table is brought up to date by the orders that changed; 0 writes whole tables.
+    Pays for incremental loads.
     log_facts: clean tables of facts are logs: a load appends its rows, and a view
     shows the latest row per key. Loads then rewrite nothing; readers pay one
     shuffle by key. To be chosen before the first load of a table.
@@ -276,8 +277,13 @@ def curated_tables(layers: Layers) -> dict[str, DataFrame]:
     }
 
 
-def load_master_orders(layers: Layers, run_ts: RunTs = None, **choices) -> DataFrame:
-    """Rebuild the wide table, so that reports need no join."""
+def load_master_orders(
+    layers: Layers, run_ts: RunTs = None, rewrite_buckets: int = 0, **choices
+) -> DataFrame:
+    """Build the wide table, so that reports need no join; by buckets, only what has changed is built again."""
+    if rewrite_buckets:
+        refresh_master_orders(layers, curated_tables(layers), run_ts, rewrite_buckets, **choices)
+        return layers.table(CURATED, MASTER)
     layers.replace(CURATED, MASTER, build_master_orders(curated_tables(layers), run_ts, **choices))
     return layers.table(CURATED, MASTER)
 
@@ -299,7 +305,7 @@ def run_all(
         for load in loads:
             load.result()
     if all(name in paths for name in DIMENSIONS + FACTS):
-        load_master_orders(layers, run_ts)
+        load_master_orders(layers, run_ts, options.rewrite_buckets)
 
 
 def default_paths(directory: str) -> dict[str, str]:

@@ -23,6 +23,7 @@ from tiermart.sources.tables import Layers
 FINAL, BUCKET, VERSION = "_final", "_bucket", "_version"
 NO_BUCKET = -1  # final rows are not looked up by key
 _NOW, _BEFORE, _FINALS = "segments.versions", "segments.versions_before", "segments.finals"
+_MARKS = "segments.marks"
 
 
 def _numbers(text: str) -> list[int]:
@@ -64,7 +65,12 @@ class Segments:
         """The published version of each bucket, 0 for one that was never written."""
         return self._properties().get(_NOW) or [0] * self.buckets
 
-    def _bucket(self, df: DataFrame) -> Column:
+    def marks(self) -> list[int]:
+        """The numbers that the last load published with its rows, none before the first."""
+        return self._properties().get(_MARKS, [])
+
+    def bucket(self, df: DataFrame) -> Column:
+        """The bucket of a row's key."""
         kinds = {f.name: f.dataType for f in self.schema}
         key = F.xxhash64(*[F.col(k).cast(kinds[k]) for k in self.keys])
         return F.pmod(key, F.lit(len(self.versions()))).cast("int")
@@ -76,7 +82,7 @@ class Segments:
         """
         if self.layers.exists(self.layer, self.table) and _NOW not in self._properties():
             return list(range(self.buckets))
-        found = source.select(self._bucket(source).alias("b")).distinct().collect()
+        found = source.select(self.bucket(source).alias("b")).distinct().collect()
         return sorted(row["b"] for row in found)
 
     def _condition(self, versions: list[int], buckets: Sequence[int] | None = None) -> str:
@@ -96,10 +102,11 @@ class Segments:
             return spark.table(self.view).select(*names)
         return spark.createDataFrame([], self.schema)
 
-    def rewrite(self, rows: DataFrame, touched: Sequence[int]) -> int:
+    def rewrite(self, rows: DataFrame, touched: Sequence[int], marks: Sequence[int] = ()) -> int:
         """Replace the open rows of the touched buckets by `rows`, publish, and return the version.
 
-        `rows` may read `open_rows` of these buckets. Those that are final are appended.
+        `rows` may read `open_rows` of these buckets. Those that are final are appended. `marks` are kept
+        beside the versions, so that they change together with the rows.
         """
         known = self._properties()
         versions = known.get(_NOW) or [0] * self.buckets
@@ -121,7 +128,7 @@ class Segments:
             partition_by=[FINAL, BUCKET, VERSION],
         )
         final = F.coalesce(F.expr(self.final), F.lit(False)) if self.final else F.lit(False)
-        place = self._bucket(rows)
+        place = self.bucket(rows)
         placed = (
             rows.select(
                 *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema],
@@ -141,14 +148,16 @@ class Segments:
             new[bucket] = version
         if self.final:
             finals = [*finals, version]
-        self._publish(new, versions, finals)
+        self._publish(new, versions, finals, marks)
         self._forget(known.get(_BEFORE, versions), versions, new)
         for old in self.layers.versions(self.layer, self.table):
             spark.sql(f"DROP TABLE IF EXISTS {self.layers.version_name(self.layer, self.table, old)}")
         return version
 
-    def _publish(self, new: list[int], before: list[int], finals: list[int]) -> None:
-        properties = {_NOW: new, _BEFORE: before, _FINALS: finals}
+    def _publish(
+        self, new: list[int], before: list[int], finals: list[int], marks: Sequence[int] = ()
+    ) -> None:
+        properties = {_NOW: new, _BEFORE: before, _FINALS: finals, _MARKS: marks}
         listed = ", ".join(f"'{k}' = '{','.join(map(str, v))}'" for k, v in properties.items())
         ended = f"{FINAL} = 1 AND {VERSION} IN ({','.join(f'{v}L' for v in finals) or 'NULL'})"
         columns = ", ".join(f"`{c}`" for c in self.schema.names)
