@@ -8,7 +8,7 @@ amounts stay decimal, every ordering that decides a row is total.
 from __future__ import annotations
 
 from tiermart.plans.registry import LOADS
-from tiermart.plans.retail_views import BUILT
+from tiermart.plans.retail_views import BUILT, LOADED
 
 
 def _ts(value: str) -> str:
@@ -615,6 +615,17 @@ SELECT customer_id, name, gender, email, dob, '1' || phone_number, joining_date,
 FROM r_customers WHERE gender = 'Female'
 """,
     "load_master_orders": _on_master("SELECT * FROM r_master"),
+    # orders of the second load, and those with a product that it changed, are joined at its time
+    "refresh_master_by_orders": _on_master(
+        f"""
+SELECT * REPLACE (
+  CASE WHEN order_date >= DATE '1997-01-01'
+            OR bool_or(category = 'SMALL') OVER (PARTITION BY order_id)
+       THEN {_ts(BUILT)} ELSE {_ts(LOADED)} END AS data_insert_ts)
+FROM r_master
+""",
+        products=_PRODUCT_HISTORY,
+    ),
     "stream_raw_ingest": f"""
 SELECT CAST(payment_id AS VARCHAR) AS payment_id, CAST(order_id AS VARCHAR) AS order_id,
        CAST(payment_date AS VARCHAR) AS payment_date, payment_method, payment_status,

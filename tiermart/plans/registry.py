@@ -45,6 +45,7 @@ from tiermart.plans.loads import (
     run_all,
     run_entity,
 )
+from tiermart.plans.refresh import MASTER, refresh_master_orders
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
 from tiermart.schemas import ENTITIES, struct
 from tiermart.session import configure, materialise, scratch_path
@@ -768,6 +769,43 @@ def load_master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.table(CURATED, "master_orders")
 
 
+def _grown(spark: SparkSession, sf_dir: str) -> list[dict[str, DataFrame]]:
+    """Curated tables after each of two loads. The second adds the orders since 1997 with their facts, and closes
+    the earlier version of small products for the present one."""
+    tables = _entities(spark, sf_dir, history=True)
+    small = F.col("category") == "SMALL"
+    present = small & F.col("is_current")
+    products = tables["products"]
+    after = products.withColumn(
+        "effective_start_date",
+        F.when(present, views.ts(views.CLOSED)).otherwise(F.col("effective_start_date")),
+    )
+    before = products.filter(~present).withColumns(
+        {"effective_end_date": F.lit(None).cast("timestamp_ntz"), "is_current": F.lit(True)}
+    )
+    later = F.coalesce(F.col("order_date") >= "1997-01-01", F.lit(False))
+    orders = tables["orders"]
+    old = orders.filter(~later).select("order_id")
+    states = [{**tables, "products": before}, {**tables, "products": after}]
+    for name in FACTS:
+        first = tables[name].join(old, "order_id", "left_semi")
+        rest = tables[name].join(old, "order_id", "left_anti")
+        states[0][name] = first.withColumn("last_updated_ts", views.ts(views.LOADED))
+        states[1][name] = states[0][name].unionByName(
+            rest.withColumn("last_updated_ts", views.ts(views.CLOSED))
+        )
+    return states
+
+
+def refresh_master_by_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wide table after a second load, of which only the orders that it changed were joined again."""
+    layers = _layers(spark, "refresh")
+    layers.create()
+    for tables, run_ts in zip(_grown(spark, sf_dir), (views.LOADED, views.BUILT)):
+        refresh_master_orders(layers, tables, run_ts, buckets=16)
+    return layers.table(CURATED, MASTER)
+
+
 def stream_raw_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Files picked up by an incremental read, some before and some after a restart."""
     entity = ENTITIES["payments"]
@@ -920,6 +958,7 @@ OPERATORS: list[Query] = [
     load_fact_returns_twice,
     load_fact_payments,
     load_master_orders,
+    refresh_master_by_orders,
     stream_raw_ingest,
     stream_upsert_customers,
     stream_upsert_customers_by_bucket,
