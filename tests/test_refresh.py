@@ -4,8 +4,9 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
+from tiermart.plans import analytics, report_state
 from tiermart.plans.loads import LoadOptions, curated_tables, load_master_orders, run_all
-from tiermart.plans.refresh import MASTER, master_segments, refresh_master_orders
+from tiermart.plans.refresh import MASTER, kept_reports, master_segments, refresh_master_orders
 from tiermart.plans.wide import FACTS, MASTER_COLUMNS, build_master_orders
 from tiermart.schemas import ENTITIES, IS_CURRENT, UPDATED_TS, VALID_FROM, VALID_TO
 from tiermart.session import scratch_path
@@ -238,3 +239,64 @@ def test_loads_from_files_refresh_the_wide_table(spark, layers, tmp_path):
     assert _shown(layers) == shown
     load_master_orders(layers, TIMES[3], rewrite_buckets=BUCKETS)
     assert _shown(layers) == shown
+
+
+def _same_reports(layers, state):
+    """All 19 reports of the state against those of the wide table itself."""
+    master = layers.table(CURATED, MASTER)
+    kept, different = report_state.state_reports(), []
+    assert list(kept) == list(analytics.REPORTS)
+    for name, report in analytics.REPORTS.items():
+        got, want = kept[name](state), report(master)
+        if rows(got) != rows(want) or got.dtypes != want.dtypes:
+            different.append((name, rows(got), rows(want)))
+    assert different == []
+
+
+@pytest.mark.parametrize("choices", [{}, {"status": None}])
+def test_reports_of_kept_states_after_three_loads(spark, layers, choices, monkeypatch):
+    tables = _warehouse(spark)
+    with pytest.raises(ValueError):
+        kept_reports(layers, tables, BUCKETS, **choices)
+    refresh_master_orders(layers, tables, TIMES[0], BUCKETS, reports=True, **choices)
+    for name in ("orders", "order_items", "returns"):
+        tables = CHANGES[name](spark, tables)
+    assert not refresh_master_orders(layers, tables, TIMES[1], BUCKETS, reports=True, **choices).whole
+    _same_reports(layers, kept_reports(layers, tables, BUCKETS, **choices).persist())
+    # customers leave cities, a partner is renamed; then nothing is new
+    moved = [("customer_addresses", ("address_id", 106), "city", "Far"), ("customers", ("customer_id", 4), "name", "New")]
+    for name, key, column, value in moved:
+        tables = _changed(tables, name, key, column, value, TIMES[2])
+    monkeypatch.setattr(report_state, "MOST_LOADS", 2)  # the third load folds the states into one
+    for _ in range(2):
+        assert not refresh_master_orders(layers, tables, TIMES[2], BUCKETS, reports=True, **choices).whole
+    _same_reports(layers, kept_reports(layers, tables, BUCKETS, **choices).persist())
+    stored = layers.table(CURATED, report_state.TABLE)
+    assert stored.select(report_state.LOAD).distinct().count() == 1
+    # without reports no state counts any more, and the next refresh with them begins anew
+    tables = CHANGES["deliveries"](spark, tables)
+    refresh_master_orders(layers, tables, TIMES[3], BUCKETS, **choices)
+    with pytest.raises(ValueError):
+        kept_reports(layers, tables, BUCKETS, **choices)
+    assert refresh_master_orders(layers, tables, TIMES[4], BUCKETS, reports=True, **choices).whole
+    _same_reports(layers, kept_reports(layers, tables, BUCKETS, **choices).persist())
+
+
+def test_reports_after_a_failed_refresh_and_of_no_rows(spark, layers, monkeypatch):
+    full = _warehouse(spark)
+    tables = {name: table.limit(0) for name, table in full.items()}
+    refresh_master_orders(layers, tables, TIMES[0], BUCKETS, reports=True)
+    _same_reports(layers, kept_reports(layers, tables, BUCKETS))
+    refresh_master_orders(layers, full, TIMES[1], BUCKETS, reports=True)
+    tables = CHANGES["orders"](spark, full)
+
+    def fail(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(Segments, "_publish", fail)
+        with pytest.raises(OSError):
+            refresh_master_orders(layers, tables, TIMES[2], BUCKETS, reports=True)
+    _same_reports(layers, kept_reports(layers, full, BUCKETS))
+    assert not refresh_master_orders(layers, tables, TIMES[3], BUCKETS, reports=True).whole
+    _same_reports(layers, kept_reports(layers, tables, BUCKETS))

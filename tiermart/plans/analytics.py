@@ -36,7 +36,7 @@ def _sales() -> Column:
     return F.sum(F.col("quantity") * F.col("price_per_unit")).cast("decimal(31,4)")
 
 
-def _ranked(report: DataFrame, amount: str, *keys: str) -> DataFrame:
+def ranked(report: DataFrame, amount: str, *keys: str) -> DataFrame:
     return report.orderBy(F.desc_nulls_last(amount), *[F.asc_nulls_last(k) for k in keys])
 
 
@@ -65,15 +65,17 @@ def average_order_value(master: DataFrame) -> DataFrame:
 
 
 def monthly_sales_growth(master: DataFrame) -> DataFrame:
-    """Sales per month and their change against the previous month with sales.
-
-    The window runs over one row per month, after the aggregation.
-    """
+    """Sales per month and their change against the previous month with sales."""
     months = (
         _delivered(master)
         .groupBy(F.month("order_date").alias("month"), F.year("order_date").alias("year"))
         .agg(_sum("total_value").alias("monthly_sales"))
     )
+    return growth_by_month(months)
+
+
+def growth_by_month(months: DataFrame) -> DataFrame:
+    """(month, year, monthly_sales) with the month before; the window runs over one row per month."""
     by_time = Window.orderBy("year", "month")
     return (
         months.withColumn("previous_month_sales", F.lag("monthly_sales").over(by_time))
@@ -93,7 +95,7 @@ def sales_by_category(master: DataFrame) -> DataFrame:
     report = master.groupBy(F.col("category").alias("product_category")).agg(
         _sales().alias("total_sales_by_category")
     )
-    return _ranked(report, "total_sales_by_category", "product_category")
+    return ranked(report, "total_sales_by_category", "product_category")
 
 
 def sales_by_city(master: DataFrame) -> DataFrame:
@@ -102,7 +104,7 @@ def sales_by_city(master: DataFrame) -> DataFrame:
         .groupBy("customer_city")
         .agg(_sum("total_value").alias("total_sales_by_city"))
     )
-    return _ranked(report, "total_sales_by_city", "customer_city")
+    return ranked(report, "total_sales_by_city", "customer_city")
 
 
 def sales_conversion_rate(master: DataFrame) -> DataFrame:
@@ -124,7 +126,7 @@ def sales_by_delivery_partner(master: DataFrame) -> DataFrame:
         .groupBy("delivery_partner")
         .agg(_sum("total_value").alias("total_sales_by_partner"))
     )
-    return _ranked(report, "total_sales_by_partner", "delivery_partner")
+    return ranked(report, "total_sales_by_partner", "delivery_partner")
 
 
 def top_selling_products(master: DataFrame, n: int = REPORT_SIZE) -> DataFrame:
@@ -133,7 +135,7 @@ def top_selling_products(master: DataFrame, n: int = REPORT_SIZE) -> DataFrame:
         .groupBy("product_name")
         .agg(_sum("quantity").alias("total_units_sold"), _sales().alias("total_sales"))
     )
-    return _ranked(report, "total_sales", "product_name").limit(n)
+    return ranked(report, "total_sales", "product_name").limit(n)
 
 
 # ---- customers --------------------------------------------------------------
@@ -160,7 +162,7 @@ def top_customers(master: DataFrame, n: int = REPORT_SIZE) -> DataFrame:
     report = master.groupBy("customer_id", "customer_name").agg(
         _sum("total_value").alias("total_spending")
     )
-    return _ranked(report, "total_spending", "customer_id", "customer_name").limit(n)
+    return ranked(report, "total_spending", "customer_id", "customer_name").limit(n)
 
 
 def average_order_value_per_customer(master: DataFrame) -> DataFrame:
@@ -179,7 +181,7 @@ def peak_purchase_day(master: DataFrame) -> DataFrame:
     report = master.groupBy(F.dayofmonth("order_date").alias("daily_order")).agg(
         F.count("order_id").alias("orders_count")
     )
-    return _ranked(report, "orders_count", "daily_order").limit(1)
+    return ranked(report, "orders_count", "daily_order").limit(1)
 
 
 def _customers_and_sales(master: DataFrame, key: str) -> DataFrame:
@@ -187,7 +189,7 @@ def _customers_and_sales(master: DataFrame, key: str) -> DataFrame:
         F.count_distinct("customer_id").alias("unique_customers"),
         _sum("total_value").alias("total_sales"),
     )
-    return _ranked(report, "total_sales", key)
+    return ranked(report, "total_sales", key)
 
 
 def purchases_by_city(master: DataFrame) -> DataFrame:
@@ -223,7 +225,7 @@ def customers_and_sales_by_bitmap(master: DataFrame, key: str) -> DataFrame:
     state = distinct_state(master, [key], "customer_id", {"total_sales": F.col("total_value")})
     report = distinct_counts(state, [key], "unique_customers", ["total_sales"])
     report = report.withColumn("total_sales", F.col("total_sales").cast("decimal(20,2)"))
-    return _ranked(report, "total_sales", key)
+    return ranked(report, "total_sales", key)
 
 
 def sales_conversion_rate_by_bitmap(master: DataFrame) -> DataFrame:

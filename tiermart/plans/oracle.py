@@ -7,6 +7,7 @@ amounts stay decimal, every ordering that decides a row is total.
 
 from __future__ import annotations
 
+from tiermart.plans import analytics
 from tiermart.plans.registry import LOADS
 from tiermart.plans.retail_views import BUILT, LOADED
 
@@ -679,6 +680,7 @@ _REPORTS |= {
     f"{name}_bitmap": _REPORTS[name]
     for name in ("cust_unique", "cust_by_city", "cust_by_gender", "sales_conversion_rate")
 }
+_REPORTS |= {f"{name}_by_state": _REPORTS[name] for name in analytics.REPORTS}
 _OPERATORS |= {
     "csv_roundtrip_by_blocks": _OPERATORS["csv_roundtrip"],
     "scd2_point_in_time_sweep": _OPERATORS["scd2_point_in_time"],

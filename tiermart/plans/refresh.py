@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tiermart.functions.columns import RunTs
+from tiermart.plans.report_state import ReportState, merged, state_of
 from tiermart.plans.wide import DIMENSIONS, FACTS, MASTER_COLUMNS, build_master_orders
 from tiermart.schemas import UPDATED_TS, VALID_FROM, VALID_TO
 from tiermart.sources.segments import Segments
@@ -25,6 +26,7 @@ from tiermart.sources.tables import CURATED, Layers
 
 MASTER = "master_orders"
 INPUTS = DIMENSIONS + FACTS
+_MARKS = 1 + 3 * len(INPUTS)  # of a refresh; behind them stand the loads of the state of the reports
 EPOCH = dt.datetime(1970, 1, 1)  # also the latest stamp of a table without any
 
 
@@ -160,6 +162,7 @@ def refresh_master_orders(
     tables: Mapping[str, DataFrame],
     run_ts: RunTs = None,
     buckets: int = 256,
+    reports: bool = False,
     **choices,
 ) -> Refreshed:
     """Bring the wide table up to date with its inputs, see `build_master_orders` for these and the choices.
@@ -170,19 +173,28 @@ def refresh_master_orders(
     published with the rows in one statement, so a refresh that failed is repeated from where it
     began. New rows are found by scans of the stamps, orders by scans of the keys; joins, shuffles and
     writes grow with what changed.
+
+    With `reports` the state of the reports is kept up as well, see `kept_reports`: what changed orders had
+    is taken off, what they have now is added. It is published in the same statement.
     """
     held = master_segments(layers, tables, buckets, **choices)
     kind = zlib.crc32(repr(sorted(choices.items())).encode())
     known = held.marks()
     seen: dict[str, Mark] = {}
-    if len(known) == 1 + 3 * len(INPUTS) and known[0] == kind:
+    counted = known[_MARKS:]
+    if len(known) >= _MARKS and known[0] == kind and bool(counted) == reports:
         seen = {name: Mark(*known[1 + 3 * i : 4 + 3 * i]) for i, name in enumerate(INPUTS)}
     now, newer = _look(tables, seen)
+    state = ReportState(layers)
     marks = [kind, *[n for name in INPUTS for n in vars(now[name]).values()]]
 
     if any(condition is None for condition in newer.values()):
         everything = list(range(len(held.versions())))
-        held.rewrite(build_master_orders(tables, run_ts, **choices), everything, marks)
+        built = build_master_orders(tables, run_ts, **choices)
+        held.rewrite(
+            built, everything, marks, (lambda rows, load: state.add(load, [], state_of(rows))) if reports else None
+        )
+        state.forget(counted)
         return Refreshed(everything, whole=True)
 
     # inputs that hold nothing later than what was seen are not looked at again
@@ -195,7 +207,7 @@ def refresh_master_orders(
     )
     touched = held.touched(orders)
     if not touched:
-        held.rewrite(empty, [], marks)
+        held.rewrite(empty, [], [*marks, *counted])
         return Refreshed([], whole=False)
     # stored, so that Spark knows their true size when it picks the joins
     parts = {
@@ -203,6 +215,24 @@ def refresh_master_orders(
         for name in FACTS
     }
     joined = build_master_orders({**tables, **parts}, run_ts, **choices)
-    kept = held.open_rows(touched).join(orders, "order_id", "left_anti")
-    held.rewrite(kept.select(*MASTER_COLUMNS).unionByName(joined), touched, marks)
+    before = held.open_rows(touched)
+    kept = before.join(orders, "order_id", "left_anti")
+
+    def further(rows: DataFrame, load: int) -> Sequence[int]:
+        added, removed = (df.join(orders, "order_id", "left_semi") for df in (rows, before))
+        return state.add(load, counted, state_of(added, removed))
+
+    held.rewrite(
+        kept.select(*MASTER_COLUMNS).unionByName(joined), touched, marks, further if reports else None
+    )
+    if reports:
+        state.forget([load for load in counted if load not in held.marks()[_MARKS:]])
     return Refreshed(touched, whole=False)
+
+
+def kept_reports(layers: Layers, tables: Mapping[str, DataFrame], buckets: int = 256, **choices) -> DataFrame:
+    """The state of the reports as of the last refresh, for `report_state.state_reports`."""
+    loads = master_segments(layers, tables, buckets, **choices).marks()[_MARKS:]
+    if not loads:
+        raise ValueError("no state is kept: refresh the wide table with reports=True")
+    return merged([ReportState(layers).of(loads)])

@@ -46,6 +46,7 @@ from tiermart.plans.loads import (
     run_entity,
 )
 from tiermart.plans.refresh import MASTER, refresh_master_orders
+from tiermart.plans.report_state import merged, state_of, state_reports
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
 from tiermart.schemas import ENTITIES, struct
 from tiermart.session import configure, materialise, scratch_path
@@ -101,6 +102,36 @@ def _report(report: Callable[[DataFrame], DataFrame], **options) -> Query:
     return lambda spark, sf_dir: report(master_table(spark, sf_dir), **options)
 
 
+def _kept_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of the reports after three loads, of which the later ones correct and complete the first."""
+
+    def build() -> DataFrame:
+        master, date = master_table(spark, sf_dir), F.col("order_date")
+        wrong = master.withColumns(
+            {
+                "order_status": F.lit("Pending"),
+                "customer_city": F.upper("customer_city"),
+                "total_value": F.col("total_value") + 1,
+                "quantity": F.col("quantity") + 1,
+                "return_id": F.lit(None).cast(master.schema["return_id"].dataType),
+            }
+        )
+        first, second = date < LOADS[0], date < LOADS[1]
+        rest = F.coalesce(date >= LOADS[0], F.lit(True))
+        states = [
+            state_of(wrong.filter(second)),
+            state_of(master.filter(first), wrong.filter(first)),
+            state_of(master.filter(rest), wrong.filter(second & ~first)),
+        ]
+        return merged(states)
+
+    return _stored(spark, sf_dir, "report_state", build)
+
+
+def _state_report(name: str) -> Query:
+    return lambda spark, sf_dir: state_reports()[name](_kept_state(spark, sf_dir))
+
+
 def master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_master_orders(_entities(spark, sf_dir), views.BUILT)
 
@@ -986,5 +1017,6 @@ def all_queries() -> dict[str, Query]:
     for name, key in (("cust_by_city_bitmap", "customer_city"), ("cust_by_gender_bitmap", "gender")):
         found[name] = _report(analytics.customers_and_sales_by_bitmap, key=key)
     found["sales_conversion_rate_bitmap"] = _report(analytics.sales_conversion_rate_by_bitmap)
+    found.update({f"{name}_by_state": _state_report(name) for name in analytics.REPORTS})
     found.update({query.__name__: query for query in OPERATORS})
     return {name: _configured(query) for name, query in found.items()}

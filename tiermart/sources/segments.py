@@ -11,7 +11,7 @@ is in no view. One writer at a time per table.
 from __future__ import annotations
 
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -102,11 +102,18 @@ class Segments:
             return spark.table(self.view).select(*names)
         return spark.createDataFrame([], self.schema)
 
-    def rewrite(self, rows: DataFrame, touched: Sequence[int], marks: Sequence[int] = ()) -> int:
+    def rewrite(
+        self,
+        rows: DataFrame,
+        touched: Sequence[int],
+        marks: Sequence[int] = (),
+        further: Callable[[DataFrame, int], Sequence[int]] | None = None,
+    ) -> int:
         """Replace the open rows of the touched buckets by `rows`, publish, and return the version.
 
         `rows` may read `open_rows` of these buckets. Those that are final are appended. `marks` are kept
-        beside the versions, so that they change together with the rows.
+        beside the versions, so that they change together with the rows. `further` gets the rows as they were
+        stored, and the version, before it is published, and returns more marks.
         """
         known = self._properties()
         versions = known.get(_NOW) or [0] * self.buckets
@@ -143,6 +150,9 @@ class Segments:
             .drop("__place")
         )
         placed.write.mode("append").insertInto(self.data)
+        if further:
+            stored = spark.table(self.data).where(F.col(VERSION) == version)
+            marks = [*marks, *further(stored.select(*self.schema.names), version)]
         new = list(versions)
         for bucket in touched:
             new[bucket] = version
