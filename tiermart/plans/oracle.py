@@ -682,6 +682,10 @@ _REPORTS |= {
 }
 _REPORTS |= {f"{name}_by_state": _REPORTS[name] for name in analytics.REPORTS}
 _OPERATORS |= {
+    **{
+        f"{name}_by_load": _OPERATORS[name]
+        for name in ("quality_checks_items", "quality_unique_lineitem", "quality_orphans")
+    },
     "csv_roundtrip_by_blocks": _OPERATORS["csv_roundtrip"],
     "scd2_point_in_time_sweep": _OPERATORS["scd2_point_in_time"],
     "load_clean_customers_by_bucket": _OPERATORS["load_clean_customers"],

@@ -37,6 +37,7 @@ from tiermart.operators.quality import (
 )
 from tiermart.plans import analytics
 from tiermart.plans import retail_views as views
+from tiermart.plans.checks import EntityChecks, KeyCounts
 from tiermart.plans.loads import (
     LoadOptions,
     load_clean,
@@ -474,14 +475,10 @@ def surrogate_keys_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_surrogate_key(orders, "order_sk", "place")
 
 
-def quality_checks_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All declared checks of the order items, with the violations of each.
-
-    Items of one order are without a quantity, items of another name an unknown product.
-    """
-    tables = _entities(spark, sf_dir)
+def _faulty_items(tables: dict[str, DataFrame]) -> DataFrame:
+    """Items of one order are without a quantity, items of another name an unknown product."""
     first = F.col("order_id") % 97 == 0
-    items = tables["order_items"].withColumns(
+    return tables["order_items"].withColumns(
         {
             "quantity": F.when(~first, F.col("quantity")),
             "product_id": F.when(F.col("order_id") % 89 == 0, F.lit(-1).cast("bigint")).otherwise(
@@ -489,7 +486,9 @@ def quality_checks_items(spark: SparkSession, sf_dir: str) -> DataFrame:
             ),
         }
     )
-    checks = check_entity(items, ENTITIES["order_items"], tables)
+
+
+def _violations(checks: dict[str, DataFrame]) -> DataFrame:
     found = [
         check.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check"), "violations")
         for name, check in checks.items()
@@ -497,6 +496,50 @@ def quality_checks_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, found)
 
 
+def quality_checks_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All declared checks of the order items, with the violations of each."""
+    tables = _entities(spark, sf_dir)
+    return _violations(check_entity(_faulty_items(tables), ENTITIES["order_items"], tables))
+
+
+def quality_checks_items_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same after two loads, of which the second brings the products and the rest of the items."""
+    tables, layers = _entities(spark, sf_dir), _layers(spark, "checks")
+    layers.create()
+    items = _faulty_items(tables)
+    checks = EntityChecks(layers, ENTITIES["order_items"], buckets=16)
+    small = F.coalesce(F.col("quantity") <= 25, F.lit(False))
+    checks.add(1, items.filter(small), parents={"orders": tables["orders"]})
+    checks.add(2, items.filter(~small), parents={"products": tables["products"]})
+    return _violations(checks.violations())
+
+
+def _key_counts(spark: SparkSession, df: DataFrame, keys: list[str]) -> KeyCounts:
+    layers = _layers(spark, "keys")
+    layers.create()
+    return KeyCounts(layers, "of_a_table", [df.schema[k] for k in keys], buckets=16)
+
+
+def quality_unique_lineitem_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines shipped late come with a second load and may repeat a key of the first."""
+    lines = views.table(spark, sf_dir, "lineitem")
+    kept = _key_counts(spark, lines, ["l_orderkey", "l_linenumber"])
+    early = F.coalesce(F.col("l_shipdate") < LOADS[0], F.lit(False))
+    for load, part in enumerate((lines.filter(early), lines.filter(~early)), start=1):
+        kept.add(load, part)
+    return kept.repeated()
+
+
+def quality_orphans_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without a line: all orders come first, their lines with two loads."""
+    orders, lines = (views.table(spark, sf_dir, name) for name in ("orders", "lineitem"))
+    kept = _key_counts(spark, orders, ["o_orderkey"])
+    early = F.coalesce(F.col("l_shipdate") < LOADS[0], F.lit(False))
+    kept.add(1, orders, parents=lines.filter(early), parent_columns=["l_orderkey"])
+    kept.add(2, parents=lines.filter(~early), parent_columns=["l_orderkey"])
+    return kept.orphans()
+
+
 # ---- files ------------------------------------------------------------------
 
 
@@ -967,6 +1010,9 @@ OPERATORS: list[Query] = [
     surrogate_keys,
     surrogate_keys_sparse,
     quality_checks_items,
+    quality_checks_items_by_load,
+    quality_unique_lineitem_by_load,
+    quality_orphans_by_load,
     csv_roundtrip,
     csv_roundtrip_by_blocks,
     csv_audit_columns,
