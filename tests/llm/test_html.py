@@ -84,3 +84,38 @@ def test_content_lifts_outer_bans():
     assert main_text('<body><div class="sidebar"><main><p>Text.</p></main></div></body>') == "Text."
     for wrapper in ('<div id="comments">', '<div class="related-posts">', "<aside>", "<div hidden>"):
         assert main_text(f"<body><article>Text.</article>{wrapper}<article><p>{LONG}</p></article></body>") == "Text."
+
+
+def test_marks_in_classes():
+    for mark in ("post social-science", "post social", "entry-content ad-free", "hidden-gems", "related-work", "story legal"):
+        assert main_text(f'<body><div class="{mark}"><p>{LONG}</p></div></body>') == LONG.strip(), mark
+    for mark in ("related-posts", "ad-slot", "ad_300x250", "socialLinks", "site-footer", "cookie-x", "comments-area", "post sponsored"):
+        for top, text in ((f"<article>{LONG}", "</article>"), (f"<p>{LONG}</p>", "")):
+            assert main_text(f'<body>{top}<div class="{mark}"><p>{LONG}</p></div>{text}</body>') == LONG.strip(), mark
+    section = f'<section class="related-work"><p>{LONG}</p></section>'
+    assert main_text(f"<article><p>Text.</p>{section}</article>") == f"Text. {LONG.strip()}"
+
+
+def test_formulas_are_text():
+    formula = "<math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x = 2</annotation></math>"
+    assert main_text(f"<article><p>So {formula} holds.</p></article>") == "So x=2 holds."
+
+
+def test_edges_of_a_page():
+    body = f"<h1>The title</h1><p>A short start.</p><p>{LONG}</p><p>{LONG}</p><p>The end.</p>"
+    want = f"The title A short start. {LONG.strip()} {LONG.strip()} The end."
+    menu = "".join(f'<li><a href="/{i}">Section {i}</a></li>' for i in range(9))
+    assert main_text(f"<body>{body}<div>Home</div><p>Copyright 2020 by us</p></body>") == want
+    assert main_text(f"<body><nav>{menu}</nav>{body}<footer>{LONG}</footer><p>Powered by us</p></body>") == want
+    assert main_text(f"<body><ul>{menu}</ul><p>So much for that.</p><p>{LONG}</p></body>") == LONG.strip()
+
+
+def test_paragraphs_with_links_between_good_ones():
+    linked = 'See <a href="/x">the long story of the house on the hill and of all its people</a> and the other one.'
+    plain = "See the long story of the house on the hill and of all its people and the other one."
+    want = f"{LONG.strip()} {plain} {LONG.strip()}"
+    assert main_text(f"<body><p>{LONG}</p><p>{linked}</p><p>{LONG}</p></body>") == want
+    # not at the end, and not if it is links only
+    assert main_text(f"<body><p>{LONG}</p><p>{linked}</p></body>") == LONG.strip()
+    only = f'<p><a href="/x">{plain}</a></p>'
+    assert main_text(f"<body><p>{LONG}</p>{only}<p>{LONG}</p></body>") == f"{LONG.strip()} {LONG.strip()}"

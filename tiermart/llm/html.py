@@ -21,9 +21,10 @@ BLOCKS = frozenset(
 VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-RAW = frozenset("script style textarea title noscript template iframe svg math object select noembed noframes xmp canvas audio video".split())
+RAW = frozenset("script style textarea title noscript template iframe svg object select noembed noframes xmp canvas audio video annotation annotation-xml".split())
 BOILERPLATE = frozenset("head nav footer aside form menu button dialog fieldset".split())
 CONTENT = frozenset("article main".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # a start tag of one of these ends an open element of the same kind
 SELF_CLOSING = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -38,6 +39,21 @@ MARKED = frozenset(
     "promotion related replies reply respond share sharing sidebar signup social sponsor sponsored "
     "subscribe toolbar topbar widget widgets".split()
 )
+# marked words that mean something else beside a word that does not belong to layout, as in social-science or ad-free
+AMBIGUOUS = frozenset(
+    "ad ads banner copyright disclaimer header hidden legal login menu modal nav navigation notice notices overlay "
+    "pager popup promotion related replies reply respond share sharing social toolbar topbar widget widgets".split()
+)
+# words of layout that stand beside them
+LAYOUT = frozenset(
+    "alert area article articles aside bar block body bottom box btn button buttons card cards center col column "
+    "container content contents details dropdown form global grid group head heading holder icon icons image images "
+    "info entries inner item items label layout left level line link links list main media message mobile module more "
+    "news outer page panel placeholder policy popular post posts primary reading recent region right row secondary section "
+    "site slot sticky stories story text title toggle top unit wrap wrapper zone".split()
+)
+# classes of a post itself, whose further classes are topics
+NAMED = frozenset("article entry entry-content hentry post post-body post-content story".split())
 # marked words whose elements often hold articles that are not the page's own
 CARDS = frozenset(
     "ad ads advert adverts advertisement advertising comment comments disqus promo promotion related replies "
@@ -105,9 +121,11 @@ TOKEN = re.compile(
 )
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]++)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s\"'>]++)))?")
 NAMES = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+RIGHTS = re.compile(r"(?:\u00a9|\(c\)|copyright\b|all rights reserved)", re.I)
 
 # thresholds of the first pass, as in the published rules for justext
 MAX_LINKS = 0.2
+MOST_LINKS = 0.8  # of a paragraph between good ones
 SHORT = 70  # characters
 LONG = 200
 FEW_STOPS = 0.30
@@ -122,6 +140,7 @@ class Block:
     banned: bool  # inside an element that never holds main text
     content: bool  # inside an article or main element
     heading: bool
+    prose: bool  # a heading, or the text of a paragraph or quotation
     parts: list[str] = field(default_factory=list)
     linked: int = 0  # characters inside links
     label: str = ""
@@ -135,6 +154,13 @@ class _Open:
     content: bool
 
 
+def _marks(token: str) -> set[str]:
+    """The marked words that a class or id holds; an ambiguous one counts among words of layout only."""
+    words = {word.lower() for word in NAMES.findall(token) if len(word) > 1}
+    marked = MARKED & words
+    return set() if marked <= AMBIGUOUS and not words <= MARKED | LAYOUT else marked
+
+
 def _banned(name: str, attributes: str, content: bool) -> str:
     """How an element bans what is inside, one of STRENGTH."""
     own = "soft" if name == "form" else ""
@@ -146,10 +172,13 @@ def _banned(name: str, attributes: str, content: bool) -> str:
         key, *values = match.groups()
         key, value = key.lower(), next((v for v in values if v), "")
         if key in ("class", "id"):
+            named = NAMED & {token.lower() for token in value.split()}
             for token in value.split():
                 if re.match(r"(?:no|has|with|without)[-_]", token):
                     continue
-                marked = MARKED & {word.lower() for word in NAMES.findall(token)}
+                marked = _marks(token)
+                if named and not marked & CARDS:
+                    marked -= AMBIGUOUS
                 if marked and not (
                     content and token.lower() in ("header", "entry-header", "post-header", "article-header")
                 ):
@@ -184,8 +213,10 @@ def blocks_of(html: str) -> list[Block]:
             if not segment.strip():
                 return
             top = stack[-1]
-            heading = any(re.fullmatch("h[1-6]", o.name) for o in stack)
-            current = Block(bool(top.banned), top.content, heading)
+            heading = any(o.name in HEADINGS for o in stack)
+            holder = next((o.name for o in reversed(stack) if o.name in BLOCKS), "")
+            prose = heading or holder in ("p", "blockquote", "pre", "dd")
+            current = Block(bool(top.banned), top.content, heading, prose)
             blocks.append(current)
         decoded = unescape(segment) if "&" in segment else segment
         current.parts.append(decoded)
@@ -254,14 +285,17 @@ def _stop(word: str) -> bool:
 
 
 def _classify(block: Block) -> str:
-    """First pass: good, bad, or undecided (near, long, short)."""
+    """First pass: good, bad, or undecided (near, long, short, linked), or a note on rights."""
     size = len(block.text)
     if block.banned:
         return "bad"
     if block.linked / size > MAX_LINKS and not (block.content and block.linked < size):
-        return "bad" if not block.heading else "short"
+        if block.heading:
+            return "short"
+        # a paragraph about other pages, between others
+        return "linked" if block.prose and size >= SHORT and block.linked <= MOST_LINKS * size else "bad"
     if size < SHORT:
-        return "short"
+        return "rights" if RIGHTS.match(block.text) and not block.content else "short"
     density = _stops(block.text)
     if density >= MANY_STOPS:
         return "good" if size > LONG else "near"
@@ -272,36 +306,39 @@ def _classify(block: Block) -> str:
 def _inherit(blocks: list[Block]) -> None:
     """Second pass: an undecided block takes the label of its nearest decided neighbours.
 
-    Both neighbours must be good, or one of them for a block that is nearly good or long. An
-    article is its own neighbourhood: what is undecided in it is good.
+    Both neighbours must be good, or one of them for a block that is nearly good or long. Headings and
+    paragraphs before the first decided block, or behind the last, have one neighbour, which decides; banned blocks
+    and notes on rights are such an end, too. An article is its own neighbourhood: what is undecided in it is good.
     """
+    ends = [b.banned or b.label == "rights" for b in blocks]
     decided = [b.label if b.label in ("good", "bad") else None for b in blocks]
     before: list[str | None] = []
     last = None
-    for label in decided:
+    for label, end in zip(decided, ends):
         before.append(last)
-        last = label or last
+        last = None if end else label or last
     after: list[str | None] = []
     last = None
-    for label in reversed(decided):
+    for label, end in zip(reversed(decided), reversed(ends)):
         after.append(last)
-        last = label or last
+        last = None if end else label or last
     after.reverse()
     for block, label, left, right in zip(blocks, decided, before, after):
-        if label:
+        if label or block.label == "rights":
             continue
         if block.content:
             block.label = "good"
             continue
-        good = [side for side in (left, right) if side == "good"]
-        block.label = "good" if len(good) == 2 or (block.label in ("near", "long") and good) else "bad"
+        sides = [left, right] if not block.prose or block.label == "linked" else [s for s in (left, right) if s]
+        one_is_enough = block.label in ("near", "long")
+        block.label = "good" if sides and (any if one_is_enough else all)(s == "good" for s in sides) else "bad"
 
 
 def _longest_run(blocks: list[Block]) -> list[Block]:
     """The neighbouring undecided blocks with most characters; bad blocks end a run."""
     runs: list[list[Block]] = [[]]
     for block in blocks:
-        if block.label == "bad":
+        if block.label in ("bad", "linked", "rights"):
             runs.append([])
         else:
             runs[-1].append(block)
