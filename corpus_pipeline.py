@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tiermart.llm.classifier import fit_quality, keep_quality
 from tiermart.llm.common import table
-from tiermart.llm.pii import pseudonymise, require_distinct
+from tiermart.llm.pii import pseudonymise_checked
 from tiermart.llm.queries import PII_KEY, packed_pieces
 from tiermart.llm.rules import fit_rules, keep_good
 from tiermart.llm.setsketch import NearDuplicates, keep_one
@@ -35,8 +35,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    require_distinct(docs, PII_KEY)
-    return pseudonymise(docs, PII_KEY)
+    return pseudonymise_checked(docs, PII_KEY)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tiermart.llm import pii
-from tiermart.llm.pii import Surrogates, collisions, entity_table, find_entities, luhn, pseudonymise, pseudonymised_documents
+from tiermart.llm.pii import Surrogates, canonical, collisions, entity_table, find_entities, luhn, pseudonymise, pseudonymise_checked, pseudonymised_documents
 
 KEY = b"test key"
 TEXT = (
@@ -187,3 +187,66 @@ def test_the_pipeline_checks_collisions(spark, monkeypatch):
     monkeypatch.setattr(pii, "collisions", lambda found: found.limit(1))
     with pytest.raises(ValueError, match="several entities"):
         corpus_pipeline.pii(spark, docs, "")
+
+
+PLANTED = {
+    "email": ["josé@example.com", "user@münchen.de", "o'brien@example.org", "a.b+c@mail.example.co.uk"],
+    "phone": ["phone 5551234567", "Call me at 5551234567", "tel: 0301234567"],
+    "ssn": ["SSN 078 05 1120", "social security number: 078051120"],
+    "iban": ["de89 3704 0044 0532 0130 00", "gb82west12345698765432", "GB82 WEST 1234 5698 7654 32"],
+    "person": ["Dr. O'Neill", "JOHN SMITH", "Priya Sharma", "Wei Zhang", "Ahmed Khan", "Name: Tomasz Kowalczyk", "my name is Ute Lemper"],
+}
+
+
+@pytest.mark.parametrize("kind", PLANTED)
+def test_planted_values_of_each_kind(kind):
+    for written in PLANTED[kind]:
+        text = f"Then {written} and so on."
+        found = find_entities(text)
+        assert [e.kind for e in found] == [kind], written
+        old = text[found[0].start : found[0].end]
+        new = Surrogates(KEY).rewrite(text, found)
+        assert old not in new and new.startswith("Then ") and new.endswith(" and so on."), written
+        # what replaces a value is of its kind, and agrees with other ways to write it
+        again = find_entities(new)
+        assert [e.kind for e in again] == [kind], new
+    assert canonical("de89 3704 0044 0532 0130 00", "iban") == canonical("DE89370400440532013000", "iban")
+
+
+def test_places_and_plain_numbers_stay():
+    for text in (
+        "Christian Church", "Victoria Station", "Charlotte North Carolina", "James River", "Martin University",
+        "order 5551234567", "the number 078051120", "JOHN Smith sold", "de89370400440532013001",
+    ):
+        assert find_entities(text) == [], text
+    assert [e.kind for e in find_entities("Martin West and Mary Jones")] == ["person", "person"]
+
+
+def test_many_entities_in_one_text(spark):
+    n = 30_000
+    text = " ".join(f"user{i}@example.org and {i % 250}.1.2.3" for i in range(n))
+    docs = spark.createDataFrame([(1, text), (1, text), (None, None), (2, "")], "doc_id long, text string")
+    got = sorted(pseudonymised_documents(docs, KEY).collect(), key=repr)
+    want = Surrogates(KEY).rewrite(text, find_entities(text))
+    assert sorted(map(tuple, got), key=repr) == sorted(
+        [(1, want, 2 * n, "email,ip")] * 2 + [(None, None, 0, ""), (2, "", 0, "")], key=repr
+    )
+
+
+def test_a_shared_surrogate_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr("tiermart.llm.pii.collisions", lambda found: found)
+    with pytest.raises(ValueError, match="1 surrogates"):
+        pseudonymised_documents(spark.createDataFrame([(1, "a@example.org a@example.org")], "doc_id long, text string"), KEY)
+
+
+def test_checked_rows_keep_all_columns(spark, monkeypatch):
+    schema = "doc_id long, text string, `mentions of the text` string"
+    docs = spark.createDataFrame([(1, "to a@example.org", "x"), (None, None, None), (2, "", "y")], schema)
+    got = pseudonymise_checked(docs, KEY)
+    assert got.schema == docs.schema
+    want = pseudonymise(docs, KEY)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    assert pseudonymise_checked(docs.limit(0), KEY).collect() == []
+    monkeypatch.setattr("tiermart.llm.pii.collisions", lambda found: found)
+    with pytest.raises(ValueError, match="1 surrogates"):
+        pseudonymise_checked(docs, KEY)

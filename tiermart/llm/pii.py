@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from tiermart.llm.common import column, map_batches, texts_of
 from tiermart.llm.textstats import STOP_WORDS
+from tiermart.session import materialise
 
 # Given names by script and gender, and titles by gender
 GIVEN = {
-    ("latin", "f"): "Alice Anna Barbara Carmen Caroline Charlotte Claudia Elena Elizabeth Emma Hannah Helena Isabel Jennifer Julia Laura Linda Lucia Margaret Maria Marie Martina Mary Monika Nicole Olivia Patricia Sabine Sandra Sarah Sofia Sophie Susan Ursula Victoria".split(),
-    ("latin", "m"): "Alexander Andreas Antonio Carlos Charles Christian Daniel David Diego Felix Francisco Frank George Hans Henry James Javier Jean John Jorge Joseph Juan Klaus Louis Manuel Mark Martin Michael Miguel Pablo Paul Pedro Peter Philippe Pierre Richard Robert Stefan Thomas William Wolfgang".split(),
+    ("latin", "f"): "Alice Anna Barbara Carmen Caroline Charlotte Claudia Elena Elizabeth Emma Hannah Helena Isabel Jennifer Julia Laura Linda Lucia Margaret Maria Marie Martina Mary Monika Nicole Olivia Patricia Sabine Sandra Sarah Sofia Sophie Susan Ursula Victoria Aisha Ananya Chiara Fatima Giulia Ingrid Kavita Layla Mei Priya Sakura Yuki Zainab".split(),
+    ("latin", "m"): "Alexander Andreas Antonio Carlos Charles Christian Daniel David Diego Felix Francisco Frank George Hans Henry James Javier Jean John Jorge Joseph Juan Klaus Louis Manuel Mark Martin Michael Miguel Pablo Paul Pedro Peter Philippe Pierre Richard Robert Stefan Thomas William Wolfgang Ahmed Arjun Giovanni Hassan Hiroshi Ibrahim Kenji Lars Marco Mohammed Omar Rahul Raj Sven Wei Yusuf".split(),
     ("cyrillic", "f"): "Анна Галина Дарья Екатерина Елена Ирина Мария Наталья Ольга Светлана Татьяна Юлия".split(),
     ("cyrillic", "m"): "Александр Алексей Андрей Борис Виктор Владимир Дмитрий Иван Михаил Николай Павел Сергей".split(),
 }
@@ -29,6 +30,15 @@ TITLES = {
     "m": "Mr Herr Monsieur Señor Sr Don господин".split(),
     "": "Dr Prof Professor Doctor".split(),
 }
+# words behind a given name that make the two a place or an institution; the second kind behind names that are often places
+PLACES = frozenset(
+    "airport avenue cathedral college county hospital hotel institute island islands museum road station street university".split()
+)
+PLACE_NAMES = frozenset("Alexander Charlotte Christian David George Helena James Mary Sofia Victoria".split())
+MORE_PLACES = frozenset(
+    "bay beach bridge church city cross democratic democrats east falls garden gardens hall harbour hill house lake line "
+    "north park peak river school south square state town valley west".split()
+)
 # country codes of one and two digits; all others have three
 COUNTRIES = frozenset(
     "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 "
@@ -42,9 +52,12 @@ GENDERS = {title: gender for gender, titles in TITLES.items() for title in title
 
 _WORD = r"[^\W\d_]"
 _CAPITAL = "[" + "".join(c for c in map(chr, range(0x10000)) if unicodedata.category(c) in ("Lu", "Lt")) + "]"
-_SURNAME = rf"{_CAPITAL}{_WORD}+(?:-{_CAPITAL}{_WORD}+)?"
+_PREFIX = "[OD]['\u2019]"
+_SURNAME = rf"(?:{_PREFIX})?{_CAPITAL}{_WORD}+(?:-{_CAPITAL}{_WORD}+)?"
+_MAIL = r"A-Za-z0-9\u00c0-\u024f\u0370-\u03ff\u0400-\u04ff"
 EMAIL = re.compile(
-    r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9._%+\-]++@(?:[A-Za-z0-9](?:[A-Za-z0-9\-]*[A-Za-z0-9])?\.)+[A-Za-z]{2,24}(?![A-Za-z0-9])"
+    rf"(?<![{_MAIL}._%+\-])(?<![{_MAIL}._%+\-]')[{_MAIL}._%+\-]++(?:'[{_MAIL}._%+\-]++)*+"
+    rf"@(?:[{_MAIL}](?:[{_MAIL}\-]*[{_MAIL}])?\.)+[A-Za-z]{{2,24}}(?![A-Za-z0-9])"
 )
 # a run of digits with the separators that numbers are written with
 DIGITS = re.compile(
@@ -67,11 +80,24 @@ IPV6 = re.compile(
 DIALLED = re.compile(r"(?:\(\d{2,5}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}|[2-9]\d\d([ -])\d{3}\1\d{3}")
 LOCAL = re.compile(r"0\d{2,4}[ /-]\d{3,8}(?:[ -]\d{2,5})*")
 GROUPED = re.compile(r"0[1-9]\d{0,3}([ ./-])\d{2,4}(?:\1\d{2,4}){1,4}|0[1-9]\d{1,3}/\d{2,4}(?: \d{2,4}){1,3}")
-TOKEN = re.compile(rf"(?<!\w){_WORD}++(?:-{_WORD}++)*+(?!\w)")
+TOKEN = re.compile(rf"(?<!\w)(?:{_PREFIX})?{_WORD}++(?:-{_WORD}++)*+(?!\w)")
 IBAN = re.compile(r"(?<!\w)[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?(?!\w)")
+LOWER_IBAN = re.compile(
+    r"(?<!\w)[a-z]{2}[0-9]{2}(?:[a-z0-9]{11,30}|(?: [0-9]{4}){2,7}(?: [0-9]{1,4})?)(?!\w)"
+)
+# numbers that only the words before them tell from others
+CUED_PHONE = re.compile(
+    r"\b(?:phone|telephone|tel|mobile|cell|call|whatsapp|fax)\b[.:]?(?: (?:number|no|me|us|at|on|is)\b)*[.:]? ?(\d{7,12})(?!\w|[.,]\d)", re.I
+)
+CUED_SSN = re.compile(
+    r"\b(?:ssn|social security)(?: (?:number|no))?[.:#]?(?: is)? ?(\d{3}[ -]?\d{2}[ -]?\d{4})(?!\w|[.,]\d)", re.I
+)
+CUED_PERSON = re.compile(
+    rf"(?i:\b(?:my name is|(?:full name|name|contact|patient|employee|applicant|tenant|attn):)) ({_SURNAME} {_SURNAME})(?!\w)"
+)
 PERSON = re.compile(
     rf"(?<!\w)(?:(?P<title>{'|'.join(sorted(GENDERS, key=len, reverse=True))})\.? (?P<named>{_SURNAME}(?: {_SURNAME})?)"
-    rf"|(?P<given>{'|'.join(sorted(NAMES, key=len, reverse=True))}) (?P<family>{_SURNAME}))(?!\w)"
+    rf"|(?P<given>{'|'.join(sorted([*NAMES, *map(str.upper, NAMES)], key=len, reverse=True))}) (?P<family>{_SURNAME}))(?!\w)"
 )
 
 
@@ -158,15 +184,33 @@ def _number_kind(match: re.Match) -> str | None:
     return None
 
 
+def _is_person(given: str, family: str) -> bool:
+    """Whether a given name and the word behind it name a person, not a place; both are in capitals or neither."""
+    word = family.lower()
+    if word == given.lower() or word in PLACES or (given.capitalize() in PLACE_NAMES and word in MORE_PLACES):
+        return False
+    return family.isupper() or not given.isupper()
+
+
 def find_entities(text: str) -> list[Entity]:
     """E-mail addresses, IP addresses, cards, IBANs, phone and social security numbers and
-    names with a title or a known given name, and the bare parts of those names elsewhere in the text;
-    from left to right, without overlaps."""
+    names with a title, a known given name or a word like "name:" before them, and the bare parts of those names
+    elsewhere in the text; from left to right, without overlaps."""
     found: list[Entity] = []
     if "@" in text:
         found += [Entity(m.start(), m.end(), "email") for m in EMAIL.finditer(text)]
     if re.search(r"\d", text):
-        found += [Entity(m.start(), m.end(), "iban") for m in IBAN.finditer(text) if iban_valid(m.group().replace(" ", ""))]
+        found += [
+            Entity(m.start(), m.end(), "iban")
+            for pattern in (IBAN, LOWER_IBAN)
+            for m in pattern.finditer(text)
+            if iban_valid(m.group().replace(" ", ""))
+        ]
+        found += [
+            Entity(m.start(1), m.end(1), kind)
+            for kind, pattern in (("phone", CUED_PHONE), ("ssn", CUED_SSN))
+            for m in pattern.finditer(text)
+        ]
         found += [
             Entity(m.start(), m.end(), kind)
             for m in DIGITS.finditer(text)
@@ -175,16 +219,18 @@ def find_entities(text: str) -> list[Entity]:
         if ":" in text:
             found += [Entity(m.start(), m.end(), "ipv6") for m in IPV6.finditer(text) if _ipv6_valid(m.group())]
     genders: dict[str, str] = {}
+    named = [Entity(m.start(1), m.end(1), "person") for m in CUED_PERSON.finditer(text)]
     for match in PERSON.finditer(text):
-        if match["given"] and match["family"].lower() != match["given"].lower():
-            found.append(Entity(match.start(), match.end(), "person", NAMES[match["given"]][1]))
+        if match["given"] and _is_person(match["given"], match["family"]):
+            gender = NAMES[match["given"].capitalize()][1]
+            named.append(Entity(match.start(), match.end(), "person", gender))
         elif match["title"]:
-            found.append(Entity(match.start("named"), match.end("named"), "person", GENDERS[match["title"]]))
-        else:
-            continue
-        for part in text[found[-1].start : found[-1].end].split(" "):
+            named.append(Entity(match.start("named"), match.end("named"), "person", GENDERS[match["title"]]))
+    for entity in named:
+        for part in text[entity.start : entity.end].split(" "):
             if part.lower().encode("utf-8", "replace") not in STOP_WORDS and part not in GENDERS:
-                genders.setdefault(part, found[-1].gender)
+                genders[part] = genders.get(part) or entity.gender
+    found += named
     if genders:
         found += [
             Entity(m.start(), m.end(), "person", genders[m.group()])
@@ -278,7 +324,8 @@ class Surrogates:
         return self._mixed(head, "email/" + last.lower()) + "." + last
 
     def _mixed(self, text: str, tweak: str) -> str:
-        lower, alphabets, shape = text.lower(), [], []
+        lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+        alphabets, shape = [], []
         for character in lower:
             alphabet = (
                 "0123456789" if character in "0123456789"
@@ -351,20 +398,21 @@ class Surrogates:
 
     def _iban(self, text: str, gender: str) -> str:
         """The country stays; letters become letters and digits digits, with a valid check."""
-        plain = text.replace(" ", "")
+        plain = text.replace(" ", "").upper()
         body = self._mixed(plain[4:], f"iban/{plain[:2]}").upper()
         check = 98 - int("".join(str(int(c, 36)) for c in body + plain[:2] + "00")) % 97
         new = iter(f"{plain[:2]}{check:02d}{body}")
-        return "".join(c if c == " " else next(new) for c in text)
+        written = "".join(c if c == " " else next(new) for c in text)
+        return written.lower() if text.islower() else written
 
     def _person(self, text: str, gender: str) -> str:
         """A known given name becomes another of its script and gender; other parts get other vowels
         and consonants in their places."""
         return "".join(
-            part if part in " -"
+            part if part in " -" or re.fullmatch(_PREFIX, part)
             else self._given(part) if part.capitalize() in NAMES
             else self._spelled(part)
-            for part in re.split(r"([ -])", text)
+            for part in re.split(rf"({_PREFIX}(?=\w)|[ -])", text)
         )
 
     def _given(self, part: str) -> str:
@@ -414,7 +462,7 @@ def canonical(text: str, kind: str) -> str:
     if kind in ("card", "ssn"):
         return _digits_of(text)
     if kind == "iban":
-        return text.replace(" ", "")
+        return text.replace(" ", "").upper()
     if kind == "ipv6":
         return IPv6Address(text).exploded
     return text.lower() if kind in ("email", "person") else text
@@ -485,41 +533,90 @@ def collisions(entities: DataFrame) -> DataFrame:
     )
 
 
-def require_distinct(docs: DataFrame, key: bytes) -> None:
-    """Raise if two entities of docs(doc_id, text) share a surrogate."""
-    shared = collisions(entity_table(docs, key)).count()
+MENTIONS = "array<struct<kind:string,canonical:string,replaced:string>>"
+_MENTION = pa.struct([(name, pa.string()) for name in ("kind", "canonical", "replaced")])
+
+
+def _mentions(text: str | None, found: list[Entity], surrogates: Surrogates) -> list[dict[str, str]]:
+    """The different entities of a text, without differences of writing, and what replaces them."""
+    pairs = {(e.kind, e.gender, text[e.start : e.end]) for e in found}
+    mentions = {
+        (kind, canonical(old, kind), canonical(surrogates.replace(old, kind, gender), kind))
+        for kind, gender, old in pairs
+    }
+    return [dict(zip(("kind", "canonical", "replaced"), m)) for m in sorted(mentions)]
+
+
+def _require_distinct(mentions: DataFrame) -> None:
+    """Raise if two entities of the (mentions) of all texts share a surrogate."""
+    shared = collisions(mentions.select(F.explode(mentions.columns[0]).alias("m")).select("m.*")).count()
     if shared:
         raise ValueError(f"{shared} surrogates stand for several entities")
 
 
-def pseudonymised_documents(docs: DataFrame, key: bytes) -> DataFrame:
-    """(doc_id, text, n_entities, kinds) of docs(doc_id, text): the text with surrogates.
+def pseudonymise_checked(docs: DataFrame, key: bytes) -> DataFrame:
+    """As `pseudonymise`, but stored, after the check that no two entities of all texts share a surrogate.
 
-    `kinds` are the sorted distinct types found, joined by a comma. The collision check
-    runs first and raises if two entities of the corpus share a surrogate. One
-    row per input row; a null text stays null and has no entities.
+    Texts are looked through once; what was found lies beside them until the check is done.
     """
-    require_distinct(docs, key)
+    names, place = docs.columns, docs.columns.index("text")
+    extra = "mentions of the text"
+    while extra in names:
+        extra += "_"
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        surrogates, texts, mentions = _surrogates(key), [], []
+        for text in column(batch, "text"):
+            found = find_entities(text) if text else []
+            texts.append(surrogates.rewrite(text, found) if found else text)
+            mentions.append(_mentions(text, found, surrogates))
+        columns = list(batch.columns)
+        columns[place] = pa.array(texts, type=batch.schema.field(place).type)
+        return pa.RecordBatch.from_arrays(
+            [*columns, pa.array(mentions, type=pa.list_(_MENTION))], names=[*names, extra]
+        )
+
+    kind = F.lit(None).cast(MENTIONS)
+    stored = materialise(map_batches(docs, run, docs.withColumn(extra, kind).schema), "pii")
+    _require_distinct(stored.select(extra))
+    return stored.drop(extra)
+
+
+def _scanned(docs: DataFrame, key: bytes) -> DataFrame:
+    """(doc_id, text, n_entities, kinds, mentions): surrogates in the text, and what they stand for, once a text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         surrogates, rows = _surrogates(key), []
         for doc_id, text in zip(column(batch, "doc_id"), column(batch, "text")):
             found = find_entities(text) if text else []
             new = surrogates.rewrite(text, found) if found else text
-            rows.append((doc_id, new, len(found), ",".join(sorted({e.kind for e in found}))))
-        kinds = (pa.int64(), pa.string(), pa.int64(), pa.string())
+            listed = _mentions(text, found, surrogates)
+            rows.append((doc_id, new, len(found), ",".join(sorted({e.kind for e in found})), listed))
+        kinds = (pa.int64(), pa.string(), pa.int64(), pa.string(), pa.list_(_MENTION))
         return pa.RecordBatch.from_arrays(
             [pa.array(v, type=k) for v, k in zip(zip(*rows), kinds)],
-            names=["doc_id", "text", "n_entities", "kinds"],
+            names=["doc_id", "text", "n_entities", "kinds", "mentions"],
         )
 
     return map_batches(
         docs.select(F.col("doc_id").cast("long"), "text"),
         lambda batch: run(batch) if batch.num_rows else None,
-        "doc_id long, text string, n_entities long, kinds string",
+        f"doc_id long, text string, n_entities long, kinds string, mentions {MENTIONS}",
     )
 
 
+def pseudonymised_documents(docs: DataFrame, key: bytes) -> DataFrame:
+    """(doc_id, text, n_entities, kinds) of docs(doc_id, text): the text with surrogates.
+
+    `kinds` are the sorted distinct types found, joined by a comma. Texts are looked through once and stored; the
+    collision check reads what was found, and raises if two entities of the corpus share a surrogate. One
+    row per input row; a null text stays null and has no entities.
+    """
+    scanned = materialise(_scanned(docs, key), "pii")
+    _require_distinct(scanned.select("mentions"))
+    return scanned.drop("mentions")
+
+
 _KEYED: dict[bytes, Surrogates] = {}
 
 
