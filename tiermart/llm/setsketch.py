@@ -22,6 +22,7 @@ MISSED = 1e-4  # chance that a pair at the threshold shares no band, at most
 BASE = 1.001  # registers are logarithms to this base
 RATE = 20.0
 LIMIT = 65_534  # largest register, below it is 0
+SALTS = 16  # parts of a component when its classes learn its smallest id
 BLOCK = 256  # documents of one side when a bucket is compared in blocks
 
 _MULTIPLIERS, _SHIFTS = (
@@ -341,28 +342,30 @@ def _block_links(
 
     In each pair of blocks the pairs of different components that are likely are verified by their full
     sets, the likeliest first, unless earlier ones have united them. A pair is
-    compared in the first band that both share.
+    compared in the first band that both share. Sketches meet first; a text is sent only to the pairs of blocks where
+    its document is in a likely pair.
     """
     dealt = (
         _sides(placed)
         .join(firsts.select("node", "sketch", "n_shingles"), "node")
-        .join(texts, "node")
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
         .withColumn("low", F.least("mine", "other"))
         .withColumn("high", F.greatest("mine", "other"))
         .drop("other", "others")
     )
 
-    def compare(key, table):
+    names = dealt.columns
+
+    def likely_pairs(key, table) -> list[tuple[int, int, int]]:
+        """(unequal registers, i, j) of the pairs of rows to verify."""
         low, high = key[1].as_py(), key[2].as_py()
-        nodes = table.column("node").to_pylist()
         groups = np.array(table.column("component").to_pylist(), dtype=np.int64)
         mine = np.array(table.column("mine").to_pylist())
         sizes = np.array(table.column("n_shingles").to_pylist(), dtype=float)
         sketch = _sketch_matrix(table.column("sketch").to_pylist())
         earlier = rule.rows * table.column("band")[0].as_py()
         pairs = []
-        for i in range(len(nodes) - 1):
+        for i in range(len(groups) - 1):
             others = groups[i + 1 :] != groups[i]
             if low != high:
                 others &= mine[i + 1 :] != mine[i]
@@ -378,6 +381,18 @@ def _block_links(
                 new = ~same.all(axis=2).any(axis=1)
                 js, unequal = js[new], unequal[new]
             pairs += [(int(d), i, int(j)) for d, j in zip(unequal, js)]
+        return pairs
+
+    def candidates(key, table):
+        found = {i for _, *pair in likely_pairs(key, table) for i in pair}
+        low, high = (pa.array([k.as_py()] * len(found), type=pa.int32()) for k in key[1:])
+        some = table.take(pa.array(sorted(found), type=pa.int64())).drop_columns(["low", "high"])
+        return some.append_column("low", low).append_column("high", high).select(names)
+
+    def compare(key, table):
+        nodes = table.column("node").to_pylist()
+        groups = table.column("component").to_pylist()
+        pairs = likely_pairs(key, table)
         whole = table.column("text")
         sets: dict[int, np.ndarray] = {}
 
@@ -404,7 +419,9 @@ def _block_links(
             {"left": pa.array(left, type=pa.int64()), "right": pa.array(right, type=pa.int64())}
         )
 
-    return dealt.groupBy("bucket", "low", "high").applyInArrow(compare, "left long, right long")
+    blocks = ["bucket", "low", "high"]
+    likeliest = materialise(dealt.groupBy(*blocks).applyInArrow(candidates, dealt.schema), "candidates")
+    return likeliest.join(texts, "node").groupBy(*blocks).applyInArrow(compare, "left long, right long")
 
 
 def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFrame:
@@ -489,20 +506,25 @@ def _texts(named: DataFrame, firsts: DataFrame, rule: NearDuplicates) -> DataFra
 
 
 def _known(firsts: DataFrame, usable: DataFrame, grouped: DataFrame) -> DataFrame:
-    """(doc_id, component_id) of the documents that link with another row."""
+    """(doc_id, component_id) of the documents that link with another row.
+
+    The classes of a component are divided into SALTS parts, each of which meets a copy of the one row of the
+    component, so a very large one is no hot key.
+    """
+    part = F.pmod(F.xxhash64("node", F.lit(5)), F.lit(SALTS)).cast("int")
     classes = (
         firsts.select("class", "node", "rep", "rows")
         .join(grouped, "node", "left")
-        .select("class", "rep", "rows", F.coalesce("component", "node").alias("whole"))
+        .select("class", "rep", "rows", F.coalesce("component", "node").alias("whole"), part.alias("part"))
     )
-    smallest = classes.groupBy("whole").agg(
-        F.min("rep").alias("component_id"), F.sum("rows").alias("whole_rows")
+    smallest = (
+        classes.groupBy("whole")
+        .agg(F.min("rep").alias("component_id"), F.sum("rows").alias("whole_rows"))
+        .where(F.col("whole_rows") > 1)
+        .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     )
     united = materialise(
-        classes.join(smallest, "whole")
-        .where(F.col("whole_rows") > 1)
-        .select("class", "component_id"),
-        "united",
+        classes.join(smallest, ["whole", "part"]).select("class", "component_id"), "united"
     )
     pairs = usable.select(F.col("row_id").alias("doc_id"), "class").join(united, "class")
     # an id with several sets joins their components
@@ -525,5 +547,7 @@ def keep_one(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) -> DataFr
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi")
     number = Window.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
     nth = "nth row of the id"
+    while nth in docs.columns:
+        nth += "_"
     once = named.withColumn(nth, F.row_number().over(number)).where(F.col(nth) == 1).drop(nth)
     return once.union(docs.where(F.col("doc_id").isNull()).select(once.columns)).select(docs.columns)
