@@ -6,6 +6,7 @@ import pytest
 
 from tiermart.llm import setsketch
 from tiermart.llm.setsketch import NearDuplicates, keep_one, likely, minima, near_duplicates, registers, shingles
+from tiermart.session import materialise
 
 SCHEMA = "doc_id long, text string, kept string, n_shingles int, node int"
 
@@ -143,3 +144,19 @@ def test_lone_pairs_at_the_threshold_share_a_band():
             used = setsketch.REGISTERS // rows * rows
             missed[rows] += not same[:used].reshape(-1, rows).all(axis=1).any()
     assert missed[rule.rows] <= 2 < missed[6]
+
+
+def test_texts_go_to_python_in_small_batches(spark, monkeypatch):
+    """Whatever the session allows; the session's own setting is back afterwards."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before, seen = spark.conf.get(setting), set()
+
+    def kept(df, name):
+        seen.add(df.sparkSession.conf.get(setting))
+        return materialise(df, name)
+
+    monkeypatch.setattr(setsketch, "materialise", kept)
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z")], "doc_id long, text string")
+    found = setsketch.near_duplicates(docs)
+    assert seen == {"2m"} and spark.conf.get(setting) == before
+    assert {(r.doc_id, r.component_id) for r in found.collect()} == {(1, 1), (2, 1), (3, 3)}

@@ -6,6 +6,7 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -62,6 +63,24 @@ def map_batches(
     return df.mapInArrow(run, schema)
 
 
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "2m") -> Iterator[None]:
+    """Send rows to Python in batches of a few megabytes while operators that move whole texts run.
+
+    A task holds a batch several times, in the JVM and in Python; the usual size is bound by a number of rows,
+    whatever their length. A batch holds at least one row. Only for steps that are stored before the end.
+    """
+    before = spark.conf.get(BATCH_BYTES, None)
+    spark.conf.set(BATCH_BYTES, size)
+    try:
+        yield
+    finally:
+        spark.conf.unset(BATCH_BYTES) if before is None else spark.conf.set(BATCH_BYTES, before)
+
+
 def column(batch: pa.RecordBatch, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
@@ -71,18 +90,25 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [text or "" for text in column(batch, name)]
 
 
-def labelled_sample(labels: DataFrame, bound: int) -> DataFrame:
-    """At most `bound` rows (doc_id, label) of labels(doc_id, quality).
+def labelled_once(labels: DataFrame) -> DataFrame:
+    """(doc_id, label) of labels(doc_id, quality), one row per document.
 
     Rows without id or label are left out. Several labels of one document count
-    as 1 if at least half of them are 1. Which rows are taken depends on a hash of
-    the id alone. The bound makes the result small enough to broadcast.
+    as 1 if at least half of them are 1.
     """
-    once = (
+    return (
         labels.where(F.col("doc_id").isNotNull() & F.col("quality").isNotNull())
         .groupBy("doc_id")
         .agg((F.avg(F.col("quality").cast("double")) >= 0.5).cast("int").alias("label"))
     )
+
+
+def labelled_sample(labels: DataFrame, bound: int) -> DataFrame:
+    """At most `bound` rows of `labelled_once`.
+
+    Which rows are taken depends on a hash of the id alone. The bound makes the result small enough to broadcast.
+    """
+    once = labelled_once(labels)
     return once.orderBy(F.xxhash64(F.col("doc_id"), F.lit(7)), "doc_id").limit(bound)
 
 

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermart.llm.common import column, map_batches, texts_of
+from tiermart.llm.common import column, map_batches, small_batches, texts_of
 from tiermart.llm.components import connected_components
 from tiermart.session import materialise
 
@@ -35,7 +35,7 @@ class _Hashes(dict):
     """word -> 64-bit hash, computed once per word."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
+        if len(self) > 100_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -441,7 +441,11 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) ->
     a pair at it shares no bucket with a probability of 5 in 100,000 at 85 percent (21 bands of 6
     registers) and at 80 percent (25 bands of 5), and below 1 in 10,000 at all from 10 percent on.
     """
-    spark = docs.sparkSession
+    with small_batches(docs.sparkSession):
+        return _near_duplicates(docs, rule)
+
+
+def _near_duplicates(docs: DataFrame, rule: NearDuplicates) -> DataFrame:
     named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     every = materialise(sketches(named, rule.size), "sketches")
     usable = every.where(F.col("row_id").isNotNull() & F.col("class").isNotNull())
@@ -467,7 +471,9 @@ def near_duplicates(docs: DataFrame, rule: NearDuplicates = NearDuplicates()) ->
     turn, asked, united = 0, 1, 1
     while asked and 4 * united >= asked:
         pairs = materialise(_proposals(_placed(members, grouped), turn), "pairs")
-        found = materialise(_verified(_estimated(pairs, firsts, rule), texts, rule), "found")
+        # stored, so that a task runs one Python worker at a time
+        likeliest = materialise(_estimated(pairs, firsts, rule), "likely")
+        found = materialise(_verified(likeliest, texts, rule), "found")
         links = found if links is None else links.union(found)
         grouped = materialise(connected_components(links, "left", "right"), "components")
         turn, asked, united = turn + 1, pairs.count(), found.count()
