@@ -4,7 +4,8 @@ import numpy as np
 
 from tiermart.llm.classifier import fit_quality, isotonic, keep_quality, quality_scores
 from tiermart.llm.common import labelled_sample
-from tiermart.llm.rules import IsolationForest, fit_rules, keep_good, rule_verdicts
+from tiermart.llm import rules as quality_rules
+from tiermart.llm.rules import LOST, IsolationForest, _threshold, fit_rules, keep_good, rule_verdicts
 from tiermart.llm.textstats import text_stats
 
 DOCS = "doc_id long, text string, lang string, score string, features int, kept int"
@@ -83,6 +84,45 @@ def test_forest_scores_rise_with_distance():
     assert IsolationForest.grow(np.ones((5, 2))).scores(np.ones((1, 2)))[0] <= 1
 
 
+def test_rules_are_fitted_on_every_labelled_document(spark, monkeypatch):
+    """A labelled document counts in the forest and in the threshold, however few the trees draw from."""
+    docs, labels = corpus(200)
+    monkeypatch.setattr(quality_rules, "PER_TREE", 1)
+    monkeypatch.setattr(quality_rules, "LABELLED", 20, raising=False)
+    fitted = fit_rules(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, "doc_id long, quality int")
+    ).forest
+    usual = {r.doc_id for r in rule_verdicts(spark.createDataFrame(docs, DOCS), quality_rules.QualityRules(None, np.inf)).collect() if not r.base_failed}
+    assert fitted.fitted == len(usual & {i for i, q in labels if q == 1}) > 20
+
+
+def brute_threshold(scores, good):
+    """The same by a look at every gap."""
+    values = sorted(set(scores))
+    best = None
+    for a, b in zip(values, values[1:]):
+        lost = sum(g for s, g in zip(scores, good) if s > a)
+        wrong = lost + sum(not g for s, g in zip(scores, good) if s <= a)
+        if lost <= LOST * sum(good) and (best is None or (-wrong, b - a) > best[0]):
+            best = (-wrong, b - a), (a + b) / 2
+    return best[1] if best and -best[0][0] < sum(not g for g in good) else np.inf
+
+
+def test_threshold_against_brute_force(spark):
+    rng = np.random.default_rng(4)
+    for bins, spread in ((1, 0.3), (8, 0.3), (1 << 16, 0.01), (1 << 16, 0.6)):
+        good = rng.random(900) < 0.7
+        scores = np.round(np.clip(0.4 + spread * rng.random(900) + 0.2 * ~good, 0, 1), 3)
+        rows = [(float(s), int(g), int(not g)) for s, g in zip(scores, good)]
+        counted = spark.createDataFrame(rows, "score double, good long, bad long").groupBy("score").sum("good", "bad")
+        quality_rules.BINS, before = bins, quality_rules.BINS
+        try:
+            found = _threshold(counted.toDF("score", "good", "bad"))
+        finally:
+            quality_rules.BINS = before
+        assert found == brute_threshold(scores.tolist(), good.tolist())
+
+
 def test_classifier(spark):
     docs, labels = corpus(800, seed=1)
     docs += [(900, None, "", "", 0, 0), (901, "", "", "", 0, 0), (None, "a b", "", "", 0, 0), (5, docs[5][1], "", "", 0, 0), (902, "w" * 100_000, "", "", 0, 0)]

@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tiermart.llm.common import column, labelled_documents, map_batches, texts_of
+from tiermart.llm.common import column, labelled_once, map_batches, texts_of
 from tiermart.llm.textstats import FEATURES, TextStats, text_stats
+from tiermart.session import materialise
 
 TREES = 100
-PER_TREE = 256  # rows that a tree is grown on, as usual for isolation forests
-LABELLED = 40_000  # labelled documents that the model is fitted on, at most
+PER_TREE = 256  # rows that a tree draws its random splits from, as usual for isolation forests
+BINS = 1 << 16  # of scores, whose counts reach the driver
 LOST = 0.002  # share of good labelled documents that the threshold may reject
 
 MIN_WORDS = 50
@@ -34,20 +36,31 @@ def _expected_path(n: np.ndarray | float) -> np.ndarray:
 
 @dataclass
 class IsolationForest:
-    """Random trees as arrays; node 0 is the root, and a leaf's children are itself."""
+    """Random trees as arrays; node 0 is the root, and a leaf's children are itself.
+
+    A row ends in a leaf, or alone at a node whose range it is outside of. How far it would go on from there
+    follows from how many of the rows that the forest is fitted on end there, too.
+    """
 
     feature: np.ndarray  # (tree, node)
     point: np.ndarray
-    low: np.ndarray  # range of the node's rows in that feature, a little widened
+    low: np.ndarray  # range of the node's drawn rows in that feature, a little widened
     high: np.ndarray
     left: np.ndarray
     right: np.ndarray
-    rest: np.ndarray  # expected path below a leaf
     depth: int
-    per_tree: int
+    rest: np.ndarray  # (tree, node, alone): expected path from there on
+    fitted: int  # rows that the forest is fitted on
 
     @classmethod
     def grow(cls, rows: np.ndarray, seed: int = 0) -> "IsolationForest":
+        """A forest fitted on these rows."""
+        forest = cls.split(rows, seed)
+        return forest.weighed(forest.masses(rows), len(rows))
+
+    @classmethod
+    def split(cls, rows: np.ndarray, seed: int = 0) -> "IsolationForest":
+        """Random splits in the ranges of rows that each tree draws from these; nothing is counted yet."""
         rng = np.random.default_rng(seed)
         per_tree = min(PER_TREE, len(rows))
         depth = max(1, int(np.ceil(np.log2(max(per_tree, 2)))))
@@ -55,8 +68,8 @@ class IsolationForest:
         shape = (TREES, size)
         forest = cls(
             np.zeros(shape, dtype=np.int64), np.zeros(shape), np.zeros(shape), np.zeros(shape),
-            np.zeros(shape, dtype=np.int64), np.zeros(shape, dtype=np.int64), np.zeros(shape),
-            depth, per_tree,
+            np.zeros(shape, dtype=np.int64), np.zeros(shape, dtype=np.int64),
+            depth, np.zeros((*shape, 2)), 0,
         )
         for tree in range(TREES):
             chosen = rows[rng.choice(len(rows), per_tree, replace=False)]
@@ -71,7 +84,6 @@ class IsolationForest:
             varied = np.flatnonzero(most > least)
             if depth == self.depth or not len(varied):
                 self.left[tree, node] = self.right[tree, node] = node
-                self.rest[tree, node] = _expected_path(len(rows))
                 continue
             feature = rng.choice(varied)
             a, b = least[feature], most[feature]
@@ -85,30 +97,43 @@ class IsolationForest:
             waiting += [(used, rows[below], depth + 1), (used + 1, rows[~below], depth + 1)]
             used += 2
 
-    def scores(self, rows: np.ndarray) -> np.ndarray:
-        """Anomaly scores from 0 to 1: 2 to the minus mean path over the expected path.
-
-        A row outside the range of a node's rows is alone there: its path ends.
-        """
-        total = np.zeros(len(rows))
+    def _ends(self, rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """For each tree, the node where every row ends, whether alone, and the path to there."""
         every = np.arange(len(rows))
         for tree in range(TREES):
             node = np.zeros(len(rows), dtype=np.int64)
             path = np.zeros(len(rows))
             going = np.ones(len(rows), dtype=bool)
+            alone = np.zeros(len(rows), dtype=np.int64)
             for _ in range(self.depth + 1):
                 left, right = self.left[tree, node], self.right[tree, node]
-                leaf = left == node
-                path[going & leaf] += self.rest[tree, node][going & leaf]
-                going &= ~leaf
+                going &= left != node
                 if not going.any():
                     break
                 value = rows[every, self.feature[tree, node]]
                 path[going] += 1
-                going &= (value >= self.low[tree, node]) & (value <= self.high[tree, node])
+                inside = (value >= self.low[tree, node]) & (value <= self.high[tree, node])
+                alone[going & ~inside] = 1
+                going &= inside
                 node = np.where(going, np.where(value < self.point[tree, node], left, right), node)
-            total += path
-        usual = max(float(_expected_path(self.per_tree)), 1e-9)
+            yield node, alone, path
+
+    def masses(self, rows: np.ndarray) -> np.ndarray:
+        """(tree, node, alone): how many rows end there; masses of several sets of rows add up."""
+        size = self.feature.shape[1]
+        found = [np.bincount(2 * node + alone, minlength=2 * size) for node, alone, _ in self._ends(rows)]
+        return np.array(found).reshape(TREES, size, 2)
+
+    def weighed(self, masses: np.ndarray, fitted: int) -> "IsolationForest":
+        """The forest fitted on so many rows, which end as `masses` tells."""
+        return replace(self, rest=_expected_path(masses), fitted=fitted)
+
+    def scores(self, rows: np.ndarray) -> np.ndarray:
+        """Anomaly scores from 0 to 1: 2 to the minus mean path over the expected path."""
+        total = np.zeros(len(rows))
+        for rest, (node, alone, path) in zip(self.rest, self._ends(rows)):
+            total += path + rest[node, alone]
+        usual = max(float(_expected_path(self.fitted)), 1e-9)
         return 2.0 ** (-(total / TREES) / usual)
 
 
@@ -127,56 +152,121 @@ class QualityRules:
 
 def _feature_batch(batch: pa.RecordBatch) -> pa.RecordBatch:
     rows = [
-        (stats.features, label)
-        for stats, label in zip(map(text_stats, texts_of(batch)), column(batch, "label"))
+        (doc_id, stats.features)
+        for doc_id, stats in zip(column(batch, "doc_id"), map(text_stats, texts_of(batch)))
         if not base_failed(stats)
     ]
+    kinds = (pa.int64(), pa.list_(pa.float64()))
     return pa.RecordBatch.from_arrays(
-        [
-            pa.array([row[0] for row in rows], type=pa.list_(pa.float64())),
-            pa.array([row[1] for row in rows], type=pa.int32()),
-        ],
-        names=["features", "label"],
+        [pa.array([row[i] for row in rows], type=kind) for i, kind in enumerate(kinds)],
+        names=["doc_id", "features"],
     )
 
 
-def fit_rules(docs: DataFrame, labels: DataFrame, bound: int = LABELLED) -> QualityRules:
-    """Fit the forest and its threshold on a bounded sample of labelled documents.
+def _matrix(values: list) -> np.ndarray:
+    return np.array(values, dtype=float).reshape(-1, len(FEATURES))
+
+
+def fit_rules(docs: DataFrame, labels: DataFrame) -> QualityRules:
+    """Fit the forest and its threshold on all labelled documents.
 
-    The trees are grown on documents with label 1, the usual ones. The threshold is
-    the one with the fewest wrong verdicts among those that reject at most `LOST` of
+    The forest is that of the documents with label 1, the usual ones: its trees draw their random splits from some
+    of these, as isolation forests do, and then all of them are counted where they end. The threshold is
+    the one with the fewest wrong verdicts on all labelled documents among those that reject at most `LOST` of
     the documents with label 1, in the middle of the widest such gap. Documents that fail the base rules take no part. Without
     documents of label 1 there is no forest, and without those of label 0 no threshold:
     nothing is rejected.
     """
-    found = map_batches(
-        labelled_documents(docs, labels, bound), _feature_batch, "features array<double>, label int"
-    ).toArrow()
-    values = np.array(found.column("features").to_pylist(), dtype=float).reshape(-1, len(FEATURES))
-    good = np.array(found.column("label").to_pylist(), dtype=int) == 1
-    # the order of collected rows may change between runs
-    order = np.lexsort(values.T)
-    values, good = values[order], good[order]
-    if not good.any():
+    # statistics meet the labels, so that no text is moved
+    statistics = map_batches(
+        docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), "text"),
+        _feature_batch,
+        "doc_id long, features array<double>",
+    )
+    rows = materialise(statistics.join(labelled_once(labels), "doc_id"), "labelled")
+    good = rows.where("label = 1")
+    n, n_good = rows.agg(F.count(F.lit(1)), F.count_if(F.col("label") == 1)).first()
+    if not n_good:
         return QualityRules(None, np.inf)
-    forest = IsolationForest.grow(values[good])
-    if good.all():
+    # what all trees together draw their splits from
+    some = good.orderBy(F.xxhash64("doc_id", F.lit(7)), "doc_id", "features").limit(TREES * PER_TREE)
+    drawn = _matrix(some.toArrow().column("features").to_pylist())
+    # the order of collected rows may change between runs
+    forest = IsolationForest.split(drawn[np.lexsort(drawn.T)])
+    forest = forest.weighed(_masses(good, forest), n_good)
+    if n == n_good:
         return QualityRules(forest, np.inf)
-    return QualityRules(forest, _threshold(forest.scores(values), good))
-
-
-def _threshold(scores: np.ndarray, good: np.ndarray) -> float:
-    order = np.argsort(scores, kind="stable")
-    scores, good = scores[order], good[order]
-    # a threshold after row i rejects the rows behind it
-    lost = good.sum() - np.cumsum(good)
-    wrong = lost + np.cumsum(~good)
-    gaps = np.diff(scores)
-    allowed = np.flatnonzero((lost[:-1] <= LOST * good.sum()) & (gaps > 0))
-    if not len(allowed):
+    return QualityRules(forest, _threshold(_scored(rows, forest)))
+
+
+def _masses(rows: DataFrame, forest: IsolationForest) -> np.ndarray:
+    """The masses of all rows(features), added up; as many numbers as the forest has places reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(forest.rest.shape, dtype=np.int64)
+        for batch in batches:
+            total += forest.masses(_matrix(column(batch, "features")))
+        places = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(places), pa.array(total.ravel()[places])], names=["place", "n"]
+        )
+
+    found = rows.select("features").mapInArrow(run, "place long, n long")
+    table = found.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(forest.rest.size, dtype=np.int64)
+    total[table.column("place").to_numpy()] = table.column("n").to_numpy()
+    return total.reshape(forest.rest.shape)
+
+
+def _scored(rows: DataFrame, forest: IsolationForest) -> DataFrame:
+    """(score, good, bad): how many rows(features, label) of either label have a score."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        scores = forest.scores(_matrix(column(batch, "features")))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(scores), batch.column(batch.schema.get_field_index("label"))], names=["score", "label"]
+        )
+
+    found = map_batches(rows.select("features", "label"), run, "score double, label int")
+    return found.groupBy("score").agg(
+        F.count_if(F.col("label") == 1).alias("good"), F.count_if(F.col("label") != 1).alias("bad")
+    )
+
+
+def _threshold(scored: DataFrame) -> float:
+    """The threshold for scored(score, good, bad), see `fit_rules`.
+
+    Counts of bins of scores tell what lies before and behind each bin; running sums inside the bins do the rest.
+    """
+    scored = materialise(
+        scored.withColumn("bin", F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1))), "scored"
+    )
+    bins = sorted(
+        scored.groupBy("bin").agg(F.sum("good"), F.sum("bad"), F.min("score")).collect()
+    )  # at most BINS
+    good, bad = (sum(row[i] for row in bins) for i in (1, 2))
+    known, behind, before = [], good, 0
+    for row, following in zip(bins, [*bins[1:], None]):
+        behind -= row[1]
+        # a threshold after a row rejects the rows behind it; bins in which none may do so are left out
+        if behind <= LOST * good:
+            known.append((row[0], behind + row[1], before, following and following[3]))
+        before += row[2]
+    places = scored.sparkSession.createDataFrame(known, "bin long, behind long, before long, following double")
+    order = Window.partitionBy("bin").orderBy("score")
+    lost = F.col("behind") - F.sum("good").over(order)
+    best = (
+        scored.join(F.broadcast(places), "bin")
+        .withColumn("lost", lost)
+        .withColumn("wrong", F.col("lost") + F.col("before") + F.sum("bad").over(order))
+        .withColumn("next", F.coalesce(F.lead("score").over(order), "following"))
+        .where((F.col("lost") <= LOST * good) & F.col("next").isNotNull())
+        .orderBy("wrong", F.desc(F.col("next") - F.col("score")), "score")
+        .first()
+    )
+    if best is None or best.wrong >= bad:
         return np.inf
-    best = max(allowed, key=lambda i: (-wrong[i], gaps[i]))
-    return float((scores[best] + scores[best + 1]) / 2) if wrong[best] < (~good).sum() else np.inf
+    return (best.score + best.next) / 2
 
 
 def rule_verdicts(docs: DataFrame, rules: QualityRules) -> DataFrame:
