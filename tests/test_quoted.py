@@ -4,7 +4,7 @@ import os
 import random
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from tiermart.schemas import ENTITIES
@@ -97,3 +97,12 @@ def test_audit_columns(spark, tmp_path, conf):
         keys = got.select("_stg_file_name", "_stg_file_load_ts", "_stg_file_md5").distinct().collect()
         assert len(keys) == 2 and len({r._stg_file_md5 for r in keys}) == 2
         assert all(r._stg_file_load_ts is not None for r in keys)
+
+
+def test_lines_are_neither_moved_nor_sorted(spark, tmp_path, conf):
+    """Only the few rows about blocks are, so a task holds batches of its blocks and no more."""
+    conf(autoBroadcastJoinThreshold=-1)
+    (tmp_path / "a.csv").write_text('h,i\n"1\n2",x\n3,"y\n\n"\n')
+    found = quoted_records(spark, str(tmp_path))
+    assert sorted(r.record for r in found.collect()) == ['"1\n2",x', '3,"y\n\n"']
+    assert "BroadcastHashJoin" in plan(found) and "SortMergeJoin" not in plan(found)

@@ -137,13 +137,13 @@ def quoted_records(
     `header`; empty records are none. A field that is still open at the end of a file ends there.
     Compressed files cannot be divided and are one block each.
     """
-    lines = _lines(spark, path).withColumn("nth", F.monotonically_increasing_id())
-    known = _inside(_lines(spark, path), quote)
+    # one small row per block at most, so it is sent to all tasks: no line moves, and all stay in the order of
+    # their file, which a join of both sides would lose and a task would have to sort for
+    known = F.broadcast(_inside(_lines(spark, path), quote))
     placed = (
-        lines.join(known, ["file", "block"], "left")
+        _lines(spark, path)
+        .join(known, ["file", "block"], "left")
         .withColumn("inside", F.coalesce("inside", F.lit(0)).cast("int"))
-        # a join may have moved the lines; if not, they are in order already
-        .sortWithinPartitions("file", "block", "nth")
         .select("file", "block", "size", "modified", "value", "inside")
     )
     cut = placed.mapInArrow(_cut(header, quote), RECORDS)
