@@ -19,6 +19,10 @@ OPERATOR_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # what a task sorts or joins at once follows these sizes, not the input: tables are read in small
+    # splits, and shuffles begin with many partitions (below), put together up to the advisory size
+    "spark.sql.files.maxPartitionBytes": "16m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
     # data already placed by order_id also serves joins on (order_id, product_id)
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # unions of differently partitioned branches fail to plan otherwise when
@@ -26,11 +30,17 @@ OPERATOR_CONF = {
     "spark.sql.unionOutputPartitioning": "false",
 }
 
+# Partitions that a shuffle begins with, unless the session asks for more.
+FIRST_PARTITIONS = 500
+_FIRST = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings the operators rely on to an existing session."""
     for key, value in OPERATOR_CONF.items():
         spark.conf.set(key, value)
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(_FIRST, str(max(asked, FIRST_PARTITIONS)))
     return spark
 
 
@@ -50,7 +60,8 @@ def build_session(
             )
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**OPERATOR_CONF, **(conf or {})}.items():
+    first = {_FIRST: str(max(shuffle_partitions or 0, FIRST_PARTITIONS))}
+    for key, value in {**OPERATOR_CONF, **first, **(conf or {})}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
