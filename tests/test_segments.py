@@ -233,3 +233,15 @@ def test_files_may_be_loaded_again_on_request(layers, tmp_path):
     load_raw(layers, CUSTOMERS, path, RUNS[0])
     load_raw(layers, CUSTOMERS, path, RUNS[0], LoadOptions(skip_loaded=False))
     assert layers.table(RAW, CUSTOMERS.raw_table).count() == 9
+
+
+def test_a_large_bucket_is_written_by_several_tasks(layers, conf):
+    conf(adaptive__advisoryPartitionSizeInBytes="32KB", adaptive__coalescePartitions__minPartitionSize="16KB")
+    held = Segments(layers, CLEAN, "few", SCHEMA, ["id"], 2)
+    df = layers.spark.range(0, 40_000, 1, 8).select(
+        "id", F.md5(F.col("id").cast("string")).alias("value"), F.lit(False).alias("done")
+    )
+    held.rewrite(df, [0, 1])
+    assert len(_files(layers, CLEAN, "few")) > 4
+    kept = layers.table(CLEAN, "few")
+    assert kept.count() == 40_000 and kept.exceptAll(df).count() == 0

@@ -36,7 +36,7 @@ class Segments:
 
     `final` is an SQL condition; rows that meet it never change again: they are appended once, apart from the
     buckets, and no later load reads or writes them. The number of buckets of a table that exists stays as it
-    is. A bucket should hold what one task can write, so a table of a terabyte wants some thousands.
+    is. What a load rewrites is whole buckets, so a table of a terabyte wants some thousands.
     """
 
     layers: Layers
@@ -144,8 +144,9 @@ class Segments:
                 F.lit(version).cast("bigint").alias(VERSION),
                 place.alias("__place"),
             )
-            # one file per bucket, and one of final rows per task
-            .repartition("__place")
+            # one file per bucket, and one of final rows per task; a bucket that is larger than the advisory
+            # size of a partition is divided, so that no task has to sort more
+            .hint("rebalance", F.col("__place"))
             .sortWithinPartitions(FINAL, BUCKET, *self.keys)
             .drop("__place")
         )
