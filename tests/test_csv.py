@@ -152,3 +152,18 @@ def test_written_file_reads_back(spark, tmp_path):
     path = str(tmp_path / "out")
     write_csv(spark.createDataFrame(data, schema), path)
     assert rows(scan_csv(spark, path, ADDRESSES)) == data
+
+
+@pytest.mark.parametrize("name", ["orders", "customer_addresses"])
+def test_files_are_not_read_for_hot_names_if_the_keys_are_broadcast(spark, tmp_path, monkeypatch, name):
+    def never(*_):
+        raise AssertionError("the files were read once more")
+
+    monkeypatch.setattr("tiermart.operators.skew.find_cells", never)
+    entity = ENTITIES[name]
+    path = tmp_path / "one.csv"
+    lines = [",".join(entity.columns), *(",".join([str(i)] * len(entity.columns)) for i in range(5))]
+    path.write_text("\n".join(lines) + "\n")
+    found = read_raw(spark, str(path), entity, "2024-01-01 00:00:00")
+    assert found.columns == [*entity.columns, *AUDIT_COLUMNS]
+    assert found.where("_stg_file_md5 IS NOT NULL").count() == 5

@@ -76,7 +76,7 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def _is_broadcast(df: DataFrame) -> bool:
+def is_broadcast(df: DataFrame) -> bool:
     """Whether Spark will send the table whole to every task by its own size check."""
     conf = df.sparkSession._jsparkSession.sessionState().conf()
     return _estimated_bytes(df) <= conf.autoBroadcastJoinThreshold()
@@ -241,7 +241,7 @@ def divided_join(
     conditions: Sequence[Column] = (),
 ) -> DataFrame:
     """`left` joined on `keys` to `right`, which has few rows per key; hot keys of
-    `left` are divided, unless Spark broadcasts `right`. Columns of `right` other than the keys are added.
+    `left` are divided. Columns of `right` other than the keys are added.
 
     `how` keeps the left side: inner, left, left_semi or left_anti.
     """
@@ -249,8 +249,7 @@ def divided_join(
     for key in keys:
         if isinstance(left.schema[key].dataType, unhashable):
             raise ValueError(f"rows cannot be joined on {key}")
-    # rows of `left` do not move if `right` is broadcast, so `left` is not read for its hot keys
-    cells = no_cells(left, keys) if _is_broadcast(right) else find_cells({"left": [(left, keys)]})["left"]
+    cells = find_cells({"left": [(left, keys)]})["left"]
     kinds = {f.name: f.dataType for f in left.schema}
     # a value that does not fit the type of the left key cannot equal one
     right = right.withColumns(

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from tiermart.functions import run_timestamp
 from tiermart.functions.columns import RunTs, instant_in_zone
-from tiermart.operators.skew import divided_join
+from tiermart.operators.skew import divided_join, is_broadcast
 from tiermart.schemas import AUDIT_COLUMNS, Entity
 from tiermart.session import materialise
 from tiermart.sources.files import content_keys
@@ -132,13 +132,18 @@ def with_audit(
             *entity.columns, *AUDIT_COLUMNS
         )
     rows = scan.drop("_stg_file_md5")
-    # stored, so that Spark knows the size of one row per file; a file that holds most rows is divided
+    # stored, so that Spark knows the size of one row per file
     keys = materialise(content_keys(spark, path), "file-keys").select(
         F.col("file_name").alias("_stg_file_name"), F.col("content_key").alias("_stg_file_md5")
     )
+    # rows do not move if the keys are broadcast, so the files are not read once more to find those that hold
+    # most rows; otherwise such files are divided
+    if is_broadcast(keys):
+        found = rows.join(keys, "_stg_file_name", "left")
+    else:
+        found = divided_join(rows, keys, ["_stg_file_name"], "left")
     return (
-        divided_join(rows, keys, ["_stg_file_name"], "left")
-        .withColumn("_copy_data_ts", run_timestamp(run_ts))
+        found.withColumn("_copy_data_ts", run_timestamp(run_ts))
         .select(*entity.columns, *AUDIT_COLUMNS)
     )
 
