@@ -154,6 +154,21 @@ def test_written_file_reads_back(spark, tmp_path):
     assert rows(scan_csv(spark, path, ADDRESSES)) == data
 
 
+@pytest.mark.parametrize("entity", [ORDERS, ADDRESSES], ids=["orders", "addresses"])
+def test_files_written_with_gzip_read_back(spark, tmp_path, entity):
+    width = len(entity.columns)
+    data = [(str(i), *["x,y"] * (width - 3), None, "") for i in range(20)]
+    made = spark.createDataFrame(data, entity.source_schema).coalesce(2)
+    plain, packed = str(tmp_path / "plain"), str(tmp_path / "packed")
+    write_csv(made, plain)
+    write_csv(made, packed, compression="gzip")
+    listed = [os.path.basename(r.file_name) for r in list_files(spark, packed).collect() if r.file_size]
+    assert listed and all(name.endswith(".csv.gz") for name in listed)
+    found = [read_raw(spark, path, entity, "2024-01-01 00:00:00") for path in (plain, packed)]
+    assert rows(found[1].select(*entity.columns)) == rows(found[0].select(*entity.columns)) == sorted(data, key=repr)
+    assert found[1].where("_stg_file_md5 IS NULL").isEmpty()
+
+
 @pytest.mark.parametrize("name", ["orders", "customer_addresses"])
 def test_files_are_not_read_for_hot_names_if_the_keys_are_broadcast(spark, tmp_path, monkeypatch, name):
     def never(*_):

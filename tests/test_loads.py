@@ -4,7 +4,7 @@ import pytest
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
-from tiermart.plans import loads
+from tiermart.plans import loads, registry
 from tiermart.plans.loads import LoadOptions, load_clean, load_raw, run_all, run_entity
 from tiermart.schemas import ENTITIES
 from tiermart.session import scratch_path
@@ -73,6 +73,74 @@ def test_every_entity_reaches_the_wide_table(layers, tmp_path):
         assert found == {f.name: f.dataType.simpleString() for f in e.curated_schema}
 
 
+def test_loaded_files_are_removed_on_request_only(layers, tmp_path):
+    paths = {name: _write(str(tmp_path / name), name, lines) for name, lines in FILES.items()}
+    folders = {name: os.path.dirname(path) for name, path in paths.items()}
+    run_all(layers, folders, RUNS[0])
+    assert all(os.path.exists(path) for path in paths.values())
+    paths = {name: _write(str(tmp_path / name), name, lines) for name, lines in FILES.items()}
+    for n, path in enumerate(paths.values()):
+        os.utime(path, (n, n))  # other files, to the ledger
+    for run in RUNS[1:]:  # the second of these finds no files
+        run_all(layers, folders, run, LoadOptions(remove_loaded=True))
+        assert not any(os.path.exists(path) for path in paths.values())
+        for name, e in ENTITIES.items():
+            assert layers.table(RAW, e.raw_table).count() == 2 * len(FILES[name]), name
+    assert layers.table(CURATED, "master_orders").count() == 2
+
+
+def test_a_load_that_is_not_published_keeps_its_files(layers, tmp_path, monkeypatch):
+    path = _write(str(tmp_path), "orders", FILES["orders"])
+
+    def fail(*args):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(loads.Landing, "publish", fail)
+        with pytest.raises(OSError):
+            load_raw(layers, ENTITIES["orders"], path, RUNS[0], LoadOptions(remove_loaded=True))
+    assert os.path.exists(path)
+
+
+def test_files_of_the_whole_path_take_little_disk(spark, tmp_path, monkeypatch):
+    """The files that the query makes are packed, and gone before the wide table is built."""
+    made = {
+        "customer": "1L c_custkey, 'Ann' c_name, 'BUILDING' c_mktsegment, 1 c_nationkey",
+        "nation": "1 n_nationkey, 'India' n_name, 1 n_regionkey",
+        "region": "1 r_regionkey, 'Asia' r_name",
+        "part": "5L p_partkey, 'Tea' p_name, 'SMALL' p_type, 2.5D p_retailprice, 7 p_size",
+        "supplier": "1L s_suppkey, 'Fast' s_name, 1 s_nationkey",
+        "orders": "100L o_orderkey, 1L o_custkey, timestamp_ntz'2024-01-03' o_orderdate, 'F' o_orderstatus, 5.0D o_totalprice, "
+        "'2-HIGH' o_orderpriority",
+        "lineitem": "100L l_orderkey, 1 l_linenumber, 5L l_partkey, 1L l_suppkey, 2.0D l_quantity, 2.0D l_extendedprice, "
+        "'R' l_returnflag, 'F' l_linestatus, timestamp_ntz'2024-01-05' l_shipdate",
+    }
+    for name, columns in made.items():
+        spark.sql(f"SELECT {columns}").write.parquet(str(tmp_path / f"{name}.parquet"))
+    before, after = {}, {}
+
+    def files(paths):
+        return {n: [f for f in os.listdir(p) if f.startswith("part-")] for n, p in paths.items()}
+
+    def watched(layers, paths, run_ts, options):
+        before.update(files(paths))
+
+        def build(*args, **choices):
+            after.update(files(paths))
+            return original(*args, **choices)
+
+        original = loads.load_master_orders
+        monkeypatch.setattr(loads, "load_master_orders", build)
+        run_all(layers, paths, run_ts, options)
+
+    monkeypatch.setattr(registry, "run_all", watched)
+    master = registry.load_master_orders(spark, str(tmp_path))
+    assert sorted((r.customer_city, r.return_id) for r in master.collect()) == [("Asia", 1001), ("India", 1001)]
+    plain = {name for name, found in before.items() if not all(f.endswith(".csv.gz") for f in found)}
+    assert plain == {"customer_addresses"} and all(before.values())
+    assert set(after) == set(before) and not any(after.values())
+
+
 def test_default_paths(tmp_path):
     paths = loads.default_paths(str(tmp_path))
     assert sorted(paths) == sorted(ENTITIES) and paths["orders"].endswith("/orders.csv")

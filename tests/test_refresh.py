@@ -4,7 +4,7 @@ import pytest
 from helpers import rows
 from pyspark.sql import functions as F
 
-from tiermart.plans import analytics, report_state
+from tiermart.plans import analytics, loads, report_state
 from tiermart.plans.loads import LoadOptions, curated_tables, load_master_orders, run_all
 from tiermart.plans.refresh import MASTER, kept_reports, master_segments, refresh_master_orders
 from tiermart.plans.wide import FACTS, MASTER_COLUMNS, build_master_orders
@@ -241,6 +241,42 @@ def test_loads_from_files_refresh_the_wide_table(spark, layers, tmp_path):
     assert _shown(layers) == shown
 
 
+def test_large_facts_are_joined_in_parts_and_published_once(spark, layers, monkeypatch):
+    tables, parts = _warehouse(spark), []
+
+    def build(part, *args, **choices):
+        parts.append(part)
+        if len(parts) == lost:
+            raise OSError("lost")
+        return build_master_orders(part, *args, **choices)
+
+    monkeypatch.setattr(loads, "curated_tables", lambda _: tables)
+    monkeypatch.setattr(loads, "build_master_orders", build)
+    lost = 0
+    load_master_orders(layers, TIMES[0])
+    assert len(parts) == 1 and _shown(layers) == _anew(tables)
+    # 600 bytes and more each: as many parts as there may be
+    monkeypatch.setattr(loads, "PART_BYTES", 64)
+    parts.clear()
+    load_master_orders(layers)
+    assert len(parts) == loads.PARTS and _shown(layers) == _anew(tables)
+    # one time for all of them, and every fact in one part
+    assert layers.table(CURATED, MASTER).select("data_insert_ts").distinct().count() == 1
+    for name in FACTS:
+        counts = [part[name].count() for part in parts]
+        assert sum(counts) == tables[name].count() and max(counts) < sum(counts), name
+    # a part that fails publishes nothing
+    before = rows(layers.table(CURATED, MASTER))
+    parts.clear()
+    lost = 3
+    with pytest.raises(OSError):
+        load_master_orders(layers, TIMES[1])
+    assert rows(layers.table(CURATED, MASTER)) == before
+    lost = 0
+    load_master_orders(layers, TIMES[2])
+    assert _shown(layers) == _anew(tables) and _orders_at(layers, TIMES[2]) == {r[0] for r in _anew(tables)}
+
+
 def _same_reports(layers, state):
     """All 19 reports of the state against those of the wide table itself."""
     master = layers.table(CURATED, MASTER)

@@ -1,5 +1,8 @@
 """Tasks hold what the settings allow, whatever the size of the input and the session's own settings."""
 
+import time
+
+import pyarrow.parquet as pq
 from pyspark.sql import functions as F
 
 from tiermart.session import FIRST_PARTITIONS, configure
@@ -31,3 +34,28 @@ def test_files_are_read_in_small_splits(spark, conf, tmp_path):
     path = tmp_path / "lines.txt"
     path.write_text(("x" * 99 + "\n") * 400_000)
     assert configure(spark).read.text(str(path)).rdd.getNumPartitions() == 3
+
+
+def _shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_when_their_query_has_ended(spark, tmp_path):
+    before = _shuffle_files(spark)
+    rows = configure(spark).range(50_000).repartition(7, "id")
+    rows.write.parquet(str(tmp_path / "written"))
+    rows.write.saveAsTable("left_no_shuffles", path=str(tmp_path / "table"))
+    spark.sql("DROP TABLE left_no_shuffles")
+    until = time.time() + 15
+    while _shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.1)
+    assert not _shuffle_files(spark) - before
+    assert rows.count() == 50_000  # and can be computed again
+
+
+def test_stored_tables_are_compressed_by_zstd(spark, tmp_path):
+    configure(spark).range(1000).write.parquet(str(tmp_path / "written"))
+    files = list((tmp_path / "written").glob("*.parquet"))
+    assert {pq.read_metadata(f).row_group(0).column(0).compression for f in files} == {"ZSTD"}

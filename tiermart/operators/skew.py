@@ -71,7 +71,7 @@ def hot_keys(df: DataFrame, key_sets: Sequence[Sequence[str]], share: float) ->
     )
 
 
-def _estimated_bytes(df: DataFrame) -> int:
+def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's estimate; of a join it is an upper bound."""
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
@@ -79,7 +79,7 @@ def _estimated_bytes(df: DataFrame) -> int:
 def is_broadcast(df: DataFrame) -> bool:
     """Whether Spark will send the table whole to every task by its own size check."""
     conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return _estimated_bytes(df) <= conf.autoBroadcastJoinThreshold()
+    return estimated_bytes(df) <= conf.autoBroadcastJoinThreshold()
 
 
 @dataclass(frozen=True)
@@ -171,7 +171,7 @@ def find_cells(
             frames[id(df)] = df
             by_table.setdefault(id(df), []).append((name, i, keys))
     spark = next(iter(frames.values())).sparkSession
-    by_table = {t: uses for t, uses in by_table.items() if _estimated_bytes(frames[t]) >= SMALLEST_TABLE}
+    by_table = {t: uses for t, uses in by_table.items() if estimated_bytes(frames[t]) >= SMALLEST_TABLE}
     if not by_table:
         return {name: no_cells(*group[0], len(group)) for name, group in joins.items()}
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -16,11 +17,12 @@ from tiermart.operators.conform import conform, conform_entity
 from tiermart.operators.dedupe import dedupe_latest
 from tiermart.operators.merge import new_rows, scd1_upsert, scd2_apply, scd2_pass, stamped
 from tiermart.operators.quality import require_not_null
+from tiermart.operators.skew import estimated_bytes
 from tiermart.plans.refresh import MASTER, refresh_master_orders
 from tiermart.plans.wide import DIMENSIONS, FACTS, build_master_orders
 from tiermart.schemas import AUDIT_COLUMNS, ENTITIES, IS_CURRENT, LOAD_TS, UPDATED_TS, Entity
 from tiermart.sources.csv import read_raw
-from tiermart.sources.files import list_files
+from tiermart.sources.files import list_files, remove_files
 from tiermart.sources.landing import FILE_FIELDS, Landing
 from tiermart.sources.segments import Segments
 from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
@@ -29,6 +31,8 @@ from tiermart.sources.tables import CLEAN, CURATED, RAW, Layers
 NEWER_BY = [LOAD_TS, "_copy_data_ts"]
 # new files that one load takes; more are loaded in turn
 FILES = 10_000
+# bytes of stored facts that the wide table joins at a time, and most parts of its orders
+PART_BYTES, PARTS = 1 << 30, 8
 
 
 @dataclass(frozen=True)
@@ -55,6 +59,8 @@ class LoadOptions:
     since: an incremental load: only raw rows copied, and clean rows updated, at
     or after this time feed the next layer; the default reads everything.
     hash_content: audit files by their content, which reads them twice.
+    remove_loaded: new files are removed once their rows are published in the raw table, so that they take no
+    disk while the other layers are loaded; for files that were made for this load only.
     parallel: entities loaded at the same time; they are independent up to the
     wide table.
     """
@@ -69,6 +75,7 @@ class LoadOptions:
     log_facts: bool = False
     since: str | None = None
     hash_content: bool = True
+    remove_loaded: bool = False
     parallel: int = 4
 
     @property
@@ -128,6 +135,8 @@ def load_raw(
             load_id = raw.land(read_raw(spark, names, entity, run_ts, options.hash_content))
             loaded = spark.createDataFrame(found, new.schema)
             raw.publish(load_id, loaded.withColumn("loaded_at", now))
+            if options.remove_loaded:
+                remove_files(spark, names)
         if len(found) < FILES:
             return
 
@@ -277,14 +286,37 @@ def curated_tables(layers: Layers) -> dict[str, DataFrame]:
     }
 
 
+def _master_parts(tables: Mapping[str, DataFrame]) -> list[dict[str, DataFrame]]:
+    """The tables, once for each part of the orders; every fact is in one part."""
+    parts = min(math.ceil(sum(estimated_bytes(tables[name]) for name in FACTS) / PART_BYTES), PARTS)
+    if parts <= 1:
+        return [dict(tables)]
+    part = F.pmod(F.xxhash64("order_id"), F.lit(parts))
+    return [{**tables, **{name: tables[name].filter(part == n) for name in FACTS}} for n in range(parts)]
+
+
 def load_master_orders(
     layers: Layers, run_ts: RunTs = None, rewrite_buckets: int = 0, **choices
 ) -> DataFrame:
-    """Build the wide table, so that reports need no join; by buckets, only what has changed is built again."""
+    """Build the wide table, so that reports need no join; by buckets, only what has changed is built again.
+
+    Large facts are joined in parts of the orders: each part reads the tables once more, and the shuffles of
+    one part only are on disk at a time.
+    """
+    tables = curated_tables(layers)
     if rewrite_buckets:
-        refresh_master_orders(layers, curated_tables(layers), run_ts, rewrite_buckets, **choices)
+        refresh_master_orders(layers, tables, run_ts, rewrite_buckets, **choices)
         return layers.table(CURATED, MASTER)
-    layers.replace(CURATED, MASTER, build_master_orders(curated_tables(layers), run_ts, **choices))
+    parts = _master_parts(tables)
+    if len(parts) > 1:  # all of them get the same time
+        run_ts = layers.spark.range(1).select(run_timestamp(run_ts)).first()[0]
+    first, *others = parts
+    layers.replace(
+        CURATED,
+        MASTER,
+        build_master_orders(first, run_ts, **choices),
+        further=(build_master_orders(part, run_ts, **choices) for part in others),
+    )
     return layers.table(CURATED, MASTER)
 
 

@@ -543,9 +543,9 @@ def quality_orphans_by_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- files ------------------------------------------------------------------
 
 
-def _as_files(spark: SparkSession, df: DataFrame, name: str) -> str:
+def _as_files(spark: SparkSession, df: DataFrame, name: str, compression: str = "none") -> str:
     path = scratch_path(spark, name)
-    write_csv(df, path)
+    write_csv(df, path, compression=compression)
     return path
 
 
@@ -835,11 +835,14 @@ def load_master_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "delivery_partner_id", F.coalesce("delivery_partner_id", F.lit("-1"))
     )
     layers = _layers(spark, "warehouse")
+    # files are written from splits of bounded size, so one task can read one; those with line breaks are divided
     paths = {
-        name: _as_files(spark, views.source_columns(tables, name), name)
+        name: _as_files(
+            spark, views.source_columns(tables, name), name, "none" if ENTITIES[name].multi_line else "gzip"
+        )
         for name in DIMENSIONS + FACTS
     }
-    run_all(layers, paths, views.BUILT)
+    run_all(layers, paths, views.BUILT, LoadOptions(remove_loaded=True))
     return layers.table(CURATED, "master_orders")
 
 

@@ -23,6 +23,11 @@ OPERATOR_CONF = {
     # splits, and shuffles begin with many partitions (below), put together up to the advisory size
     "spark.sql.files.maxPartitionBytes": "16m",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "32m",
+    # shuffle files go when the query that wrote them has ended, not when the driver happens to collect its
+    # garbage: loads are many queries, and those before need no disk while the next one runs
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # every layer keeps the rows once more; keys and prices take about 60 % of their size with the default
+    "spark.sql.parquet.compression.codec": "zstd",
     # data already placed by order_id also serves joins on (order_id, product_id)
     "spark.sql.requireAllClusterKeysForCoPartition": "false",
     # unions of differently partitioned branches fail to plan otherwise when

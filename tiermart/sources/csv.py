@@ -182,8 +182,14 @@ def read_or_quarantine(
     return normalise_nulls(good, entity.columns), bad
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """One header line per file; NULL as an unquoted empty field."""
+def write_csv(
+    df: DataFrame, path: str, mode: str = "errorifexists", compression: str = "none"
+) -> None:
+    """One header line per file; NULL as an unquoted empty field.
+
+    Files written with `compression` "gzip" take less than half the disk, but each is read by one task.
+    """
     df.write.mode(mode).options(
-        sep=",", header="true", quote='"', escape='"', nullValue="", emptyValue='""'
+        **{"sep": ",", "header": "true", "quote": '"', "escape": '"', "nullValue": "", "emptyValue": '""'},
+        **{"compression": compression, "zlib.compress.level": "BEST_SPEED"},
     ).csv(path)

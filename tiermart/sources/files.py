@@ -1,7 +1,9 @@
-"""Directories of files: listing and content keys."""
+"""Directories of files: listing, content keys, removal."""
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +28,13 @@ def list_files(
     )
 
 
+def remove_files(spark: SparkSession, names: Iterable[str]) -> None:
+    """Remove files, given as `list_files` names them; one that is gone already is no error."""
+    for name in names:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, False)
+
+
 def content_keys(
     spark: SparkSession, path: str | list[str], pattern: str | None = None
 ) -> DataFrame:

@@ -10,7 +10,7 @@ a load rewrites only some buckets are in `sources.segments`, raw tables in `sour
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,9 +107,13 @@ class Layers:
         bucket_by: Sequence[str] = (),
         buckets: int = 0,
         keep: int = 2,
+        further: Iterable[DataFrame] = (),
     ) -> None:
         """Write `df` as the next version and publish it.
 
+        Rows of `further` are added to it one after the other, so that only one at a time takes disk for its
+        shuffles; they are published together.
+
         `df` may read the published version. With `buckets` the rows are stored
         by hash of `bucket_by`: the next merge on those columns, and joins
         between tables bucketed alike, then need no shuffle of this table.
@@ -123,6 +127,8 @@ class Layers:
         if buckets:
             writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
         writer.saveAsTable(target)
+        for rows in further:
+            rows.write.insertInto(target)
         self.spark.sql(
             f"CREATE OR REPLACE VIEW {self.name(layer, table)} AS SELECT * FROM {target}"
         )
